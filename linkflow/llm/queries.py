@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkflow.llm import decontaminate, token_planes
+from linkflow.llm import decontaminate, html_extract, mixing, token_planes
 from linkflow.llm.common import table
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.replicate(table(spark, sf_dir, "documents"))
+
+
 def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -19,9 +23,13 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_token_planes": op6_token_planes, "op9_decontaminate": op9_decontaminate}
+    return {"op3_mixing": op3_mixing, "op6_token_planes": op6_token_planes, "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": mixing.ORACLE}
