@@ -48,11 +48,9 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, tempe
     else:
         given = docs.sparkSession.createDataFrame(list(weights.items()), "source string, w double")
         n = n.alias("n").join(given.alias("g"), F.col("n.source").eqNullSafe(F.col("g.source")), "left").select("n.source", "n", F.coalesce("w", F.lit(0.0)).alias("w"))
-    total = n.agg(F.sum("n").alias("rows"), F.sum("w").alias("all_w"))
-    rows = F.col("rows") if output_rows is None else F.lit(output_rows)
-    mean = F.coalesce(F.try_divide(F.col("w") * rows, F.col("all_w") * F.col("n")), F.lit(0.0))
-    # The totals are one row.
-    n = n.join(F.broadcast(total)).withColumn("mean", mean)
+    rows, all_w = n.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("w"), F.lit(0.0))).first()
+    rows = rows if output_rows is None else output_rows
+    n = n.withColumn("mean", F.coalesce(F.try_divide(F.col("w") * F.lit(rows), F.lit(all_w) * F.col("n")), F.lit(0.0)))
     n = n.withColumn("parts", F.greatest(F.ceil(F.col("mean") / PART), F.lit(1)).cast("int"))
     r = F.col("mean") / F.col("parts")
     first = F.struct(F.exp(-r).alias("p"), F.array(F.exp(-r)).alias("cdf"))
