@@ -104,6 +104,16 @@ class Encoder:
         return [b"".join(map(get, w)) for w in split]
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker: what it has learned serves all tasks of the worker."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def transpose(ids: np.ndarray, kind: str) -> list[bytes]:
     """The planes of a block of ids; a plane that is all zero is empty."""
     raw = np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4)
@@ -173,12 +183,12 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, kind
     """Encodes ``docs(doc_id, text)`` and writes shard files below ``path``."""
 
     def run(batches):
-        encoder, pid = Encoder(tokenizer), TaskContext.get().partitionId()
+        encode, pid = encoder(tokenizer).encode, TaskContext.get().partitionId()
         end, seq, parts, doc_ids, lengths, held = np.array([end_id], "<u4").tobytes(), 0, [], [], [], 0
         for b in batches:
             for i in range(0, b.num_rows, 128):
                 piece = b.slice(i, 128)
-                for d, raw in zip(piece.column(0).to_pylist(), encoder.encode(piece.column(1).to_pylist()), strict=True):
+                for d, raw in zip(piece.column(0).to_pylist(), encode(piece.column(1).to_pylist()), strict=True):
                     parts += (raw, end)
                     doc_ids.append(d)
                     lengths.append(len(raw) // 4 + 1)
