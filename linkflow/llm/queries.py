@@ -7,14 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkflow.llm import decontaminate, html_extract, mixing, token_planes
-from linkflow.llm.common import table
+from linkflow.llm import decontaminate, html_extract, mixing, ppm, token_planes
+from linkflow.llm.common import id_crc, table
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(table(spark, sf_dir, "documents"))
 
 
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.pretrained(table(spark, sf_dir, "documents"), id_crc() % 10 == 0)
+
+
 def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -28,7 +32,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_mixing": op3_mixing, "op6_token_planes": op6_token_planes, "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract}
+    return {"op3_mixing": op3_mixing, "op5_ppm": op5_ppm, "op6_token_planes": op6_token_planes, "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract}
 
 
 def oracle_sql() -> dict[str, str]:
