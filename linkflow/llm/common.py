@@ -25,7 +25,7 @@ def save(df: DataFrame, tag: str) -> DataFrame:
     """Cuts the lineage: writes ``df`` as Parquet to the shared folder and reads it back."""
     spark = df.sparkSession
     path = scratch(spark, tag)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
