@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 
@@ -37,10 +38,9 @@ CHUNK = 1 << 16
 #: Ids after which a shard is closed; bounds the memory of a task and the size of a file.
 SHARD_IDS = 4_000_000
 END_ID = 2
-CACHE_WORDS = 500_000
-#: ASCII characters after which, and punctuation before which, the tokenizer always splits.
-PLAIN = frozenset(bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
-TAIL = b".,!?;:*#$%&"
+CACHE_WORDS = 900_000
+#: Between an ASCII letter or digit and punctuation behind it, the tokenizer always splits.
+_JOINT = re.compile(rb"(?<=[a-zA-Z0-9])(?=[.,!?;:*#$%&])")
 
 _BLOB = pa.schema([("blob", pa.binary())])
 _DOCS = pa.schema([("pid", pa.int32()), ("seq", pa.int32()), ("pos", pa.int64()), ("doc_id", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
@@ -50,9 +50,10 @@ _DOCS_DDL = "pid int, seq int, pos long, doc_id long, local long, n_tokens long,
 class Encoder:
     """Encodes texts with a tokenizer file whose normaliser and splitter never join across white space.
 
-    ASCII white space separates words that the tokenizer encodes independently of each other, and it
-    always splits an ASCII letter or digit from the ASCII punctuation behind it. So each distinct
-    word, less such a tail, is encoded by the library once and remembered (up to ``CACHE_WORDS``).
+    ASCII white space separates words that the tokenizer encodes independently of each other, it
+    always splits an ASCII letter or digit from the ASCII punctuation behind it, and it lower-cases.
+    So each distinct piece is encoded by the library once and remembered (up to ``CACHE_WORDS``).
+    A text that may hold a special token (which is matched before lower-casing) keeps its case.
     """
 
     def __init__(self, path: str):
@@ -60,47 +61,46 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.words, self.stems = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.known = Tokenizer.from_file(path), {}
 
-    def _whole(self, stems: list[bytes]) -> None:
-        for p in stems:
-            self.stems[p] = np.array(self.tokenizer.encode(p.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+    def _whole(self, pieces: list[bytes]) -> None:
+        for p in pieces:
+            self.known[p] = np.array(self.tokenizer.encode(p.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _letters(self, stems: list[bytes]) -> None:
-        """Words of letters only are one pre-token each: many are encoded in one call."""
-        e = self.tokenizer.encode(b" ".join(stems).decode(), add_special_tokens=False)
+    def _letters(self, pieces: list[bytes]) -> None:
+        """Pieces of letters only are one pre-token each: many are encoded in one call."""
+        e = self.tokenizer.encode(b" ".join(pieces).decode(), add_special_tokens=False)
         at = np.array(e.word_ids, np.int64)
         first = np.flatnonzero(np.diff(at, prepend=-1))
-        if len(first) != len(stems):
-            self._whole(stems)
+        if len(first) != len(pieces):
+            self._whole(pieces)
             return
         raw, first = np.array(e.ids, "<u4").tobytes(), [*(4 * first).tolist(), 4 * len(at)]
-        for k, p in enumerate(stems):
-            self.stems[p] = raw[first[k] : first[k + 1]]
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.stems) > CACHE_WORDS:
-            self.stems.clear()
-        split = []
-        for w in words:
-            if w not in self.words:
-                stem = w.rstrip(TAIL)
-                split.append((w, stem, w[len(stem) :]) if stem[-1:] in PLAIN and stem else (w, w, b""))
-        new = {p for _, *both in split for p in both if p and p not in self.stems}
-        letters = [p for p in new if p.decode("utf-8", "replace").isalpha()]
-        self._whole(list(new.difference(letters)))
+        for k, p in enumerate(pieces):
+            self.known[p] = raw[first[k] : first[k + 1]]
+
+    def _learn(self, pieces: set[bytes]) -> None:
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
+        new = pieces.difference(self.known)
+        letters = [p for p in new if p.isalpha() or p.decode("utf-8", "replace").isalpha()]
+        if len(letters) < len(new):
+            self._whole(list(new.difference(letters)))
         for i in range(0, len(letters), 512):
             self._letters(letters[i : i + 512])
-        for w, stem, tail in split:
-            self.words[w] = self.stems[stem] + self.stems[tail] if tail else self.stems[stem]
+
+    @staticmethod
+    def _pieces(text: str | None) -> list[bytes]:
+        if not text:
+            return []
+        raw = text.encode("utf-8", "replace")
+        return _JOINT.sub(b" ", raw if b"<|" in raw else raw.lower()).split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.encode("utf-8", "replace").split() if t else [] for t in texts]
+        split = [self._pieces(t) for t in texts]
         self._learn(set().union(*split))
-        get = self.words.__getitem__
+        get = self.known.__getitem__
         return [b"".join(map(get, w)) for w in split]
 
 
