@@ -7,10 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkflow.llm import decontaminate, html_extract, mixing, ppm, token_planes
+from linkflow.llm import decontaminate, html_extract, langid, mixing, ppm, quality, token_planes
 from linkflow.llm.common import id_crc, table
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), id_crc() % 5 == 0
+    return langid.predict(docs, langid.fit(docs.where(~held_out).select("doc_id", "text", "lang")), held_out)
+
+
+def quality_network(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality.Network | None:
+    return quality.fit(docs, table(spark, sf_dir, "labels"), usable=id_crc() % 3 != 1)
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality_network(spark, docs, sf_dir), id_crc() % 3 == 1)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(table(spark, sf_dir, "documents"))
 
@@ -32,7 +46,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_mixing": op3_mixing, "op5_ppm": op5_ppm, "op6_token_planes": op6_token_planes, "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract}
+    return {"op1_langid": op1_langid, "op2_quality": op2_quality, "op3_mixing": op3_mixing, "op5_ppm": op5_ppm, "op6_token_planes": op6_token_planes, "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract}
 
 
 def oracle_sql() -> dict[str, str]:
