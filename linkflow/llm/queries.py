@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from linkflow.llm import decontaminate, html_extract, langid, mixing, ppm, quality, token_planes
+from linkflow.llm import decontaminate, html_extract, jaccard, langid, mixing, ppm, quality, token_planes
 from linkflow.llm.common import id_crc, table
 
 
@@ -37,6 +37,10 @@ def op6_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(table(spark, sf_dir, "documents"), shingle=3, percent=90).drop("class_id")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
@@ -46,7 +50,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_langid": op1_langid, "op2_quality": op2_quality, "op3_mixing": op3_mixing, "op5_ppm": op5_ppm, "op6_token_planes": op6_token_planes, "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract}
+    return {"op1_langid": op1_langid, "op2_quality": op2_quality, "op3_mixing": op3_mixing, "op5_ppm": op5_ppm, "op6_token_planes": op6_token_planes, "op7_jaccard": op7_jaccard, "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract}
 
 
 def oracle_sql() -> dict[str, str]:
