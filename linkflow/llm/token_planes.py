@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import zlib
 
@@ -36,11 +35,12 @@ from linkflow.llm.common import batch, save, scratch
 MAGIC = b"LFPLANES"
 CHUNK = 1 << 16
 #: Ids after which a shard is closed; bounds the memory of a task and the size of a file.
-SHARD_IDS = 4_000_000
+SHARD_IDS = 2_000_000
 END_ID = 2
-CACHE_WORDS = 900_000
+CACHE_WORDS = 700_000
 #: Between an ASCII letter or digit and punctuation behind it, the tokenizer always splits.
-_JOINT = re.compile(rb"(?<=[a-zA-Z0-9])(?=[.,!?;:*#$%&])")
+PLAIN = frozenset(bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+TAIL = b".,!?;:*#$%&"
 
 _BLOB = pa.schema([("blob", pa.binary())])
 _DOCS = pa.schema([("pid", pa.int32()), ("seq", pa.int32()), ("pos", pa.int64()), ("doc_id", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
@@ -52,7 +52,7 @@ class Encoder:
 
     ASCII white space separates words that the tokenizer encodes independently of each other, it
     always splits an ASCII letter or digit from the ASCII punctuation behind it, and it lower-cases.
-    So each distinct piece is encoded by the library once and remembered (up to ``CACHE_WORDS``).
+    So each distinct word, less such a tail, is encoded by the library once and remembered (up to ``CACHE_WORDS``).
     A text that may hold a special token (which is matched before lower-casing) keeps its case.
     """
 
@@ -60,45 +60,67 @@ class Encoder:
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        # On lower-case ASCII letters the file's normaliser and splitter change nothing.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = WhitespaceSplit()
 
     def _whole(self, pieces: list[bytes]) -> None:
         for p in pieces:
             self.known[p] = np.array(self.tokenizer.encode(p.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _letters(self, pieces: list[bytes]) -> None:
+    def _letters(self, pieces: list[bytes], tokenizer) -> None:
         """Pieces of letters only are one pre-token each: many are encoded in one call."""
-        e = self.tokenizer.encode(b" ".join(pieces).decode(), add_special_tokens=False)
-        at = np.array(e.word_ids, np.int64)
-        first = np.flatnonzero(np.diff(at, prepend=-1))
-        if len(first) != len(pieces):
-            self._whole(pieces)
+        for i in range(0, len(pieces), 512):
+            part = pieces[i : i + 512]
+            e = tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False)
+            at = np.array(e.word_ids, np.int64)
+            first = np.flatnonzero(np.diff(at, prepend=-1))
+            if len(first) != len(part):
+                self._whole(part)
+                continue
+            raw, first = np.array(e.ids, "<u4").tobytes(), (4 * first).tolist()
+            self.known.update(zip(part, [raw[a:b] for a, b in zip(first, [*first[1:], len(raw)], strict=True)], strict=True))
+
+    def _learn(self, words: set[bytes]) -> None:
+        new = words.difference(self.known)
+        if not new:
             return
-        raw, first = np.array(e.ids, "<u4").tobytes(), [*(4 * first).tolist(), 4 * len(at)]
-        for k, p in enumerate(pieces):
-            self.known[p] = raw[first[k] : first[k + 1]]
-
-    def _learn(self, pieces: set[bytes]) -> None:
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) + len(new) > CACHE_WORDS:
             self.known.clear()
-        new = pieces.difference(self.known)
-        letters = [p for p in new if p.isalpha() or p.decode("utf-8", "replace").isalpha()]
-        if len(letters) < len(new):
-            self._whole(list(new.difference(letters)))
-        for i in range(0, len(letters), 512):
-            self._letters(letters[i : i + 512])
+            new = words
+        joined = []
+        pieces = set()
+        for w in new:
+            stem = w.rstrip(TAIL)
+            if stem == w or stem[-1:] not in PLAIN or not stem:
+                pieces.add(w)
+            else:
+                joined.append((w, stem, w[len(stem) :]))
+                pieces.add(stem)
+                pieces.add(joined[-1][2])
+        pieces.difference_update(self.known)
+        plain = [p for p in pieces if p.isalpha() and p.islower()]
+        self._letters(plain, self.plain)
+        pieces.difference_update(plain)
+        letters = [p for p in pieces if p.decode("utf-8", "replace").isalpha()]
+        self._letters(letters, self.tokenizer)
+        self._whole(list(pieces.difference(letters)))
+        for w, stem, tail in joined:
+            self.known[w] = self.known[stem] + self.known[tail]
 
     @staticmethod
-    def _pieces(text: str | None) -> list[bytes]:
+    def _words(text: str | None) -> list[bytes]:
         if not text:
             return []
         raw = text.encode("utf-8", "replace")
-        return _JOINT.sub(b" ", raw if b"<|" in raw else raw.lower()).split()
+        return (raw if b"<|" in raw else raw.lower()).split()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [self._pieces(t) for t in texts]
+        split = [self._words(t) for t in texts]
         self._learn(set().union(*split))
         get = self.known.__getitem__
         return [b"".join(map(get, w)) for w in split]
