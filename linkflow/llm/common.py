@@ -21,11 +21,22 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{base.rstrip('/')}/linkflow/{tag}-{uuid.uuid4().hex}"
 
 
+#: Spark's switch for removing a query's shuffle files as soon as the query has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def save(df: DataFrame, tag: str) -> DataFrame:
-    """Cuts the lineage: writes ``df`` as Parquet to the shared folder and reads it back."""
+    """Cuts the lineage: writes ``df`` as Parquet to the shared folder and reads it back.
+
+    The shuffle files behind it are of no more use, so Spark is told to remove them at once.
+    """
     spark = df.sparkSession
-    path = scratch(spark, tag)
-    df.write.option("compression", "zstd").parquet(path)
+    path, before = scratch(spark, tag), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
