@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linkflow.llm import decontaminate, html_extract, jaccard, langid, mixing, ppm, quality, token_planes
+from linkflow.llm import ann, decontaminate, html_extract, jaccard, langid, mixing, ppm, quality, token_planes
 from linkflow.llm.common import id_crc, table
 
 
@@ -29,6 +30,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(table(spark, sf_dir, "documents"))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.pretrained(table(spark, sf_dir, "documents"), id_crc() % 10 == 0)
 
@@ -50,7 +55,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_langid": op1_langid, "op2_quality": op2_quality, "op3_mixing": op3_mixing, "op5_ppm": op5_ppm, "op6_token_planes": op6_token_planes, "op7_jaccard": op7_jaccard, "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract}
+    return {"op1_langid": op1_langid, "op2_quality": op2_quality, "op3_mixing": op3_mixing, "op4_ann": op4_ann, "op5_ppm": op5_ppm, "op6_token_planes": op6_token_planes, "op7_jaccard": op7_jaccard, "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract}
 
 
 def oracle_sql() -> dict[str, str]:
