@@ -37,7 +37,9 @@ CHUNK = 1 << 16
 #: Ids after which a shard is closed; bounds the memory of a task and the size of a file.
 SHARD_IDS = 2_000_000
 END_ID = 2
-CACHE_WORDS = 700_000
+CACHE_WORDS = 600_000
+#: Marks of words that a worker has seen before: only those are remembered. A power of two.
+SEEN = 1 << 24
 #: Between an ASCII letter or digit and punctuation behind it, the tokenizer always splits.
 PLAIN = frozenset(bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 TAIL = b".,!?;:*#$%&"
@@ -63,6 +65,7 @@ class Encoder:
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.seen, self.once = bytearray(SEEN), []
         # On lower-case ASCII letters the file's normaliser and splitter change nothing.
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = WhitespaceSplit()
@@ -85,12 +88,11 @@ class Encoder:
             self.known.update(zip(part, [raw[a:b] for a, b in zip(first, [*first[1:], len(raw)], strict=True)], strict=True))
 
     def _learn(self, words: set[bytes]) -> None:
+        if len(self.known) > CACHE_WORDS:
+            self.known.clear()
         new = words.difference(self.known)
         if not new:
             return
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = words
         joined = []
         pieces = set()
         for w in new:
@@ -101,7 +103,7 @@ class Encoder:
                 joined.append((w, stem, w[len(stem) :]))
                 pieces.add(stem)
                 pieces.add(joined[-1][2])
-        pieces.difference_update(self.known)
+        pieces = pieces.difference(self.known)
         plain = [p for p in pieces if p.isalpha() and p.islower()]
         self._letters(plain, self.plain)
         pieces.difference_update(plain)
@@ -110,6 +112,14 @@ class Encoder:
         self._whole(list(pieces.difference(letters)))
         for w, stem, tail in joined:
             self.known[w] = self.known[stem] + self.known[tail]
+        # What is new to the worker serves this batch only; what comes again is kept.
+        pieces.update(plain, new)
+        for p in pieces:
+            i = hash(p) & (SEEN - 1)
+            if self.seen[i]:
+                continue
+            self.seen[i] = 1
+            self.once.append(p)
 
     @staticmethod
     def _words(text: str | None) -> list[bytes]:
@@ -123,7 +133,11 @@ class Encoder:
         split = [self._words(t) for t in texts]
         self._learn(set().union(*split))
         get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in split]
+        out = [b"".join(map(get, w)) for w in split]
+        for p in self.once:
+            del self.known[p]
+        self.once.clear()
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
