@@ -300,11 +300,33 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id, with all columns.
+    """One document of each group stays, that with the smallest doc_id, with all columns.
 
-    Documents without shingles are groups of their own. Rows that share the smallest doc_id of a
-    group are told apart by their other columns; one of them stays.
+    Documents without shingles are groups of their own. Rows that share a doc_id (or have none) are
+    told apart by their class; of rows equal in both, any one stays.
     """
-    g = groups(docs.select("doc_id", "text"), shingle, percent)
-    kept = g.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    member, _ = links(docs, shingle, percent)
+    member = save(member, "jaccard-member")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "g")).alias("first")
+    kept = save(member.where("comp is not null").groupBy("comp").agg(first).select(F.col("first.doc_id").alias("kept_id"), F.col("first.g").alias("kept_class")), "jaccard-kept")
+    shared = save(member.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("kept_id")), "jaccard-shared")
+    by_id = F.col("doc_id").eqNullSafe(F.col("kept_id"))
+    ids = kept.select("kept_id").union(member.where("g is null").select("doc_id")).distinct()
+    if shared.isEmpty():
+        return docs.join(ids, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    alone = docs.join(shared, by_id, "left_anti").join(ids, F.col("doc_id") == F.col("kept_id"), "left_semi")
+
+    def classify(batches):
+        at = columns.index("text")
+        for b in batches:
+            sets = [shingles(t.as_py(), shingle) for t in b.column(at)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([_digest(s) if len(s) else None for s in sets], pa.int64())], names=[*columns, "own_class"])
+
+    columns = [f"c{i}" if c != "text" else c for i, c in enumerate(docs.columns)]
+    some = docs.join(shared, by_id, "left_semi").toDF(*columns)
+    some = some.mapInArrow(classify, some.schema.add("own_class", "long"))
+    key = columns[docs.columns.index("doc_id")]
+    none = some.where("own_class is null").drop("own_class")
+    rest = some.where("own_class is not null").join(kept, F.col(key).eqNullSafe(F.col("kept_id")) & (F.col("own_class") == F.col("kept_class")), "left_semi")
+    rest = rest.dropDuplicates([key, "own_class"]).drop("own_class")
+    return alone.union(none.union(rest).toDF(*docs.columns))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkflow.llm import ann, decontaminate, html_extract, jaccard, langid, mixing, ppm, quality, token_planes
+from linkflow.llm import ann, decontaminate, html_extract, jaccard, langid, line_dedup, mixing, ppm, quality, token_planes
 from linkflow.llm.common import id_crc, table
 
 
@@ -46,6 +47,10 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(table(spark, sf_dir, "documents"), shingle=3, percent=90).drop("class_id")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
@@ -55,7 +60,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_langid": op1_langid, "op2_quality": op2_quality, "op3_mixing": op3_mixing, "op4_ann": op4_ann, "op5_ppm": op5_ppm, "op6_token_planes": op6_token_planes, "op7_jaccard": op7_jaccard, "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract}
+    return {"pipeline": corpus_pipeline.run, "op1_langid": op1_langid, "op2_quality": op2_quality, "op3_mixing": op3_mixing, "op4_ann": op4_ann, "op5_ppm": op5_ppm, "op6_token_planes": op6_token_planes, "op7_jaccard": op7_jaccard, "op8_line_dedup": op8_line_dedup, "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract}
 
 
 def oracle_sql() -> dict[str, str]:
