@@ -8,14 +8,15 @@ shingles that holds s, and at distance 1 from every other. So each document lies
 the Voronoi regions of all its shingles, and the window of eps around it decides how many regions it
 must be copied to: a partner may lack at most n - ceil(threshold * n) of its shingles, so one more
 than that many suffice. All documents rank the shingles alike, rare ones first (by a count sketch of
-fixed size), so that common passages make no regions.
+fixed size), so that common passages make no regions; and a pair that first meets at the i-th
+shingle of one and the j-th of the other can share no more than what stands behind, which must be
+enough.
 
-*Second pivots: documents.* In each region the document with the smallest digest is the pivot, and
-the distance of all others to it is worked out from the whole texts. Those within eps link. The
+*Second pivots: documents.* In each region a document is the pivot, first the one with the fewest
+rarer shingles, and the distance of all others to it is worked out from the whole texts. Those within eps link. The
 region is then joined again, with another pivot, for the documents that are not yet in the pivot's
 group. What is left after ``ROUNDS`` rounds are documents outside the region's largest group: these
-are compared with every other member that the triangle inequality allows, |d(x, p) - d(y, p)| <=
-eps for each pivot p, and whose size allows it. Pairs within one group need no comparison, as a
+are compared with every other member that their sizes and places allow. Pairs within one group need no comparison, as a
 group's links stay its links. Nothing is cut off: each pair of different texts that can link and
 is not yet in one group is compared.
 
@@ -33,17 +34,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from linkflow.llm.common import WordIds, batch, mix64, save, shingle_hashes
+from linkflow.llm.common import batch, save, shingle_hashes, word_hashes
 
 SHINGLE, PERCENT = 5, 80
 #: Counters of the sketch (2 bytes each) and slices it is summed in.
 SKETCH_BITS, SLICES = 22, 16
-ROUNDS = 3
+ROUNDS = 2
 #: Partners of one pivot in one task.
 SALT_ROWS = 256
 
-_IDS = WordIds()
 _CLASSES = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("g", pa.int64()), ("slice", pa.int32()), ("sketch", pa.binary())])
 _CLASSES_DDL = "doc_id long, n int, g long, slice int, sketch binary"
 
@@ -51,7 +52,7 @@ _CLASSES_DDL = "doc_id long, n int, g long, slice int, sketch binary"
 def shingles(text: str | None, k: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
     w = text.encode("utf-8", "replace").lower().split() if text else []
-    return np.unique(shingle_hashes(_IDS(w), k)) if w else np.zeros(0, np.uint64)
+    return np.unique(shingle_hashes(word_hashes(w), k)) if w else np.zeros(0, np.uint64)
 
 
 def _digest(s: np.ndarray) -> int:
@@ -117,7 +118,7 @@ def _sketch(parts: DataFrame) -> np.ndarray:
 
     ddl = "slice int, sketch binary"
     # Two steps, so that no task reads the sketches of all tasks of a large corpus.
-    some = parts.repartition(8 * SLICES, "slice", F.spark_partition_id()).mapInArrow(run, ddl)
+    some = parts.repartition(2 * SLICES, "slice", F.spark_partition_id()).mapInArrow(run, ddl)
     rows = some.repartition(SLICES, "slice").mapInArrow(run, ddl).collect()
     out = np.zeros((SLICES, (1 << SKETCH_BITS) // SLICES), "<u2")
     for r in rows:
@@ -128,14 +129,14 @@ def _sketch(parts: DataFrame) -> np.ndarray:
 def _regions(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
     """(region, g, n) for regions with at least two classes; regions of the same members are one."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
-    schema = pa.schema([("s", pa.int64()), ("g", pa.int64()), ("n", pa.int32())])
+    schema = pa.schema([("s", pa.int64()), ("g", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 
     def run(batches):
         seen: set[int] = set()
         count = shared.value
         for b in batches:
             for i in range(0, b.num_rows, 256):
-                ss, gs, ns = [], [], []
+                ss, gs, ns, at = [], [], [], []
                 for t in b.column(0).slice(i, 256):
                     s = shingles(t.as_py(), k)
                     if not len(s):
@@ -147,19 +148,24 @@ def _regions(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataF
                     n = len(s)
                     p = n - (percent * n + 99) // 100 + 1
                     key = count[_bucket(s)].astype(np.uint64) << np.uint64(48) | s >> np.uint64(16)
-                    pick = s[np.argpartition(key, p - 1)[:p]] if p < n else s
+                    first = np.argpartition(key, p - 1)[:p] if p < n else np.arange(n)
+                    pick = s[first[np.argsort(key[first], kind="stable")]]
                     ss.append(pick)
+                    at.append(np.arange(p, dtype=np.int32))
                     gs.append(np.full(len(pick), g))
                     ns.append(np.full(len(pick), n, np.int32))
                 if ss:
-                    yield batch(schema, np.concatenate(ss).view(np.int64), np.concatenate(gs), np.concatenate(ns))
+                    yield batch(schema, np.concatenate(ss).view(np.int64), np.concatenate(gs), np.concatenate(ns), np.concatenate(at))
 
-    rows = docs.select("text").mapInArrow(run, "s long, g long, n int")
-    # One exchange serves the distinct, the count and the signature of a region's members.
-    rows = rows.repartition("s").groupBy("s", "g", "n").agg(F.lit(1).alias("one"))
+    rows = docs.select("text").mapInArrow(run, "s long, g long, n int, pos int")
+    # One exchange serves the distinct, the sizes, the count and the signature of a region's members.
+    rows = rows.repartition("s").groupBy("s", "g", "n", "pos").agg(F.lit(1).alias("one"))
     whole = "(PARTITION BY s)"
-    rows = rows.selectExpr("g", "n", f"count(*) OVER {whole} AS m", f"bit_xor(xxhash64(g)) OVER {whole} AS sig").where("m > 1")
-    return rows.select(F.xxhash64("m", "sig").alias("region"), "g", "n").distinct()
+    rows = rows.selectExpr("s", "g", "n", "pos", f"min(n) OVER {whole} AS least")
+    # Partners of this size or more share too little if so many shingles were passed before.
+    rows = rows.where(f"(n - pos) * {100 + percent} >= {percent} * (n + greatest(least, ceil({percent} * n / 100)))")
+    rows = rows.selectExpr("g", "n", "pos", f"count(*) OVER {whole} AS m", f"bit_xor(xxhash64(g)) OVER {whole} AS sig").where("m > 1")
+    return rows.groupBy(F.xxhash64("m", "sig").alias("region"), "g", "n").agg(F.min("pos").alias("pos"))
 
 
 def _texts(docs: DataFrame, classes: DataFrame, regions: DataFrame, k: int) -> DataFrame:
@@ -181,7 +187,7 @@ def _texts(docs: DataFrame, classes: DataFrame, regions: DataFrame, k: int) -> D
                     blob.append(z.compress(text.encode("utf-8", "replace")))
             yield batch(schema, g, blob)
 
-    both = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "text").where("text is not null").join(wanted, "id").select("text", "g")
+    both = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "text").where("text is not null").join(wanted.hint("merge"), "id").select("text", "g")
     return both.mapInArrow(run, "g long, blob binary").dropDuplicates(["g"])
 
 
@@ -191,9 +197,9 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     Each b goes to its pivot a; a pivot with many partners is copied to as many tasks as it needs.
     """
     need = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
-    pivots = need.join(texts.select(F.col("g").alias("a"), F.col("blob").alias("pivot")), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "pivot")
+    pivots = need.join(texts.select(F.col("g").alias("a"), F.col("blob").alias("pivot")).hint("merge"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "pivot")
     members = pairs.join(need, "a").select(F.col("a").alias("pa"), F.expr("pmod(xxhash64(b), salts)").cast("int").alias("psalt"), F.col("b"))
-    members = members.join(texts.withColumnRenamed("g", "b"), "b").select("pa", "psalt", "b", "blob")
+    members = members.join(texts.withColumnRenamed("g", "b").hint("merge"), "b").select("pa", "psalt", "b", "blob")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("inter", pa.int32()), ("na", pa.int32()), ("nb", pa.int32())])
 
     def run(left, right):
@@ -245,27 +251,29 @@ def links(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tu
     sketch = _sketch(all_rows.where("slice is not null").select("slice", "sketch"))
     regions = save(_regions(docs, sketch, shingle, percent), "jaccard-regions")
     texts = save(_texts(docs, classes.where("g is not null"), regions, shingle), "jaccard-texts")
-    fits = f"{percent} * greatest(n, pn) <= 100 * least(n, pn)"
+    # Sizes must allow a link, and so must what stands behind the first shared shingle in both.
+    fits = f"{percent} * greatest(n, pn) <= 100 * least(n, pn) AND least(n - pos, pn - ppos) * {100 + percent} >= {percent} * (n + pn)"
     found: DataFrame | None = None
     comps: DataFrame | None = None
     rows = regions
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         own = rows.withColumn("comp", F.col("g")) if comps is None else rows.join(comps, "g", "left").withColumn("comp", F.coalesce("comp", "g"))
         if comps is not None:
             # A region of one group has nothing left to join.
             open_ = own.groupBy("region").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("region")
             own = own.join(open_, "region", "left_semi")
-        own = save(own.select("region", "g", "n", "comp"), "jaccard-round")
-        # The pivot: smallest digest in the first round, then smallest under another hash.
-        key = F.col("g") if comps is None else F.xxhash64("g", F.lit(_))
-        pivot = own.groupBy("region").agg(F.min(F.struct(key.alias("key"), "g", "n", "comp")).alias("p")).select("region", F.col("p.g").alias("pg"), F.col("p.n").alias("pn"), F.col("p.comp").alias("pcomp"))
+        own = save(own.select("region", "g", "n", "pos", "comp"), "jaccard-round")
+        # The pivot has the fewest shingles of its own (the region's is among its first), then any other.
+        key = F.col("pos").cast("long") if comps is None else F.xxhash64("g", F.lit(turn))
+        pivot = own.groupBy("region").agg(F.min(F.struct(key.alias("key"), "g", "n", "pos", "comp")).alias("p"))
+        pivot = pivot.select("region", F.col("p.g").alias("pg"), F.col("p.n").alias("pn"), F.col("p.pos").alias("ppos"), F.col("p.comp").alias("pcomp"))
         pairs = own.join(pivot, "region").where(f"comp != pcomp AND g != pg AND {fits}").select(F.col("pg").alias("a"), F.col("g").alias("b")).distinct()
         if found is not None:
             pairs = pairs.join(found.select("a", "b"), ["a", "b"], "left_anti").join(found.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
         new = save(_verify(save(pairs, "jaccard-pairs"), texts, shingle), "jaccard-found")
         found = new if found is None else found.unionByName(new)
         comps = components(found.where(_linked(percent)))
-        rows = own.select("region", "g", "n")
+        rows = own.select("region", "g", "n", "pos")
     left = _rest(rows, comps, found, fits)
     last = save(_verify(left, texts, shingle), "jaccard-found")
     found = found.unionByName(last).where(_linked(percent))
@@ -285,7 +293,7 @@ def _rest(rows: DataFrame, comps: DataFrame, found: DataFrame, fits: str) -> Dat
     top = size.groupBy("region").agg(F.max(F.struct("m", "comp")).alias("top"), F.count("*").alias("groups")).where("groups > 1").select("region", F.col("top.comp").alias("main"))
     # Distances to the region's pivots that are known: of pairs compared before, as 1000 * distance.
     own = save(own.join(top, "region"), "jaccard-rest")
-    minor = own.where("comp != main").select("region", F.col("g").alias("pg"), F.col("n").alias("pn"), F.col("comp").alias("pcomp"))
+    minor = own.where("comp != main").select("region", F.col("g").alias("pg"), F.col("n").alias("pn"), F.col("pos").alias("ppos"), F.col("comp").alias("pcomp"))
     pairs = minor.join(own, "region").where(f"comp != pcomp AND (comp = main OR pg < g) AND {fits}")
     pairs = pairs.select(F.col("pg").alias("a"), F.col("g").alias("b")).distinct()
     done = found.select("a", "b").union(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -324,7 +332,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
 
     columns = [f"c{i}" if c != "text" else c for i, c in enumerate(docs.columns)]
     some = docs.join(shared, by_id, "left_semi").toDF(*columns)
-    some = some.mapInArrow(classify, some.schema.add("own_class", "long"))
+    some = some.mapInArrow(classify, StructType([*some.schema.fields, StructField("own_class", LongType())]))
     key = columns[docs.columns.index("doc_id")]
     none = some.where("own_class is null").drop("own_class")
     rest = some.where("own_class is not null").join(kept, F.col(key).eqNullSafe(F.col("kept_id")) & (F.col("own_class") == F.col("kept_class")), "left_semi")
