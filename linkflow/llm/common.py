@@ -6,6 +6,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,26 +61,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordIds:
-    """64-bit hashes of words, remembered per Python worker up to ``limit`` words."""
-
-    def __init__(self, limit: int = 400_000):
-        self.limit, self.seen = limit, {}
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        seen = self.seen
-        try:
-            return np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            pass
-        import xxhash
-
-        if len(seen) > self.limit:
-            seen.clear()
-        for w in words:
-            if w not in seen:
-                seen[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words; hashing is as quick as looking up, so nothing is remembered."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def shingle_hashes(h: np.ndarray, n: int) -> np.ndarray:

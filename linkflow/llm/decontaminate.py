@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import WordIds, batch, shingle_hashes
+from linkflow.llm.common import batch, shingle_hashes, word_hashes
 
 WINDOW = 13
 #: Share of hit words from which a document is contaminated: 1 in SHARE.
@@ -41,7 +41,6 @@ class Windows:
     """The benchmark's windows by length: sorted hashes, and the items of each exact window."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
-        ids = WordIds()
         self.by_words: dict[tuple[bytes, ...], list[int]] = {}
         self.names = [str(i) for i, _ in items]
         by_len: dict[int, set[int]] = {}
@@ -50,7 +49,7 @@ class Windows:
             if not w:
                 continue
             n = min(window, len(w))
-            by_len.setdefault(n, set()).update(shingle_hashes(ids(w), n).tolist())
+            by_len.setdefault(n, set()).update(shingle_hashes(word_hashes(w), n).tolist())
             for i in range(len(w) - n + 1):
                 at = self.by_words.setdefault(tuple(w[i : i + n]), [])
                 if not at or at[-1] != k:
@@ -96,12 +95,12 @@ def flag(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches):
-        known, ids = Windows(shared.value, window), WordIds()
+        known = Windows(shared.value, window)
         for b in batches:
             out = [[], [], [], [], [], []]
             for t in b.column(1):
                 w = words(t.as_py())
-                hit, found = known.scan(w, ids(w)) if w else (np.zeros(0, bool), set())
+                hit, found = known.scan(w, word_hashes(w)) if w else (np.zeros(0, bool), set())
                 n = int(hit.sum())
                 names = sorted({known.names[k] for k in found})
                 for o, v in zip(out, (len(w), n, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), n > 0 and share * n >= len(w), _spans(hit) if n else []), strict=True):
@@ -123,13 +122,13 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shar
     shared, at = docs.sparkSession.sparkContext.broadcast(items), docs.columns.index("text")
 
     def run(batches):
-        known, ids = Windows(shared.value, window), WordIds()
+        known = Windows(shared.value, window)
         for b in batches:
             keep, texts = [], []
             for t in b.column(at):
                 text = t.as_py()
                 w = words(text)
-                hit, _ = known.scan(w, ids(w)) if w else (np.zeros(0, bool), set())
+                hit, _ = known.scan(w, word_hashes(w)) if w else (np.zeros(0, bool), set())
                 n = int(hit.sum())
                 bad = n > 0 and share * n >= len(w)
                 keep.append(remove != "documents" or not bad)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import WordIds, batch
+from linkflow.llm.common import batch, word_hashes
 
 PASSAGE = 64
 #: Labelled documents that the network is trained on, at most (expected; chosen by hash).
@@ -39,7 +39,7 @@ _CLASS[128:] = 7
 FEATURES = 15
 
 
-def encode(text: str | None, ids: WordIds) -> np.ndarray:
+def encode(text: str | None) -> np.ndarray:
     """One row of features per passage; an empty text has one row of zeros."""
     raw = (text or "").encode("utf-8", "replace")
     words = raw.split()
@@ -58,7 +58,7 @@ def encode(text: str | None, ids: WordIds) -> np.ndarray:
     size = np.diff([*edge, len(raw)])
     own = np.repeat(np.arange(k), size)
     share = np.bincount(own * 8 + kind, minlength=8 * k).reshape(k, 8) / np.maximum(size, 1)[:, None]
-    h = ids([w.lower() for w in words])
+    h = word_hashes(raw.lower().split())
     bag = np.repeat(np.arange(k), n.astype(int))
     order = np.lexsort((h, bag))
     hs, bs = h[order], bag[order]
@@ -139,9 +139,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", usable: Col
     sample = rows.where(u * n < train_docs)
 
     def run(batches):
-        ids = WordIds()
         for b in batches:
-            bags = [encode(t.as_py(), ids) for t in b.column(1)]
+            bags = [encode(t.as_py()) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x.tobytes() for x in bags], pa.binary())], names=["doc_id", "label", "x"])
 
     both = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")
@@ -154,11 +153,11 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", usable: Col
     return train(np.concatenate(bags), first, np.array([r.label for r in got]))
 
 
-def _scores(net: Network | None, texts: pa.Array, ids: WordIds) -> tuple[np.ndarray, list[int], list[float]]:
+def _scores(net: Network | None, texts: pa.Array) -> tuple[np.ndarray, list[int], list[float]]:
     """Scores, number of passages and largest attention weight."""
     out, count, top = [], [], []
     for i in range(0, len(texts), 256):
-        bags = [encode(t.as_py(), ids) for t in texts.slice(i, 256)]
+        bags = [encode(t.as_py()) for t in texts.slice(i, 256)]
         size = [len(x) for x in bags]
         first = np.cumsum([0, *size[:-1]])
         if net is None:
@@ -172,7 +171,6 @@ def _scores(net: Network | None, texts: pa.Array, ids: WordIds) -> tuple[np.ndar
 
 
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32()), ("n_passages", pa.int32()), ("top_weight", pa.float64())])
-_IDS = WordIds()
 
 
 def score(docs: DataFrame, net: Network | None, held_out: Column) -> DataFrame:
@@ -181,7 +179,7 @@ def score(docs: DataFrame, net: Network | None, held_out: Column) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            s, n, top = _scores(shared.value, b.column(2), _IDS)
+            s, n, top = _scores(shared.value, b.column(2))
             yield batch(_SCHEMA, b.column(0), b.column(1), s, (s >= 0.5).astype(np.int32), n, top)
 
     return docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, n_passages int, top_weight double")
@@ -193,7 +191,7 @@ def keep(docs: DataFrame, net: Network | None) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            s, _, _ = _scores(shared.value, b.column(at), _IDS)
+            s, _, _ = _scores(shared.value, b.column(at))
             yield b.filter(pa.array(s >= 0.5))
 
     return docs.mapInArrow(run, docs.schema)
