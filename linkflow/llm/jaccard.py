@@ -44,6 +44,9 @@ SKETCH_BITS, SLICES = 22, 16
 ROUNDS = 2
 #: Partners of one pivot in one task.
 SALT_ROWS = 256
+#: Id tables of at most so many rows (24 bytes each) are broadcast.
+BROADCAST_ROWS = 1_000_000
+NO_ID = -(2**63)
 
 _CLASSES = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("g", pa.int64()), ("slice", pa.int32()), ("sketch", pa.binary())])
 _CLASSES_DDL = "doc_id long, n int, g long, slice int, sketch binary"
@@ -170,7 +173,9 @@ def _regions(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataF
 
 def _texts(docs: DataFrame, classes: DataFrame, regions: DataFrame, k: int) -> DataFrame:
     """(g, blob): one compressed text for each class that is in a region."""
-    wanted = classes.join(regions.select("g").distinct(), "g", "left_semi").groupBy("g").agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("id"))
+    own = classes.groupBy("g", F.coalesce("doc_id", F.lit(NO_ID)).alias("id")).agg(F.count("*").alias("times"))
+    own = own.groupBy("g").agg(F.min(F.struct("id", "times")).alias("first"))
+    wanted = save(own.join(regions.select("g").distinct(), "g", "left_semi").select("g", "first.id", "first.times"), "jaccard-wanted")
     schema = pa.schema([("g", pa.int64()), ("blob", pa.binary())])
 
     def run(batches):
@@ -187,8 +192,15 @@ def _texts(docs: DataFrame, classes: DataFrame, regions: DataFrame, k: int) -> D
                     blob.append(z.compress(text.encode("utf-8", "replace")))
             yield batch(schema, g, blob)
 
-    both = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), "text").where("text is not null").join(wanted.hint("merge"), "id").select("text", "g")
-    return both.mapInArrow(run, "g long, blob binary").dropDuplicates(["g"])
+    both = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text").where("text is not null").join(_sized(wanted.drop("times")), "id").select("text", "g")
+    texts = both.mapInArrow(run, "g long, blob binary")
+    # Only rows that are equal in doc_id and class give a class two texts.
+    return texts if wanted.where("times > 1").isEmpty() else texts.dropDuplicates(["g"])
+
+
+def _sized(df: DataFrame) -> DataFrame:
+    """A saved table of ids, to be broadcast if it is small, and else joined by sorting both sides."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df.hint("merge")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
@@ -196,10 +208,10 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
 
     Each b goes to its pivot a; a pivot with many partners is copied to as many tasks as it needs.
     """
-    need = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
-    pivots = need.join(texts.select(F.col("g").alias("a"), F.col("blob").alias("pivot")).hint("merge"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "pivot")
-    members = pairs.join(need, "a").select(F.col("a").alias("pa"), F.expr("pmod(xxhash64(b), salts)").cast("int").alias("psalt"), F.col("b"))
-    members = members.join(texts.withColumnRenamed("g", "b").hint("merge"), "b").select("pa", "psalt", "b", "blob")
+    need = save(pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts")), "jaccard-need")
+    pivots = texts.select(F.col("g").alias("a"), F.col("blob").alias("pivot")).join(_sized(need), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "pivot")
+    dealt = save(pairs.join(need, "a").select(F.col("a").alias("pa"), F.expr("pmod(xxhash64(b), salts)").cast("int").alias("psalt"), "b"), "jaccard-dealt")
+    members = texts.withColumnRenamed("g", "b").join(_sized(dealt), "b").select("pa", "psalt", "b", "blob")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("inter", pa.int32()), ("na", pa.int32()), ("nb", pa.int32())])
 
     def run(left, right):
