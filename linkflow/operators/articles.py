@@ -40,10 +40,13 @@ def upsert(rows: DataFrame, key: str | list[str], pos: str, keep: list[str] | No
 
 
 def merge(old: DataFrame, new: DataFrame, key: str, pos: str) -> DataFrame:
-    """Upserts ``new`` over ``old`` (same columns): rows of ``new`` win, old ones keep their place."""
+    """Upserts ``new`` over ``old`` (same columns): rows of ``new`` win, old ones keep their place.
+
+    ``pos`` of the result is a struct (side, pos) that sorts old places before new ones.
+    """
     both = old.withColumn("side", F.lit(0)).unionByName(new.withColumn("side", F.lit(1))).where(F.coalesce(F.col(key).cast("string"), F.lit("")) != "")
-    both = both.withColumn("at", F.struct("side", pos)).drop("side", pos)
-    return upsert(both, key, "at")
+    both = both.withColumn("merge_place", F.struct("side", pos)).drop("side", pos)
+    return upsert(both, key, "merge_place").withColumnRenamed("merge_place", pos)
 
 
 def first_of_day(archive: DataFrame, day: str, pos: str = "pos") -> DataFrame:
