@@ -24,7 +24,7 @@ from linkflow.llm.common import batch, shingle_hashes, word_hashes
 WINDOW = 13
 #: Share of hit words from which a document is contaminated: 1 in SHARE.
 SHARE = 20
-#: Most bytes of benchmark text that are sent to every executor; a larger set is split by ``flag``.
+#: Most bytes of benchmark text that are sent to every executor; a larger benchmark is an error.
 MAX_BROADCAST_BYTES = 64 << 20
 
 # Lower-cases A-Z; every other ASCII character than a digit or a letter separates words.
@@ -82,17 +82,21 @@ def _spans(hit: np.ndarray) -> list[dict]:
     return [{"first": int(a), "last": int(b) - 1} for a, b in zip(edge[::2], edge[1::2], strict=True)]
 
 
+def _items(benchmark: DataFrame, max_bytes: int) -> list[tuple[str, str | None]]:
+    """The benchmark's items, after a check of their size."""
+    size = benchmark.agg(F.sum(F.octet_length(F.col("text")))).first()[0] or 0
+    if size > max_bytes:
+        raise ValueError(f"the benchmark has {size} bytes of text; at most {max_bytes} are broadcast")
+    return [(str(r[0]), r[1]) for r in benchmark.where("item_id is not null").select("item_id", "text").collect()]
+
+
 def flag(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Per document the number of words, hit words and items, the word spans hit, and the verdict.
 
     The size of the benchmark is measured first; beyond ``max_bytes`` this raises ValueError, as a
     benchmark of that size is a corpus, for which ``jaccard`` or ``line_dedup`` are made.
     """
-    size = benchmark.agg(F.sum(F.octet_length(F.col("text")))).first()[0] or 0
-    if size > max_bytes:
-        raise ValueError(f"the benchmark has {size} bytes of text; at most {max_bytes} are broadcast")
-    items = [(str(r[0]), r[1]) for r in benchmark.where("item_id is not null").select("item_id", "text").collect()]
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = docs.sparkSession.sparkContext.broadcast(_items(benchmark, max_bytes))
 
     def run(batches):
         known = Windows(shared.value, window)
@@ -110,16 +114,13 @@ def flag(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _RESULT)
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, remove: str = "documents") -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, remove: str = "documents", max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """The documents without contamination, with all columns.
 
     ``remove="documents"`` drops contaminated documents; ``remove="spans"`` keeps them and cuts the
     hit word spans out of the text instead.
     """
-    items = [(str(r[0]), r[1]) for r in benchmark.where("item_id is not null").select("item_id", "text").collect()]
-    if sum(len(t or "") for _, t in items) > MAX_BROADCAST_BYTES:
-        raise ValueError("the benchmark is too large to broadcast")
-    shared, at = docs.sparkSession.sparkContext.broadcast(items), docs.columns.index("text")
+    shared, at = docs.sparkSession.sparkContext.broadcast(_items(benchmark, max_bytes)), docs.columns.index("text")
 
     def run(batches):
         known = Windows(shared.value, window)
