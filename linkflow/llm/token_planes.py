@@ -23,6 +23,8 @@ import json
 import os
 import struct
 import zlib
+from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -131,9 +133,9 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [self._words(t) for t in texts]
-        self._learn(set().union(*split))
-        get = self.known.__getitem__
-        out = [b"".join(map(get, w)) for w in split]
+        self._learn(set(chain.from_iterable(split)))
+        # itemgetter looks all words of a text up in one call; of one key it gives the bare value.
+        out = [b"".join(itemgetter(*w)(self.known)) if len(w) > 1 else self.known[w[0]] if w else b"" for w in split]
         for p in self.once:
             del self.known[p]
         self.once.clear()
