@@ -250,12 +250,13 @@ def components(edges: DataFrame) -> DataFrame:
         labels = step.select("g", "comp")
 
 
-def links(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Classes and links of ``docs(doc_id, text)``.
+def links(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes, components and links of ``docs(doc_id, text)``.
 
-    Returns (doc_id, n, g, comp) per document, where g is the class of equal sets (null: no
-    shingles) and comp a class of its component, and (a, b, inter, na, nb) of the pairs of classes
-    that were found to link; every component is connected by them.
+    Returns (doc_id, n, g) per document, where g is the class of equal sets (null: no shingles);
+    (g, comp) of the classes that link with another one, where comp is a class of the component; and
+    (a, b, inter, na, nb) of the pairs of classes that were found to link, which connect every
+    component.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     all_rows = save(_classify(docs, shingle), "jaccard-classes")
@@ -291,7 +292,7 @@ def links(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tu
     found = found.unionByName(last).where(_linked(percent))
     if not last.where(_linked(percent)).isEmpty():
         comps = components(found)
-    return classes.join(comps, "g", "left").select("doc_id", "n", "g", F.coalesce("comp", "g").alias("comp")), found
+    return classes, comps, found
 
 
 def _linked(percent: int) -> str:
@@ -312,11 +313,24 @@ def _rest(rows: DataFrame, comps: DataFrame, found: DataFrame, fits: str) -> Dat
     return save(pairs.join(done, ["a", "b"], "left_anti"), "jaccard-pairs")
 
 
+def _labels(classes: DataFrame, comps: DataFrame) -> DataFrame:
+    """(g, first_id, first_class) of each class: the smallest doc_id of its component, and that document's class.
+
+    Documents are reduced to classes before anything is joined, so a large group is one row or few.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "g")
+    own = save(classes.where("g is not null").groupBy("g").agg(F.min(key).alias("own")).join(comps, "g", "left"), "jaccard-own")
+    first = save(own.where("comp is not null").groupBy("comp").agg(F.min("own").alias("first")), "jaccard-first")
+    both = own.join(_sized(first), "comp", "left").withColumn("first", F.coalesce("first", "own"))
+    return save(both.select("g", F.col("first.doc_id").alias("first_id"), F.col("first.g").alias("first_class")), "jaccard-labels")
+
+
 def groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each document, and its class."""
-    member, _ = links(docs, shingle, percent)
-    first = member.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("first"))
-    return member.join(first, "comp", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("component_id"), F.col("g").alias("class_id"))
+    classes, comps, _ = links(docs, shingle, percent)
+    labels = _labels(classes, comps).select("g", "first_id")
+    out = classes.join(_sized(labels), "g", "left")
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("first_id")).alias("component_id"), F.col("g").alias("class_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -325,10 +339,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     Documents without shingles are groups of their own. Rows that share a doc_id (or have none) are
     told apart by their class; of rows equal in both, any one stays.
     """
-    member, _ = links(docs, shingle, percent)
-    member = save(member, "jaccard-member")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "g")).alias("first")
-    kept = save(member.where("comp is not null").groupBy("comp").agg(first).select(F.col("first.doc_id").alias("kept_id"), F.col("first.g").alias("kept_class")), "jaccard-kept")
+    member, comps, _ = links(docs, shingle, percent)
+    kept = save(_labels(member, comps).where("g = first_class").select(F.col("first_id").alias("kept_id"), F.col("first_class").alias("kept_class")), "jaccard-kept")
     shared = save(member.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("kept_id")), "jaccard-shared")
     by_id = F.col("doc_id").eqNullSafe(F.col("kept_id"))
     ids = kept.select("kept_id").union(member.where("g is null").select("doc_id")).distinct()
