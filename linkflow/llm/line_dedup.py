@@ -28,6 +28,8 @@ from linkflow.llm.common import batch, mix64, save
 #: Most lines of a chunk.
 MOST_LINES = 64
 LONG_LINE, LEAST_WORDS = 40, 10
+#: Marks (28 bytes each) up to which they are broadcast to the texts.
+BROADCAST_MARKS = 1_000_000
 
 _OCCUR = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int32()), ("h", pa.int64())])
 _TEXT = pa.schema([("h", pa.int64()), ("chunk", pa.binary())])
@@ -131,8 +133,13 @@ def _rebuild(batches):
 
 
 def _per_doc(rows: DataFrame, *fields: str) -> DataFrame:
-    """Marks of each doc_id in one list, bounded by the chunks of its documents."""
-    return rows.groupBy(F.col("doc_id").alias("mark_id")).agg(F.collect_list(F.struct(*fields)).alias("marks"))
+    """Marks of each doc_id in one list, bounded by the chunks of its documents.
+
+    A saved table of few marks is broadcast, so that texts stay where they are; beyond that both
+    sides are sorted.
+    """
+    lists = rows.groupBy(F.col("doc_id").alias("mark_id")).agg(F.collect_list(F.struct(*fields)).alias("marks"))
+    return F.broadcast(lists) if rows.count() <= BROADCAST_MARKS else lists.hint("merge")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
