@@ -1,6 +1,7 @@
 """The daily run from fetched tables to published documents, and the source commands.
 
-``python -m linkflow.plans.daily sources list|validate CONFIG`` shows or checks a configuration.
+``python -m linkflow.plans.daily sources list|validate|check CONFIG [ID...]`` shows a configuration,
+checks its rules, or tries the sources: the entries of each feed, or the links of each page.
 """
 
 from __future__ import annotations
@@ -10,9 +11,9 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkflow.operators import articles, diff, publish
+from linkflow.operators import articles, diff, pages, publish
 from linkflow.settings import Settings
-from linkflow.sources import config, store
+from linkflow.sources import config, feeds, fetch, store
 
 
 def detect(items: DataFrame, sources: DataFrame, state: dict[str, DataFrame], settings: Settings | None = None) -> tuple[DataFrame, DataFrame]:
@@ -76,8 +77,23 @@ def run(spark: SparkSession, items: DataFrame, sources: DataFrame, state_path: s
     return new
 
 
+def check(spark: SparkSession, sources: DataFrame, **options: str) -> DataFrame:
+    """A dry run: (id, url, error, found) of each source, where found counts entries or candidate links."""
+    url = F.when(F.col("rss_url") != "", F.col("rss_url")).otherwise(F.col("home_url"))
+    asked = sources.select("id", url.alias("url"), (F.col("rss_url") != "").alias("is_feed"))
+    # The source dimension is configuration, so its URLs fit on the driver.
+    loads = fetch.fetch(spark, [r.url for r in asked.select("url").distinct().collect()], **options)
+    loads = asked.join(loads, "url").select("id", "url", "is_feed", "status", "transport", "body", fetch.load_error(F.col("status"), F.col("body"), F.col("transport"), F.col("error")).alias("load_error"))
+    entries = feeds.parse(loads.where("is_feed AND load_error IS NULL").select("id", "body")).groupBy("id").agg(F.count("*").alias("found"))
+    p = loads.where("NOT is_feed AND load_error IS NULL").select("id", "url", F.col("body").alias("html"))
+    links = pages.candidates(pages.links(p), page_key="id").groupBy("id").agg(F.count("*").alias("found"))
+    out = loads.join(entries.union(links), "id", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    error = F.coalesce("load_error", F.when(F.col("is_feed"), feeds.outcome(F.col("status"), F.col("body"), F.col("found"))).when(F.col("found") == 0, F.lit("no_candidates")))
+    return out.select("id", "url", error.alias("error"), "found")
+
+
 def main(argv: list[str]) -> int:
-    if argv[:1] != ["sources"] or len(argv) != 3 or argv[1] not in ("list", "validate"):
+    if argv[:1] != ["sources"] or len(argv) < 3 or argv[1] not in ("list", "validate", "check"):
         print(__doc__)
         return 2
     spark = SparkSession.builder.appName("linkflow").getOrCreate()
@@ -85,6 +101,12 @@ def main(argv: list[str]) -> int:
     if argv[1] == "list":
         sources.select("id", "collect_mode", "enabled", "home_url").show(1000, False)
         return 0
+    if argv[1] == "check":
+        chosen, missing = config.select_ids(sources, argv[3:]) if argv[3:] else (config.enabled(sources), sources.select("id").limit(0))
+        result = check(spark, chosen).cache()
+        result.show(1000, False)
+        missing.show(1000, False)
+        return int(not missing.isEmpty() or not result.where("error IS NOT NULL").isEmpty())
     broken = config.validate(sources)
     config.mode_counts(sources).show()
     broken.show(1000, False)

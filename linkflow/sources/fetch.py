@@ -2,12 +2,14 @@
 
 URLs come as an option (JSON list); each partition loads its share over its own connections. The
 ``fixtures`` option names a JSON file of ``{url: {status, body, final_url}}`` that is served instead
-of the network. A rendering browser is an adapter with the same rows.
+of the network. ``transport=browser`` renders pages with Playwright, if it is installed; a browser
+lives as long as the partition's read, with one context per host.
 """
 
 from __future__ import annotations
 
 import json
+from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +38,7 @@ class FetchReader(DataSourceReader):
         self.parts = max(1, min(int(options.get("partitions", "8")), len(self.urls) or 1))
         self.timeout, self.fixtures = float(options.get("timeout", "45")), options.get("fixtures")
         self.verify = options.get("verify", "true").lower() != "false"
+        self.transport, self.wait_ms = options.get("transport", "http"), int(options.get("wait_ms", "2000"))
 
     def partitions(self):
         return [InputPartition(i) for i in range(self.parts)]
@@ -45,12 +48,39 @@ class FetchReader(DataSourceReader):
         if self.fixtures:
             with open(self.fixtures, encoding="utf-8") as f:
                 served = json.load(f)
-        for url in self.urls[partition.value :: self.parts]:
+        own = self.urls[partition.value :: self.parts]
+        if served is None and self.transport == "browser":
+            yield from self._render(own)
+            return
+        for url in own:
             if served is None:
                 yield self._load(url)
             else:
                 r = served.get(url)
-                yield (url, r.get("final_url") or url, r.get("status", 200), r.get("body", ""), None, "http") if r else (url, url, None, "", "ConnectError", "http")
+                yield (url, r.get("final_url") or url, r.get("status", 200), r.get("body", ""), None, self.transport) if r else (url, url, None, "", "ConnectError", self.transport)
+
+    def _render(self, own: list[str]):
+        try:
+            from playwright.sync_api import sync_playwright
+        except ImportError:
+            for url in own:
+                yield url, url, None, "", "BrowserUnavailable", "browser"
+            return
+        with sync_playwright() as p:
+            browser, contexts = p.chromium.launch(), {}
+            for url in own:
+                host = (urlsplit(url).hostname or "default").removeprefix("www.")
+                try:
+                    if host not in contexts:
+                        contexts[host] = browser.new_context(user_agent=AGENT, ignore_https_errors=not self.verify)
+                    page = contexts[host].new_page()
+                    answer = page.goto(url, wait_until="domcontentloaded", timeout=self.timeout * 1000)
+                    page.wait_for_timeout(self.wait_ms)
+                    yield url, page.url, answer.status if answer else None, page.content(), None, "browser"
+                    page.close()
+                except Exception as e:
+                    yield url, url, None, "", type(e).__name__, "browser"
+            browser.close()
 
     def _load(self, url: str) -> tuple:
         import ssl

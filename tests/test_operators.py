@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkflow import schemas
-from linkflow.operators import articles, classify, diff, pages, publish
+from linkflow.operators import articles, classify, diff, pages, publish, remote
 from linkflow.plans import daily
 from linkflow.settings import Settings
 from linkflow.sources import config, feeds, fetch, store
@@ -174,3 +174,28 @@ def test_enrich_paths(spark):
 def test_settings():
     s = Settings.from_env({"LINKFLOW_SEEN_CAP": "7", "LINKFLOW_STRICT": "yes", "LINKFLOW_BLOCK_LIMIT": "x"})
     assert (s.seen_cap, s.strict, s.block_limit) == (7, True, 12)
+
+
+def test_model_picks(spark):
+    c = spark.createDataFrame([(1, i, f"https://h/{i}", f"title {i}", "") for i in range(3)] + [(2, 0, "https://h/x", "other", "")], "page_id long, pos int, link_url string, title string, context string")
+
+    def ask(prompt):
+        if "other" in prompt:
+            raise TimeoutError
+        return 'sure: {"article_ids": [2, 0, 7]}', {"total_tokens": 5}
+
+    picks, answers = remote.article_picks(c, ask)
+    assert rows(picks, "link_url") == [("https://h/0",), ("https://h/2",)]
+    assert rows(remote.usage(answers), "requests", "failed", "total_tokens") == [(2, 1, 5)]
+    b = spark.createDataFrame([(1, r, "div", 9, f"text {r}") for r in (1, 2, 3)], "page_id long, rank int, kind string, chars int, text string")
+    t = spark.createDataFrame([(1, "T")], "page_id long, title string")
+    got, _ = remote.block_picks(b, t, lambda p: ('{"content_block_ids": [2, 0]}', {}))
+    assert rows(got, "page_id", "nth", "rank") == [(1, 0, 3), (1, 1, 1)]
+
+
+def test_sources_check(spark, tmp_path):
+    page = "<a href='/news/1'>A headline</a><a href='/tag/x'>t</a>"
+    (tmp_path / "f.json").write_text(json.dumps({"https://h.com/f": {"body": RSS}, "https://p.com/": {"body": page}, "https://e.com/": {"body": "<p>no links</p>"}, "https://x.com/f": {"status": 500}}))
+    s = config.from_rows(spark, [{"id": "f", "home_url": "https://h.com/", "rss_url": "https://h.com/f"}, {"id": "p", "home_url": "https://p.com/"}, {"id": "e", "home_url": "https://e.com/"}, {"id": "x", "home_url": "https://x.com/", "rss_url": "https://x.com/f"}])
+    got = rows(daily.check(spark, s, fixtures=f"{tmp_path}/f.json"), "id", "error", "found")
+    assert got == [("e", "no_candidates", 0), ("f", None, 2), ("p", None, 1), ("x", "http_500", 0)]
