@@ -7,6 +7,7 @@ for decisions. The pages' URLs rarely meet the rules, so each query derives URLs
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 
 from linkflow.functions import dates, text, urls
 from linkflow.operators import articles, classify, diff, pages, publish
+from linkflow.settings import Settings
+from linkflow.sources import config, feeds
+from linkflow.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -524,6 +528,32 @@ def _(spark, d):
     return articles.merge(rows.where(F.col("pos") < half), rows.where(F.col("pos") >= half), "external_id", "pos").select("external_id", "via")
 
 
+_XML = "concat('<?xml version=\"1.0\"?><rss><channel><title>c</title><item><title>T &amp; ', doc_id, '</title><link>https://h.example/', doc_id, '?utm_source=f</link><description>d</description><pubDate>Mon, 05 Jan 2026 10:00:00 +0200</pubDate></item><item><title>none</title></item></channel></rss>')"
+
+
+@query("xml_feed_parse", "SELECT doc_id, 'https://h.example/' || doc_id || '?utm_source=f' AS url, 'T & ' || doc_id AS title, '2026-01-05T08:00:00+00:00' AS published_at, 'd' AS content_html FROM documents")
+def _(spark, d):
+    docs = read(spark, d, "documents", "doc_id").withColumn("body", F.expr(_XML))
+    return feeds.parse(docs).select("doc_id", "url", "title", "published_at", "content_html")
+
+
+@query("source_validate", "SELECT * FROM (VALUES ('a', 'duplicate id'), ('b', 'auto mode'), ('c', 'browser mode needs browser_fallback'), ('c', 'blocked but enabled'), ('d', 'rss needs rss_url')) AS t(id, rule)")
+def _(spark, d):
+    ok = {"id": "a", "home_url": "https://a.example/", "rss_url": "https://a.example/f", "collect_mode": "rss"}
+    rows = [ok, ok, {"id": "b", "home_url": "h"}, {"id": "c", "home_url": "h", "collect_mode": "browser_llm", "access_status": "blocked"}, {"id": "d", "home_url": "h", "collect_mode": "rss"}]
+    return config.validate(config.from_rows(spark, rows))
+
+
+@query("stream_diff", _ORACLES["baseline_emit"])
+def _(spark, d):
+    """The incremental form, one micro-batch a run; the same rows as the fold over all runs."""
+    base = f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/linkflow-scratch').rstrip('/')}/linkflow/stream-{uuid.uuid4().hex}"
+    o = observed(spark, d).select("source_id", "url", "title", F.lit("").alias("published_at"), "run")
+    for run in range(5):
+        incremental.process(o.where(F.col("run") == run).drop("run"), run, f"{base}/state", f"{base}/out", Settings(seen_cap=1_000_000))
+    return incremental.all_output(spark, f"{base}/out").select("source_id", "url", F.col("batch").alias("run"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of pages, cleaned and filtered; what is new against earlier runs; counted by source."""
     p = read(spark, sf_dir, "pages", "page_id", "url", "html")
