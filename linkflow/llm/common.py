@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import uuid
 
 import numpy as np
@@ -16,9 +18,13 @@ TEST_SCRATCH = "/tmp/linkflow-scratch"
 def scratch(spark: SparkSession, tag: str) -> str:
     """A new path below the shared folder in ``spark.checkpoint.dir``.
 
-    Only where that setting is missing or empty (tests on one machine) is a local folder used.
+    Only where that setting is missing or empty (tests on one machine) is a local folder used, which
+    goes with the process.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or TEST_SCRATCH
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = f"{TEST_SCRATCH}/{spark.sparkContext.applicationId}"
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/linkflow/{tag}-{uuid.uuid4().hex}"
 
 
