@@ -72,20 +72,17 @@ class Encoder:
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = WhitespaceSplit()
 
-    def _whole(self, pieces: list[bytes]) -> None:
-        for p in pieces:
-            self.known[p] = np.array(self.tokenizer.encode(p.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _letters(self, pieces: list[bytes], tokenizer) -> None:
-        """Pieces of letters only are one pre-token each: many are encoded in one call."""
+    def _encode(self, pieces: list[bytes], tokenizer, plain: bool) -> None:
+        """Many pieces in one call. Plain ones are a pre-token each; others are told apart by their offsets."""
         for i in range(0, len(pieces), 512):
             part = pieces[i : i + 512]
-            e = tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False)
-            at = np.array(e.word_ids, np.int64)
-            first = np.flatnonzero(np.diff(at, prepend=-1))
-            if len(first) != len(part):
-                self._whole(part)
-                continue
+            text = b" ".join(part).decode("utf-8", "replace")
+            e = tokenizer.encode(text, add_special_tokens=False)
+            if plain:
+                first = np.flatnonzero(np.diff(np.array(e.word_ids, np.int64), prepend=-1))
+            else:
+                starts = np.cumsum([0, *[len(x) + 1 for x in text.split(" ")[:-1]]])
+                first = np.searchsorted([a for a, _ in e.offsets], starts)
             raw, first = np.array(e.ids, "<u4").tobytes(), (4 * first).tolist()
             self.known.update(zip(part, [raw[a:b] for a, b in zip(first, [*first[1:], len(raw)], strict=True)], strict=True))
 
@@ -107,11 +104,9 @@ class Encoder:
                 pieces.add(joined[-1][2])
         pieces = pieces.difference(self.known)
         plain = [p for p in pieces if p.isalpha() and p.islower()]
-        self._letters(plain, self.plain)
+        self._encode(plain, self.plain, True)
         pieces.difference_update(plain)
-        letters = [p for p in pieces if p.decode("utf-8", "replace").isalpha()]
-        self._letters(letters, self.tokenizer)
-        self._whole(list(pieces.difference(letters)))
+        self._encode(list(pieces), self.tokenizer, False)
         for w, stem, tail in joined:
             self.known[w] = self.known[stem] + self.known[tail]
         # What is new to the worker serves this batch only; what comes again is kept.
