@@ -74,20 +74,15 @@ def candidates(lines: list[bytes]):
             yield a, b, raw
 
 
-def _lines(text: str) -> tuple[int, list[bytes]]:
-    raw = text.encode("utf-8", "replace")
-    return signed(_hash(raw)), raw.split(b"\n")
+def _lines(text: str) -> list[bytes]:
+    return text.encode("utf-8", "replace").split(b"\n")
 
 
 def _occurrences(batches):
     for b in batches:
         rows: tuple[list, ...] = ([], [], [], [])
-        for d, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            text = t.as_py()
-            if text is None:
-                continue
-            th, lines = _lines(text)
-            for a, _, raw in candidates(lines):
+        for d, t, th in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+            for a, _, raw in candidates(_lines(t.as_py())):
                 for r, v in zip(rows, (d, th, a, signed(_hash(raw))), strict=True):
                     r.append(v)
         yield batch(_OCCUR, *rows)
@@ -98,9 +93,8 @@ def _chunk_texts(batches):
         for i in range(0, b.num_rows, 256):
             hs, raws = [], []
             for t, marks in zip(b.column(0).slice(i, 256), b.column(1).slice(i, 256).to_pylist(), strict=True):
-                th, lines = _lines(t.as_py())
-                want = {(m["pos"], m["h"]) for m in marks if m["th"] == th}
-                for a, _, raw in candidates(lines) if want else ():
+                want = {(m["pos"], m["h"]) for m in marks}
+                for a, _, raw in candidates(_lines(t.as_py())):
                     if (a, h := signed(_hash(raw))) in want:
                         hs.append(h)
                         raws.append(raw)
@@ -115,17 +109,14 @@ def _rebuild(batches):
             for t, marks in zip(p.column(1), p.column(2).to_pylist(), strict=True):
                 text = t.as_py()
                 removed = 0
-                if text is not None and marks:
-                    th, lines = _lines(text)
-                    drop = {m["pos"] for m in marks if m["th"] == th}
-                    kept = []
-                    for a, e in chunks(lines) if drop else ():
+                if marks:
+                    lines, drop, kept = _lines(text), {m["pos"] for m in marks}, []
+                    for a, e in chunks(lines):
                         if a in drop:
                             removed += e - a
                         else:
                             kept += lines[a:e]
-                    if removed:
-                        text = b"\n".join(kept).decode("utf-8", "replace")
+                    text = b"\n".join(kept).decode("utf-8", "replace")
                 texts.append(text)
                 n.append(0 if t.as_py() is None else t.as_py().count("\n") + 1)
                 gone.append(removed)
@@ -133,25 +124,26 @@ def _rebuild(batches):
 
 
 def _per_doc(rows: DataFrame, *fields: str) -> DataFrame:
-    """Marks of each doc_id in one list, bounded by the chunks of its documents.
+    """Marks of each document (doc_id and hash of its text) in one list, bounded by its chunks.
 
     A saved table of few marks is broadcast, so that texts stay where they are; beyond that both
     sides are sorted.
     """
-    lists = rows.groupBy(F.col("doc_id").alias("mark_id")).agg(F.collect_list(F.struct(*fields)).alias("marks"))
+    lists = rows.groupBy(F.col("doc_id").alias("mark_id"), F.col("th").alias("mark_th")).agg(F.collect_list(F.struct(*fields)).alias("marks"))
     return F.broadcast(lists) if rows.count() <= BROADCAST_MARKS else lists.hint("merge")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``doc_id, text, n_lines, n_removed`` of ``docs(doc_id, text)``: the text that is left, lines before, lines removed."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    seen = save(docs.mapInArrow(_occurrences, "doc_id long, th long, pos int, h long"), "line-chunks")
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("th"))
+    own = F.col("doc_id").eqNullSafe(F.col("mark_id")) & (F.col("th") == F.col("mark_th"))
+    seen = save(docs.where("text is not null").mapInArrow(_occurrences, "doc_id long, th long, pos int, h long"), "line-chunks")
     at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "pos")
     repeated = seen.groupBy("h").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first != last").select("h", "first")
     marks = save(seen.join(repeated, "h").select("doc_id", "th", "pos", "h", (at == F.col("first")).alias("is_first")), "line-marks")
-    texts = docs.join(_per_doc(marks, "th", "pos", "h"), F.col("doc_id").eqNullSafe(F.col("mark_id"))).where("text is not null").select("text", "marks").mapInArrow(_chunk_texts, "h long, chunk binary")
+    texts = docs.where("text is not null").join(_per_doc(marks, "pos", "h"), own).select("text", "marks").mapInArrow(_chunk_texts, "h long, chunk binary")
     # The comparison of bytes: one distinct text behind the hash.
     same = save(texts.groupBy("h", "chunk").agg(F.lit(1).alias("one")).groupBy("h").agg(F.count("*").alias("n")).where("n = 1").select("h"), "line-same")
     gone = save(marks.where("not is_first").join(same, "h", "left_semi").select("doc_id", "th", "pos"), "line-gone")
-    both = docs.join(_per_doc(gone, "th", "pos"), F.col("doc_id").eqNullSafe(F.col("mark_id")), "left").select("doc_id", "text", "marks")
+    both = docs.join(_per_doc(gone, "pos"), own, "left").select("doc_id", "text", "marks")
     return both.mapInArrow(_rebuild, "doc_id long, text string, n_lines long, n_removed long")

@@ -1,14 +1,20 @@
 from collections import defaultdict
 
+import xxhash
+
 from linkflow.llm import line_dedup, queries
 
 
+def spark_hash(text):
+    return line_dedup.signed(xxhash.xxh64_intdigest(text.encode(), seed=42))
+
+
 def brute(rows):
     """The plain version: all candidates in the order of occurrences, compared as bytes."""
     order = []
     for d, t in set(rows):
         if t is not None:
-            th, lines = line_dedup._lines(t)
+            th, lines = spark_hash(t), line_dedup._lines(t)
             order += [((d is None, d or 0, th, a), raw) for a, _, raw in line_dedup.candidates(lines)]
     first = {}
     for at, raw in sorted(order, key=lambda x: x[0]):
@@ -18,7 +24,7 @@ def brute(rows):
         if t is None:
             out.append((d, None, 0, 0))
             continue
-        th, lines = line_dedup._lines(t)
+        th, lines = spark_hash(t), line_dedup._lines(t)
         drop = {a for a, _, raw in line_dedup.candidates(lines) if first[raw] != (d is None, d or 0, th, a)}
         keep = [x for a, e in line_dedup.chunks(lines) if a not in drop for x in lines[a:e]]
         n = len(lines) - len(keep)
