@@ -48,8 +48,8 @@ SALT_ROWS = 256
 BROADCAST_ROWS = 1_000_000
 NO_ID = -(2**63)
 
-_CLASSES = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("g", pa.int64()), ("slice", pa.int32()), ("sketch", pa.binary())])
-_CLASSES_DDL = "doc_id long, n int, g long, slice int, sketch binary"
+_CLASSES = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int32()), ("g", pa.int64()), ("slice", pa.int32()), ("sketch", pa.binary())])
+_CLASSES_DDL = "doc_id long, th long, n int, g long, slice int, sketch binary"
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
@@ -69,7 +69,7 @@ def _bucket(s: np.ndarray) -> np.ndarray:
 
 
 def _classify(docs: DataFrame, k: int) -> DataFrame:
-    """Rows of (doc_id, n, g) per document, and the task's sketch of shingle counts in slices."""
+    """Rows of (doc_id, th, n, g) per document, and the task's sketch of shingle counts in slices."""
 
     def run(batches):
         import zstandard
@@ -94,12 +94,12 @@ def _classify(docs: DataFrame, k: int) -> DataFrame:
                     add()
                     size = 0
             none = pa.nulls(len(n))
-            yield batch(_CLASSES, b.column(0), n, g, none.cast(pa.int32()), none.cast(pa.binary()))
+            yield batch(_CLASSES, b.column(0), b.column(2), n, g, none.cast(pa.int32()), none.cast(pa.binary()))
         add()
         if count.any():
             part = np.split(np.minimum(count, 65535).astype("<u2"), SLICES)
             none = pa.nulls(SLICES)
-            yield batch(_CLASSES, none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), list(range(SLICES)), [z.compress(p.tobytes()) for p in part])
+            yield batch(_CLASSES, none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), list(range(SLICES)), [z.compress(p.tobytes()) for p in part])
 
     return docs.mapInArrow(run, _CLASSES_DDL)
 
@@ -173,9 +173,9 @@ def _regions(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataF
 
 def _texts(docs: DataFrame, classes: DataFrame, regions: DataFrame, k: int) -> DataFrame:
     """(g, blob): one compressed text for each class that is in a region."""
-    own = classes.groupBy("g", F.coalesce("doc_id", F.lit(NO_ID)).alias("id")).agg(F.count("*").alias("times"))
-    own = own.groupBy("g").agg(F.min(F.struct("id", "times")).alias("first"))
-    wanted = save(own.join(regions.select("g").distinct(), "g", "left_semi").select("g", "first.id", "first.times"), "jaccard-wanted")
+    own = classes.groupBy("g", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "th").agg(F.count("*").alias("times"))
+    own = own.groupBy("g").agg(F.min(F.struct("id", "th", "times")).alias("first"))
+    wanted = save(own.join(regions.select("g").distinct(), "g", "left_semi").select("g", "first.id", "first.th", "first.times"), "jaccard-wanted")
     schema = pa.schema([("g", pa.int64()), ("blob", pa.binary())])
 
     def run(batches):
@@ -186,15 +186,15 @@ def _texts(docs: DataFrame, classes: DataFrame, regions: DataFrame, k: int) -> D
             g, blob = [], []
             for t, want in zip(b.column(0), b.column(1).to_pylist(), strict=True):
                 text = t.as_py()
-                # Rows may share a doc_id; only the one of this class is meant.
+                # Rows may agree in doc_id and the text's hash; only those of this class are meant.
                 if _digest(shingles(text, k)) == want:
                     g.append(want)
                     blob.append(z.compress(text.encode("utf-8", "replace")))
             yield batch(schema, g, blob)
 
-    both = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text").where("text is not null").join(_sized(wanted.drop("times")), "id").select("text", "g")
+    both = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "th", "text").where("text is not null").join(_sized(wanted.drop("times")), ["id", "th"]).select("text", "g")
     texts = both.mapInArrow(run, "g long, blob binary")
-    # Only rows that are equal in doc_id and class give a class two texts.
+    # Only rows that are equal in doc_id and text give a class two texts.
     return texts if wanted.where("times > 1").isEmpty() else texts.dropDuplicates(["g"])
 
 
@@ -258,9 +258,10 @@ def links(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tu
     (a, b, inter, na, nb) of the pairs of classes that were found to link, which connect every
     component.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    # The hash of the text tells rows with one doc_id, or none, apart.
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("th"))
     all_rows = save(_classify(docs, shingle), "jaccard-classes")
-    classes = all_rows.where("slice is null").select("doc_id", "n", "g")
+    classes = all_rows.where("slice is null").select("doc_id", "th", "n", "g")
     sketch = _sketch(all_rows.where("slice is not null").select("slice", "sketch"))
     regions = save(_regions(docs, sketch, shingle, percent), "jaccard-regions")
     texts = save(_texts(docs, classes.where("g is not null"), regions, shingle), "jaccard-texts")
