@@ -9,6 +9,7 @@ from linkflow.llm import decontaminate, jaccard, mixing, token_planes
 from linkflow.llm import quality as quality_model
 from linkflow.llm.common import id_crc, save, table
 
+CACHE_WORDS = 150_000
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -35,7 +36,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids are written to plane files and read back: their digest per document."""
-    return token_planes.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # The workers have served other stages before, so this one remembers fewer words.
+    return token_planes.digests(docs, public_tokenizers.path("word_bpe_49k.json"), cache_words=CACHE_WORDS)
 
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("mix", mix), ("token_ids", token_ids)]

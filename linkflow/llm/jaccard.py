@@ -90,7 +90,7 @@ def _classify(docs: DataFrame, k: int) -> DataFrame:
                 g.append(_digest(s) if len(s) else None)
                 held.append(s)
                 size += len(s)
-                if size > 4_000_000:
+                if size > 1_000_000:
                     add()
                     size = 0
             none = pa.nulls(len(n))

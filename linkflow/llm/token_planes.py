@@ -56,18 +56,18 @@ class Encoder:
 
     ASCII white space separates words that the tokenizer encodes independently of each other, it
     always splits an ASCII letter or digit from the ASCII punctuation behind it, and it lower-cases.
-    So each distinct word, less such a tail, is encoded by the library once and remembered (up to ``CACHE_WORDS``).
+    So each distinct word, less such a tail, is encoded by the library once and remembered (up to ``limit``).
     A text that may hold a special token (which is matched before lower-casing) keeps its case.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int = CACHE_WORDS):
         os.environ.setdefault("RAYON_NUM_THREADS", "1")
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
-        self.seen, self.once = bytearray(SEEN), []
+        self.limit, self.seen, self.once = limit, bytearray(SEEN), []
         # On lower-case ASCII letters the file's normaliser and splitter change nothing.
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = WhitespaceSplit()
@@ -87,7 +87,7 @@ class Encoder:
             self.known.update(zip(part, [raw[a:b] for a, b in zip(first, [*first[1:], len(raw)], strict=True)], strict=True))
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) > self.limit:
             self.known.clear()
         new = words.difference(self.known)
         if not new:
@@ -119,13 +119,13 @@ class Encoder:
             self.once.append(p)
 
     @staticmethod
-    def _words(text: str | None) -> list[bytes]:
+    def _words(text: str | bytes | None) -> list[bytes]:
         if not text:
             return []
-        raw = text.encode("utf-8", "replace")
+        raw = text if isinstance(text, bytes) else text.encode("utf-8", "replace")
         return (raw if b"<|" in raw else raw.lower()).split()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: list[str | bytes | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [self._words(t) for t in texts]
         self._learn(set(chain.from_iterable(split)))
@@ -137,14 +137,15 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, limit: int = CACHE_WORDS) -> Encoder:
     """The encoder of this Python worker: what it has learned serves all tasks of the worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, limit) not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path, limit] = Encoder(path, limit)
+    return _ENCODERS[path, limit]
 
 
 def transpose(ids: np.ndarray, kind: str) -> list[bytes]:
@@ -212,16 +213,16 @@ def read_chunk(blob, chunk: list, kind: str, z) -> np.ndarray:
     return restore(planes, n, kind)
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, kind: str = "byte", shard_ids: int = SHARD_IDS) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, kind: str = "byte", shard_ids: int = SHARD_IDS, cache_words: int = CACHE_WORDS) -> None:
     """Encodes ``docs(doc_id, text)`` and writes shard files below ``path``."""
 
     def run(batches):
-        encode, pid = encoder(tokenizer).encode, TaskContext.get().partitionId()
+        encode, pid = encoder(tokenizer, cache_words).encode, TaskContext.get().partitionId()
         end, seq, parts, doc_ids, lengths, held = np.array([end_id], "<u4").tobytes(), 0, [], [], [], 0
         for b in batches:
             for i in range(0, b.num_rows, 128):
                 piece = b.slice(i, 128)
-                for d, raw in zip(piece.column(0).to_pylist(), encode(piece.column(1).to_pylist()), strict=True):
+                for d, raw in zip(piece.column(0).to_pylist(), encode(piece.column(1).cast(pa.binary()).to_pylist()), strict=True):
                     parts += (raw, end)
                     doc_ids.append(d)
                     lengths.append(len(raw) // 4 + 1)
@@ -253,11 +254,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(run, _DOCS_DDL)
 
 
-def digests(docs: DataFrame, tokenizer: str, end_id: int = END_ID, kind: str = "byte") -> DataFrame:
-    """Writes the files, reads them back, and places each document among all ids."""
+def digests(docs: DataFrame, tokenizer: str, end_id: int = END_ID, kind: str = "byte", cache_words: int = CACHE_WORDS) -> DataFrame:
+    """Writes the files, reads them back, and places each document among all ids.
+
+    ``cache_words`` trades the memory of a Python worker (about 300 bytes a word) for time.
+    """
     spark = docs.sparkSession
     path = scratch(spark, "planes")
-    write(docs, path, tokenizer, end_id, kind)
+    write(docs, path, tokenizer, end_id, kind, cache_words=cache_words)
     rows = save(read(spark, path), "plane-docs")
     shards = rows.groupBy("pid", "seq").agg(F.sum("n_tokens").alias("ids"))
     # One row per shard file: the running total over them is small.
