@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import uuid
 
@@ -47,6 +48,25 @@ def save(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _trim() -> None:
+    """Gives memory that Python and Arrow hold free back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def trimmed(run):
+    """A function over a partition's batches that leaves no free memory behind in the reused worker."""
+
+    def wrapped(batches):
+        _trim()
+        yield from run(batches)
+        _trim()
+
+    return wrapped
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import batch, shingle_hashes, word_hashes
+from linkflow.llm.common import batch, shingle_hashes, trimmed, word_hashes
 
 WINDOW = 13
 #: Share of hit words from which a document is contaminated: 1 in SHARE.
@@ -111,7 +111,7 @@ def flag(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int
                     o.append(v)
             yield batch(_SCHEMA, b.column(0), *out)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _RESULT)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), _RESULT)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, remove: str = "documents", max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
@@ -136,7 +136,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shar
                 texts.append(cut_spans(text, hit) if bad and remove == "spans" else text)
             yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def cut_spans(text: str, hit: np.ndarray) -> str:

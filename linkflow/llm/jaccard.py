@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from linkflow.llm.common import batch, save, shingle_hashes, word_hashes
+from linkflow.llm.common import batch, save, shingle_hashes, trimmed, word_hashes
 
 SHINGLE, PERCENT = 5, 80
 #: Counters of the sketch (2 bytes each) and slices it is summed in.
@@ -101,7 +101,7 @@ def _classify(docs: DataFrame, k: int) -> DataFrame:
             none = pa.nulls(SLICES)
             yield batch(_CLASSES, none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.int64()), list(range(SLICES)), [z.compress(p.tobytes()) for p in part])
 
-    return docs.mapInArrow(run, _CLASSES_DDL)
+    return docs.mapInArrow(trimmed(run), _CLASSES_DDL)
 
 
 def _sketch(parts: DataFrame) -> np.ndarray:
@@ -121,8 +121,8 @@ def _sketch(parts: DataFrame) -> np.ndarray:
 
     ddl = "slice int, sketch binary"
     # Two steps, so that no task reads the sketches of all tasks of a large corpus.
-    some = parts.repartition(2 * SLICES, "slice", F.spark_partition_id()).mapInArrow(run, ddl)
-    rows = some.repartition(SLICES, "slice").mapInArrow(run, ddl).collect()
+    some = parts.repartition(2 * SLICES, "slice", F.spark_partition_id()).mapInArrow(trimmed(run), ddl)
+    rows = some.repartition(SLICES, "slice").mapInArrow(trimmed(run), ddl).collect()
     out = np.zeros((SLICES, (1 << SKETCH_BITS) // SLICES), "<u2")
     for r in rows:
         out[r["slice"]] = np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(r.sketch)), "<u2")
@@ -160,7 +160,7 @@ def _regions(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataF
                 if ss:
                     yield batch(schema, np.concatenate(ss).view(np.int64), np.concatenate(gs), np.concatenate(ns), np.concatenate(at))
 
-    rows = docs.select("text").mapInArrow(run, "s long, g long, n int, pos int")
+    rows = docs.select("text").mapInArrow(trimmed(run), "s long, g long, n int, pos int")
     # One exchange serves the distinct, the sizes, the count and the signature of a region's members.
     rows = rows.repartition("s").groupBy("s", "g", "n", "pos").agg(F.lit(1).alias("one"))
     whole = "(PARTITION BY s)"
@@ -193,7 +193,7 @@ def _texts(docs: DataFrame, classes: DataFrame, regions: DataFrame, k: int) -> D
             yield batch(schema, g, blob)
 
     both = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "th", "text").where("text is not null").join(_sized(wanted.drop("times")), ["id", "th"]).select("text", "g")
-    texts = both.mapInArrow(run, "g long, blob binary")
+    texts = both.mapInArrow(trimmed(run), "g long, blob binary")
     # Only rows that are equal in doc_id and text give a class two texts.
     return texts if wanted.where("times > 1").isEmpty() else texts.dropDuplicates(["g"])
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import batch, mix64
+from linkflow.llm.common import batch, mix64, trimmed
 
 ORDER = 5
 LONGEST = 24
@@ -265,7 +265,7 @@ def _entropies(docs: DataFrame, model: Model) -> DataFrame:
             n, h = s.entropies(b.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), pa.array(n), pa.array(list(h), pa.list_(pa.float64()))], names=["doc_id", "lang", "n", "h"])
 
-    return docs.select("doc_id", "held_out", "text", "lang").mapInArrow(run, "doc_id long, lang string, n long, h array<double>")
+    return docs.select("doc_id", "held_out", "text", "lang").mapInArrow(trimmed(run), "doc_id long, lang string, n long, h array<double>")
 
 
 _SCORERS: dict[str, Scorer] = {}
@@ -296,4 +296,4 @@ def predict(docs: DataFrame, model: Model | None, held_out: Column, reject: bool
                             pred[k], score[k] = model.languages[best[k]], sure[k]
                 yield batch(_OUT, p.column(0), p.column(1), pred, score, least, rejected)
 
-    return docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text").mapInArrow(run, _OUT_DDL)
+    return docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text").mapInArrow(trimmed(run), _OUT_DDL)

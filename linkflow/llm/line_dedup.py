@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import batch, mix64, save
+from linkflow.llm.common import batch, mix64, save, trimmed
 
 #: Most lines of a chunk.
 MOST_LINES = 64
@@ -137,13 +137,13 @@ def dedup(docs: DataFrame) -> DataFrame:
     """``doc_id, text, n_lines, n_removed`` of ``docs(doc_id, text)``: the text that is left, lines before, lines removed."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("th"))
     own = F.col("doc_id").eqNullSafe(F.col("mark_id")) & (F.col("th") == F.col("mark_th"))
-    seen = save(docs.where("text is not null").mapInArrow(_occurrences, "doc_id long, th long, pos int, h long"), "line-chunks")
+    seen = save(docs.where("text is not null").mapInArrow(trimmed(_occurrences), "doc_id long, th long, pos int, h long"), "line-chunks")
     at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "pos")
     repeated = seen.groupBy("h").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first != last").select("h", "first")
     marks = save(seen.join(repeated, "h").select("doc_id", "th", "pos", "h", (at == F.col("first")).alias("is_first")), "line-marks")
-    texts = docs.where("text is not null").join(_per_doc(marks, "pos", "h"), own).select("text", "marks").mapInArrow(_chunk_texts, "h long, chunk binary")
+    texts = docs.where("text is not null").join(_per_doc(marks, "pos", "h"), own).select("text", "marks").mapInArrow(trimmed(_chunk_texts), "h long, chunk binary")
     # The comparison of bytes: one distinct text behind the hash.
     same = save(texts.groupBy("h", "chunk").agg(F.lit(1).alias("one")).groupBy("h").agg(F.count("*").alias("n")).where("n = 1").select("h"), "line-same")
     gone = save(marks.where("not is_first").join(same, "h", "left_semi").select("doc_id", "th", "pos"), "line-gone")
     both = docs.join(_per_doc(gone, "pos"), own, "left").select("doc_id", "text", "marks")
-    return both.mapInArrow(_rebuild, "doc_id long, text string, n_lines long, n_removed long")
+    return both.mapInArrow(trimmed(_rebuild), "doc_id long, text string, n_lines long, n_removed long")

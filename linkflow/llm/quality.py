@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import batch, word_hashes
+from linkflow.llm.common import batch, trimmed, word_hashes
 
 PASSAGE = 64
 #: Labelled documents that the network is trained on, at most (expected; chosen by hash).
@@ -145,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", usable: Col
 
     both = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")
     # Sorted: the order of summation, and so the network, is the same in every run.
-    got = sorted(both.mapInArrow(run, "doc_id long, label double, x binary").collect(), key=lambda r: (r.doc_id, bytes(r.x)))
+    got = sorted(both.mapInArrow(trimmed(run), "doc_id long, label double, x binary").collect(), key=lambda r: (r.doc_id, bytes(r.x)))
     if len({r.label for r in got}) < 2:
         return None
     bags = [np.frombuffer(r.x, np.float32).reshape(-1, FEATURES) for r in got]
@@ -182,7 +182,7 @@ def score(docs: DataFrame, net: Network | None, held_out: Column) -> DataFrame:
             s, n, top = _scores(shared.value, b.column(2))
             yield batch(_SCHEMA, b.column(0), b.column(1), s, (s >= 0.5).astype(np.int32), n, top)
 
-    return docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, n_passages int, top_weight double")
+    return docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text").mapInArrow(trimmed(run), "doc_id long, held_out boolean, score double, predicted int, n_passages int, top_weight double")
 
 
 def keep(docs: DataFrame, net: Network | None) -> DataFrame:
@@ -194,4 +194,4 @@ def keep(docs: DataFrame, net: Network | None) -> DataFrame:
             s, _, _ = _scores(shared.value, b.column(at))
             yield b.filter(pa.array(s >= 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import batch, save, scratch
+from linkflow.llm.common import batch, save, scratch, trimmed
 
 MAGIC = b"LFPLANES"
 CHUNK = 1 << 16
@@ -234,7 +234,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, kind
             yield batch(_BLOB, [pack(np.frombuffer(b"".join(parts), "<u4"), doc_ids, lengths, pid, seq, kind)])
 
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    files = ordered.mapInArrow(run, "blob binary").select(F.col("blob").cast("string").alias("value"))
+    files = ordered.mapInArrow(trimmed(run), "blob binary").select(F.col("blob").cast("string").alias("value"))
     files.write.option("maxRecordsPerFile", 1).text(path)
 
 
@@ -251,7 +251,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                 yield batch(_DOCS, [index["pid"]] * len(n), [index["seq"]] * len(n), list(range(len(n))), index["doc_ids"], local, n, crc)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInArrow(run, _DOCS_DDL)
+    return files.mapInArrow(trimmed(run), _DOCS_DDL)
 
 
 def digests(docs: DataFrame, tokenizer: str, end_id: int = END_ID, kind: str = "byte", cache_words: int = CACHE_WORDS) -> DataFrame:
