@@ -1,8 +1,8 @@
 """Language-model scores by prediction by partial matching (PPM) over a byte-context trie.
 
-A text is a sequence of tokens and one end. Each token's bytes are predicted one by one, then the
-byte that closes it; a context is the up to ``ORDER`` bytes before, back to the start mark of the
-token (a space, which no token holds). Counts of all training documents fill the trie. A symbol is
+A text is a space, its tokens with a space behind each, and one end. Its bytes are predicted one by
+one; a context is the up to ``ORDER`` bytes before, across the borders of tokens and back to the
+start of the text (a token holds no space). Counts of all training documents fill the trie. A symbol is
 coded in the longest context that training has seen; unseen symbols escape to the next shorter one
 (method D), where symbols already seen above are excluded; what remains is uniform over the bytes
 never seen at order 0. Above the byte orders stands one long context: the run of tokens before, cut
@@ -13,14 +13,17 @@ excluded set at each level is exactly the set of the level above, so a level nee
 
 ``pretrained`` is distributed without any broadcast that grows with the corpus:
 
-1. One scan cuts the documents into blocks; per block it keeps the distinct tokens with their
-   training counts, and per document its tokens as numbers within the block.
-2. Tokens are summed to the vocabulary; its distinct (context, symbol) windows to the trie.
+1. One scan cuts the documents into blocks; per block it keeps the distinct pairs of a token and
+   its tail (the up to ``ORDER`` bytes before it) with their training counts, and per document its
+   pairs as numbers within the block.
+2. Pairs are summed to the vocabulary, all pairs of a token in one of its blocks; its distinct
+   (context, symbol) windows to the trie.
 3. Windows are dealt by the last two bytes of the context, so each task holds whole suffix chains
-   (orders 0 and 1 are at most 65,792 counts and are broadcast), and get their code length.
+   (orders 0 and 1 are at most 65,792 counts and are broadcast), sums the counts of all vocabulary
+   blocks and gives each of them its windows' code lengths.
 4. Runs are counted by (run before, run); totals by the run before give the escape.
-5. Each vocabulary block pulls its windows' code lengths; each document block pulls its tokens'
-   counts and code lengths and its runs' code lengths. All are joins on deduplicated keys.
+5. Each document block pulls its pairs' token counts and code lengths and its runs' code lengths.
+   All are joins on deduplicated keys.
 
 ``Ppm`` is the trie itself, in memory: for adaptive code lengths of single documents, and as the
 plain version that tests compare with.
@@ -54,11 +57,11 @@ RUN = 24
 #: Documents whose token numbers are stored in one row.
 CHUNK_DOCS = 256
 
-_A = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("tokens", pa.binary()), ("token_id", pa.int32()), ("token", pa.binary()), ("n", pa.int64()), ("run", pa.int32()), ("held_out", pa.bool_()), ("before", pa.int64()), ("this", pa.int64())])
-_A_DDL = "block long, doc_ids array<long>, held array<boolean>, tokens binary, token_id int, token binary, n long, run int, held_out boolean, before long, this long"
+_A = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("tokens", pa.binary()), ("token_id", pa.int32()), ("tail", pa.binary()), ("token", pa.binary()), ("n", pa.int64()), ("run", pa.int32()), ("held_out", pa.bool_()), ("before", pa.int64()), ("this", pa.int64())])
+_A_DDL = "block long, doc_ids array<long>, held array<boolean>, tokens binary, token_id int, tail binary, token binary, n long, run int, held_out boolean, before long, this long"
 _W = pa.schema([("vb", pa.int32()), ("win", pa.int64()), ("n", pa.int64())])
-_C = pa.schema([("win", pa.int64()), ("cost", pa.float64())])
-_V = pa.schema([("token", pa.binary()), ("c", pa.int64()), ("lp", pa.float64())])
+_C = pa.schema([("vb", pa.int32()), ("win", pa.int64()), ("cost", pa.float64())])
+_V = pa.schema([("tail", pa.binary()), ("token", pa.binary()), ("c", pa.int64()), ("lp", pa.float64())])
 _R = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 _R_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -68,6 +71,15 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text.encode("utf-8", "replace").lower().split() if text else []), END]
 
 
+def tails(words: list[bytes], order: int = ORDER) -> list[bytes]:
+    """The up to ``order`` bytes of the text before each token."""
+    out, tail = [], b" "
+    for w in words:
+        out.append(tail)
+        tail = (tail + w[-order:] + b" ")[-order:]
+    return out
+
+
 def runs(h: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First token, hash and hash of the run before (0 at the start of a document) of each run.
 
@@ -102,9 +114,9 @@ class Ppm:
         self.order, self.node, self.run = order, defaultdict(Counter), defaultdict(Counter)
 
     @staticmethod
-    def symbols(token: bytes):
-        full = b" " + token + (b"" if token == END else b" ")
-        return [(full[:i], full[i]) for i in range(1, len(full))]
+    def symbols(token: bytes, tail: bytes = b" "):
+        full = tail + token + (b"" if token == END else b" ")
+        return [(full[:i], full[i]) for i in range(len(tail), len(full))]
 
     @staticmethod
     def pairs(words: list[bytes]):
@@ -114,30 +126,32 @@ class Ppm:
 
     def learn(self, text: str | None) -> None:
         words = tokens(text)
-        for t in words:
-            self.learn_token(t)
+        for t, tail in zip(words, tails(words, self.order), strict=True):
+            self.learn_token(t, tail=tail)
         for before, this, _ in self.pairs(words):
             self.run[before][this] += 1
 
-    def learn_token(self, token: bytes, n: int = 1) -> None:
-        for before, s in self.symbols(token):
+    def learn_token(self, token: bytes, n: int = 1, tail: bytes = b" ") -> None:
+        for before, s in self.symbols(token, tail):
             for k in range(min(self.order, len(before)) + 1):
                 self.node[before[len(before) - k :]][s] += n
 
     def score(self, text: str | None) -> float:
-        total = 0.0
-        for before, this, words in self.pairs(tokens(text)):
+        total, every = 0.0, tokens(text)
+        tail = iter(tails(every, self.order))
+        for before, this, words in self.pairs(every):
+            own = [next(tail) for _ in words]
             seen = self.run.get(before)
             if seen and this in seen:
                 total += float(np.log10((2 * seen[this] - 1) / (2 * seen.total())))
                 continue
             if seen:
                 total += float(np.log10(len(seen) / (2 * seen.total())))
-            total += sum(map(self.cost, words))
+            total += sum(map(self.cost, words, own))
         return total
 
-    def cost(self, token: bytes) -> float:
-        return sum(self._symbol(before[-self.order :], s) for before, s in self.symbols(token))
+    def cost(self, token: bytes, tail: bytes = b" ") -> float:
+        return sum(self._symbol(before[-self.order :], s) for before, s in self.symbols(token, tail))
 
     def _symbol(self, context: bytes, s: int) -> float:
         excluded: set[int] = set()
@@ -157,27 +171,28 @@ class Ppm:
 
 def adaptive(text: str | None, order: int = ORDER) -> float:
     """log10 probability of a text under a trie that starts empty and learns as it goes."""
-    model, total = Ppm(order), 0.0
-    for t in tokens(text):
-        for before, s in model.symbols(t):
+    model, total, words = Ppm(order), 0.0, tokens(text)
+    for t, tail in zip(words, tails(words, order), strict=True):
+        for before, s in model.symbols(t, tail):
             total += model._symbol(before[-order:], s)
             for k in range(min(order, len(before)) + 1):
                 model.node[before[len(before) - k :]][s] += 1
     return total
 
 
-def windows(words: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
-    """Packed (context, symbol) windows of all symbols of the tokens, and the token of each.
+def windows(words: list[bytes], order: int = ORDER, before: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Packed (context, symbol) windows of all symbols of the tokens behind their tails, and the token of each.
 
     A window's low byte is the symbol, above it the context, last byte first; bits 48 and up are the
     context's length.
     """
-    full = [b" " + w + (b"" if w == END else b" ") for w in words]
-    size = np.fromiter(map(len, full), np.int64, len(full))
+    before = before or [b" "] * len(words)
+    full = [t + w + (b"" if w == END else b" ") for t, w in zip(before, words, strict=True)]
+    size, skip = np.fromiter(map(len, full), np.int64, len(full)), np.fromiter(map(len, before), np.int64, len(full))
     flat = np.frombuffer(b"".join(full), np.uint8).astype(np.int64)
     which = np.repeat(np.arange(len(full)), size)
     off = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-    at = np.flatnonzero(off > 0)
+    at = np.flatnonzero(off >= skip[which])
     length = np.minimum(off[at], order)
     win = flat[at] | length << 48
     for k in range(1, order + 1):
@@ -248,11 +263,12 @@ def _rows(size: int, **columns) -> pa.RecordBatch:
     return batch(_A, *[columns.get(f.name, pa.nulls(size, f.type)) for f in _A])
 
 
-def _flush(block: int, numbers: _Numbers, seqs: list[np.ndarray], doc_ids: list, held: list[bool]):
+def _flush(block: int, numbers: _Numbers, ends: _Numbers, seqs: list[np.ndarray], before_: list[np.ndarray], doc_ids: list, held: list[bool]):
     """The rows of one block."""
     size, u, words = np.fromiter(map(len, seqs), np.int64, len(seqs)), np.concatenate(seqs), list(numbers)
     out = np.array(held)
-    n = np.bincount(u[np.repeat(~out, size)], minlength=len(words))
+    pairs, p = np.unique(np.concatenate(before_).astype(np.int64) << 32 | u, return_inverse=True)
+    n = np.bincount(p[np.repeat(~out, size)], minlength=len(pairs))
     h = word_hashes(words)[u]
     first, this, before = runs(h, size)
     of = np.searchsorted(np.cumsum(size), first, "right")
@@ -260,37 +276,39 @@ def _flush(block: int, numbers: _Numbers, seqs: list[np.ndarray], doc_ids: list,
     for i in range(0, len(seqs), CHUNK_DOCS):
         j = min(i + CHUNK_DOCS, len(seqs))
         a, b = np.searchsorted(of, [i, j])
-        body = u[start[i] : start[j - 1] + size[j - 1]]
+        body = p[start[i] : start[j - 1] + size[j - 1]]
         yield _rows(1, block=[block + i], doc_ids=[doc_ids[i:j]], held=[held[i:j]], tokens=[_shrink(np.array([j - i, b - a]), size[i:j], length[a:b], body)])
-    for i in range(0, len(words), 1 << 16):
-        part = words[i : i + (1 << 16)]
-        yield _rows(len(part), block=[block] * len(part), token_id=np.arange(i, i + len(part), dtype=np.int32), token=part, n=n[i : i + len(part)])
+    words, ends = pa.array(words, pa.binary()), pa.array(list(ends), pa.binary())
+    for i in range(0, len(pairs), 1 << 16):
+        part = pairs[i : i + (1 << 16)]
+        yield _rows(len(part), block=np.full(len(part), block), token_id=np.arange(i, i + len(part), dtype=np.int32), tail=ends.take(pa.array(part >> 32)), token=words.take(pa.array(part & 0xFFFFFFFF)), n=n[i : i + len(part)])
     for i in range(0, len(first), 1 << 16):
         k = len(first[i : i + (1 << 16)])
         yield _rows(k, block=[block] * k, run=np.arange(i, i + k, dtype=np.int32), held_out=out[of[i : i + k]], before=before[i : i + k], this=this[i : i + k])
 
 
-def _blocks(block_bytes: int):
-    """Step 1: rows of documents, of their runs and of distinct tokens, by block.
+def _blocks(block_bytes: int, order: int):
+    """Step 1: rows of documents, of their runs and of distinct pairs of tail and token, by block.
 
     A block's number leaves its low 32 bits to the first document of each stored chunk.
     """
 
     def run(batches):
         base, seq = TaskContext.get().partitionId() << 44, 0
-        numbers, seqs, doc_ids, held, size = _Numbers(), [], [], [], 0
+        numbers, ends, seqs, before, doc_ids, held, size = _Numbers(), _Numbers(), [], [], [], [], 0
         for b in batches:
             for d, t, h in zip(b.column(0), b.column(1), b.column(2), strict=True):
                 w = tokens(t.as_py())
                 seqs.append(np.fromiter(map(numbers.__getitem__, w), np.uint32, len(w)))
+                before.append(np.fromiter(map(ends.__getitem__, tails(w, order)), np.uint32, len(w)))
                 doc_ids.append(d.as_py())
                 held.append(h.as_py())
                 size += 6 * len(w) + len(t.as_py() or "")
                 if size >= 2 * block_bytes:
-                    yield from _flush(base + (seq << 32), numbers, seqs, doc_ids, held)
-                    numbers, seqs, doc_ids, held, size, seq = _Numbers(), [], [], [], 0, seq + 1
+                    yield from _flush(base + (seq << 32), numbers, ends, seqs, before, doc_ids, held)
+                    numbers, ends, seqs, before, doc_ids, held, size, seq = _Numbers(), _Numbers(), [], [], [], [], 0, seq + 1
         if seqs:
-            yield from _flush(base + (seq << 32), numbers, seqs, doc_ids, held)
+            yield from _flush(base + (seq << 32), numbers, ends, seqs, before, doc_ids, held)
 
     return run
 
@@ -298,16 +316,16 @@ def _blocks(block_bytes: int):
 def pretrained(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Scores of all documents, learning from those for which ``held_out`` is false."""
     spark = docs.sparkSession
-    a = save(docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out")).mapInArrow(trimmed(_blocks(block_bytes)), _A_DDL), "ppm-blocks")
-    words = a.where("token_id is not null").select("block", "token_id", "token", "n")
-    vocabulary = words.groupBy("token").agg(F.sum("n").alias("c"))
+    a = save(docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out")).mapInArrow(trimmed(_blocks(block_bytes, order)), _A_DDL), "ppm-blocks")
+    words = a.where("token_id is not null").select("block", "token_id", "tail", "token", "n")
+    vocabulary = words.groupBy("tail", "token").agg(F.sum("n").alias("c"))
     vocabulary = save(vocabulary, "ppm-vocabulary")
-    n, v, size = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.count("*")).first()
+    n, v, size = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_distinct(F.when(F.col("c") > 0, F.col("token"))), F.count("*")).first()
     vocabulary_blocks = max(16, -(-size // VOCABULARY_BLOCK))
     vocabulary = vocabulary.withColumn("vb", F.pmod(F.xxhash64("token"), F.lit(vocabulary_blocks)).cast("int"))
 
     def emit(key, t):
-        w, which = windows(t.column("token").to_pylist(), order)
+        w, which = windows(t.column("token").to_pylist(), order, t.column("tail").to_pylist())
         u, at = np.unique(w, return_inverse=True)
         got = np.zeros(len(u), np.int64)
         np.add.at(got, at, t.column("c").to_numpy()[which])
@@ -322,23 +340,26 @@ def pretrained(docs: DataFrame, held_out: Column, order: int = ORDER, block_byte
     shared = spark.sparkContext.broadcast(order1)
 
     def price(key, t):
-        w, k = t.column("win").to_numpy(), t.column("n").to_numpy()
+        w, at = np.unique(t.column("win").to_numpy(), return_inverse=True)
+        k = np.zeros(len(w), np.int64)
+        np.add.at(k, at, t.column("n").to_numpy())
         one = shared.value
-        return pa.table([pa.array(w), pa.array(costs(w, k, one.sum(0), one))], schema=_C)
+        return pa.table([t.column("vb"), t.column("win"), pa.array(costs(w, k, one.sum(0), one)[at])], schema=_C)
 
-    tails = max(TAILS, -(-wanted.count() // TAIL_WINDOWS))
-    trie = wanted.groupBy("win").agg(F.sum("n").alias("n")).withColumn("tail", F.pmod(F.xxhash64(F.expr("(win >> 8) & 65535")), F.lit(tails)).cast("int"))
-    prices = trie.groupBy("tail").applyInArrow(price, "win long, cost double")
+    deals = max(TAILS, -(-wanted.count() // TAIL_WINDOWS))
+    trie = wanted.withColumn("deal", F.pmod(F.xxhash64(F.expr("(win >> 8) & 65535")), F.lit(deals)).cast("int"))
+    pulled = trie.groupBy("deal").applyInArrow(price, "vb int, win long, cost double")
 
     def score_words(t, p):
-        w, which = windows(t.column("token").to_pylist(), order)
+        w, which = windows(t.column("token").to_pylist(), order, t.column("tail").to_pylist())
         known, cost = p.column("win").to_numpy(), p.column("cost").to_numpy()
         by = np.argsort(known)
         got = cost[by][np.searchsorted(known[by], w)]
-        return pa.table([t.column("token").cast(pa.binary()), t.column("c"), pa.array(np.bincount(which, got, t.num_rows))], schema=_V)
+        token = t.column("token").combine_chunks().dictionary_encode().indices.to_numpy()
+        c = np.bincount(token, t.column("c").to_numpy()).astype(np.int64)[token]
+        return pa.table([t.column("tail").cast(pa.binary()), t.column("token").cast(pa.binary()), pa.array(c), pa.array(np.bincount(which, got, t.num_rows))], schema=_V)
 
-    pulled = wanted.select("vb", "win").join(prices, "win")
-    scored = save(vocabulary.groupBy("vb").cogroup(pulled.groupBy("vb")).applyInArrow(score_words, "token binary, c long, lp double"), "ppm-scored")
+    scored = save(vocabulary.groupBy("vb").cogroup(pulled.groupBy("vb")).applyInArrow(score_words, "tail binary, token binary, c long, lp double"), "ppm-scored")
     floor = 0.1 / (n + 0.1 * (v + 1))
 
     texts = a.where("tokens is not null").select((F.shiftright("block", 32)).alias("group"), "block", "doc_ids", "held", "tokens")
@@ -372,7 +393,7 @@ def pretrained(docs: DataFrame, held_out: Column, order: int = ORDER, block_byte
         return pa.Table.from_batches(parts, _R)
 
     none = F.lit(None).cast("int")
-    slices = words.select(F.shiftright("block", 32).alias("own_group"), "token_id", "token").join(scored, "token").select("own_group", none.alias("run"), "token_id", "c", "lp")
+    slices = words.select(F.shiftright("block", 32).alias("own_group"), "token_id", "tail", "token").join(scored, ["tail", "token"]).select("own_group", none.alias("run"), "token_id", "c", "lp")
     # The code length of each run: 0 where its context is new, of the run where the pair is known
     # (c > 0), else of the escape. The start of a text is the context of a run of every document.
     priced = edges.join(nodes, "before").select("before", "this", "c", F.log10((2 * F.col("c") - 1) / (2 * F.col("t"))).alias("found"))

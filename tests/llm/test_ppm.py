@@ -82,3 +82,17 @@ def test_query_against_the_trie(spark):
     same(got, brute(rows))
     held = [r for r in got if r.held_out]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_contexts_cross_token_borders(spark):
+    """The same token costs less behind the word it follows in training than behind another."""
+    rows = [(k, f"x{k} new york y{k} old paris z{k}") for k in range(40)] + [(100, "a old york"), (101, "a new york")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in ppm.pretrained(df, F.col("doc_id") >= 100).collect()}
+    assert got[101].base_score == got[100].base_score and got[101].score > got[100].score + 1
+    model = ppm.Ppm()
+    for k in range(40):
+        model.learn(rows[k][1])
+    assert all(math.isclose(got[k].score, model.score(rows[k - 60][1])) for k in (100, 101))
+    assert model.cost(b"york", b"new ") > model.cost(b"york", b"old ") + 1
+    assert ppm.tails(ppm.tokens("ab c defghi")) == [b" ", b" ab ", b"ab c ", b"fghi "]
