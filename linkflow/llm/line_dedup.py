@@ -1,17 +1,21 @@
-"""Line deduplication by content-defined chunks of lines.
+"""Line deduplication by passages of lines, compared byte by byte.
 
-A document's lines are hashed; the local maxima of a rolling hash over two line hashes cut the lines
-into chunks of two lines or more (three on average), so the cuts depend on the content alone and a
-repeated passage is cut alike wherever it stands. A line
-of ``LONG_LINE`` words or more is a chunk of its own. Chunks of at least two lines and ``LEAST_WORDS``
-words, and long lines, that occur more than once in the corpus are compared byte by byte and removed
-everywhere but at their first occurrence (smallest doc_id, then text hash, then place).
+A document's passages are its windows and its chunks. From each line with words a window reaches to
+the first line where it has ``PASSAGE_WORDS`` words, and to each such line one reaches back; so any
+run of whole lines of that many words is made up of windows of its own, whatever stands around it.
+Shorter repeats are found by chunks: the local maxima of a rolling hash over two line hashes cut the
+lines into chunks of two lines or more (three on average), of which those of at least two lines and
+``LEAST_WORDS`` words count, with their first line and (as lines before may move it) without; a line
+of ``LONG_LINE`` words or more is a chunk of its own. A line goes if it is part of a passage that
+occurred before: the first occurrence (smallest doc_id, then text hash, then place) stays. A passage
+that overlaps its own first occurrence in the document is no occurrence, so a line repeated without
+end keeps one window.
 
-Only hashes are shuffled to find the repeats; the texts of repeated chunks alone are compared.
+Only hashes are shuffled to find the repeats; the texts of repeated passages alone are compared.
 
 Defined results: null text stays null (no lines); empty text is one empty line; null doc_ids come
 after all others in the order of occurrences; rows equal in doc_id and text are one occurrence and
-are treated alike; chunks whose hashes agree but whose bytes do not are kept; extra columns are not
+are treated alike; passages whose hashes agree but whose bytes do not are kept; extra columns are not
 carried.
 """
 
@@ -27,11 +31,11 @@ from linkflow.llm.common import batch, mix64, save, trimmed
 
 #: Most lines of a chunk.
 MOST_LINES = 64
-LONG_LINE, LEAST_WORDS = 40, 10
+LONG_LINE, LEAST_WORDS, PASSAGE_WORDS = 40, 10, 50
 #: Marks (28 bytes each) up to which they are broadcast to the texts.
 BROADCAST_MARKS = 1_000_000
 
-_OCCUR = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int32()), ("h", pa.int64())])
+_OCCUR = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("h", pa.int64())])
 _TEXT = pa.schema([("h", pa.int64()), ("chunk", pa.binary())])
 _RESULT = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_lines", pa.int64()), ("n_removed", pa.int64())])
 
@@ -44,8 +48,8 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def chunks(lines: list[bytes]) -> list[tuple[int, int]]:
-    """(first, end) of the chunks of a document's lines."""
+def _cuts(lines: list[bytes]) -> list[tuple[int, int]]:
+    """(first, end) of the content-defined chunks of a document's lines."""
     h = np.fromiter(map(_hash, lines), np.uint64, len(lines))
     prev = np.concatenate((np.zeros(1, np.uint64), h[:-1]))
     roll = mix64(h ^ (prev << np.uint64(1)))
@@ -65,13 +69,39 @@ def chunks(lines: list[bytes]) -> list[tuple[int, int]]:
     return out
 
 
+def passages(lines: list[bytes]) -> list[tuple[int, int, bytes]]:
+    """(first line, end, bytes) of the windows and chunks that are removed if they repeat."""
+    size = np.fromiter((len(x.split()) for x in lines), np.int64, len(lines))
+    sums = np.concatenate(([0], np.cumsum(size)))
+    some = np.flatnonzero(size)
+    end = np.searchsorted(sums, sums[some] + PASSAGE_WORDS)
+    start = np.searchsorted(sums, sums[some + 1] - PASSAGE_WORDS, "right") - 1
+    ahead, back = end <= len(lines), sums[some + 1] >= PASSAGE_WORDS
+    at = {*zip(some[ahead].tolist(), end[ahead].tolist(), strict=True), *zip(start[back].tolist(), (some[back] + 1).tolist(), strict=True)}
+    for first, b in _cuts(lines):
+        for a in (first, first + 1):
+            n = sums[b] - sums[a]
+            if n >= LONG_LINE or (b - a > 1 and n >= LEAST_WORDS):
+                at.add((a, b))
+    raw, edge = b"\n".join(lines), np.concatenate(([0], np.cumsum([len(x) + 1 for x in lines]))).tolist()
+    out, first = [], {}
+    for a, b in sorted(at):
+        part = raw[edge[a] : edge[b] - 1]
+        if not 0 < a - first.setdefault(part, a) < b - a:
+            out.append((a, b, part))
+    return out
+
+
 def candidates(lines: list[bytes]):
-    """(first line, end, bytes) of the chunks that are removed if they repeat."""
-    for a, b in chunks(lines):
-        raw = b"\n".join(lines[a:b])
-        n = len(raw.split())
-        if n >= LONG_LINE or (b - a > 1 and n >= LEAST_WORDS):
-            yield a, b, raw
+    """(line, end, (bytes of a passage, place in it)) of all lines of all passages: the plain form of the rule."""
+    for a, b, raw in passages(lines):
+        for i in range(a, b):
+            yield i, i + 1, (raw, i - a)
+
+
+def chunks(lines: list[bytes]) -> list[tuple[int, int]]:
+    """(first, end) of what is kept or removed as a whole: single lines."""
+    return [(i, i + 1) for i in range(len(lines))]
 
 
 def _lines(text: str) -> list[bytes]:
@@ -80,10 +110,10 @@ def _lines(text: str) -> list[bytes]:
 
 def _occurrences(batches):
     for b in batches:
-        rows: tuple[list, ...] = ([], [], [], [])
+        rows: tuple[list, ...] = ([], [], [], [], [])
         for d, t, th in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-            for a, _, raw in candidates(_lines(t.as_py())):
-                for r, v in zip(rows, (d, th, a, signed(_hash(raw))), strict=True):
+            for a, e, raw in passages(_lines(t.as_py())):
+                for r, v in zip(rows, (d, th, a, e - a, signed(_hash(raw))), strict=True):
                     r.append(v)
         yield batch(_OCCUR, *rows)
 
@@ -93,11 +123,13 @@ def _chunk_texts(batches):
         for i in range(0, b.num_rows, 256):
             hs, raws = [], []
             for t, marks in zip(b.column(0).slice(i, 256), b.column(1).slice(i, 256).to_pylist(), strict=True):
-                want = {(m["pos"], m["h"]) for m in marks}
-                for a, _, raw in candidates(_lines(t.as_py())):
-                    if (a, h := signed(_hash(raw))) in want:
-                        hs.append(h)
-                        raws.append(raw)
+                want = {(m["pos"], m["n"], m["h"]) for m in marks}
+                raw, edge = (x := t.as_py().encode("utf-8", "replace")), [0]
+                for line in x.split(b"\n"):
+                    edge.append(edge[-1] + len(line) + 1)
+                for a, n, h in want:
+                    hs.append(h)
+                    raws.append(raw[edge[a] : edge[a + n] - 1])
             yield batch(_TEXT, hs, raws)
 
 
@@ -110,12 +142,13 @@ def _rebuild(batches):
                 text = t.as_py()
                 removed = 0
                 if marks:
-                    lines, drop, kept = _lines(text), {m["pos"] for m in marks}, []
-                    for a, e in chunks(lines):
-                        if a in drop:
-                            removed += e - a
-                        else:
-                            kept += lines[a:e]
+                    lines = _lines(text)
+                    drop = np.zeros(len(lines) + 1, np.int64)
+                    for m in marks:
+                        drop[m["pos"]] += 1
+                        drop[m["pos"] + m["n"]] -= 1
+                    drop = np.cumsum(drop[:-1]) > 0
+                    removed, kept = int(drop.sum()), [x for x, gone_ in zip(lines, drop.tolist(), strict=True) if not gone_]
                     text = b"\n".join(kept).decode("utf-8", "replace")
                 texts.append(text)
                 n.append(0 if t.as_py() is None else t.as_py().count("\n") + 1)
@@ -124,7 +157,7 @@ def _rebuild(batches):
 
 
 def _per_doc(rows: DataFrame, *fields: str) -> DataFrame:
-    """Marks of each document (doc_id and hash of its text) in one list, bounded by its chunks.
+    """Marks of each document (doc_id and hash of its text) in one list, bounded by its lines.
 
     A saved table of few marks is broadcast, so that texts stay where they are; beyond that both
     sides are sorted.
@@ -137,13 +170,13 @@ def dedup(docs: DataFrame) -> DataFrame:
     """``doc_id, text, n_lines, n_removed`` of ``docs(doc_id, text)``: the text that is left, lines before, lines removed."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("th"))
     own = F.col("doc_id").eqNullSafe(F.col("mark_id")) & (F.col("th") == F.col("mark_th"))
-    seen = save(docs.where("text is not null").mapInArrow(trimmed(_occurrences), "doc_id long, th long, pos int, h long"), "line-chunks")
+    seen = save(docs.where("text is not null").mapInArrow(trimmed(_occurrences), "doc_id long, th long, pos int, n int, h long"), "line-chunks")
     at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "pos")
     repeated = seen.groupBy("h").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first != last").select("h", "first")
-    marks = save(seen.join(repeated, "h").select("doc_id", "th", "pos", "h", (at == F.col("first")).alias("is_first")), "line-marks")
-    texts = docs.where("text is not null").join(_per_doc(marks, "pos", "h"), own).select("text", "marks").mapInArrow(trimmed(_chunk_texts), "h long, chunk binary")
+    marks = save(seen.join(repeated, "h").select("doc_id", "th", "pos", "n", "h", (at == F.col("first")).alias("is_first")), "line-marks")
+    texts = docs.where("text is not null").join(_per_doc(marks, "pos", "n", "h"), own).select("text", "marks").mapInArrow(trimmed(_chunk_texts), "h long, chunk binary")
     # The comparison of bytes: one distinct text behind the hash.
     same = save(texts.groupBy("h", "chunk").agg(F.lit(1).alias("one")).groupBy("h").agg(F.count("*").alias("n")).where("n = 1").select("h"), "line-same")
-    gone = save(marks.where("not is_first").join(same, "h", "left_semi").select("doc_id", "th", "pos"), "line-gone")
-    both = docs.join(_per_doc(gone, "pos"), own, "left").select("doc_id", "text", "marks")
+    gone = save(marks.where("not is_first").join(same, "h", "left_semi").select("doc_id", "th", "pos", "n"), "line-gone")
+    both = docs.join(_per_doc(gone, "pos", "n"), own, "left").select("doc_id", "text", "marks")
     return both.mapInArrow(trimmed(_rebuild), "doc_id long, text string, n_lines long, n_removed long")

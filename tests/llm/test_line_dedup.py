@@ -58,3 +58,25 @@ def test_query_against_plain_version(spark):
     d = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted((tuple(r) for r in queries.op8_line_dedup(spark, d).collect()), key=str) == brute(rows)
+
+
+def test_passages_go_whatever_stands_around_them(spark):
+    """Short-lined passages of over 50 words leave no line in the second copy."""
+    rows, parts = [], []
+    for k, (n, size) in enumerate([(2, 29), (3, 19), (4, 15), (5, 12), (6, 10), (12, 8), (60, 1), (3, 26)] * 5):
+        parts.append([" ".join(f"p{k}x{i}y{j}" for j in range(size)) for i in range(n)])
+        for side in (0, 1):
+            around = [[f"own {side} {k} {i} {j}" for i in range(3)] for j in "ab"]
+            rows.append((2 * k + side, "\n".join(around[0] + parts[-1] + around[1])))
+    got = {r.doc_id: r for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, part in enumerate(parts):
+        assert got[2 * k].text == rows[2 * k][1]
+        assert got[2 * k + 1].n_removed == len(part) and got[2 * k + 1].text.count("own") == 6
+
+
+def test_a_line_without_end_keeps_one_passage(spark):
+    line = "one line of ten words that comes again and again"
+    df = spark.createDataFrame([(1, "\n".join([line] * 100)), (2, "\n".join([line] * 40))], "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.dedup(df).collect()}
+    assert got[2].text == "" and got[2].n_removed == 40
+    assert got[1].text.split("\n") == [line] * 5
