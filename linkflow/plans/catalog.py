@@ -390,6 +390,13 @@ def _(spark, d):
     return diff.first_working(a)
 
 
+@query("access_cascade_all")
+def _(spark, d):
+    """The cascade over all events; ``access_cascade`` and its oracle take every fiftieth."""
+    a = events(spark, d).select("source_id", F.col("pos").alias("level"), F.col("via").alias("method"), F.when(~F.col("via").isin("click", "view"), F.concat(F.lit("e"), F.col("pos").cast("string"))).alias("error"))
+    return diff.first_working(a)
+
+
 @query("known_url_difference", f"WITH {_OBS} SELECT source_id, url FROM obs WHERE run = 4 EXCEPT SELECT source_id, url FROM obs WHERE run IN (0, 1)")
 def _(spark, d):
     o = observed(spark, d)
