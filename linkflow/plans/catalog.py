@@ -507,6 +507,13 @@ def _(spark, d):
     return w.select("via", F.date_format("s", "yyyy-MM-dd'T'HH:mm:ss").alias("start"), dates.window_hours(dates.format_iso(F.col("s")), dates.format_iso(F.col("e"))).alias("hours"))
 
 
+@query("bundle_window_hours_all")
+def _(spark, d):
+    """The windows of all events; ``bundle_window_hours`` and its oracle take three in a hundred."""
+    w = events(spark, d).groupBy("via").agg(F.min("ts").alias("s"), F.max("ts").alias("e"))
+    return w.select("via", F.date_format("s", "yyyy-MM-dd'T'HH:mm:ss").alias("start"), dates.window_hours(dates.format_iso(F.col("s")), dates.format_iso(F.col("e"))).alias("hours"))
+
+
 @query("iso_times", f"WITH {_EV} SELECT pos, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS whole, CASE WHEN pos % 2 = 0 THEN strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || '+00:00' ELSE 'not a time ' || pos END AS iso FROM ev")
 def _(spark, d):
     second = F.date_trunc("second", "ts")
