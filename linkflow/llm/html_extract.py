@@ -4,7 +4,11 @@ A page is cut into tags and text by one regular expression, and a tree of elemen
 HTML's implied end tags. Text gathers in blocks. Each paragraph passes points for its length and
 its commas to its ancestors (half of them per level); an element's points are discounted by its
 link density. The best element, or the ``article``/``main`` that holds it, and those of its
-siblings that read like text are kept, without boilerplate elements inside.
+siblings that read like text are kept, without boilerplate elements inside. An element is also
+boilerplate by a name in its class or id (``STATES`` such as ``has-sidebar`` are no such names); but
+a wrapper that holds at least half of the text of the page's ``article`` and ``main`` elements (of
+the page, if these have none) stays, unless named as comments, and where no text would be left
+outside of named elements, names do not count.
 
 Defined results: null, empty or text-free html gives an empty text; a page without tags is one
 block; unclosed tags, comments and quotes end with the page; a tie of points goes to the element
@@ -33,6 +37,10 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
 UNLIKELY = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-?bar|nav\w*|menu|breadcrumbs?|footer|header|masthead|comments?|commentlist|disqus|respond|replies|reply|related|recommend\w*|share|sharing|social|newsletter|subscribe|signup|popup|modal|overlay|cookie\w*|consent|gdpr|notices?|alert|widget|pagination|pager|toolbar)(?=$|[\s_-])", re.I)
 ROLES = re.compile(r"\brole\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|dialog|alert|menu|form)\b", re.I)
 
+#: Names that tell what an element has or how it is shown, not what it is.
+STATES = re.compile(r"(?:^|[_-])(?:has|no|with|without)[_-]|^(?:is|not|fixed|sticky|show|hide|enable|disable)[_-]|[_-](?:open|closed|on|off|enabled|disabled|active|visible)$", re.I)
+COMMENTS = re.compile(r"(?:^|[_-])(?:comments?|commentlist|disqus|respond|replies|reply)(?=$|[_-])", re.I)
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
@@ -42,8 +50,10 @@ _SCHEMA = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.
 class _Page:
     """Elements as parallel lists (parent, tag, dropped) and blocks of (element, text, link characters)."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, gone: frozenset[int] = frozenset()):
         self.parent, self.tag, self.dropped = [-1], ["#root"], [False]
+        #: Elements that are dropped by their names; those that have such names, and if as comments.
+        self.gone, self.named = gone, {}
         self.blocks: list[tuple[int, str, int]] = []
         self._stack, self._parts, self._links, self._in_link = [0], [], 0, 0
         self._parse(source)
@@ -94,7 +104,10 @@ class _Page:
         if name in VOID:
             return
         up = self._stack[-1]
-        drop = self.dropped[up] or name in BOILERPLATE or (bool(attrs) and name not in ("html", "body", "article", "main") and self._unlikely(attrs))
+        own = bool(attrs) and name not in ("html", "body", "article", "main")
+        drop = self.dropped[up] or name in BOILERPLATE or len(self.tag) in self.gone or (own and bool(ROLES.search(attrs) or _HIDDEN.search(attrs)))
+        if own and not drop and (names := self._unlikely(attrs)):
+            self.named[len(self.tag)] = any(map(COMMENTS.search, names))
         if not drop and name == "article" and attrs and re.search(r"comment", attrs, re.I):
             drop = True
         self.parent.append(up)
@@ -105,10 +118,30 @@ class _Page:
             self._in_link += 1
 
     @staticmethod
-    def _unlikely(attrs: str) -> bool:
-        if ROLES.search(attrs) or _HIDDEN.search(attrs):
-            return True
-        return any(UNLIKELY.search(next(filter(None, m.groups()), "")) for m in _NAMES.finditer(attrs))
+    def _unlikely(attrs: str) -> list[str]:
+        names = (x for m in _NAMES.finditer(attrs) for x in next(filter(None, m.groups()), "").split())
+        return [x for x in names if UNLIKELY.search(x) and not STATES.search(x)]
+
+    def by_name(self) -> frozenset[int]:
+        """The elements to drop by their names, of a page read without that."""
+        n = len(self.tag)
+        every, inside, article = [0] * n, [0] * n, [False] * n
+        for i in range(1, n):
+            article[i] = article[self.parent[i]] or (self.tag[i] in ("article", "main") and not self.dropped[i])
+        for at, text, linked in self.blocks:
+            if self.tag[at] in PARAGRAPH or len(text) >= 25:
+                every[at] += len(text) - linked
+                inside[at] += (len(text) - linked) * article[at]
+        for i in range(n - 1, 0, -1):
+            every[self.parent[i]] += every[i]
+            inside[self.parent[i]] += inside[i]
+        held = inside if inside[0] else every
+        gone = frozenset(i for i, comments in self.named.items() if comments or not 0 < held[0] <= 2 * held[i])
+        out = [False] * n
+        for i in range(1, n):
+            out[i] = out[self.parent[i]] or i in gone
+        left = any(not out[at] and (self.tag[at] in PARAGRAPH or len(text) >= 25) for at, text, _ in self.blocks)
+        return gone if left or not every[0] else frozenset()
 
     def _end(self, name: str) -> None:
         for depth in range(len(self._stack) - 1, 0, -1):
@@ -191,7 +224,12 @@ class _Page:
 
 def main_text(source: str | None) -> str:
     """The main text of one page; blocks are joined by newlines."""
-    return "\n".join(_Page(source).main()) if source else ""
+    if not source:
+        return ""
+    page = _Page(source)
+    if page.named and (gone := page.by_name()):
+        page = _Page(source, gone)
+    return "\n".join(page.main())
 
 
 def extract(pages: DataFrame) -> DataFrame:

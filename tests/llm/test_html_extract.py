@@ -56,3 +56,16 @@ def test_query_against_the_pages_structure(spark):
         inner = re.search("<article>(.*?)</article>", source[r.page_id], re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"<br>", " ", re.sub(r"</?b>", "", b))).split()) for b in re.split(r"</?(?:p|h1)>", inner)]
         assert r.text == "\n".join(b for b in blocks if b)
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "site no-sidebar", "wrap fixed-header", "post comments-open", "entry-content share-on", "layout-with-sidebar", "sidebar-right", "header-page"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_wrappers_named_like_boilerplate_keep_the_article(name, tag):
+    inner = f"<div class='{name}'><{tag}><p>{BODY}</p><p>{BODY}</p></{tag}><div class='sidebar'><p>Other things to read here</p></div></div>"
+    assert html_extract.main_text(page(inner, "<div class=ad>Buy this</div>")) == f"{BODY.strip()}\n{BODY.strip()}"
+
+
+def test_named_boilerplate_goes_beside_an_article():
+    inner = f"<div class=post><p>{BODY} <span class=share>Share</span> end</p></div><div class=related><article><p>Teaser text of another article</p></article></div><div id=comments><p>{BODY}</p><p>{BODY}</p></div>"
+    assert html_extract.main_text(page(f"<main>{inner}</main>")) == f"{BODY} end".replace("  ", " ")
+    assert html_extract.main_text(page(f"<div id=comments><p>{BODY}</p></div>")) == BODY.strip()
