@@ -6,8 +6,10 @@ comparing words. No shuffle of documents takes place.
 
 Defined results: a null or empty text has no words, so it has no hits and is clean; rows are
 judged one by one, so repeated rows give repeated results; an empty benchmark hits nothing; a
-null item text has no words and no window; items with the same windows are all reported; extra
-columns of the input are not carried (``flag``) or kept as they are (``keep_clean``).
+null item text has no words and no window; items with the same windows are all reported; items
+with a null id hit like all others, all of them count as one item in ``n_items``, and its name in
+``items_sha256`` is the empty string; extra columns of the input are not carried (``flag``) or kept
+as they are (``keep_clean``).
 """
 
 from __future__ import annotations
@@ -40,9 +42,9 @@ def words(text: str | None) -> list[bytes]:
 class Windows:
     """The benchmark's windows by length: sorted hashes, and the items of each exact window."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
         self.by_words: dict[tuple[bytes, ...], list[int]] = {}
-        self.names = [str(i) for i, _ in items]
+        self.names = ["" if i is None else str(i) for i, _ in items]
         by_len: dict[int, set[int]] = {}
         for k, (_, text) in enumerate(items):
             w = words(text)
@@ -82,12 +84,12 @@ def _spans(hit: np.ndarray) -> list[dict]:
     return [{"first": int(a), "last": int(b) - 1} for a, b in zip(edge[::2], edge[1::2], strict=True)]
 
 
-def _items(benchmark: DataFrame, max_bytes: int) -> list[tuple[str, str | None]]:
+def _items(benchmark: DataFrame, max_bytes: int) -> list[tuple[str | None, str | None]]:
     """The benchmark's items, after a check of their size."""
     size = benchmark.agg(F.sum(F.octet_length(F.col("text")))).first()[0] or 0
     if size > max_bytes:
         raise ValueError(f"the benchmark has {size} bytes of text; at most {max_bytes} are broadcast")
-    return [(str(r[0]), r[1]) for r in benchmark.where("item_id is not null").select("item_id", "text").collect()]
+    return [tuple(r) for r in benchmark.select("item_id", "text").collect()]
 
 
 def flag(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:

@@ -49,3 +49,13 @@ def test_query_against_brute_force(spark):
     want = brute(read("documents", "doc_id", "text"), read("benchmark", "item_id", "text"))
     assert sorted((tuple(r) for r in queries.op9_decontaminate(spark, d).collect()), key=str) == want
     assert any(r[5] for r in want)
+
+
+def test_items_without_an_id_hit(spark):
+    first, other = (" ".join(f"{c}{i}" for i in range(20)) for c in "vw")
+    items = spark.createDataFrame([(None, first), (None, other), (7, other), (None, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, first), (2, f"{first} {other}"), (3, "clean " * 30)], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.flag(docs, items).collect()}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert [(got[k].n_hit, got[k].n_items, got[k].items_sha256, got[k].contaminated) for k in (1, 2, 3)] == [(20, 1, sha(""), True), (40, 2, sha(",7"), True), (0, 0, sha(""), False)]
+    assert [r.doc_id for r in decontaminate.keep_clean(docs, items).collect()] == [3]
