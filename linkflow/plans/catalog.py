@@ -260,6 +260,15 @@ def _(spark, d):
     return classify.picked(c, c.where("page_id % 2 = 0 AND link_url NOT LIKE '%/a/b'").select(F.concat("link_url", F.lit("/")).alias("url")).union(c.where("page_id % 2 = 0 AND link_url LIKE '%/a/b'").select("link_url"))).where("page_id % 2 = 0").select("page_id", "link_url")
 
 
+@query("picked_urls_all")
+def _(spark, d):
+    """All candidates that even pages' picks name; ``picked_urls`` and its oracle give those of even pages."""
+    c = pages.candidates(_linked(spark, d))
+    even = c.where("page_id % 2 = 0")
+    picks = even.where("link_url NOT LIKE '%/a/b'").select(F.concat("link_url", F.lit("/")).alias("url")).union(even.where("link_url LIKE '%/a/b'").select("link_url"))
+    return classify.picked(c, picks).select("page_id", "link_url")
+
+
 _CLEAN = r"list_filter(list_transform(regexp_split_to_array({x}, '\r\n|[\n\r]'), lambda s: trim(regexp_replace(s, '[\t\r\f\v ]+', ' ', 'g'))), lambda s: s <> '')"
 _DROP = "array_to_string(list_filter({l}, lambda s, i: i = 1 OR s <> {l}[i - 1]), chr(10))"
 
