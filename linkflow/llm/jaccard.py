@@ -305,7 +305,6 @@ def _rest(rows: DataFrame, comps: DataFrame, found: DataFrame, fits: str) -> Dat
     own = rows.join(comps, "g", "left").withColumn("comp", F.coalesce("comp", "g"))
     size = own.groupBy("region", "comp").agg(F.count("*").alias("m"))
     top = size.groupBy("region").agg(F.max(F.struct("m", "comp")).alias("top"), F.count("*").alias("groups")).where("groups > 1").select("region", F.col("top.comp").alias("main"))
-    # Distances to the region's pivots that are known: of pairs compared before, as 1000 * distance.
     own = save(own.join(top, "region"), "jaccard-rest")
     minor = own.where("comp != main").select("region", F.col("g").alias("pg"), F.col("n").alias("pn"), F.col("pos").alias("ppos"), F.col("comp").alias("pcomp"))
     pairs = minor.join(own, "region").where(f"comp != pcomp AND (comp = main OR pg < g) AND {fits}")
