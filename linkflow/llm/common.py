@@ -19,11 +19,14 @@ TEST_SCRATCH = "/tmp/linkflow-scratch"
 def scratch(spark: SparkSession, tag: str) -> str:
     """A new path below the shared folder in ``spark.checkpoint.dir``.
 
-    Only where that setting is missing or empty (tests on one machine) is a local folder used, which
-    goes with the process.
+    Where that setting is missing or empty, a local master (driver and executors are one process)
+    gets a local folder that goes with the process; on a cluster this is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = f"{TEST_SCRATCH}/{spark.sparkContext.applicationId}"
         atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/linkflow/{tag}-{uuid.uuid4().hex}"
@@ -33,19 +36,30 @@ def scratch(spark: SparkSession, tag: str) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def save(df: DataFrame, tag: str) -> DataFrame:
+def save(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     """Cuts the lineage: writes ``df`` as Parquet to the shared folder and reads it back.
 
-    The shuffle files behind it are of no more use, so Spark is told to remove them at once.
+    The shuffle files behind it are of no more use, so Spark is told to remove them at once. With
+    ``by``, rows lie in one folder for each value of that column.
     """
     spark = df.sparkSession
     path, before = scratch(spark, tag), spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        writer = df.write.option("compression", "zstd")
+        (writer.partitionBy(by) if by else writer).parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def release(df: DataFrame, part: str = "") -> None:
+    """Deletes a saved table (or one folder of it) that nothing will read again."""
+    spark = df.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{df.saved_at}/{part}" if part else df.saved_at)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def _trim() -> None:

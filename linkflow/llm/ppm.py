@@ -1,36 +1,29 @@
 """Language-model scores by prediction by partial matching (PPM) over a byte-context trie.
 
-A text is a space, its tokens with a space behind each, and one end. Its bytes are predicted one by
-one; a context is the up to ``ORDER`` bytes before, across the borders of tokens and back to the
-start of the text (a token holds no space). Counts of all training documents fill the trie. A symbol is
-coded in the longest context that training has seen; unseen symbols escape to the next shorter one
-(method D), where symbols already seen above are excluded; what remains is uniform over the bytes
-never seen at order 0. Above the byte orders stands one long context: the run of tokens before, cut
-by content (``RUN``), which predicts the whole next run in one step if training has seen that pair,
-and else escapes to the bytes; this is what finds copied passages. As every shorter context has seen at least the symbols of a longer one, the
-excluded set at each level is exactly the set of the level above, so a level needs three numbers
-(total, distinct symbols, total of the excluded symbols).
-
-``pretrained`` is distributed without any broadcast that grows with the corpus:
-
-1. One scan cuts the documents into blocks; per block it keeps the distinct pairs of a token and
-   its tail (the up to ``ORDER`` bytes before it) with their training counts, and per document its
-   pairs as numbers within the block.
-2. Pairs are summed to the vocabulary, all pairs of a token in one of its blocks; its distinct
-   (context, symbol) windows to the trie.
-3. Windows are dealt by the last two bytes of the context, so each task holds whole suffix chains
-   (orders 0 and 1 are at most 65,792 counts and are broadcast), sums the counts of all vocabulary
-   blocks and gives each of them its windows' code lengths.
-4. Runs are counted by (run before, run); totals by the run before give the escape.
-5. Each document block pulls its pairs' token counts and code lengths and its runs' code lengths.
-   All are joins on deduplicated keys.
-
-``Ppm`` is the trie itself, in memory: for adaptive code lengths of single documents, and as the
-plain version that tests compare with.
+A text is its tokens with a space behind each, and one end. Its bytes are predicted one by one from
+the ``ORDER`` bytes before, across the borders of tokens; in front of a text stand ends. The trie
+counts every byte of all training documents in all of its contexts. A symbol is coded in the longest
+context that training has seen; unseen symbols escape to the next shorter one (method D), where the
+symbols already seen above are excluded; what remains is uniform over the bytes never seen at order
+0. As every shorter context has seen at least the symbols of a longer one, the excluded set of a
+level is the set of the level above, so a node needs four numbers: a symbol's count, the total, the
+number of symbols, and the total that its own symbols have one level below.
+
+``pretrained`` is distributed; nothing that grows with the corpus is broadcast:
+
+1. One scan cuts the documents into blocks of text. Per block it keeps the text, the distinct tokens
+   with their training counts, and the distinct windows (a context and its symbol packed in 64 bits,
+   the nearest byte first) with theirs. Sorted windows are dealt by ranges, whose bounds are
+   quantiles of a sample: so no context, however frequent, is one task's work.
+2. A trie node is an interval of sorted windows. Nodes within one range are counted there. Of nodes
+   on a bound, each range reports its part (at most 256 symbols a level and bound); the sums go back
+   to the ranges that need them. Orders 0 and 1 (65,792 counts) are broadcast.
+3. Each range works out the code length of its windows and gives each block its own.
+4. Each block looks up the windows of its text, byte by byte, and adds up its documents.
 
 Defined results: null text is empty (one end token); a null doc_id is carried; repeated rows are
-scored and learned each; without training documents every byte costs log10(256); extra columns are
-not carried.
+scored and learned each; without training documents every byte costs log10(256); a text of any
+length is one row of one block; extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -43,27 +36,32 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import batch, mix64, save, trimmed, word_hashes
+from linkflow.llm.common import batch, release, save, trimmed, word_hashes
 
-ORDER = 5
-#: Text after which a block of documents is closed.
-BLOCK_BYTES = 32 << 20
-VOCABULARY_BLOCK = 100_000
-#: Least number of tasks that windows are dealt to, and windows a task beyond it.
-TAILS, TAIL_WINDOWS = 64, 250_000
+#: Bytes of context; at most 7, as a window is one 64-bit number.
+ORDER = 6
 END = b"\n"
-#: Mean tokens of a run.
-RUN = 24
-#: Documents whose token numbers are stored in one row.
-CHUNK_DOCS = 256
-
-_A = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("tokens", pa.binary()), ("token_id", pa.int32()), ("tail", pa.binary()), ("token", pa.binary()), ("n", pa.int64()), ("run", pa.int32()), ("held_out", pa.bool_()), ("before", pa.int64()), ("this", pa.int64())])
-_A_DDL = "block long, doc_ids array<long>, held array<boolean>, tokens binary, token_id int, tail binary, token binary, n long, run int, held_out boolean, before long, this long"
-_W = pa.schema([("vb", pa.int32()), ("win", pa.int64()), ("n", pa.int64())])
-_C = pa.schema([("vb", pa.int32()), ("win", pa.int64()), ("cost", pa.float64())])
-_V = pa.schema([("tail", pa.binary()), ("token", pa.binary()), ("c", pa.int64()), ("lp", pa.float64())])
-_R = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
-_R_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+#: Text after which a block is closed, and text whose windows are sorted or looked up at once.
+BLOCK_BYTES, PIECE_BYTES = 16 << 20, 2 << 20
+#: Text per range of windows, and text that the ranges' bounds are taken from (only balance depends on it).
+RANGE_BYTES, SAMPLE_BYTES = 8 << 20, 2 << 20
+#: Text per group of tokens.
+TOKEN_GROUP_BYTES = 32 << 20
+
+_PAD = END * 7
+_BLOCK = pa.schema([
+    ("kind", pa.string()), ("block", pa.int64()), ("part", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())),
+    ("keys", pa.binary()), ("counts", pa.binary()),
+])
+_BLOCK_DDL = "kind string, block long, part int, doc_ids array<long>, held array<boolean>, keys binary, counts binary"
+_EDGE = pa.schema([("part", pa.int32()), ("level", pa.int32()), ("edge", pa.int64()), ("n", pa.int64())])
+_PULL = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("total", pa.int64()), ("distinct", pa.int64())])
+_PULL_DDL = "kind string, block long, keys binary, counts binary, total long, distinct long"
+_RESULT = pa.schema([
+    ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
+    ("base_score", pa.float64()), ("score", pa.float64()),
+])
+_RESULT_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -71,89 +69,43 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text.encode("utf-8", "replace").lower().split() if text else []), END]
 
 
-def tails(words: list[bytes], order: int = ORDER) -> list[bytes]:
-    """The up to ``order`` bytes of the text before each token."""
-    out, tail = [], b" "
-    for w in words:
-        out.append(tail)
-        tail = (tail + w[-order:] + b" ")[-order:]
-    return out
-
-
-def runs(h: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First token, hash and hash of the run before (0 at the start of a document) of each run.
-
-    ``h`` are the 64-bit hashes of the tokens of documents of ``size`` tokens each. A run ends behind
-    a token whose hash with the one before is divisible by ``RUN``, or with the document.
-    """
-    last = np.cumsum(size) - 1
-    prev = np.concatenate((np.zeros(1, np.uint64), h[:-1]))
-    prev[last[:-1] + 1] = 0
-    cut = mix64(h ^ (prev << np.uint64(1))) % np.uint64(RUN) == 0
-    cut[last] = True
-    first = np.concatenate(([0], np.flatnonzero(cut)[:-1] + 1))
-    place = np.arange(len(h)) - np.repeat(first, np.diff([*first, len(h)]))
-    this = mix64(np.add.reduceat(mix64(h + mix64(place.astype(np.uint64) + np.uint64(1))), first)).view(np.int64)
-    before = np.concatenate(([0], this[:-1]))
-    before[np.searchsorted(first, np.concatenate(([0], last[:-1] + 1)))] = 0
-    return first, this, before
-
-
-class _Numbers(dict):
-    """Numbers keys in the order in which they are first looked up."""
-
-    def __missing__(self, key: bytes) -> int:
-        n = self[key] = len(self)
-        return n
+def normal(text: str | None) -> bytes:
+    """The bytes that are predicted: each token with a space behind it, and the end."""
+    words = text.encode("utf-8", "replace").lower().split() if text else []
+    return b"".join((b" ".join(words), b" \n")) if words else END
 
 
 class Ppm:
-    """The model in memory. ``learn`` adds a text, ``score`` gives its log10 probability."""
+    """The trie in memory: ``learn`` adds a text, ``score`` gives its log10 probability."""
 
     def __init__(self, order: int = ORDER):
-        self.order, self.node, self.run = order, defaultdict(Counter), defaultdict(Counter)
+        self.order, self.node = order, defaultdict(Counter)
 
-    @staticmethod
-    def symbols(token: bytes, tail: bytes = b" "):
-        full = tail + token + (b"" if token == END else b" ")
-        return [(full[:i], full[i]) for i in range(len(tail), len(full))]
+    def _steps(self, text: str | None):
+        full = _PAD + normal(text)
+        for i in range(len(_PAD), len(full)):
+            yield full[i - self.order : i], full[i]
 
-    @staticmethod
-    def pairs(words: list[bytes]):
-        """(run before, run, tokens of the run) of a document; before the first run is 0."""
-        first, this, before = runs(word_hashes(words), np.array([len(words)]))
-        return [(x, y, words[i:j]) for x, y, i, j in zip(before.tolist(), this.tolist(), first, [*first[1:], len(words)], strict=True)]
+    def _count(self, context: bytes, s: int) -> None:
+        for k in range(self.order + 1):
+            self.node[context[self.order - k :]][s] += 1
 
     def learn(self, text: str | None) -> None:
-        words = tokens(text)
-        for t, tail in zip(words, tails(words, self.order), strict=True):
-            self.learn_token(t, tail=tail)
-        for before, this, _ in self.pairs(words):
-            self.run[before][this] += 1
-
-    def learn_token(self, token: bytes, n: int = 1, tail: bytes = b" ") -> None:
-        for before, s in self.symbols(token, tail):
-            for k in range(min(self.order, len(before)) + 1):
-                self.node[before[len(before) - k :]][s] += n
+        for context, s in self._steps(text):
+            self._count(context, s)
 
     def score(self, text: str | None) -> float:
-        total, every = 0.0, tokens(text)
-        tail = iter(tails(every, self.order))
-        for before, this, words in self.pairs(every):
-            own = [next(tail) for _ in words]
-            seen = self.run.get(before)
-            if seen and this in seen:
-                total += float(np.log10((2 * seen[this] - 1) / (2 * seen.total())))
-                continue
-            if seen:
-                total += float(np.log10(len(seen) / (2 * seen.total())))
-            total += sum(map(self.cost, words, own))
-        return total
+        return sum(self.symbol(context, s) for context, s in self._steps(text))
 
-    def cost(self, token: bytes, tail: bytes = b" ") -> float:
-        return sum(self._symbol(before[-self.order :], s) for before, s in self.symbols(token, tail))
+    def adapt(self, text: str | None) -> float:
+        """The same, learning each byte once it is coded."""
+        total = 0.0
+        for context, s in self._steps(text):
+            total += self.symbol(context, s)
+            self._count(context, s)
+        return total
 
-    def _symbol(self, context: bytes, s: int) -> float:
+    def symbol(self, context: bytes, s: int) -> float:
         excluded: set[int] = set()
         total = 0.0
         for k in range(len(context), -1, -1):
@@ -171,239 +123,341 @@ class Ppm:
 
 def adaptive(text: str | None, order: int = ORDER) -> float:
     """log10 probability of a text under a trie that starts empty and learns as it goes."""
-    model, total, words = Ppm(order), 0.0, tokens(text)
-    for t, tail in zip(words, tails(words, order), strict=True):
-        for before, s in model.symbols(t, tail):
-            total += model._symbol(before[-order:], s)
-            for k in range(min(order, len(before)) + 1):
-                model.node[before[len(before) - k :]][s] += 1
-    return total
+    return Ppm(order).adapt(text)
+
+
+def windows(texts: list[bytes], order: int = ORDER) -> np.ndarray:
+    """The window of each byte of normal texts: context bytes from the nearest on, then the symbol."""
+    raw = b"".join([x for t in texts for x in (_PAD, t)])
+    size = np.fromiter(map(len, texts), np.int64, len(texts)) + len(_PAD)
+    # The eight bytes that end at each place, as one little-endian number: the symbol is its top byte.
+    w = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+    inner = np.ones(len(raw), bool)
+    inner[((np.cumsum(size) - size)[:, None] + np.arange(len(_PAD))).reshape(-1)] = False
+    w = w[inner[7:]]
+    w = w << np.uint64(8) | w >> np.uint64(56)
+    return w & np.uint64(0xFF | (0xFFFFFFFFFFFFFFFF << 8 * (8 - order)) & 0xFFFFFFFFFFFFFFFF)
+
+
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    k = np.concatenate(keys)
+    by = np.argsort(k, kind="stable")
+    k = k[by]
+    first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.zeros(0, np.int64)
+    return k[first], np.add.reduceat(np.concatenate(counts)[by], first) if len(k) else np.zeros(0, np.int64)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes."""
+    import zstandard
 
+    raw = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(raw.T).tobytes())
 
-def windows(words: list[bytes], order: int = ORDER, before: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Packed (context, symbol) windows of all symbols of the tokens behind their tails, and the token of each.
 
-    A window's low byte is the symbol, above it the context, last byte first; bits 48 and up are the
-    context's length.
-    """
-    before = before or [b" "] * len(words)
-    full = [t + w + (b"" if w == END else b" ") for t, w in zip(before, words, strict=True)]
-    size, skip = np.fromiter(map(len, full), np.int64, len(full)), np.fromiter(map(len, before), np.int64, len(full))
-    flat = np.frombuffer(b"".join(full), np.uint8).astype(np.int64)
-    which = np.repeat(np.arange(len(full)), size)
-    off = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-    at = np.flatnonzero(off >= skip[which])
-    length = np.minimum(off[at], order)
-    win = flat[at] | length << 48
+def _numbers(blob: bytes, kind: str) -> np.ndarray:
+    import zstandard
+
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(raw.T).reshape(-1).view(kind)
+
+
+def _pack(keys: np.ndarray) -> bytes:
+    return _planes(np.diff(keys, prepend=np.zeros(1, np.uint64)))
+
+
+def _unpack(blob: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(blob, "<u8"), dtype=np.uint64)
+
+
+class _Block:
+    """What one block of documents gathers."""
+
+    def __init__(self, order: int):
+        self.order, self.size, self.rows = order, 0, []
+        self.pending: tuple[list, list, list] = ([], [], [])
+        self.waiting = 0
+        self.tokens: dict[bytes, int] = {}
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+
+    def add(self, doc_id: int | None, text: str | None, held: bool) -> None:
+        raw = normal(text)
+        for x, v in zip(self.pending, (doc_id, raw, held), strict=True):
+            x.append(v)
+        for t, n in Counter(raw.split()).items():
+            self.tokens[t] = self.tokens.get(t, 0) + n * (not held)
+        self.tokens[END] = self.tokens.get(END, 0) + (not held)
+        self.size += len(raw)
+        self.waiting += len(raw)
+        if self.waiting >= PIECE_BYTES:
+            self._piece()
+
+    def _piece(self) -> None:
+        import zstandard
+
+        ids, raws, held = self.pending
+        for out in (False, True):
+            if own := [r for r, h in zip(raws, held, strict=True) if h == out]:
+                k, n = np.unique(windows(own, self.order), return_counts=True)
+                self.keys.append(k)
+                self.counts.append(np.zeros(len(k), np.int64) if out else n)
+        self.rows.append({"doc_ids": ids, "held": held, "keys": zstandard.ZstdCompressor(level=3).compress(b"".join(raws))})
+        self.pending, self.waiting = ([], [], []), 0
+
+    def close(self, block: int, bounds: np.ndarray, groups: int):
+        if self.waiting:
+            self._piece()
+        for r in self.rows:
+            yield _block_rows("text", [block], doc_ids=[r["doc_ids"]], held=[r["held"]], keys=[r["keys"]])
+        keys, counts = summed(self.keys, self.counts)
+        cut = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
+        some = [i for i in range(len(cut) - 1) if cut[i] < cut[i + 1]]
+        for i in range(0, len(some), 64):
+            at = some[i : i + 64]
+            packed = [_pack(keys[cut[j] : cut[j + 1]]) for j in at], [_planes(counts[cut[j] : cut[j + 1]].astype("<u4")) for j in at]
+            yield _block_rows("window", [block] * len(at), part=at, keys=packed[0], counts=packed[1])
+        dealt: dict[int, list[bytes]] = defaultdict(list)
+        words = list(self.tokens)
+        for w, g in zip(words, (word_hashes(words) % np.uint64(groups)).tolist(), strict=True):
+            dealt[g].append(w)
+        for g, own in dealt.items():
+            counted = np.fromiter(map(self.tokens.__getitem__, own), np.int64, len(own))
+            yield _block_rows("token", [block], part=[g], keys=[_words(own)], counts=[_planes(counted.astype("<u4"))])
+
+
+def _words(words: list[bytes]) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=1).compress(b" ".join(words))
+
+
+def _split(blob: bytes) -> list[bytes]:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(blob).split(b" ")
+
+
+def _block_rows(kind: str, block: list[int], **columns) -> pa.RecordBatch:
+    size = len(block)
+    columns |= {"kind": [kind] * size, "block": block}
+    return batch(_BLOCK, *[columns.get(f.name, pa.nulls(size, f.type)) for f in _BLOCK])
+
+
+def _blocks(order: int, bounds: np.ndarray, groups: int, block_bytes: int):
+    def run(batches):
+        base, seq, own = TaskContext.get().partitionId() << 32, 0, _Block(order)
+        for b in batches:
+            for d, t, h in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
+                own.add(d, t.as_py(), h)
+                if own.size >= block_bytes:
+                    yield from own.close(base + seq, bounds, groups)
+                    own, seq = _Block(order), seq + 1
+        if own.size:
+            yield from own.close(base + seq, bounds, groups)
+
+    return run
+
+
+def _bounds(docs: DataFrame, size: int, order: int, range_bytes: int) -> np.ndarray:
+    """Sorted windows that cut all windows into ranges of about equal numbers of distinct ones."""
+    want = max(16, -(-size // range_bytes))
+    share = min(1.0, max(SAMPLE_BYTES, 64 * want) / max(size, 1))
+    some = [normal(r.text) for r in docs.select("text").sample(share, 7).collect()] if size else []
+    found = np.unique(windows(some, order)) if some else np.zeros(0, np.uint64)
+    return np.unique(found[np.linspace(0, len(found) - 1, min(want, len(found)) + 1).astype(int)[1:-1]]) if len(found) > 1 else np.zeros(0, np.uint64)
+
+
+def _range(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """All windows of a range and their training counts."""
+    keys = [_unpack(x.as_py()) for x in t.column("keys")]
+    return summed(keys, [_numbers(x.as_py(), "<u4").astype(np.int64) for x in t.column("counts")])
+
+
+def _prefix(w, level: int):
+    return w >> np.uint64(64 - 8 * level) if level else w & np.uint64(0)
+
+
+def borders(part: int, w: np.ndarray, n: np.ndarray, bounds: np.ndarray, order: int):
+    """Per level the range's edges (prefix and symbol) that other ranges may hold too, and their counts."""
+    ends = [bounds[i] for i in (part - 1, part) if 0 <= i < len(bounds)]
     for k in range(1, order + 1):
-        win |= np.where(length >= k, flat[np.maximum(at - k, 0)], 0) << (8 * k)
-    return win, which[at]
+        prefix = _prefix(w, k)
+        at = np.flatnonzero(np.isin(prefix, [_prefix(x, k) for x in ends])) if k > 1 else np.arange(len(w))
+        edge, count = summed([prefix[at] << np.uint64(8) | w[at] & np.uint64(0xFF)], [n[at]])
+        yield k, edge, count
 
 
-def costs(win: np.ndarray, n: np.ndarray, order0: np.ndarray, order1: np.ndarray) -> np.ndarray:
-    """log10 probability of each window. ``win`` holds all windows of the contexts' last two bytes.
+def costs(w: np.ndarray, n: np.ndarray, order: int, order1: np.ndarray, border: dict[int, tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """log10 probability of each of a range's sorted distinct windows.
 
-    ``order0[s]`` and ``order1[context byte, s]`` are the counts of the whole corpus.
+    ``order1[context byte, s]`` are counts of the whole corpus; ``border[level]`` holds the sorted
+    edges and counts, over all ranges, of the nodes that cross this range's bounds.
     """
-    length, sym = win >> 48, win & 0xFF
-    top = int(length.max()) if len(win) else 0
-    seen0, seen1 = order0 > 0, order1 > 0
-    # Per level: count of (context, symbol), total, distinct, and excluded total, for every window.
-    c, t, d, x = ([np.zeros(len(win), np.int64) for _ in range(top + 1)] for _ in range(4))
-    if top:
-        one = (win >> 8) & 0xFF
-        c[0], t[0], d[0] = order0[sym], np.full(len(win), order0.sum()), np.full(len(win), int(seen0.sum()))
-        c[1], t[1], d[1], x[1] = order1[one, sym], order1.sum(1)[one], seen1.sum(1)[one], (seen1 * order0).sum(1)[one]
-    for k in range(2, top + 1):
-        at = np.flatnonzero(length >= k)
-        context = (win[at] >> 8) & ((1 << (8 * k)) - 1)
-        edges, edge = np.unique(context << 8 | sym[at], return_inverse=True)
-        count = np.zeros(len(edges), np.int64)
-        np.add.at(count, edge, n[at])
-        nodes, node = np.unique(edges >> 8, return_inverse=True)
-        lower = np.zeros(len(edges), np.int64)
-        lower[edge] = c[k - 1][at]
-        total, distinct, excluded = (np.zeros(len(nodes), np.int64) for _ in range(3))
-        np.add.at(total, node, count)
-        np.add.at(distinct, node, count > 0)
-        np.add.at(excluded, node, np.where(count > 0, lower, 0))
-        c[k][at], t[k][at], d[k][at], x[k][at] = count[edge], total[node[edge]], distinct[node[edge]], excluded[node[edge]]
-    out, left = np.zeros(len(win)), np.ones(len(win), bool)
-    above_d, above_x = np.zeros(len(win), np.int64), np.zeros(len(win), np.int64)
-    for k in range(top, -1, -1):
-        here = left & (length >= k) & (t[k] > 0)
+    sym, one = (w & np.uint64(0xFF)).astype(np.int64), (w >> np.uint64(56)).astype(np.int64)
+    order0 = order1.sum(0)
+    some = order1 > 0
+    # Per level, for every window: its count, the node's total and number of symbols, their total one level below.
+    c, t = [order0[sym], order1[one, sym]], [np.full(len(w), order0.sum()), order1.sum(1)[one]]
+    d, x = [np.full(len(w), (order0 > 0).sum()), some.sum(1)[one]], [np.zeros(len(w), np.int64), (some * order0).sum(1)[one]]
+    below = np.arange(1 << 16, dtype=np.uint64), order1.reshape(-1)
+    for k in range(2, order + 1):
+        edges, at = np.unique(_prefix(w, k) << np.uint64(8) | w & np.uint64(0xFF), return_inverse=True)
+        count, lower = np.zeros(len(edges), np.int64), np.zeros(len(edges), np.int64)
+        np.add.at(count, at, n)
+        lower[at] = c[k - 1]
+        known, sums = border.get(k, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+        first = np.flatnonzero(np.concatenate(([True], edges[1:] >> np.uint64(8) != edges[:-1] >> np.uint64(8)))) if len(edges) else np.zeros(0, np.int64)
+        node = np.repeat(np.arange(len(first)), np.diff([*first, len(edges)]))
+        total, distinct, under = (np.add.reduceat(v, first) if len(first) else v for v in (count, (count > 0).astype(np.int64), np.where(count > 0, lower, 0)))
+        if len(known):
+            place = np.minimum(np.searchsorted(known, edges), len(known) - 1)
+            count = np.where(known[place] == edges, sums[place], count)
+            # The same edge one level below loses its farthest byte.
+            less = _shorter(known, k)
+            place = np.minimum(np.searchsorted(below[0], less), len(below[0]) - 1)
+            under_known = np.where((below[0][place] == less) & (sums > 0), below[1][place], 0)
+            names = edges[first] >> np.uint64(8)
+            for v in np.unique(known >> np.uint64(8)):
+                i = np.searchsorted(names, v)
+                if i < len(names) and names[i] == v:
+                    own = known >> np.uint64(8) == v
+                    total[i], distinct[i], under[i] = sums[own].sum(), (sums[own] > 0).sum(), under_known[own].sum()
+        below = known, sums
+        c.append(count[at])
+        for out, v in ((t, total), (d, distinct), (x, under)):
+            out.append(v[node[at]])
+    out, left = np.zeros(len(w)), np.ones(len(w), bool)
+    above_d, above_x = np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
+    for k in range(order, -1, -1):
         total, distinct = t[k] - above_x, d[k] - above_d
-        some = here & (distinct > 0)
-        hit = some & (c[k] > 0)
+        open_ = left & (t[k] > 0) & (distinct > 0)
+        hit = open_ & (c[k] > 0)
         out[hit] += np.log10((2 * c[k][hit] - 1) / (2 * total[hit]))
-        left &= ~hit
-        miss = some & ~hit
+        miss = open_ & ~hit
         out[miss] += np.log10(distinct[miss] / (2 * total[miss]))
-        above_d, above_x = np.where(here, d[k], above_d), np.where(here, x[k], above_x)
-    out[left] -= np.log10(256 - above_d[left])
+        left &= ~hit
+        above_d, above_x = d[k], x[k]
+    out[left] -= np.log10(256 - d[0][left])
     return out
 
 
-def _shrink(*parts: np.ndarray) -> bytes:
-    """Numbers below 2**32 as compressed byte planes."""
-    import zstandard
-
-    raw = np.concatenate(parts).astype("<u4").view(np.uint8).reshape(-1, 4)
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(raw.T).tobytes())
+def _shorter(edges: np.ndarray, level: int) -> np.ndarray:
+    return (edges >> np.uint64(16)) << np.uint64(8) | edges & np.uint64(0xFF)
 
 
-def _grow(blob: bytes) -> np.ndarray:
-    import zstandard
+class Lookup:
+    """Places of keys in a sorted hash array; every key that is asked for must be there."""
 
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(raw.T).view("<u4").reshape(-1).astype(np.int64)
-
-
-def _rows(size: int, **columns) -> pa.RecordBatch:
-    return batch(_A, *[columns.get(f.name, pa.nulls(size, f.type)) for f in _A])
-
-
-def _flush(block: int, numbers: _Numbers, ends: _Numbers, seqs: list[np.ndarray], before_: list[np.ndarray], doc_ids: list, held: list[bool]):
-    """The rows of one block."""
-    size, u, words = np.fromiter(map(len, seqs), np.int64, len(seqs)), np.concatenate(seqs), list(numbers)
-    out = np.array(held)
-    pairs, p = np.unique(np.concatenate(before_).astype(np.int64) << 32 | u, return_inverse=True)
-    n = np.bincount(p[np.repeat(~out, size)], minlength=len(pairs))
-    h = word_hashes(words)[u]
-    first, this, before = runs(h, size)
-    of = np.searchsorted(np.cumsum(size), first, "right")
-    length, start = np.diff([*first, len(u)]), np.cumsum(size) - size
-    for i in range(0, len(seqs), CHUNK_DOCS):
-        j = min(i + CHUNK_DOCS, len(seqs))
-        a, b = np.searchsorted(of, [i, j])
-        body = p[start[i] : start[j - 1] + size[j - 1]]
-        yield _rows(1, block=[block + i], doc_ids=[doc_ids[i:j]], held=[held[i:j]], tokens=[_shrink(np.array([j - i, b - a]), size[i:j], length[a:b], body)])
-    words, ends = pa.array(words, pa.binary()), pa.array(list(ends), pa.binary())
-    for i in range(0, len(pairs), 1 << 16):
-        part = pairs[i : i + (1 << 16)]
-        yield _rows(len(part), block=np.full(len(part), block), token_id=np.arange(i, i + len(part), dtype=np.int32), tail=ends.take(pa.array(part >> 32)), token=words.take(pa.array(part & 0xFFFFFFFF)), n=n[i : i + len(part)])
-    for i in range(0, len(first), 1 << 16):
-        k = len(first[i : i + (1 << 16)])
-        yield _rows(k, block=[block] * k, run=np.arange(i, i + k, dtype=np.int32), held_out=out[of[i : i + k]], before=before[i : i + k], this=this[i : i + k])
-
-
-def _blocks(block_bytes: int, order: int):
-    """Step 1: rows of documents, of their runs and of distinct pairs of tail and token, by block.
-
-    A block's number leaves its low 32 bits to the first document of each stored chunk.
-    """
+    ODD = np.uint64(0x9E3779B97F4A7C15)
 
-    def run(batches):
-        base, seq = TaskContext.get().partitionId() << 44, 0
-        numbers, ends, seqs, before, doc_ids, held, size = _Numbers(), _Numbers(), [], [], [], [], 0
-        for b in batches:
-            for d, t, h in zip(b.column(0), b.column(1), b.column(2), strict=True):
-                w = tokens(t.as_py())
-                seqs.append(np.fromiter(map(numbers.__getitem__, w), np.uint32, len(w)))
-                before.append(np.fromiter(map(ends.__getitem__, tails(w, order)), np.uint32, len(w)))
-                doc_ids.append(d.as_py())
-                held.append(h.as_py())
-                size += 6 * len(w) + len(t.as_py() or "")
-                if size >= 2 * block_bytes:
-                    yield from _flush(base + (seq << 32), numbers, ends, seqs, before, doc_ids, held)
-                    numbers, ends, seqs, before, doc_ids, held, size, seq = _Numbers(), _Numbers(), [], [], [], [], 0, seq + 1
-        if seqs:
-            yield from _flush(base + (seq << 32), numbers, ends, seqs, before, doc_ids, held)
+    def __init__(self, keys: np.ndarray):
+        h = keys * self.ODD
+        self.at = np.argsort(h, kind="stable")
+        self.h = h[self.at]
+        self.shift = np.uint64(64 - max(1, int(len(keys)).bit_length()))
+        self.first = np.searchsorted(self.h, np.arange(1 << (64 - int(self.shift)), dtype=np.uint64) << self.shift)
 
-    return run
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        h = keys * self.ODD
+        at = self.first[(h >> self.shift).astype(np.int64)]
+        left = np.flatnonzero(self.h[at] != h)
+        while len(left):
+            at[left] += 1
+            left = left[self.h[at[left]] != h[left]]
+        return at
 
 
-def pretrained(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def pretrained(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: int = BLOCK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Scores of all documents, learning from those for which ``held_out`` is false."""
+    if not 1 < order < 8:
+        raise ValueError("order must be from 2 to 7")
     spark = docs.sparkSession
-    a = save(docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("held_out")).mapInArrow(trimmed(_blocks(block_bytes, order)), _A_DDL), "ppm-blocks")
-    words = a.where("token_id is not null").select("block", "token_id", "tail", "token", "n")
-    vocabulary = words.groupBy("tail", "token").agg(F.sum("n").alias("c"))
-    vocabulary = save(vocabulary, "ppm-vocabulary")
-    n, v, size = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_distinct(F.when(F.col("c") > 0, F.col("token"))), F.count("*")).first()
-    vocabulary_blocks = max(16, -(-size // VOCABULARY_BLOCK))
-    vocabulary = vocabulary.withColumn("vb", F.pmod(F.xxhash64("token"), F.lit(vocabulary_blocks)).cast("int"))
-
-    def emit(key, t):
-        w, which = windows(t.column("token").to_pylist(), order, t.column("tail").to_pylist())
-        u, at = np.unique(w, return_inverse=True)
-        got = np.zeros(len(u), np.int64)
-        np.add.at(got, at, t.column("c").to_numpy()[which])
-        return pa.table([pa.array(np.full(len(u), key[0].as_py(), np.int32)), pa.array(u), pa.array(got)], schema=_W)
-
-    wanted = save(vocabulary.groupBy("vb").applyInArrow(emit, "vb int, win long, n long"), "ppm-windows")
-    low = wanted.select(F.expr("(win >> 8) & 255").alias("x"), F.expr("win & 255").alias("s"), "n").groupBy("x", "s").agg(F.sum("n").alias("n"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), held_out.alias("held_out"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    cuts = spark.sparkContext.broadcast(bounds := _bounds(docs, size, order, range_bytes))
+    groups = max(16, -(-size // TOKEN_GROUP_BYTES))
+    blocks = save(docs.mapInArrow(trimmed(_blocks(order, bounds, groups, block_bytes)), _BLOCK_DDL), "ppm-blocks", by="kind")
+    entries = blocks.where("kind = 'window'").select("part", "block", "keys", "counts")
+
+    def report(key, t):
+        part, (w, n) = key[0].as_py(), _range(t)
+        out = [pa.table([pa.array(np.full(len(e), part, np.int32)), pa.array(np.full(len(e), k, np.int32)), pa.array(e.view(np.int64)), pa.array(c)], schema=_EDGE) for k, e, c in borders(part, w, n, cuts.value, order)]
+        return pa.concat_tables(out)
+
+    edges = save(entries.groupBy("part").applyInArrow(report, "part int, level int, edge long, n long"), "ppm-borders")
+    order1 = np.zeros(1 << 16, np.int64)
     # At most 65,536 rows: contexts of one byte.
-    order1 = np.zeros((256, 256), np.int64)
-    for r in low.collect():
-        order1[r.x, r.s] = r.n
-    shared = spark.sparkContext.broadcast(order1)
-
-    def price(key, t):
-        w, at = np.unique(t.column("win").to_numpy(), return_inverse=True)
-        k = np.zeros(len(w), np.int64)
-        np.add.at(k, at, t.column("n").to_numpy())
-        one = shared.value
-        return pa.table([t.column("vb"), t.column("win"), pa.array(costs(w, k, one.sum(0), one)[at])], schema=_C)
-
-    deals = max(TAILS, -(-wanted.count() // TAIL_WINDOWS))
-    trie = wanted.withColumn("deal", F.pmod(F.xxhash64(F.expr("(win >> 8) & 65535")), F.lit(deals)).cast("int"))
-    pulled = trie.groupBy("deal").applyInArrow(price, "vb int, win long, cost double")
-
-    def score_words(t, p):
-        w, which = windows(t.column("token").to_pylist(), order, t.column("tail").to_pylist())
-        known, cost = p.column("win").to_numpy(), p.column("cost").to_numpy()
-        by = np.argsort(known)
-        got = cost[by][np.searchsorted(known[by], w)]
-        token = t.column("token").combine_chunks().dictionary_encode().indices.to_numpy()
-        c = np.bincount(token, t.column("c").to_numpy()).astype(np.int64)[token]
-        return pa.table([t.column("tail").cast(pa.binary()), t.column("token").cast(pa.binary()), pa.array(c), pa.array(np.bincount(which, got, t.num_rows))], schema=_V)
-
-    scored = save(vocabulary.groupBy("vb").cogroup(pulled.groupBy("vb")).applyInArrow(score_words, "tail binary, token binary, c long, lp double"), "ppm-scored")
-    floor = 0.1 / (n + 0.1 * (v + 1))
-
-    texts = a.where("tokens is not null").select((F.shiftright("block", 32)).alias("group"), "block", "doc_ids", "held", "tokens")
-    pieces = a.where("run is not null").select("block", "run", "held_out", "before", "this")
-    edges = pieces.where("not held_out").groupBy("before", "this").agg(F.count("*").alias("c"))
-    edges = save(edges, "ppm-runs")
-    nodes = edges.groupBy("before").agg(F.sum("c").alias("t"), F.count("*").alias("d"))
-
-    def score_docs(d, w):
-        kind = w.column("run").is_null().to_numpy()
-        of_run, w = w.filter(pa.array(~kind)), w.filter(pa.array(kind))
-        c, lp = np.zeros(w.num_rows, np.int64), np.zeros(w.num_rows)
-        at = w.column("token_id").to_numpy()
-        c[at], lp[at] = w.column("c").to_numpy(), w.column("lp").to_numpy()
-        base = np.log10((c + 0.1) * (floor / 0.1))
-        extra, found = np.zeros(of_run.num_rows), np.zeros(of_run.num_rows, bool)
-        at = of_run.column("run").to_numpy()
-        extra[at], found[at] = of_run.column("lp").to_numpy(), of_run.column("c").to_numpy() > 0
-        run = 0
-        d = d.sort_by("block")
-        parts = []
-        for i in range(d.num_rows):
-            body = _grow(d.column("tokens")[i].as_py())
-            k, r = body[0], body[1]
-            size, length, u = body[2 : 2 + k], body[2 + k : 2 + k + r], body[2 + k + r :]
-            doc, first = np.cumsum(size) - size, np.cumsum(length) - length
-            spelled = np.where(found[run : run + r], 0.0, np.add.reduceat(lp[u], first)) + extra[run : run + r]
-            run += r
-            ids, held = d.column("doc_ids")[i].values, d.column("held")[i].values
-            parts.append(pa.record_batch([ids, held, pa.array(size), pa.array(np.add.reduceat((c[u] > 0).astype(np.int64), doc)), pa.array(np.full(k, n)), pa.array(np.add.reduceat(base[u], doc)), pa.array(np.add.reduceat(spelled, np.searchsorted(first, doc)))], schema=_R))
-        return pa.Table.from_batches(parts, _R)
-
-    none = F.lit(None).cast("int")
-    slices = words.select(F.shiftright("block", 32).alias("own_group"), "token_id", "tail", "token").join(scored, ["tail", "token"]).select("own_group", none.alias("run"), "token_id", "c", "lp")
-    # The code length of each run: 0 where its context is new, of the run where the pair is known
-    # (c > 0), else of the escape. The start of a text is the context of a run of every document.
-    priced = edges.join(nodes, "before").select("before", "this", "c", F.log10((2 * F.col("c") - 1) / (2 * F.col("t"))).alias("found"))
-    escape = nodes.select("before", F.log10(F.col("d") / (2 * F.col("t"))).alias("escape"))
-    wanted_runs = pieces.where("before != 0").join(priced, ["before", "this"], "left").join(escape, "before", "left")
-    start = nodes.where("before = 0").first()
-    first = pieces.where("before = 0").join(edges.where("before = 0").select("this", "c"), "this", "left")
-    first_cost = [F.lit(0.0)] * 2 if start is None else [F.log10((2 * F.col("c") - 1) / F.lit(2 * start.t)), F.log10(F.lit(start.d / (2 * start.t)))]
-    run_slice = [F.shiftright("block", 32).alias("own_group"), "run", none.alias("token_id"), F.coalesce("c", F.lit(0)).alias("c")]
-    of_runs = wanted_runs.select(*run_slice, F.coalesce("found", "escape", F.lit(0.0)).alias("lp"))
-    of_first = first.select(*run_slice, F.coalesce(first_cost[0], first_cost[1]).alias("lp"))
-    right = slices.unionByName(save(of_runs.unionByName(of_first), "ppm-run-slices"))
-    return texts.groupBy("group").cogroup(right.groupBy("own_group")).applyInArrow(score_docs, _R_DDL)
+    for r in edges.where("level = 1").groupBy("edge").agg(F.sum("n").alias("n")).collect():
+        order1[r.edge] = r.n
+    low = spark.sparkContext.broadcast(order1.reshape(256, 256))
+    node = F.shiftrightunsigned("edge", 8)
+    upper = edges.where("level > 1")
+    sums = upper.groupBy("level", "edge").agg(F.sum("n").alias("n")).withColumn("node", node)
+    needs = upper.select("part", "level", node.alias("node")).distinct()
+    border = needs.join(sums, ["level", "node"]).select("part", "level", "edge", "n")
+
+    def price(t, b):
+        if not t.num_rows:
+            return _PULL.empty_table()
+        level, edge, n = b.column("level").to_numpy(), b.column("edge").to_numpy().view(np.uint64), b.column("n").to_numpy()
+        known = {}
+        for k in range(2, order + 1):
+            at = np.flatnonzero(level == k)
+            at = at[np.argsort(edge[at])]
+            known[k] = edge[at], n[at]
+        w, counts = _range(t)
+        cost = costs(w, counts, order, low.value, known).astype("<f4")
+        pulled = [_planes(cost[np.searchsorted(w, _unpack(x.as_py()))]) for x in t.column("keys")]
+        size = t.num_rows
+        return pa.table([pa.array(["window"] * size), t.column("block"), t.column("keys").cast(pa.binary()), pa.array(pulled, pa.binary()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64())], schema=_PULL)
+
+    def count(key, t):
+        total: dict[bytes, int] = {}
+        words = [_split(x.as_py()) for x in t.column("keys")]
+        for own, x in zip(words, t.column("counts"), strict=True):
+            for w, n in zip(own, _numbers(x.as_py(), "<u4").tolist(), strict=True):
+                total[w] = total.get(w, 0) + n
+        pulled = [_planes(np.fromiter(map(total.__getitem__, own), np.int64, len(own))) for own in words]
+        size = t.num_rows
+        once = lambda v: pa.array([v, *[0] * (size - 1)], pa.int64())
+        return pa.table([pa.array(["token"] * size), t.column("block"), t.column("keys").cast(pa.binary()), pa.array(pulled, pa.binary()), once(sum(total.values())), once(sum(n > 0 for n in total.values()))], schema=_PULL)
+
+    counted = save(blocks.where("kind = 'token'").select("part", "block", "keys", "counts").groupBy("part").applyInArrow(count, _PULL_DDL), "ppm-tokens")
+    priced = save(entries.groupBy("part").cogroup(border.groupBy("part")).applyInArrow(price, _PULL_DDL), "ppm-costs")
+    release(edges)
+    release(blocks, "kind=window")
+    release(blocks, "kind=token")
+    n, v = counted.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("distinct"), F.lit(0))).first()
+
+    def score(t, p):
+        import zstandard
+
+        if not t.num_rows:
+            return _RESULT.empty_table()
+        kind = p.column("kind").to_numpy(zero_copy_only=False)
+        own, of_token = p.filter(pa.array(kind == "window")), p.filter(pa.array(kind == "token"))
+        place = Lookup(np.concatenate([_unpack(x.as_py()) for x in own.column("keys")]))
+        cost = np.concatenate([_numbers(x.as_py(), "<f4") for x in own.column("counts")])[place.at].astype(float)
+        words = [w for x in of_token.column("keys") for w in _split(x.as_py())]
+        known = dict(zip(words, np.concatenate([_numbers(x.as_py(), "<i8") for x in of_token.column("counts")]).tolist(), strict=True))
+        out = []
+        for ids, held, blob in zip(t.column("doc_ids"), t.column("held"), t.column("keys"), strict=True):
+            raws = zstandard.ZstdDecompressor().decompress(blob.as_py()).split(END)[:-1]
+            raws = [r + END for r in raws]
+            start = np.cumsum([0, *map(len, raws[:-1])])
+            spelled = np.add.reduceat(cost[place(windows(raws, order))], start)
+            split = [r.split() for r in raws]
+            m = np.fromiter(map(len, split), np.int64, len(split)) + 1
+            c = np.fromiter((known[w] for s in split for w in (*s, END)), np.int64, int(m.sum()))
+            first = np.cumsum(m) - m
+            base = np.add.reduceat(np.log10((c + 0.1) / (n + 0.1 * (v + 1))), first)
+            out.append(pa.record_batch([ids.values, held.values, pa.array(m), pa.array(np.add.reduceat((c > 0).astype(np.int64), first)), pa.array(np.full(len(m), n, np.int64)), pa.array(base), pa.array(spelled)], schema=_RESULT))
+        return pa.Table.from_batches(out, _RESULT)
+
+    texts = blocks.where("kind = 'text'").select("block", "doc_ids", "held", "keys")
+    pulled = priced.unionByName(counted).select("kind", "block", "keys", "counts")
+    return texts.groupBy("block").cogroup(pulled.groupBy("block")).applyInArrow(score, _RESULT_DDL)
