@@ -90,3 +90,45 @@ def test_query_against_brute_force(spark):
     d = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted((tuple(r) for r in queries.op7_jaccard(spark, d).collect()), key=str) == brute(rows)
+
+
+def templated(seed, n, slots=24):
+    """Texts of one template with two choices a slot: dense regions of documents that mostly do not link."""
+    rng = random.Random(seed)
+    fixed = [[f"t{i}{x}" for x in "abcd"] for i in range(slots)]
+    return [(k, " ".join(w for i in range(slots) for w in (*fixed[i], f"c{i}{rng.randrange(2)}"))) for k in range(n)]
+
+
+def counting(monkeypatch):
+    """Counts the pairs that are compared by their texts."""
+    compared, verify = [], jaccard._verify
+
+    def counted(pairs, *more):
+        compared.append(pairs.count())
+        return verify(pairs, *more)
+
+    monkeypatch.setattr(jaccard, "_verify", counted)
+    return compared
+
+
+@pytest.mark.parametrize(("chunk", "share"), [(4000, 0.2), (40, 1.0)])
+def test_dense_regions_are_cut_by_pivot_distances(spark, monkeypatch, chunk, share):
+    """The recursion finds what brute force finds, far from comparing all pairs."""
+    rows, compared = templated(3, 400), counting(monkeypatch)
+    monkeypatch.setattr(jaccard, "CHUNK", chunk)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r)[:3] for r in jaccard.groups(df, 3, 90).collect()), key=str) == brute(rows, 3, 90)
+    assert sum(compared) < share * 400 * 399 / 2, compared
+
+
+@pytest.mark.parametrize("chunk", [4000, 12])
+def test_rings_separate_clusters_and_leave_the_rest_whole(spark, monkeypatch, chunk):
+    """Regions of several clusters, with members at equal distances from each other, end and are exact."""
+    monkeypatch.setattr(jaccard, "SMALL", 2)
+    monkeypatch.setattr(jaccard, "CHUNK", chunk)
+    shared = " ".join(f"s{i}" for i in range(40))
+    rows = [(k, f"{shared} " + " ".join(f"o{k}x{i}" for i in range(9))) for k in range(40)]
+    rows += [(100 + k, f"{shared} " + " ".join(f"o{k}x{i}" for i in range(8))) for k in range(0, 40, 4)]
+    rows += [(200 + k, f"{shared} " + " ".join(f"o{k % 5}y{i}" for i in range(30)) + f" z{k}") for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r)[:3] for r in jaccard.groups(df, 2, 93).collect()), key=str) == brute(rows, 2, 93)
