@@ -59,3 +59,23 @@ def test_items_without_an_id_hit(spark):
     sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
     assert [(got[k].n_hit, got[k].n_items, got[k].items_sha256, got[k].contaminated) for k in (1, 2, 3)] == [(20, 1, sha(""), True), (40, 2, sha(",7"), True), (0, 0, sha(""), False)]
     assert [r.doc_id for r in decontaminate.keep_clean(docs, items).collect()] == [3]
+
+
+def test_a_benchmark_in_parts_gives_the_same(spark):
+    d = "/root/testdata/sf0.001"
+    read = lambda t, *c: spark.read.parquet(f"{d}/{t}.parquet").select(*c)
+    docs, items = read("documents", "doc_id", "text").limit(300), read("benchmark", "item_id", "text")
+    extra = spark.createDataFrame([(None, None), (None, "a window without an id"), (9, "A window without, an id")], "item_id long, text string")
+    docs = docs.union(spark.createDataFrame([(None, "xx a window without an id"), (5, None)], "doc_id long, text string")).cache()
+    items = items.withColumn("item_id", items.item_id.cast("long")).union(extra)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(decontaminate.flag(docs, items, part_bytes=2000)) == key(decontaminate.flag(docs, items))
+    assert key(decontaminate.keep_clean(docs, items, part_bytes=2000)) == key(decontaminate.keep_clean(docs, items))
+    assert key(decontaminate.keep_clean(docs, items, remove="spans", part_bytes=3000)) == key(decontaminate.keep_clean(docs, items, remove="spans"))
+
+
+def test_items_of_one_repeated_window(spark):
+    items = [(1, "la " * 5000), (2, "la " * 13), (3, "la la")]
+    docs = [(1, "la " * 40), (2, "x la la y"), (3, "la")]
+    got = decontaminate.flag(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((tuple(r) for r in got.drop("spans").collect()), key=str) == brute(docs, items)
