@@ -4,7 +4,8 @@ Each source has a target share of the output; its mean repetition rate is
 ``share * output rows / rows of the source``. A document's number of copies is Poisson distributed
 with that mean, by inversion of the distribution at a number in (0, 1) that is hashed from the seed
 and the doc_id, so a rerun or a lost executor gives the same copies. Copies are exploded and
-shuffled globally by sorting on a second hash.
+shuffled globally by sorting on a second hash; that hash is uniform, so its leading bits deal the
+copies to equal partitions in order, without a sampling run over the corpus.
 
 Means above ``PART`` are split into equal parts with a number each, whose counts are added: a sum
 of Poisson variables is Poisson distributed, and no term underflows.
@@ -26,6 +27,8 @@ TEMPERATURE = 0.5
 PART = 8.0
 #: Terms of the distribution function; the rest of a Poisson(8) beyond 64 is below 2**-53.
 TERMS = 64
+#: Hexadecimal digits of the shuffle key.
+KEY_DIGITS = 15
 #: A table of at most so many sources is broadcast (three numbers and a 64-term list each).
 BROADCAST_SOURCES = 20_000
 
@@ -76,8 +79,12 @@ def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, t
     total = F.aggregate(counts, F.lit(0), lambda a, b: a + b)
     both = docs.join(r, F.col("source").eqNullSafe(F.col("rate_source"))).withColumn("rate_n", total).where("rate_n > 0")
     copies = both.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rate_n"))))
-    key = _hash(15, seed, "order", doc, F.col("copy").cast("string"))
-    return copies.select(*docs.columns, "copy", key.alias("shuffle_key")).orderBy("shuffle_key", "doc_id", "copy")
+    key = _hash(KEY_DIGITS, seed, "order", doc, F.col("copy").cast("string"))
+    copies = copies.select(*docs.columns, "copy", key.alias("shuffle_key"))
+    # The share of the key in its range times the number of partitions, by its 24 leading bits.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    task = F.shiftright(F.shiftright("shuffle_key", 4 * KEY_DIGITS - 24) * F.lit(tasks).cast("long"), 24).cast("int")
+    return copies.repartitionById(tasks, task).sortWithinPartitions("shuffle_key", "doc_id", "copy")
 
 
 ORACLE = """
