@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,17 +56,19 @@ class _Page:
         #: Elements that are dropped by their names; those that have such names, and if as comments.
         self.gone, self.named = gone, {}
         self.blocks: list[tuple[int, str, int]] = []
+        #: The nearest block element that an element is in, itself included.
+        self.block = [0]
         self._stack, self._parts, self._links, self._in_link = [0], [], 0, 0
+        #: Depths of the open elements by name, and of all open block elements: no tag scans the stack.
+        self._depths: dict[str, list[int]] = defaultdict(list)
+        self._blocks_open: list[int] = []
         self._parse(source)
 
     def _flush(self) -> None:
         if self._parts:
             text = " ".join("".join(self._parts).split())
             if text:
-                at = self._stack[-1]
-                while self.tag[at] not in BLOCK and at:
-                    at = self.parent[at]
-                self.blocks.append((at, text, min(self._links, len(text))))
+                self.blocks.append((self.block[self._stack[-1]], text, min(self._links, len(text))))
         self._parts, self._links = [], 0
 
     def _text(self, raw: str) -> None:
@@ -80,18 +83,20 @@ class _Page:
             name = self.tag[self._stack[-1]]
             if name in BLOCK:
                 self._flush()
+                self._blocks_open.pop()
             if name == "a":
                 self._in_link -= 1
+            self._depths[name].pop()
             self._stack.pop()
 
+    def _nearest(self, names) -> int:
+        """The depth of the innermost open element of these names, 0 if there is none."""
+        return max((self._depths[x][-1] for x in names if self._depths.get(x)), default=0)
+
     def _close_open(self, names, limits) -> None:
-        for depth in range(len(self._stack) - 1, 0, -1):
-            name = self.tag[self._stack[depth]]
-            if name in names:
-                self._pop_to(depth)
-                return
-            if name in limits:
-                return
+        depth = self._nearest(names)
+        if depth > self._nearest(limits):
+            self._pop_to(depth)
 
     def _start(self, name: str, attrs: str) -> None:
         if name in BLOCK:
@@ -113,6 +118,10 @@ class _Page:
         self.parent.append(up)
         self.tag.append(name)
         self.dropped.append(drop)
+        self.block.append(len(self.tag) - 1 if name in BLOCK else self.block[up])
+        self._depths[name].append(len(self._stack))
+        if name in BLOCK:
+            self._blocks_open.append(len(self._stack))
         self._stack.append(len(self.tag) - 1)
         if name == "a":
             self._in_link += 1
@@ -144,13 +153,9 @@ class _Page:
         return gone if left or not every[0] else frozenset()
 
     def _end(self, name: str) -> None:
-        for depth in range(len(self._stack) - 1, 0, -1):
-            at = self.tag[self._stack[depth]]
-            if at == name:
-                self._pop_to(depth)
-                return
-            if at in BLOCK and name not in BLOCK:
-                return
+        depth = self._nearest((name,))
+        if depth and (name in BLOCK or not self._blocks_open or self._blocks_open[-1] < depth):
+            self._pop_to(depth)
 
     def _parse(self, source: str) -> None:
         at, end = 0, len(source)
@@ -165,7 +170,7 @@ class _Page:
                 continue
             name = name.lower()
             if m[1]:
-                if name == "p" and not any(self.tag[i] == "p" for i in self._stack):
+                if name == "p" and not self._depths["p"]:
                     continue
                 self._end(name)
             elif name in RAW:
@@ -183,19 +188,19 @@ class _Page:
         n = len(self.tag)
         points, chars, links = [0.0] * n, [0] * n, [0] * n
         for at, text, linked in self.blocks:
-            up = at
-            while up >= 0:
-                chars[up] += len(text)
-                links[up] += linked
-                up = self.parent[up]
+            chars[at] += len(text)
+            links[at] += linked
             paragraph = self.tag[at] in PARAGRAPH
-            if not paragraph and len(text) < 25:
-                continue
-            got = 1 + text.count(",") + text.count("，") + text.count("、") + min(len(text) / 100, 3)
-            up = self.parent[at] if paragraph else at
-            while up > 0:
-                points[up] += got
-                got, up = got / 2, self.parent[up]
+            if paragraph or len(text) >= 25:
+                got = 1 + text.count(",") + text.count("，") + text.count("、") + min(len(text) / 100, 3)
+                points[self.parent[at] if paragraph else at] += got
+        # Children have larger numbers than their parents: sums, and half of the points, pass upwards.
+        for i in range(n - 1, 0, -1):
+            up = self.parent[i]
+            chars[up] += chars[i]
+            links[up] += links[i]
+            points[up] += points[i] / 2
+        points[0] = 0.0
         score = [p * (1 - links[i] / chars[i]) if chars[i] else 0.0 for i, p in enumerate(points)]
         best = max(range(n), key=lambda i: (score[i], -i))
         if score[best] <= 0:
@@ -212,14 +217,10 @@ class _Page:
                 density = links[i] / chars[i]
                 if score[i] >= max(10, score[best] / 5) or (self.tag[i] in PARAGRAPH and (chars[i] > 80 and density < 0.25)):
                     keep.add(i)
-        out = []
-        for at, text, _ in self.blocks:
-            up = at
-            while up >= 0 and up not in keep:
-                up = self.parent[up]
-            if up >= 0:
-                out.append(text)
-        return out
+        inside = [False] * n
+        for i in range(n):
+            inside[i] = i in keep or (i > 0 and inside[self.parent[i]])
+        return [text for at, text, _ in self.blocks if inside[at]]
 
 
 def main_text(source: str | None) -> str:

@@ -69,3 +69,13 @@ def test_named_boilerplate_goes_beside_an_article():
     inner = f"<div class=post><p>{BODY} <span class=share>Share</span> end</p></div><div class=related><article><p>Teaser text of another article</p></article></div><div id=comments><p>{BODY}</p><p>{BODY}</p></div>"
     assert html_extract.main_text(page(f"<main>{inner}</main>")) == f"{BODY} end".replace("  ", " ")
     assert html_extract.main_text(page(f"<div id=comments><p>{BODY}</p></div>")) == BODY.strip()
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    t = time.perf_counter()
+    deep = "<div>" * 60_000 + "<p>A paragraph, long enough to be kept as the text of the page.</p>" + "<span>" * 60_000 + "</i>" * 20_000
+    assert html_extract.main_text(deep).startswith("A paragraph")
+    assert html_extract.main_text("<p>x</b>" * 30_000).count("x") == 30_000
+    assert time.perf_counter() - t < 30
