@@ -4,19 +4,19 @@ A document's passages are its windows and its chunks. From each line with words
 the first line where it has ``PASSAGE_WORDS`` words, and to each such line one reaches back; so any
 run of whole lines of that many words is made up of windows of its own, whatever stands around it.
 Shorter repeats are found by chunks: the local maxima of a rolling hash over two line hashes cut the
-lines into chunks of two lines or more (three on average), of which those of at least two lines and
-``LEAST_WORDS`` words count, with their first line and (as lines before may move it) without; a line
-of ``LONG_LINE`` words or more is a chunk of its own. A line goes if it is part of a passage that
+lines into chunks of two lines or more (three on average), which count if they hold at least two lines
+with words, with their first line and (as lines before may move it) without; a line of ``LONG_LINE``
+words or more is a chunk of its own. A line goes if it is part of a passage that
 occurred before: the first occurrence (smallest doc_id, then text hash, then place) stays. A passage
 that overlaps its own first occurrence in the document is no occurrence, so a line repeated without
 end keeps one window.
 
-Only hashes are shuffled to find the repeats; the texts of repeated passages alone are compared.
+Only 128-bit hashes are shuffled to find the repeats; the texts of repeated passages alone are
+compared, and a hash that stands for several texts is counted for each of them.
 
 Defined results: null text stays null (no lines); empty text is one empty line; null doc_ids come
 after all others in the order of occurrences; rows equal in doc_id and text are one occurrence and
-are treated alike; passages whose hashes agree but whose bytes do not are kept; extra columns are not
-carried.
+are treated alike; extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -27,30 +27,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import batch, mix64, save, trimmed
+from linkflow.llm.common import batch, mix64, release, save, trimmed
 
 #: Most lines of a chunk.
 MOST_LINES = 64
-LONG_LINE, LEAST_WORDS, PASSAGE_WORDS = 40, 10, 50
+LONG_LINE, PASSAGE_WORDS = 40, 50
 #: Marks (28 bytes each) up to which they are broadcast to the texts.
 BROADCAST_MARKS = 1_000_000
 
-_OCCUR = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("h", pa.int64())])
-_TEXT = pa.schema([("h", pa.int64()), ("chunk", pa.binary())])
+_OCCUR = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("h", pa.binary())])
+_TEXT = pa.schema([("h", pa.binary()), ("chunk", pa.binary()), ("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int32()), ("n", pa.int32())])
 _RESULT = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_lines", pa.int64()), ("n_removed", pa.int64())])
 
 
-def _hash(raw: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(raw)
-
-
-def signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
-
-
 def _cuts(lines: list[bytes]) -> list[tuple[int, int]]:
     """(first, end) of the content-defined chunks of a document's lines."""
-    h = np.fromiter(map(_hash, lines), np.uint64, len(lines))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, lines), np.uint64, len(lines))
     prev = np.concatenate((np.zeros(1, np.uint64), h[:-1]))
     roll = mix64(h ^ (prev << np.uint64(1)))
     cut = np.zeros(len(lines), bool)
@@ -78,10 +70,10 @@ def passages(lines: list[bytes]) -> list[tuple[int, int, bytes]]:
     start = np.searchsorted(sums, sums[some + 1] - PASSAGE_WORDS, "right") - 1
     ahead, back = end <= len(lines), sums[some + 1] >= PASSAGE_WORDS
     at = {*zip(some[ahead].tolist(), end[ahead].tolist(), strict=True), *zip(start[back].tolist(), (some[back] + 1).tolist(), strict=True)}
+    told = np.concatenate(([0], np.cumsum(size > 0)))
     for first, b in _cuts(lines):
         for a in (first, first + 1):
-            n = sums[b] - sums[a]
-            if n >= LONG_LINE or (b - a > 1 and n >= LEAST_WORDS):
+            if sums[b] - sums[a] >= LONG_LINE or told[b] - told[a] > 1:
                 at.add((a, b))
     raw, edge = b"\n".join(lines), np.concatenate(([0], np.cumsum([len(x) + 1 for x in lines]))).tolist()
     out, first = [], {}
@@ -92,18 +84,6 @@ def passages(lines: list[bytes]) -> list[tuple[int, int, bytes]]:
     return out
 
 
-def candidates(lines: list[bytes]):
-    """(line, end, (bytes of a passage, place in it)) of all lines of all passages: the plain form of the rule."""
-    for a, b, raw in passages(lines):
-        for i in range(a, b):
-            yield i, i + 1, (raw, i - a)
-
-
-def chunks(lines: list[bytes]) -> list[tuple[int, int]]:
-    """(first, end) of what is kept or removed as a whole: single lines."""
-    return [(i, i + 1) for i in range(len(lines))]
-
-
 def _lines(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").split(b"\n")
 
@@ -113,24 +93,26 @@ def _occurrences(batches):
         rows: tuple[list, ...] = ([], [], [], [], [])
         for d, t, th in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
             for a, e, raw in passages(_lines(t.as_py())):
-                for r, v in zip(rows, (d, th, a, e - a, signed(_hash(raw))), strict=True):
+                for r, v in zip(rows, (d, th, a, e - a, xxhash.xxh3_128_digest(raw)), strict=True):
                     r.append(v)
         yield batch(_OCCUR, *rows)
 
 
 def _chunk_texts(batches):
+    """The bytes of marked passages and their places."""
     for b in batches:
         for i in range(0, b.num_rows, 256):
-            hs, raws = [], []
-            for t, marks in zip(b.column(0).slice(i, 256), b.column(1).slice(i, 256).to_pylist(), strict=True):
-                want = {(m["pos"], m["n"], m["h"]) for m in marks}
-                raw, edge = (x := t.as_py().encode("utf-8", "replace")), [0]
-                for line in x.split(b"\n"):
+            p = b.slice(i, 256)
+            rows: tuple[list, ...] = ([], [], [], [], [], [])
+            for t, marks, d, th in zip(p.column(0), p.column(1).to_pylist(), p.column(2).to_pylist(), p.column(3).to_pylist(), strict=True):
+                raw, edge = t.as_py().encode("utf-8", "replace"), [0]
+                for line in raw.split(b"\n"):
                     edge.append(edge[-1] + len(line) + 1)
-                for a, n, h in want:
-                    hs.append(h)
-                    raws.append(raw[edge[a] : edge[a + n] - 1])
-            yield batch(_TEXT, hs, raws)
+                for m in marks:
+                    a, n = m["pos"], m["n"]
+                    for r, v in zip(rows, (m["h"], raw[edge[a] : edge[a + n] - 1], d, th, a, n), strict=True):
+                        r.append(v)
+            yield batch(_TEXT, *rows)
 
 
 def _rebuild(batches):
@@ -159,10 +141,10 @@ def _rebuild(batches):
 def _per_doc(rows: DataFrame, *fields: str) -> DataFrame:
     """Marks of each document (doc_id and hash of its text) in one list, bounded by its lines.
 
-    A saved table of few marks is broadcast, so that texts stay where they are; beyond that both
-    sides are sorted.
+    Rows that are equal in both give equal marks, which count once. A saved table of few marks is
+    broadcast, so that texts stay where they are; beyond that both sides are sorted.
     """
-    lists = rows.groupBy(F.col("doc_id").alias("mark_id"), F.col("th").alias("mark_th")).agg(F.collect_list(F.struct(*fields)).alias("marks"))
+    lists = rows.groupBy(F.col("doc_id").alias("mark_id"), F.col("th").alias("mark_th")).agg(F.collect_set(F.struct(*fields)).alias("marks"))
     return F.broadcast(lists) if rows.count() <= BROADCAST_MARKS else lists.hint("merge")
 
 
@@ -170,13 +152,23 @@ def dedup(docs: DataFrame) -> DataFrame:
     """``doc_id, text, n_lines, n_removed`` of ``docs(doc_id, text)``: the text that is left, lines before, lines removed."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("th"))
     own = F.col("doc_id").eqNullSafe(F.col("mark_id")) & (F.col("th") == F.col("mark_th"))
-    seen = save(docs.where("text is not null").mapInArrow(trimmed(_occurrences), "doc_id long, th long, pos int, n int, h long"), "line-chunks")
+    seen = save(docs.where("text is not null").mapInArrow(trimmed(_occurrences), "doc_id long, th long, pos int, n int, h binary"), "line-chunks")
     at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "pos")
     repeated = seen.groupBy("h").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first != last").select("h", "first")
     marks = save(seen.join(repeated, "h").select("doc_id", "th", "pos", "n", "h", (at == F.col("first")).alias("is_first")), "line-marks")
-    texts = docs.where("text is not null").join(_per_doc(marks, "pos", "n", "h"), own).select("text", "marks").mapInArrow(trimmed(_chunk_texts), "h long, chunk binary")
-    # The comparison of bytes: one distinct text behind the hash.
-    same = save(texts.groupBy("h", "chunk").agg(F.lit(1).alias("one")).groupBy("h").agg(F.count("*").alias("n")).where("n = 1").select("h"), "line-same")
-    gone = save(marks.where("not is_first").join(same, "h", "left_semi").select("doc_id", "th", "pos", "n"), "line-gone")
+    release(seen)
+    ddl = "h binary, chunk binary, doc_id long, th long, pos int, n int"
+    texts = docs.where("text is not null").join(_per_doc(marks, "pos", "n", "h"), own).select("text", "marks", "doc_id", "th").mapInArrow(trimmed(_chunk_texts), ddl)
+    # The comparison of bytes: one distinct text behind the hash, or (never seen) the first place of each text.
+    kinds = save(texts.groupBy("h", "chunk").agg(F.lit(1).alias("one")).groupBy("h").agg(F.count("*").alias("k")), "line-kinds")
+    gone = marks.where("not is_first").join(kinds.where("k = 1"), "h", "left_semi").select("doc_id", "th", "pos", "n")
+    several = kinds.where("k > 1").select("h")
+    if not several.isEmpty():
+        mixed = save(texts.join(F.broadcast(several) if several.count() <= BROADCAST_MARKS else several, "h", "left_semi"), "line-mixed")
+        first = mixed.groupBy("h", "chunk").agg(F.min(at).alias("first"))
+        gone = gone.union(mixed.join(first, ["h", "chunk"]).where(at != F.col("first")).select("doc_id", "th", "pos", "n"))
+    gone = save(gone, "line-gone")
+    for used in (marks, kinds):
+        release(used)
     both = docs.join(_per_doc(gone, "pos", "n"), own, "left").select("doc_id", "text", "marks")
     return both.mapInArrow(trimmed(_rebuild), "doc_id long, text string, n_lines long, n_removed long")
