@@ -9,17 +9,22 @@ A text goes to the language with the least cross-entropy per character. The temp
 scores and the rejection threshold are calibrated on sample documents kept out of the counts.
 
 Contexts end at the word, so a word's log probabilities are worked out once per worker and summed.
-Words are runs of letters, lower-cased; runs longer than ``LONGEST`` letters are cut there.
+Words start with a letter and hold letters and their marks (Unicode categories L and M), lower-cased;
+longer ones are cut at ``LONGEST`` characters.
 
-Defined results: null text, or text without letters, is ``und`` with score 0; ties go to the
-language first in order; repeated rows give repeated results; if nothing can be learned every text
-is ``und``; extra columns are not carried.
+Defined results: null text, or text without letters (digits, numerals and marks alone are none), is
+``und`` with score 0; ties go to the language first in order; repeated rows give repeated results;
+if nothing can be learned every text is ``und``; a language with under ``FEW`` rows is learned from
+all of them and calibrates nothing; extra columns are not carried.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 import uuid
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +37,21 @@ ORDER = 5
 LONGEST = 24
 #: Documents a language that the counts are learned from, and that calibrate; expected numbers.
 SAMPLE_DOCS, CALIBRATION_DOCS = 1500, 300
-#: A language model keeps its counts in one task; languages beyond this number are an error.
-MAX_LANGUAGES = 500
+#: Rows from which a language gives some away for calibration.
+FEW = 10
 CACHE_WORDS = 400_000
 UNKNOWN = "und"
 
-_WORD = re.compile(r"[^\W\d_]{1,%d}" % LONGEST)
+
+
+def _ranges(kind: str) -> str:
+    """The characters whose Unicode category starts with a letter of ``kind``, as ranges of a character class."""
+    own = groupby(range(sys.maxunicode + 1), lambda i: unicodedata.category(chr(i))[0] in kind)
+    found = [(g[0], g[-1]) for yes, g in ((yes, list(g)) for yes, g in own) if yes]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in found)
+
+
+_WORD = re.compile(f"[{_ranges('L')}][{_ranges('LM')}]{{0,{LONGEST - 1}}}")
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("cross_entropy", pa.float64()), ("rejected", pa.bool_())])
 _OUT_DDL = "doc_id long, held_out boolean, lang_pred string, score double, cross_entropy double, rejected boolean"
 
@@ -181,27 +195,30 @@ class Scorer:
         return n, out
 
 
-def _draw(rows: DataFrame, docs_wanted: int, counts: dict[str, int], low: float) -> Column:
+def _draw(wanted: int, counts: dict[str, int], low: Column) -> Column:
     """Rows whose hash falls into the language's share, from ``low`` expected documents on."""
-    u = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("langid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    per = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, float(n))])[F.col("lang")]
-    return (u * per >= low) & (u * per < low + docs_wanted)
+    u = F.pmod(F.xxhash64("doc_id", "text", F.lit("langid")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    per = _by_language({k: float(n) for k, n in counts.items()})
+    return (u * per >= low) & (u * per < low + wanted)
+
+
+def _by_language(values: dict[str, float]) -> Column:
+    return F.create_map(*[F.lit(x) for item in values.items() for x in item])[F.col("lang")]
 
 
 def fit(docs: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS, calibration_docs: int = CALIBRATION_DOCS) -> Model | None:
-    """Learns from ``docs(doc_id, text, lang)``, the rows that may be learned from."""
+    """Learns from ``docs(doc_id, text, lang)``, the rows that may be learned from.
+
+    The model has a column for each language, and one task learns a language from its bounded sample.
+    """
     docs = docs.where("lang is not null and text is not null")
-    counts = {r.lang: r.n for r in docs.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
+    counts = {r.lang: r.n for r in docs.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    # Few documents are shared out: a fifth calibrates, or all do both if there are under ten.
-    keep = lambda n: calibration_docs if n >= sample_docs + calibration_docs else n / 5
-    small = min(counts.values()) < 10
-    low = 0.0 if small else {k: keep(n) for k, n in counts.items()}
-    start = F.lit(0.0) if small else F.create_map(*[F.lit(x) for k, v in low.items() for x in (k, float(v))])[F.col("lang")]
-    train = docs.where(_draw(docs, sample_docs, counts, start))
+    # The first rows of a language calibrate, so no row is counted from that the thresholds come from.
+    kept = {k: 0.0 if n < FEW else float(min(calibration_docs, n / 5)) for k, n in counts.items()}
+    start = _by_language(kept)
+    train = docs.where(_draw(sample_docs, counts, start))
 
     def tally(batches):
         from collections import Counter
@@ -235,7 +252,7 @@ def fit(docs: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS, cal
         key, first = np.unique(np.concatenate([m[n]["gram"] for m in models.values()]), return_index=True)
         grams[n] = (key, *(np.concatenate([m[n][x] for m in models.values()])[first] for x in ("of", "suffix")))
     model = Model(models, grams, order)
-    calibration = docs.where(_draw(docs, calibration_docs, counts, F.lit(0.0)))
+    calibration = docs.where(_draw(calibration_docs, counts, F.lit(0.0)) & ~_draw(sample_docs, counts, start))
     rows = [(r.lang, np.array(r.h)) for r in _entropies(calibration.select(F.lit(0).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), "text", "lang"), model).collect() if r.n and r.lang in models]
     if rows:
         truth, h = np.array([model.languages.index(x) for x, _ in rows]), np.stack([x for _, x in rows])

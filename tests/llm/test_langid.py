@@ -88,3 +88,17 @@ def test_edges(spark):
     assert langid.fit(df.limit(0)) is None and langid.predict(df.limit(0), m, held).count() == 0
     far = langid.predict(df.where("doc_id = 104"), m, held, reject=True).first()
     assert far.rejected and far.lang_pred == "und"
+
+
+def test_letters_marks_and_numerals():
+    assert langid.words("²") == langid.words("½²①Ⅷ 123 __") == langid.words("\u0301\u0903 !") == []
+    assert langid.words("हिन्दी caf\u0065\u0301") == ["हिन्दी", "cafe\u0301"]
+    assert [len(w) for w in langid.words("x" * 60)] == [24, 24, 12]
+
+
+def test_a_language_of_few_rows_does_not_spoil_calibration(spark):
+    rows = [(i, t, x) for i, (t, x) in enumerate([("the cat and the hat in the house", "en"), ("le chat et le chapeau de la maison", "fr")] * 60)]
+    df = spark.createDataFrame([*rows, (900, "der hund und die katze", "de")], "doc_id long, text string, lang string")
+    m = langid.fit(df)
+    assert m.languages == ["de", "en", "fr"] and math.isinf(m.reject[0]) and not np.isinf(m.reject[1:]).any()
+    assert langid.predict(df.where("doc_id = 900"), m, F.lit(True)).first().lang_pred == "de"
