@@ -1,10 +1,12 @@
 """Quality scores by attention-based multiple-instance learning.
 
-A document is a bag of passages (``PASSAGE`` words each). Every passage is encoded from counts of
-character classes and word repetition, one layer turns that into an embedding, gated attention
-(tanh times sigmoid) weights the passages, and a linear layer scores the weighted sum. Only document
-labels are used. The network is small, so it is trained on the driver from a bounded sample of
-labelled documents (``TRAIN_DOCS``) and broadcast.
+A document is a bag of passages (``PASSAGE`` words each). Every passage is encoded from its words and
+word pairs, hashed into ``HASHED`` signed counts, and from shares of character classes and word
+repetition; one learned layer turns that into an embedding, gated attention (tanh times sigmoid)
+weights the passages, and a linear layer scores the weighted sum. Only document labels are used. The
+network is small, so it is trained on the driver from a bounded sample of labelled documents
+(``TRAIN_DOCS``, of which long ones give ``TRAIN_PASSAGES`` evenly spaced passages) and broadcast;
+scores are of all passages of whole texts.
 
 Defined results: null or empty text is one passage without words and gets that passage's score;
 without usable labels every score is 0.5; a document with several labels counts by their mean;
@@ -20,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linkflow.llm.common import batch, trimmed, word_hashes
+from linkflow.llm.common import batch, mix64, trimmed, word_hashes
 
 PASSAGE = 64
-#: Labelled documents that the network is trained on, at most (expected; chosen by hash).
-TRAIN_DOCS = 5000
-HIDDEN, GATE, EPOCHS, RATE, DECAY = 24, 12, 250, 0.02, 1e-4
+#: Labelled documents that the network is trained on, at most (expected; chosen by hash), and passages of each.
+TRAIN_DOCS, TRAIN_PASSAGES = 4000, 64
+HIDDEN, GATE, RATE, DECAY = 24, 12, 0.005, 1e-4
+#: Documents a step, and passes over the sample (small samples get ``STEPS`` steps at least).
+BATCH, EPOCHS, STEPS = 256, 30, 400
 
 # Character classes: 0 lower, 1 upper, 2 digit, 3 white, 4 sentence marks, 5 "!?", 6 other ASCII, 7 beyond ASCII.
 _CLASS = np.full(256, 6, np.uint8)
@@ -36,7 +40,8 @@ _CLASS[[9, 10, 11, 12, 13, 32]] = 3
 _CLASS[np.frombuffer(b".,;:'\"-()", np.uint8)] = 4
 _CLASS[np.frombuffer(b"!?", np.uint8)] = 5
 _CLASS[128:] = 7
-FEATURES = 15
+HASHED, SHAPE = 256, 15
+FEATURES = HASHED + SHAPE
 
 
 def encode(text: str | None) -> np.ndarray:
@@ -70,7 +75,13 @@ def encode(text: str | None) -> np.ndarray:
     distinct = np.bincount(bs[new], minlength=k)
     same = np.bincount(bag[1:], (h[1:] == h[:-1]) & (bag[1:] == bag[:-1]), k) if len(h) > 1 else np.zeros(k)
     length = np.fromiter(map(len, words), np.int64, len(words))
-    return np.column_stack([share, distinct / n, most / n, same / n, np.bincount(bag, length, k) / n / 10, np.bincount(bag, length <= 2, k) / n, np.log1p(n) / 5, np.bincount(bag, length == 1, k) / n]).astype(np.float32)
+    shape = np.column_stack([share, distinct / n, most / n, same / n, np.bincount(bag, length, k) / n / 10, np.bincount(bag, length <= 2, k) / n, np.log1p(n) / 5, np.bincount(bag, length == 1, k) / n])
+    # Words and pairs within a passage; the hash gives the place and, by its top bit, the sign.
+    pair = mix64(h[1:] + mix64(h[:-1]))[bag[1:] == bag[:-1]]
+    at, own = np.concatenate((h, pair)), np.concatenate((bag, bag[1:][bag[1:] == bag[:-1]]))
+    sign = 1.0 - 2.0 * (at >> np.uint64(63)).astype(float)
+    counts = np.bincount(own * HASHED + (at % np.uint64(HASHED)).astype(np.int64), sign, HASHED * k).reshape(k, HASHED)
+    return np.column_stack([counts / np.sqrt(n)[:, None], shape]).astype(np.float32)
 
 
 @dataclass
@@ -98,35 +109,52 @@ class Network:
 
 
 def train(x: np.ndarray, first: np.ndarray, label: np.ndarray, seed: int = 7) -> Network:
-    """Full-batch Adam on the log loss of the bags."""
+    """Adam on the log loss of the bags, in steps of ``BATCH`` bags."""
     rng = np.random.default_rng(seed)
-    x = x.astype(float)
-    f = x.shape[1]
-    w = {"E": rng.normal(0, f**-0.5, (f, HIDDEN)), "e": np.zeros(HIDDEN), "T": rng.normal(0, HIDDEN**-0.5, (HIDDEN, GATE)), "S": rng.normal(0, HIDDEN**-0.5, (HIDDEN, GATE)), "a": rng.normal(0, GATE**-0.5, GATE), "c": rng.normal(0, HIDDEN**-0.5, HIDDEN), "d": np.zeros(1)}
-    net = Network(x.mean(0), x.std(0) + 1e-3, w)
+    f, bags = x.shape[1], len(first)
+    w = {
+        "E": rng.normal(0, f**-0.5, (f, HIDDEN)), "e": np.zeros(HIDDEN), "T": rng.normal(0, HIDDEN**-0.5, (HIDDEN, GATE)), "S": rng.normal(0, HIDDEN**-0.5, (HIDDEN, GATE)),
+        "a": rng.normal(0, GATE**-0.5, GATE), "c": rng.normal(0, HIDDEN**-0.5, HIDDEN), "d": np.zeros(1),
+    }
+    net = Network(x.mean(0), x.std(0) + 1e-2, w)
+    size = np.diff([*first, len(x)])
     m, v = ({k: np.zeros_like(p) for k, p in w.items()} for _ in range(2))
-    for step in range(1, EPOCHS + 1):
-        logit, (xs, e, t, s, a, z, bag) = net.forward(x, first)
-        g = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - label) / len(label)
-        grad = {"c": z.T @ g, "d": np.array([g.sum()])}
-        gz = g[:, None] * w["c"]
-        ge = a[:, None] * gz[bag]
-        ga = (e * gz[bag]).sum(1)
-        ga = a * (ga - np.add.reduceat(a * ga, first)[bag])
-        gts = ga[:, None] * w["a"]
-        grad["a"] = (t * s).T @ ga
-        gt, gs = gts * s * (1 - t * t), gts * t * s * (1 - s)
-        grad["T"], grad["S"] = e.T @ gt, e.T @ gs
-        ge = (ge + gt @ w["T"].T + gs @ w["S"].T) * (1 - e * e)
-        grad["E"], grad["e"] = xs.T @ ge, ge.sum(0)
-        for k, p in w.items():
-            d = grad[k] + DECAY * p
-            m[k] += 0.1 * (d - m[k])
-            v[k] += 0.001 * (d * d - v[k])
-            p -= RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
+    per = -(-bags // BATCH)
+    step = 0
+    for _ in range(max(EPOCHS, -(-STEPS // per))):
+        order = rng.permutation(bags)
+        for i in range(0, bags, BATCH):
+            step += 1
+            own = order[i : i + BATCH]
+            n = size[own]
+            begin = np.cumsum(n) - n
+            rows = np.repeat(first[own] - begin, n) + np.arange(n.sum())
+            grad = _gradient(net, x[rows].astype(float), begin, label[own])
+            for k, p in w.items():
+                d = grad[k] + DECAY * p
+                m[k] += 0.1 * (d - m[k])
+                v[k] += 0.001 * (d * d - v[k])
+                p -= RATE * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
     return net
 
 
+def _gradient(net: Network, x: np.ndarray, first: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
+    w = net.w
+    logit, (xs, e, t, s, a, z, bag) = net.forward(x, first)
+    g = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - label) / len(label)
+    grad = {"c": z.T @ g, "d": np.array([g.sum()])}
+    gz = g[:, None] * w["c"]
+    ga = (e * gz[bag]).sum(1)
+    ga = a * (ga - np.add.reduceat(a * ga, first)[bag])
+    gts = ga[:, None] * w["a"]
+    grad["a"] = (t * s).T @ ga
+    gt, gs = gts * s * (1 - t * t), gts * t * s * (1 - s)
+    grad["T"], grad["S"] = e.T @ gt, e.T @ gs
+    ge = (a[:, None] * gz[bag] + gt @ w["T"].T + gs @ w["S"].T) * (1 - e * e)
+    grad["E"], grad["e"] = xs.T @ ge, ge.sum(0)
+    return grad
+
+
 def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", usable: Column | None = None, train_docs: int = TRAIN_DOCS) -> Network | None:
     """Learns ``labels(doc_id, <column> 0/1)``; ``usable`` says which label rows may be learned from."""
     rows = labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull() & (F.lit(True) if usable is None else usable))
@@ -141,6 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", usable: Col
     def run(batches):
         for b in batches:
             bags = [encode(t.as_py()) for t in b.column(1)]
+            bags = [x if len(x) <= TRAIN_PASSAGES else x[np.linspace(0, len(x) - 1, TRAIN_PASSAGES).astype(int)] for x in bags]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x.tobytes() for x in bags], pa.binary())], names=["doc_id", "label", "x"])
 
     both = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")
