@@ -1,14 +1,20 @@
 """Nearest neighbours by inverted file, product-quantised residuals and exact reranking.
 
 Coarse centroids and residual codebooks are fitted by k-means on a bounded sample (``SAMPLE``
-vectors, chosen by hash). Every vector is then indexed: its centroid's list, and one byte per
-sub-space of its residual. A query probes the lists whose centroids have the largest inner products
-with it; in each list, asymmetric distance tables (exact query, quantised vectors) rank the entries,
-the best ``RERANK`` are reranked by the inner product of the original vectors in double precision,
-and the lists' best are merged.
+vectors, or ``LIST_SAMPLE`` a list if that is more; chosen by hash). Every vector is then indexed: its
+centroid's list, and one byte per sub-space of its residual. A query probes the lists whose centroids
+have the largest inner products with it; in each list, asymmetric distance tables (exact query,
+quantised vectors) rank the entries, the best ``RERANK`` are reranked by the inner product of the
+original vectors in double precision, and the lists' best are merged.
+
+How many lists a query probes is measured, not set: for some sample vectors as queries, the true
+neighbours within the sample are found by brute force, and the least number of probes is taken that
+reaches the lists of a share ``TARGET`` of them. Vectors in clusters need few lists; vectors without
+structure (such as independent directions on a sphere) need most of them.
 
 A list longer than ``PART`` is split, and so are the queries of a list; each pair of parts is one
-task's work, so a list that holds a third of all vectors is shared out. Equal vectors have equal
+task's work, so a list that holds a third of all vectors is shared out. A query's best of its lists
+are merged by a bounded sum: each task keeps the best of what it has seen. Equal vectors have equal
 codes, and ties are ordered by vec_id at every step.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or
@@ -23,16 +29,16 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkflow.llm.common import batch, save
 
-SAMPLE = 20_000
-#: Lists: the square root of the number of vectors, at most so many.
+SAMPLE, LIST_SAMPLE = 20_000, 40
+#: Lists: the square root of the number of vectors, at most so many (longer lists are split into parts).
 MAX_LISTS = 4096
-#: Share of the lists that a query probes, and the least number of them.
-PROBE, PROBE_LEAST = 0.7, 32
+#: Share of true neighbours whose lists the probes must reach, measured with so many queries; least number of probes.
+TARGET, TRIALS, PROBE_LEAST = 0.955, 400, 16
 SUBSPACES, CODES = 16, 256
 RERANK = 60
 PART, QUERY_PART = 8192, 2048
@@ -79,15 +85,36 @@ class Index:
     def probes(self, q: np.ndarray, n: int) -> np.ndarray:
         return np.argsort(-(q @ self.centroids.T), axis=1, kind="stable")[:, :n]
 
+    def enough(self, sample: np.ndarray, k: int, target: float) -> int:
+        """The least number of probes that reach the lists of a share ``target`` of the sample's true neighbours."""
+        lists = len(self.centroids)
+        own = np.unique(np.linspace(0, len(sample) - 1, min(TRIALS, len(sample))).astype(int))
+        cell, depth = _nearest(sample, self.centroids), []
+        # The sample is thinner than the table: its neighbours are as near as the table's if fewer are taken.
+        for i in range(0, len(own), 64):
+            q = sample[own[i : i + 64]]
+            near = q @ sample.T
+            near[np.arange(len(q)), own[i : i + 64]] = -np.inf
+            best = np.argpartition(-near, min(k, len(sample) - 1), axis=1)[:, :k] if len(sample) > 1 else np.zeros((len(q), 0), int)
+            place = np.empty((len(q), lists), int)
+            np.put_along_axis(place, self.probes(q, lists), np.broadcast_to(np.arange(lists), place.shape), 1)
+            depth.append(np.take_along_axis(place, cell[best], 1).reshape(-1))
+        depth = np.sort(np.concatenate(depth)) if depth else np.zeros(0, int)
+        return min(lists, max(PROBE_LEAST, int(depth[min(len(depth) - 1, math.ceil(target * len(depth)))]) + 1 if len(depth) else lists))
+
     def search(self, cell: int, code: np.ndarray, ids: np.ndarray, x: np.ndarray, qid: np.ndarray, q: np.ndarray, k: int, rerank: int = RERANK) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per query the ids and exact scores of the best k of one part of a list."""
         order = np.argsort(ids, kind="stable")
         ids, code, x = ids[order], code[order], x[order]
-        tables = [q[:, a:b] @ book.T for a, b, book in zip(self.cuts, self.cuts[1:], self.books, strict=False)]
-        near = np.broadcast_to((q @ self.centroids[cell])[:, None], (len(q), len(ids))).copy()
+        # One row of all queries' table entries per code, so that a look-up copies a row.
+        tables = [(book @ q[:, a:b].T).astype(np.float32) for a, b, book in zip(self.cuts, self.cuts[1:], self.books, strict=False)]
+        near = np.broadcast_to((q @ self.centroids[cell]).astype(np.float32), (len(ids), len(q))).copy()
         for m, t in enumerate(tables):
-            near += t[:, code[:, m]]
-        near[qid[:, None] == ids[None, :]] = -np.inf
+            near += t[code[:, m]]
+        near = np.ascontiguousarray(near.T)
+        where = np.searchsorted(ids, qid)
+        for i in np.flatnonzero(where < len(ids)):
+            near[i, where[i] : np.searchsorted(ids, qid[i], "right")] = -np.inf
         out = []
         take = min(rerank + 1, len(ids))
         for i in range(len(q)):
@@ -121,7 +148,7 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, probe: float = PROBE) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, target: float = TARGET) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the nearest by inner product, for the rows that ``is_query``."""
     spark = vectors.sparkSession
     rows = usable(vectors)
@@ -129,11 +156,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, probe: flo
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     u = F.pmod(F.xxhash64("vec_id", F.lit("ann")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(u * n < SAMPLE).orderBy("vec_id").toArrow()
+    lists = min(MAX_LISTS, max(1, round(math.sqrt(n))))
+    sample = rows.where(u * n < max(SAMPLE, LIST_SAMPLE * lists)).orderBy("vec_id").toArrow()
     sample = _matrix(sample.column("v")) if sample.num_rows else _matrix(rows.limit(1).toArrow().column("v"))
-    index = Index(sample, min(MAX_LISTS, max(1, round(math.sqrt(n)))))
+    index = Index(sample, lists)
     shared = spark.sparkContext.broadcast(index)
-    probes = min(len(index.centroids), max(PROBE_LEAST, math.ceil(probe * len(index.centroids))))
+    # The table's k best, counted within the thinner sample.
+    probes = index.enough(sample, max(1, math.ceil(k * len(sample) / n)), target) if target < 1 else len(index.centroids)
     entry = pa.schema([("cell", pa.int32()), ("vec_id", pa.int64()), ("v", pa.list_(pa.float64())), ("code", pa.binary())])
 
     def encode(batches):
@@ -177,8 +206,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, probe: flo
         return pa.table([pa.array(qid), pa.ListArray.from_arrays(pa.array(size), flat)], schema=hits)
 
     found = left.groupBy("cell", "part", "qpart").cogroup(right.groupBy("qcell", "rpart", "rqpart")).applyInArrow(scan, "query_id long, hits array<struct<score:double,vec_id:long>>")
-    # A query's lists: one of at most k hits for each part of the lists it probed.
-    best = found.groupBy("query_id").agg(F.flatten(F.collect_list("hits")).alias("hits"))
-    order = F.transform(F.col("hits"), lambda h: F.struct((-h["score"]).alias("minus"), h["vec_id"].alias("vec_id")))
-    best = best.select("query_id", F.posexplode(F.slice(F.array_sort(order), 1, k)).alias("at", "hit"))
-    return best.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.minus")).alias("score"))
+    # Each task first keeps its own best; the best of the lists' parts are at most k rows each.
+    hit = found.select("query_id", F.explode("hits").alias("hit")).select("query_id", F.col("hit.score").alias("score"), F.col("hit.vec_id").alias("vec_id"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return hit.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

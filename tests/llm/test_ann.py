@@ -47,7 +47,7 @@ def test_edges(spark):
     rows += [(i, base) for i in range(100, 400)]  # one vector many times: ties by id
     rows += [(500, None), (501, []), (502, [0.0] * 8), (503, [float("nan")] * 8), (504, [1.0, None] + [0.0] * 6), (505, [float("inf")] * 8), (506, [1.0] * 7), (None, base), (520, [0.0] * 8)]
     df = spark.createDataFrame([(*r, 3) for r in rows], "vec_id long, embedding array<double>, score int")
-    got, want = found(ann.search(df, F.col("vec_id") % 20 == 0, probe=1.0)), brute([r for r in rows if r[0] != 506])
+    got, want = found(ann.search(df, F.col("vec_id") % 20 == 0, target=1.0)), brute([r for r in rows if r[0] != 506])
     assert got.keys() == want.keys()
     for q in want:
         if q >= 100:
