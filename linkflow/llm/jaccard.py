@@ -57,7 +57,7 @@ PIVOTS, CHUNK = 10, 4000
 #: Rings must leave at most this share of a region's pairs; pivots that a region is cut by at once.
 SEPARATES, CUTS = 0.8, 4
 #: Partners of one pivot in one task.
-SALT_ROWS = 256
+SALT_ROWS = 64
 #: Id tables of at most so many rows (24 bytes each) are broadcast.
 BROADCAST_ROWS = 1_000_000
 NO_ID = -(2**63)
