@@ -31,9 +31,21 @@ def parse_rfc822(x: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(bare, F.lit(RFC822)), F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm Z")))
 
 
+def rfc822_iso(x: Column) -> Column:
+    """A feed date as ISO text in its own offset, which decides the order of feed items as text.
+
+    ``-0000`` says that the zone is not known, and counts as UTC.
+    """
+    ts, zone = parse_rfc822(x), F.regexp_extract(F.trim(x), r"([+-]\d{4})$", 1)
+    zone = F.when(zone.isin("", "-0000"), "+0000").otherwise(zone)
+    minutes = (F.substring(zone, 2, 2).cast("int") * 60 + F.substring(zone, 4, 2).cast("int")) * F.when(zone.startswith("-"), -1).otherwise(1)
+    local = F.timestamp_seconds(F.unix_timestamp(ts) + minutes * 60)
+    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2))
+
+
 def published(*xs: Column) -> Column:
-    """The first readable of several date strings, as ISO text."""
-    return F.coalesce(*[format_iso(F.coalesce(parse_rfc822(x), F.try_to_timestamp(x))) for x in xs], F.lit(""))
+    """The first readable of several date strings, as ISO text: feed dates in their own offset, others in UTC."""
+    return F.coalesce(*[F.coalesce(rfc822_iso(x), format_iso(F.try_to_timestamp(x))) for x in xs], F.lit(""))
 
 
 def window_hours(start: Column, end: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkflow.functions import urls
-from linkflow.functions.text import n_chars, or_else, sha256
+from linkflow.functions.text import clean_text, n_chars, or_else, sha256
 from linkflow.settings import Settings
 
 
@@ -27,7 +27,7 @@ def normalize(items: DataFrame, sources: DataFrame, settings: Settings | None =
     return rows.select(
         urls.external_id(F.col("url")).alias("external_id"), "url", or_else(F.trim("title"), F.col("url")).alias("title"), or_else(F.col("author"), F.col("source_id")).alias("author"),
         F.coalesce("published_at", F.lit("")).alias("published_at"), "source_id", "via", "raw_url", corrected.alias("url_corrected"), F.substring("summary", 1, s.summary_chars).alias("summary"),
-        F.substring("content_html", 1, s.content_html_chars).alias("content_html"), "source_name", "home_url", "collect_mode",
+        F.substring("content_html", 1, s.content_html_chars).alias("content_html"), "source_name", "home_url", "collect_mode", *(["pos"] if "pos" in items.columns else []),
     )
 
 
@@ -116,7 +116,14 @@ def enrich(articles: DataFrame, attempts: DataFrame, fetched_at: str, settings:
 
 
 def join_blocks(blocks: DataFrame, key: str, selected: DataFrame) -> DataFrame:
-    """Joins the selected blocks' distinct texts in the order they were selected; ``selected(key, nth, rank)``."""
+    """Joins the selected blocks' distinct texts in the order they were selected, and cleans the whole; ``selected(key, nth, rank)``."""
     rows = selected.join(blocks.select(key, "rank", "text"), [key, "rank"])
     texts = F.transform(F.array_sort(F.collect_list(F.struct("nth", "text"))), lambda x: x["text"])
-    return rows.groupBy(key).agg(F.array_join(F.array_distinct(texts), "\n").alias("block_text"))
+    # The blocks' references are decoded already: what is left are lines that repeat where blocks meet.
+    return rows.groupBy(key).agg(clean_text(F.array_join(F.array_distinct(texts), "\n")).alias("block_text"))
+
+
+def redirect_error(final_url: Column, home: Column, allowed: Column | None = None) -> Column:
+    """Null if the page that was loaded is on an allowed host, else ``redirect_host:<host>``."""
+    where = or_else(final_url)
+    return F.when((where != "") & (urls.canonicalize(where, home=home, allowed=allowed) == ""), F.concat(F.lit("redirect_host:"), urls.host_of(where)))

@@ -100,10 +100,15 @@ def fail_streak(attempts: DataFrame, run: str = "run", limit: int = Settings.fee
     return island.withColumn("streak", F.sum((~F.col("ok")).cast("int")).over(own)).withColumn("forget", F.col("streak") >= limit).drop("island")
 
 
-def resolved_feed(attempts: DataFrame, run: str = "run") -> DataFrame:
-    """The last feed URL that worked, up to each attempt."""
+def resolved_feed(attempts: DataFrame, run: str = "run", limit: int = Settings.feed_fail_streak) -> DataFrame:
+    """The remembered feed after each attempt of ``attempts(source_id, run, ok, feed_url)``, and the streak of failures.
+
+    It is the last feed that worked; after ``limit`` failures in a row it is forgotten (null) until
+    another works, so that discovery starts again.
+    """
     w = Window.partitionBy("source_id").orderBy(run).rowsBetween(Window.unboundedPreceding, 0)
-    return attempts.withColumn("resolved", F.last("feed_url", ignorenulls=True).over(w))
+    last = F.last(F.when(F.col("ok"), F.col("feed_url")), ignorenulls=True).over(w)
+    return fail_streak(attempts, run, limit).withColumn("resolved", F.when(~F.col("forget"), last))
 
 
 def first_working(attempts: DataFrame) -> DataFrame:

@@ -78,13 +78,31 @@ def heuristic_picks(candidates: DataFrame, page_key: str = "page_id", limit: int
     return good.withColumn("pick", F.row_number().over(order)).where(F.col("pick") <= limit)
 
 
+def _replace(df: DataFrame, column: str, parse: Callable[[str], tuple], fields: str) -> DataFrame:
+    """``column`` replaced by what ``parse`` makes of it: one row out for each row in, nothing shuffled."""
+    at = df.columns.index(column)
+    new = StructType.fromDDL(fields).fields
+    taken = {f.name for f in new}
+    schema = StructType([f for f in df.schema.fields if f.name != column and f.name not in taken] + new)
+    kept = [i for i, c in enumerate(df.columns) if c != column and c not in taken]
+
+    def run(batches):
+        for b in batches:
+            got = [parse(doc.as_py() or "") for doc in b.column(at)]
+            cols = list(zip(*got, strict=True)) or [[] for _ in new]
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in kept], *[pa.array(c, pa.string()) for c in cols]], names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
 def texts(documents: DataFrame, column: str = "html", max_chars: int = Settings.content_max_chars) -> DataFrame:
-    """``documents`` plus ``content`` and ``method``: the longest choice, the first of equals."""
-    key = [c for c in documents.columns if c != column]
-    found = _explode(documents, column, dom.choices, "method string, choice string")
-    best = F.max_by(F.struct("choice", "method"), F.struct(F.char_length("choice").alias("n"), (-F.col("pos")).alias("first"))).alias("best")
-    got = found.groupBy(*key).agg(best)
-    return documents.drop(column).distinct().join(got, key, "left").select(*key, F.coalesce(F.substring("best.choice", 1, max_chars), F.lit("")).alias("content"), F.coalesce("best.method", F.lit("empty")).alias("method"))
+    """``documents`` with ``content`` and ``method`` in place of ``column``.
+
+    The longest choice is picked where the page is parsed, so nothing is grouped, joined or shuffled;
+    null keys and repeated rows are rows like others.
+    """
+    best = _replace(documents, column, lambda h: dom.longest(h)[::-1], "content string, method string")
+    return best.withColumn("content", F.substring("content", 1, max_chars))
 
 
 def texts_native(documents: DataFrame, column: str = "html") -> DataFrame:
@@ -125,4 +143,10 @@ def excerpts(pages: DataFrame, max_chars: int = 12_000) -> DataFrame:
 
 
 def feed_links(pages: DataFrame) -> DataFrame:
+    """``pages`` without ``html``, plus (pos, href) of the alternate links that name feeds."""
     return _explode(pages, "html", lambda h: [(x,) for x in dom.feed_links(h)], "href string").drop("html")
+
+
+def cleaned(df: DataFrame, column: str) -> DataFrame:
+    """``column`` with character references decoded and lines cleaned; ``text.clean_text`` is the native form without references."""
+    return _replace(df, column, lambda t: (dom.clean(t),), f"`{column}` string")

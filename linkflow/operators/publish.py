@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
-from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from linkflow.functions.dates import to_iso, window_hours
 from linkflow.functions.text import or_else
@@ -119,11 +119,38 @@ def index_document(rows: DataFrame, source_id: str, updated_at: str) -> dict:
     return {"source_id": source_id, "schema_version": SCHEMA_VERSION, "latest": days[0]["date"] if days else "", "watermark": max((d["window_end"] for d in days), default=""), "updated_at": updated_at, "days": days}
 
 
-def write_json(path: str, text: str) -> str:
-    """Writes a document atomically and returns its sha256."""
-    to = Path(path)
-    to.parent.mkdir(parents=True, exist_ok=True)
-    tmp = to.with_suffix(".tmp")
-    tmp.write_text(text, encoding="utf-8")
-    tmp.replace(to)
-    return hashlib.sha256(text.encode()).hexdigest()
+def _path(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> str:
+    """Writes a document beside its place on any Hadoop file system, moves it there, and returns its sha256."""
+    raw = text.encode()
+    at, fs = _path(spark, path)
+    tmp, _ = _path(spark, f"{path}.tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(raw)
+    finally:
+        out.close()
+    fs.delete(at, False)
+    if not fs.rename(tmp, at):
+        raise OSError(f"cannot write {path}")
+    return hashlib.sha256(raw).hexdigest()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A document's text, None if there is none."""
+    at, fs = _path(spark, path)
+    if not fs.exists(at):
+        return None
+    row = spark.read.format("binaryFile").load(path).select("content").first()
+    return bytes(row.content).decode() if row else None
+
+
+def existing_items(spark: SparkSession, text: str, schema: StructType) -> DataFrame:
+    """The items of a day's bundle document, with their places."""
+    doc = spark.createDataFrame([(text,)], "text string")
+    items = F.from_json(F.get_json_object("text", "$.items"), ArrayType(schema))
+    return doc.select(F.posexplode(items).alias("pos", "item")).select("item.*", F.col("pos").cast("long").alias("pos"))

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkflow import schemas
 from linkflow.functions import dates, text, urls
 from linkflow.operators import articles, classify, diff, pages, publish
 from linkflow.settings import Settings
@@ -254,15 +255,9 @@ def _(spark, d):
     return classify.choose(c, known, scorer=lambda x: x).select("page_id", "link_url")
 
 
-@query("picked_urls", f"WITH {_LINKED} SELECT page_id, link_url FROM cand WHERE rank <= 80 AND page_id % 2 = 0")
+@query("picked_urls", f"WITH {_LINKED}, c AS (SELECT * FROM cand WHERE rank <= 80) SELECT page_id, link_url FROM c WHERE rtrim(link_url, '/') IN (SELECT rtrim(link_url, '/') FROM c WHERE page_id % 2 = 0)")
 def _(spark, d):
-    c = pages.candidates(_linked(spark, d))
-    return classify.picked(c, c.where("page_id % 2 = 0 AND link_url NOT LIKE '%/a/b'").select(F.concat("link_url", F.lit("/")).alias("url")).union(c.where("page_id % 2 = 0 AND link_url LIKE '%/a/b'").select("link_url"))).where("page_id % 2 = 0").select("page_id", "link_url")
-
-
-@query("picked_urls_all")
-def _(spark, d):
-    """All candidates that even pages' picks name; ``picked_urls`` and its oracle give those of even pages."""
+    """All candidates that the even pages' picks name, with a slash more or less."""
     c = pages.candidates(_linked(spark, d))
     even = c.where("page_id % 2 = 0")
     picks = even.where("link_url NOT LIKE '%/a/b'").select(F.concat("link_url", F.lit("/")).alias("url")).union(even.where("link_url LIKE '%/a/b'").select("link_url"))
@@ -387,29 +382,26 @@ def _(spark, d):
     return diff.fail_streak(e).select("source_id", F.col("run").alias("pos"), "streak", "forget")
 
 
-@query("resolved_feed_memory", f"WITH {_EV} SELECT source_id, pos, last_value(CASE WHEN ok THEN 'f' || pos END IGNORE NULLS) OVER (PARTITION BY source_id ORDER BY pos) AS resolved FROM ev")
-def _(spark, d):
-    e = events(spark, d).select("source_id", "pos", F.when(F.col("ok"), F.concat(F.lit("f"), F.col("pos").cast("string"))).alias("feed_url"))
-    return diff.resolved_feed(e, "pos").select("source_id", "pos", "resolved")
+_STREAK = "g AS (SELECT *, sum(ok::INT) OVER (PARTITION BY source_id ORDER BY pos) AS island FROM ev), s AS (SELECT *, sum((NOT ok)::INT) OVER (PARTITION BY source_id, island ORDER BY pos) AS streak FROM g)"
 
 
-@query("access_cascade", f"WITH {_EV}, a AS (SELECT source_id, pos, via, CASE WHEN via IN ('click', 'view') THEN NULL ELSE 'e' || pos END AS error FROM ev WHERE pos % 50 = 0) SELECT source_id, arg_min(via, pos) FILTER (error IS NULL) AS method, coalesce(string_agg(error, '; ' ORDER BY pos) FILTER (error IS NOT NULL), '') AS errors FROM a GROUP BY source_id")
+@query("resolved_feed_memory", f"WITH {_EV}, {_STREAK} SELECT source_id, pos, CASE WHEN streak < 3 THEN last_value(CASE WHEN ok THEN 'f' || pos END IGNORE NULLS) OVER (PARTITION BY source_id ORDER BY pos) END AS resolved FROM s")
 def _(spark, d):
-    a = events(spark, d).where("pos % 50 = 0").select("source_id", F.col("pos").alias("level"), F.col("via").alias("method"), F.when(F.col("via").isin("click", "view"), F.lit(None)).otherwise(F.concat(F.lit("e"), F.col("pos").cast("string"))).alias("error"))
-    return diff.first_working(a)
+    e = events(spark, d).select("source_id", "pos", "ok", F.concat(F.lit("f"), F.col("pos").cast("string")).alias("feed_url"))
+    return diff.resolved_feed(e, "pos").select("source_id", "pos", "resolved")
 
 
-@query("access_cascade_all")
+@query("access_cascade")
 def _(spark, d):
-    """The cascade over all events; ``access_cascade`` and its oracle take every fiftieth."""
+    """All events as attempts; the joined errors of a source are too slow in the other engine, so tests compare with brute force."""
     a = events(spark, d).select("source_id", F.col("pos").alias("level"), F.col("via").alias("method"), F.when(~F.col("via").isin("click", "view"), F.concat(F.lit("e"), F.col("pos").cast("string"))).alias("error"))
     return diff.first_working(a)
 
 
-@query("known_url_difference", f"WITH {_OBS} SELECT source_id, url FROM obs WHERE run = 4 EXCEPT SELECT source_id, url FROM obs WHERE run IN (0, 1)")
+@query("known_url_difference", f"WITH {_OBS} SELECT source_id, url FROM obs WHERE run = 4 EXCEPT SELECT source_id, url FROM obs WHERE run < 4")
 def _(spark, d):
     o = observed(spark, d)
-    known = diff.known_urls(o.where("run = 0"), o.where("run = 1"))
+    known = diff.known_urls(o.where("run < 2"), o.where("run IN (2, 3)"))
     return diff.new_urls(o.where("run = 4").select("source_id", "url").distinct(), known)
 
 
@@ -510,15 +502,8 @@ def _(spark, d):
     return events(spark, d).groupBy(dates.beijing_date(F.col("ts")).alias("day")).agg(F.count("*").alias("n"))
 
 
-@query("bundle_window_hours", f"WITH {_EV}, w AS (SELECT via, min(ts) AS s, max(ts) AS e FROM ev WHERE pos % 100 < 3 GROUP BY via) SELECT via, strftime(s, '%Y-%m-%dT%H:%M:%S') AS start, coalesce(nullif((epoch_us(e) - epoch_us(s)) // 3600000000, 0), 24)::BIGINT AS hours FROM w")
+@query("bundle_window_hours", f"WITH {_EV}, w AS (SELECT via, min(ts) AS s, max(ts) AS e FROM ev GROUP BY via) SELECT via, strftime(s, '%Y-%m-%dT%H:%M:%S') AS start, coalesce(nullif((epoch_us(e) - epoch_us(s)) // 3600000000, 0), 24)::BIGINT AS hours FROM w")
 def _(spark, d):
-    w = events(spark, d).where("pos % 100 < 3").groupBy("via").agg(F.min("ts").alias("s"), F.max("ts").alias("e"))
-    return w.select("via", F.date_format("s", "yyyy-MM-dd'T'HH:mm:ss").alias("start"), dates.window_hours(dates.format_iso(F.col("s")), dates.format_iso(F.col("e"))).alias("hours"))
-
-
-@query("bundle_window_hours_all")
-def _(spark, d):
-    """The windows of all events; ``bundle_window_hours`` and its oracle take three in a hundred."""
     w = events(spark, d).groupBy("via").agg(F.min("ts").alias("s"), F.max("ts").alias("e"))
     return w.select("via", F.date_format("s", "yyyy-MM-dd'T'HH:mm:ss").alias("start"), dates.window_hours(dates.format_iso(F.col("s")), dates.format_iso(F.col("e"))).alias("hours"))
 
@@ -530,15 +515,32 @@ def _(spark, d):
     return events(spark, d).select("pos", dates.format_iso(second).alias("whole"), dates.to_iso(given).alias("iso"))
 
 
-@query("rfc822_times", f"WITH {_EV} SELECT pos, strftime(date_trunc('second', ts) - INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS published FROM ev")
+@query("rfc822_times", f"WITH {_EV} SELECT pos, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || CASE pos % 4 WHEN 0 THEN '+02:00' WHEN 1 THEN '-07:30' ELSE '+00:00' END AS published FROM ev")
 def _(spark, d):
-    given = F.concat(F.lit("Mon, "), F.date_format(F.date_trunc("second", "ts"), "d MMM yyyy HH:mm:ss"), F.lit(" +0200"))
+    zone = F.expr("CASE pos % 4 WHEN 0 THEN '+0200' WHEN 1 THEN '-0730' WHEN 2 THEN '-0000' ELSE 'GMT' END")
+    given = F.concat(F.lit("Mon, "), F.date_format(F.date_trunc("second", "ts"), "d MMM yyyy HH:mm:ss"), F.lit(" "), zone)
     return events(spark, d).select("pos", dates.published(given).alias("published"))
 
 
-@query("bundle_index", f"WITH {_EV}, d AS (SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS count, max(strftime(ts, '%Y-%m-%dT%H:%M:%S')) AS window_end FROM ev GROUP BY 1) SELECT date, count, window_end, (SELECT max(window_end) FROM d) AS watermark, (SELECT max(date) FROM d) AS latest FROM d")
+_DAYS = "d AS (SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS count, max(strftime(ts, '%Y-%m-%dT%H:%M:%S')) AS window_end FROM ev GROUP BY 1)"
+
+
+def _bundles(spark: SparkSession, d: str) -> DataFrame:
+    """(path, content): a bundle document of each day, as the binaryFile source would read it."""
+    days = events(spark, d).groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date")).agg(F.count("*").alias("total"), F.max(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("end"))
+    doc = F.to_json(F.struct(F.col("date").alias("collect_date"), F.struct("end").alias("collect_window"), F.struct("total").alias("stats")))
+    return days.select(F.concat(F.lit("/b/"), "date", F.lit(".json")).alias("path"), doc.cast("binary").alias("content"))
+
+
+@query("index_rows", f"WITH {_EV}, {_DAYS} SELECT date, count, window_end, sha256('{{\"collect_date\":\"' || date || '\",\"collect_window\":{{\"end\":\"' || window_end || '\"}},\"stats\":{{\"total\":' || count || '}}}}') AS sha256 FROM d")
 def _(spark, d):
-    days = events(spark, d).groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date")).agg(F.count("*").alias("count"), F.max(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("window_end"))
+    index = spark.createDataFrame([("/b/index.json", bytearray(b"{}"))], "path string, content binary")
+    return publish.index_rows(_bundles(spark, d).union(index))
+
+
+@query("bundle_index", f"WITH {_EV}, {_DAYS} SELECT date, count, window_end, (SELECT max(window_end) FROM d) AS watermark, (SELECT max(date) FROM d) AS latest FROM d")
+def _(spark, d):
+    days = publish.index_rows(_bundles(spark, d)).drop("sha256")
     top = days.agg(F.max("window_end").alias("watermark"), F.max("date").alias("latest"))
     return days.withColumn("one", F.lit(1)).join(F.broadcast(top.withColumn("one", F.lit(1))), "one").drop("one")
 
@@ -551,26 +553,77 @@ def _(spark, d):
     return articles.merge(rows.where(F.col("pos") < half), rows.where(F.col("pos") >= half), "external_id", "pos").select("external_id", "via")
 
 
-_XML = "concat('<?xml version=\"1.0\"?><rss><channel><title>c</title><item><title>T &amp; ', doc_id, '</title><link>https://h.example/', doc_id, '?utm_source=f</link><description>d</description><pubDate>Mon, 05 Jan 2026 10:00:00 +0200</pubDate></item><item><title>none</title></item></channel></rss>')"
+_ESCAPED = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+_XML = (
+    "concat('<?xml version=\"1.0\"?><rss><channel><title>c</title><item><title>T &amp; ', doc_id, '</title>', CASE doc_id % 4 WHEN 0 THEN concat('<link>https://h.example/', doc_id, '?utm_source=f</link>') "
+    "WHEN 1 THEN concat('<link rel=\"SELF\" href=\"https://s.example/\"/><link rel=\"Alternate\" type=\"text/plain\" href=\"https://h.example/', doc_id, '\"/>') WHEN 2 THEN concat('<guid>https://g.example/', doc_id, '</guid>') "
+    f"ELSE concat('<link rel=\"enclosure\" href=\"https://e.example/\"/><link rel=\"related\" href=\"https://r.example/', doc_id, '\"/>') END, '<description>', {_ESCAPED}, '</description><pubDate>Mon, 05 Jan 2026 10:00:00 +0', doc_id % 10, "
+    "'00</pubDate></item><item><title>none</title></item></channel></rss>')"
+)
+
+
+@query("xml_feed_parse", """SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'https://h.example/' || doc_id || '?utm_source=f' WHEN 1 THEN 'https://h.example/' || doc_id WHEN 2 THEN 'https://g.example/' || doc_id ELSE 'https://r.example/' || doc_id END AS url,
+ 'T & ' || doc_id AS title, '2026-01-05T10:00:00+0' || doc_id % 10 || ':00' AS published_at, length(text)::INT AS chars FROM documents""")
+def _(spark, d):
+    """A feed of each document, whose whole text is the entry's description (XML readers trim it, so its size is what counts)."""
+    docs = read(spark, d, "documents", "doc_id", "text").select("doc_id", F.expr(_XML).alias("body"), F.char_length(F.trim("text")).alias("trimmed"), F.char_length("text").alias("n"))
+    out = feeds.parse(docs).withColumn("got", F.char_length(F.trim("content_html")))
+    return out.select("doc_id", "url", "title", "published_at", F.when(F.col("got") == F.col("trimmed"), F.col("n")).otherwise(-F.col("got")).alias("chars"))
+
+
+_SRC_MODE = "CASE page_id % 5 WHEN 0 THEN 'auto' WHEN 1 THEN 'rss' WHEN 2 THEN 'html_llm' WHEN 3 THEN 'browser_llm' ELSE 'other' END"
+_SRC_STATUS = "CASE page_id % 7 WHEN 0 THEN 'blocked' WHEN 1 THEN 'browser_required' WHEN 2 THEN 'gone' ELSE 'direct' END"
+_SRC = f"src AS (SELECT 's' || page_id // 2 * 2 AS id0, page_id, {_SRC_MODE} AS m, {_SRC_STATUS} AS a, page_id % 3 = 0 AS fb, page_id % 11 <> 0 AS en, page_id % 2 = 0 AS fed FROM pages), sr AS (SELECT CASE WHEN page_id % 9 = 0 THEN id0 ELSE 'p' || page_id END AS id, * EXCLUDE (id0) FROM src)"
 
 
-@query("xml_feed_parse", "SELECT doc_id, 'https://h.example/' || doc_id || '?utm_source=f' AS url, 'T & ' || doc_id AS title, '2026-01-05T08:00:00+00:00' AS published_at, 'd' AS content_html FROM documents")
+@query("source_validate", f"""WITH {_SRC} SELECT id, unnest(list_filter([CASE WHEN m = 'auto' THEN 'auto mode' END, CASE WHEN m = 'other' THEN 'unknown mode' END, CASE WHEN a = 'gone' THEN 'unknown access status' END, CASE WHEN m = 'rss' AND NOT fed THEN 'rss needs rss_url' END,
+ CASE WHEN m = 'browser_llm' AND NOT fb THEN 'browser mode needs browser_fallback' END, CASE WHEN a = 'browser_required' AND NOT fb THEN 'browser_required needs browser_fallback' END, CASE WHEN a = 'blocked' AND en THEN 'blocked but enabled' END], lambda x: x IS NOT NULL)) AS rule FROM sr
+ UNION ALL SELECT id, 'duplicate id' FROM sr GROUP BY id HAVING count(*) > 1""")
 def _(spark, d):
-    docs = read(spark, d, "documents", "doc_id").withColumn("body", F.expr(_XML))
-    return feeds.parse(docs).select("doc_id", "url", "title", "published_at", "content_html")
+    """A source of each page, with what breaks the rules."""
+    p = read(spark, d, "pages", "page_id", "url")
+    return config.validate(p.select(
+        F.expr("CASE WHEN page_id % 9 = 0 THEN concat('s', cast(floor(page_id / 2) * 2 AS bigint)) ELSE concat('p', page_id) END").alias("id"), F.expr(_SRC_MODE).alias("collect_mode"), F.expr(_SRC_STATUS).alias("access_status"),
+        (F.col("page_id") % 3 == 0).alias("browser_fallback"), (F.col("page_id") % 11 != 0).alias("enabled"), F.expr("CASE WHEN page_id % 2 = 0 THEN url ELSE '' END").alias("rss_url"),
+    ))
+
+
+@query("content_redirect", f"WITH r AS (SELECT page_id FROM pages) SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'redirect_host:evil.example' END AS error FROM r")
+def _(spark, d):
+    p = read(spark, d, "pages", "page_id", "url")
+    host = urls.host_of(F.col("url"))
+    final = F.expr("page_id % 4")
+    target = F.when(final == 0, F.lit("https://evil.example/x")).when(final == 1, F.concat(F.lit("https://"), F.when(host.startswith("www."), F.substr(host, F.lit(5))).otherwise(F.concat(F.lit("www."), host)), F.lit("/moved"))).when(final == 2, F.col("url")).otherwise("")
+    return p.select("page_id", articles.redirect_error(target, F.col("url")).alias("error"))
 
 
-@query("source_validate", "SELECT * FROM (VALUES ('a', 'duplicate id'), ('b', 'auto mode'), ('c', 'browser mode needs browser_fallback'), ('c', 'blocked but enabled'), ('d', 'rss needs rss_url')) AS t(id, rule)")
+@query("run_candidates", f"""WITH {_LINKED}, c AS (SELECT page_id AS source_id, link_url AS url, title, rank FROM cand WHERE rank <= 80), o AS (SELECT * FROM c WHERE rank % 3 = 0)
+ SELECT source_id, count(*) AS candidate_count, count(*) FILTER (NOT (source_id, url) IN (SELECT source_id, url FROM o)) AS candidate_new_count,
+ count(*) FILTER (NOT (source_id, url) IN (SELECT source_id, url FROM o) AND rank % 2 = 0) AS selected FROM c GROUP BY source_id""")
 def _(spark, d):
-    ok = {"id": "a", "home_url": "https://a.example/", "rss_url": "https://a.example/f", "collect_mode": "rss"}
-    rows = [ok, ok, {"id": "b", "home_url": "h"}, {"id": "c", "home_url": "h", "collect_mode": "browser_llm", "access_status": "blocked"}, {"id": "d", "home_url": "h", "collect_mode": "rss"}]
-    return config.validate(config.from_rows(spark, rows))
+    """Candidate state after a second look at each page: how many candidates it has, how many are new, how many of these were picked."""
+    c = pages.candidates(_linked(spark, d)).select(F.col("page_id").alias("source_id"), F.col("link_url").alias("url"), "title", "rank")
+    look = lambda rows, pick: rows.select("source_id", "url", "title", pick.alias("selected"), F.lit("llm").alias("selector"))
+    none, every = spark.createDataFrame([], "source_id long, url string"), c.select("source_id").distinct()
+    empty = spark.createDataFrame([], schemas.CANDIDATE_STATE).withColumn("source_id", F.col("source_id").cast("long"))
+    one = diff.update_candidates(empty, look(c.where("rank % 3 = 0"), F.lit(False)), "r1", none.select("source_id"), none)
+    two = diff.update_candidates(one, look(c, F.col("rank") % 2 == 0), "r2", every, none).where("last_seen = 'r2'")
+    fresh = F.col("first_seen") == "r2"
+    return two.groupBy("source_id").agg(F.count("*").alias("candidate_count"), F.count_if(fresh).alias("candidate_new_count"), F.count_if(fresh & F.col("selected")).alias("selected"))
+
+
+def _shared(spark: SparkSession) -> str:
+    """The folder that driver and executors share; only a local master may do without the setting."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return (base or "/tmp/linkflow-scratch").rstrip("/")
 
 
 @query("stream_diff", _ORACLES["baseline_emit"])
 def _(spark, d):
     """The incremental form, one micro-batch a run; the same rows as the fold over all runs."""
-    base = f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/linkflow-scratch').rstrip('/')}/linkflow/stream-{uuid.uuid4().hex}"
+    base = f"{_shared(spark)}/linkflow/stream-{uuid.uuid4().hex}"
     o = observed(spark, d).select("source_id", "url", "title", F.lit("").alias("published_at"), "run")
     for run in range(5):
         incremental.process(o.where(F.col("run") == run).drop("run"), run, f"{base}/state", f"{base}/out", Settings(seen_cap=1_000_000))

@@ -30,6 +30,17 @@ class Settings:
     http_timeout_s: float = 45.0
     probe_timeout_s: float = 8.0
     ssl_insecure_hosts: str = ""
+    browser_auto: bool = False
+    browser_wait_until: str = "domcontentloaded"
+    browser_wait_ms: int = 2000
+    browser_challenge_ms: int = 15_000
+    browser_proxy: str = ""
+    llm_base_url: str = ""
+    llm_key: str = ""
+    llm_model: str = ""
+    llm_timeout_s: float = 60.0
+    llm_excerpt_chars: int = 2000
+    commit: str = ""
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None) -> Settings:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from linkflow.functions import urls
 from linkflow.functions.dates import published
 from linkflow.functions.text import or_else
+from linkflow.operators import pages
 from linkflow.settings import Settings
+from linkflow.sources import fetch
 
 _LINK = "struct<_VALUE:string,_href:string,_rel:string,_type:string>"
 ENTRY = f"title string, link array<{_LINK}>, guid string, id string, description string, summary string, `content:encoded` string, content array<struct<_VALUE:string,_type:string>>, pubDate string, published string, updated string, created string, author struct<_VALUE:string,name:string>, `dc:creator` string, `dc:date` string"
@@ -21,10 +23,11 @@ def _first(xs: Column) -> Column:
 
 def entry_link(e: Column) -> Column:
     """The entry's page: a typed alternate link, else any link that is no enclosure, else an http guid."""
-    links = F.filter(F.coalesce(e["link"], F.expr(f"cast(array() as array<{_LINK}>)")), lambda x: F.coalesce(x["_rel"], F.lit("")) != "self")
+    links = F.filter(F.coalesce(e["link"], F.expr(f"cast(array() as array<{_LINK}>)")), lambda x: F.lower(F.trim(F.coalesce(x["_rel"], F.lit("")))) != "self")
     url = lambda x: F.trim(or_else(x["_href"], x["_VALUE"]))
-    rel = lambda x: F.coalesce(x["_rel"], F.lit(""))
-    page = lambda x: F.coalesce(x["_type"], F.lit("")).isin("", "text/html", "application/xhtml+xml")
+    rel = lambda x: F.lower(F.trim(F.coalesce(x["_rel"], F.lit(""))))
+    kind = lambda x: F.lower(F.coalesce(x["_type"], F.lit("")))
+    page = lambda x: (kind(x) == "") | kind(x).contains("html") | kind(x).startswith("text/")
     pick = lambda cond: url(_first(F.filter(links, lambda x: (url(x) != "") & cond(x))))
     guid = or_else(e["guid"], e["id"])
     return or_else(pick(lambda x: rel(x).isin("", "alternate") & page(x)), pick(lambda x: rel(x) != "enclosure"), F.when(urls.is_http_url(guid), guid))
@@ -84,3 +87,34 @@ def discovered(probed: DataFrame) -> DataFrame:
     good = probed.where("error IS NULL")
     w = Window.partitionBy("home_url").orderBy((F.col("entries") == 0).cast("int"), "pos")
     return good.withColumn("nth", F.row_number().over(w)).where("nth = 1").select("home_url", F.col("url").alias("feed_url"))
+
+
+def scan(wanted: DataFrame, keep, name: str, options: fetch.Options | None = None, served: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Loads ``wanted(source_id, feed_url[, verify, etag, last_modified])``.
+
+    Gives the outcome ``source_id, feed_url, error, entries`` of each (error null if it worked; not
+    changed since the last load is an empty feed), and the entries. ``keep(df, name)`` saves a table.
+    """
+    asked = wanted.withColumn("url", F.col("feed_url")).withColumn("kind", F.lit("feed"))
+    loads = keep(fetch.load(asked, options, served).withColumnRenamed("error", "load_error"), name)
+    rows = wanted.select("source_id", "feed_url").join(loads.withColumnRenamed("url", "feed_url"), "feed_url")
+    entries = keep(parse(rows.where("load_error IS NULL AND status < 400").select("source_id", "feed_url", "body")), f"{name}-entries")
+    n = entries.groupBy("source_id", "feed_url").agg(F.count("*").alias("entries"))
+    rows = rows.join(n, ["source_id", "feed_url"], "left").withColumn("entries", F.coalesce("entries", F.lit(0)))
+    error = F.coalesce("load_error", outcome(F.col("status"), F.col("body"), F.col("entries")))
+    return rows.select("source_id", "feed_url", error.alias("error"), "entries"), entries
+
+
+def discover(homes: DataFrame, keep, options: fetch.Options | None = None, served: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Feed discovery for ``homes(source_id, home_url[, verify])``: (source_id, feed_url) and all entries seen.
+
+    The home pages' alternate links and the usual places are loaded, each URL once.
+    """
+    loads = keep(fetch.load(homes.withColumn("url", F.col("home_url")), options, served), "homes")
+    p = homes.select("source_id", "home_url").join(loads.select(F.col("url").alias("home_url"), F.col("body").alias("html")), "home_url")
+    linked = pages.feed_links(p.select("source_id", "home_url", "html"))
+    tries = feed_candidates(homes.select("home_url").distinct(), linked.select("home_url", F.col("pos"), "href"))
+    tries = keep(homes.select("source_id", "home_url", *[c for c in homes.columns if c == "verify"]).join(tries, "home_url"), "feed-tries")
+    outcomes, entries = scan(tries.withColumnRenamed("url", "feed_url"), keep, "feed-probes", options, served)
+    probed = tries.withColumnRenamed("url", "feed_url").join(outcomes, ["source_id", "feed_url"]).select("home_url", "pos", F.col("feed_url").alias("url"), "error", "entries")
+    return homes.select("source_id", "home_url").join(discovered(probed.distinct()), "home_url").select("source_id", "feed_url"), entries

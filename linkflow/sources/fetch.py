@@ -1,109 +1,180 @@
-"""Page loads as a Python data source: ``spark.read.format("linkflow_fetch")``.
+"""Page loads as a plan operator: a DataFrame of requests in, one row of what came back for each.
 
-URLs come as an option (JSON list); each partition loads its share over its own connections. The
-``fixtures`` option names a JSON file of ``{url: {status, body, final_url}}`` that is served instead
-of the network. ``transport=browser`` renders pages with Playwright, if it is installed; a browser
-lives as long as the partition's read, with one context per host.
+Requests are dealt by host, so one task talks to one host over one session and one browser context.
+``transport`` is ``http`` (conditional, with redirects), ``browser`` (Playwright, if it is installed)
+or ``probe`` (HEAD, else a ranged GET). ``served`` is a dictionary that answers in place of the
+network: ``{url: {status, body, final_url, error, etag, last_modified, browser: {...}, probe: {...}}}``.
+Loads are not repeatable, so callers save what they get before they use it twice.
 """
 
 from __future__ import annotations
 
 import json
+import os
+from collections.abc import Iterator
+from dataclasses import asdict, dataclass
 from urllib.parse import urlsplit
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from linkflow import schemas
+from linkflow.functions import urls
+from linkflow.settings import Settings
 
+# What clients say of themselves, and the kinds of documents they ask for.
 AGENT = "Mozilla/5.0 (compatible; linkflow/1.0)"
+ACCEPT = {
+    "feed": "application/rss+xml, application/atom+xml, application/xml;q=0.9, text/xml;q=0.8, */*;q=0.5",
+    "page": "text/html,application/xhtml+xml;q=0.9,*/*;q=0.5",
+}
+#: Titles of pages that stand before the page while a site checks its visitor.
+CHALLENGES = ("just a moment", "checking your browser", "attention required")
 
+_FIELDS = ("url", "transport", "kind", "verify", "etag", "last_modified")
+_OUT = pa.schema([("url", pa.string()), ("transport", pa.string()), ("final_url", pa.string()), ("status", pa.int32()), ("body", pa.string()), ("error", pa.string()), ("etag", pa.string()), ("last_modified", pa.string())])
+
+
+@dataclass(frozen=True)
+class Options:
+    """How to load; ``of`` takes the values from the settings."""
+
+    timeout: float = 45.0
+    probe_timeout: float = 8.0
+    wait_until: str = "domcontentloaded"
+    wait_ms: int = 2000
+    challenge_ms: int = 15_000
+    proxy: str = ""
+    tasks: int = 64
 
-class FetchSource(DataSource):
     @classmethod
-    def name(cls) -> str:
-        return "linkflow_fetch"
-
-    def schema(self) -> str:
-        return schemas.FETCHED
-
-    def reader(self, schema) -> DataSourceReader:
-        return FetchReader(dict(self.options))
-
-
-class FetchReader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
-        self.urls = json.loads(options.get("urls", "[]"))
-        self.parts = max(1, min(int(options.get("partitions", "8")), len(self.urls) or 1))
-        self.timeout, self.fixtures = float(options.get("timeout", "45")), options.get("fixtures")
-        self.verify = options.get("verify", "true").lower() != "false"
-        self.transport, self.wait_ms = options.get("transport", "http"), int(options.get("wait_ms", "2000"))
-
-    def partitions(self):
-        return [InputPartition(i) for i in range(self.parts)]
-
-    def read(self, partition):
-        served = None
-        if self.fixtures:
-            with open(self.fixtures, encoding="utf-8") as f:
-                served = json.load(f)
-        own = self.urls[partition.value :: self.parts]
-        if served is None and self.transport == "browser":
-            yield from self._render(own)
-            return
-        for url in own:
-            if served is None:
-                yield self._load(url)
-            else:
-                r = served.get(url)
-                yield (url, r.get("final_url") or url, r.get("status", 200), r.get("body", ""), None, self.transport) if r else (url, url, None, "", "ConnectError", self.transport)
-
-    def _render(self, own: list[str]):
+    def of(cls, s: Settings) -> Options:
+        return cls(s.http_timeout_s, s.probe_timeout_s, s.browser_wait_until, s.browser_wait_ms, s.browser_challenge_ms, s.browser_proxy or os.environ.get("HTTPS_PROXY", ""))
+
+
+class _Loader:
+    """One task's connections; a browser starts with the first page that needs one and ends with the task."""
+
+    def __init__(self, options: Options, served: dict | None):
+        self.o, self.served = options, served
+        self.play = self.browser = None
+        self.contexts: dict[tuple[str, bool], object] = {}
+
+    def close(self) -> None:
+        if self.browser is not None:
+            self.browser.close()
+            self.play.stop()
+
+    def load(self, r: dict) -> dict:
         try:
-            from playwright.sync_api import sync_playwright
+            if self.served is not None:
+                return self._answer(r)
+            return {"browser": self._render, "probe": self._probe}.get(r["transport"], self._get)(r)
         except ImportError:
-            for url in own:
-                yield url, url, None, "", "BrowserUnavailable", "browser"
-            return
-        with sync_playwright() as p:
-            browser, contexts = p.chromium.launch(), {}
-            for url in own:
-                host = (urlsplit(url).hostname or "default").removeprefix("www.")
-                try:
-                    if host not in contexts:
-                        contexts[host] = browser.new_context(user_agent=AGENT, ignore_https_errors=not self.verify)
-                    page = contexts[host].new_page()
-                    answer = page.goto(url, wait_until="domcontentloaded", timeout=self.timeout * 1000)
-                    page.wait_for_timeout(self.wait_ms)
-                    yield url, page.url, answer.status if answer else None, page.content(), None, "browser"
-                    page.close()
-                except Exception as e:
-                    yield url, url, None, "", type(e).__name__, "browser"
-            browser.close()
-
-    def _load(self, url: str) -> tuple:
+            return {"error": "BrowserUnavailable"}
+        except Exception as e:
+            return {"error": type(e).__name__}
+
+    def _answer(self, r: dict) -> dict:
+        got = self.served.get(r["url"])
+        if got is not None and r["transport"] != "http":
+            got = got.get(r["transport"], got if r["transport"] == "probe" else None)
+        if got is None:
+            return {"error": "ConnectError"}
+        if r["etag"] and got.get("etag") == r["etag"]:
+            return {"status": 304, "etag": r["etag"]}
+        return {"status": None if got.get("error") else 200, "body": "", **got}
+
+    def _open(self, r: dict, method: str, headers: dict[str, str], timeout: float) -> dict:
         import ssl
         import urllib.error
         import urllib.request
 
-        context = None if self.verify else ssl._create_unverified_context()
-        request = urllib.request.Request(url, headers={"User-Agent": AGENT, "Accept": "*/*"})
+        context = ssl.create_default_context() if r["verify"] else ssl._create_unverified_context()
+        request = urllib.request.Request(r["url"], headers={"User-Agent": AGENT, **headers}, method=method)
         try:
-            with urllib.request.urlopen(request, timeout=self.timeout, context=context) as r:
-                return url, r.geturl(), r.status, r.read().decode(r.headers.get_content_charset() or "utf-8", "replace"), None, "http"
+            with urllib.request.urlopen(request, timeout=timeout, context=context) as a:
+                body = "" if method == "HEAD" else a.read().decode(a.headers.get_content_charset() or "utf-8", "replace")
+                return {"status": a.status, "final_url": a.geturl(), "body": body, "etag": a.headers.get("ETag"), "last_modified": a.headers.get("Last-Modified")}
         except urllib.error.HTTPError as e:
-            return url, e.geturl() or url, e.code, "", None, "http"
-        except Exception as e:
-            return url, url, None, "", type(e).__name__, "http"
+            return {"status": e.code, "final_url": e.geturl()}
 
+    def _get(self, r: dict) -> dict:
+        known = {"If-None-Match": r["etag"], "If-Modified-Since": r["last_modified"]}
+        return self._open(r, "GET", {"Accept": ACCEPT[r["kind"]], **{k: v for k, v in known.items() if v}}, self.o.timeout)
+
+    def _probe(self, r: dict) -> dict:
+        """A HEAD request; servers that do not answer it are asked for the first byte."""
+        try:
+            got = self._open(r, "HEAD", {}, self.o.probe_timeout)
+        except OSError:
+            got = {}
+        if got.get("status") is None or got["status"] >= 400:
+            got = self._open(r, "GET", {"Range": "bytes=0-0"}, self.o.probe_timeout)
+        return {**got, "body": ""}
+
+    def _render(self, r: dict) -> dict:
+        host = (urlsplit(r["url"]).hostname or "default").removeprefix("www.")
+        if self.browser is None:
+            from playwright.sync_api import sync_playwright
+
+            self.play = sync_playwright().start()
+            self.browser = self.play.chromium.launch(proxy={"server": self.o.proxy} if self.o.proxy else None)
+        key = host, r["verify"]
+        if key not in self.contexts:
+            self.contexts[key] = self.browser.new_context(user_agent=AGENT, ignore_https_errors=not r["verify"])
+        page = self.contexts[key].new_page()
+        try:
+            answer = page.goto(r["url"], wait_until=self.o.wait_until, timeout=self.o.timeout * 1000)
+            page.wait_for_timeout(self.o.wait_ms)
+            waited = 0
+            while waited < self.o.challenge_ms and any(x in page.title().lower() for x in CHALLENGES):
+                page.wait_for_timeout(1000)
+                waited += 1000
+            return {"status": answer.status if answer else None, "final_url": page.url, "body": page.content()}
+        finally:
+            page.close()
+
+
+def load(requests: DataFrame, options: Options | None = None, served: dict | None = None) -> DataFrame:
+    """Loads distinct ``requests(url, transport[, kind, verify, etag, last_modified])``.
+
+    Gives ``url, transport, final_url, status, body, error, etag, last_modified``; an error is the
+    name of what went wrong, and then there is no status.
+    """
+    o = options or Options()
+    default = {"transport": F.lit("http"), "kind": F.lit("page"), "verify": F.lit(True), "etag": F.lit(None).cast("string"), "last_modified": F.lit(None).cast("string")}
+    rows = requests.select(*[F.col(c) if c in requests.columns else default[c].alias(c) for c in _FIELDS]).where("coalesce(url, '') != ''").dropDuplicates(["url", "transport"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loader = _Loader(o, served)
+        try:
+            for b in batches:
+                for r in b.to_pylist():
+                    got = {"final_url": r["url"], "body": "", **{k: v for k, v in loader.load(r).items() if v is not None}}
+                    row = {f.name: got.get(f.name) for f in _OUT} | {"url": r["url"], "transport": r["transport"]}
+                    yield pa.RecordBatch.from_pylist([row], _OUT)
+        finally:
+            loader.close()
+
+    return rows.repartition(o.tasks, urls.context_key(F.col("url"))).mapInArrow(run, schemas.FETCHED)
 
-def fetch(spark, urls: list[str], **options: str) -> DataFrame:
-    spark.dataSource.register(FetchSource)
-    reader = spark.read.format("linkflow_fetch").option("urls", json.dumps(urls))
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return reader.load()
+
+def fetch(spark: SparkSession, addresses: list[str], transport: str = "http", fixtures: str | None = None, **options) -> DataFrame:
+    """Loads a few URLs; ``fixtures`` names a JSON file on the driver that is served instead of the network."""
+    served = None
+    if fixtures:
+        with open(fixtures, encoding="utf-8") as f:
+            served = json.load(f)
+    rows = spark.createDataFrame([(u, transport) for u in addresses], "url string, transport string")
+    return load(rows, Options(**(asdict(Options()) | options)), served)
+
+
+def verified(url: Column, insecure_hosts: str, ssl_verify: Column) -> Column:
+    """Whether TLS is verified for a source's URL."""
+    hosts = [h.strip().lower() for h in insecure_hosts.split(",") if h.strip()]
+    return ~urls.is_insecure(url, F.array(*map(F.lit, hosts)).cast("array<string>"), ssl_verify)
 
 
 def load_error(status: Column, body: Column, transport: Column, error: Column) -> Column:
@@ -122,3 +193,21 @@ def first_readable(loads: DataFrame) -> DataFrame:
     ok = loads.where(load_error(F.col("status"), F.col("body"), F.col("transport"), F.col("error")).isNull())
     w = Window.partitionBy("url").orderBy("attempt")
     return ok.withColumn("nth", F.row_number().over(w)).where("nth = 1").drop("nth")
+
+
+def pages(wanted: DataFrame, keep, options: Options | None = None, served: dict | None = None) -> DataFrame:
+    """The page loader with fallback: ``wanted(url, first, fallback[, verify])`` as the load that counts.
+
+    ``first`` is the first transport; with ``fallback``, a plain load that was refused, or failed at
+    TLS or by time, is tried with a browser. ``keep(df, name)`` saves a table. A row has ``error``
+    null if the page can be read; else the last attempt's error.
+    """
+    wanted = wanted.dropDuplicates(["url"])
+    one = keep(load(wanted.withColumn("transport", F.col("first")), options, served), "loads-first")
+    error = load_error(F.col("status"), F.col("body"), F.col("transport"), F.col("error"))
+    failed = one.withColumn("failed", error).where("transport = 'http' AND failed IS NOT NULL").where(needs_browser(F.col("status"), F.col("error")))
+    again = wanted.where("fallback").join(failed.select("url"), "url", "left_semi").withColumn("transport", F.lit("browser"))
+    two = keep(load(again, options, served), "loads-again")
+    both = one.withColumn("attempt", F.lit(0)).unionByName(two.withColumn("attempt", F.lit(1))).withColumn("error", error)
+    w = Window.partitionBy("url").orderBy(F.col("error").isNotNull(), F.when(F.col("error").isNull(), F.col("attempt")).otherwise(-F.col("attempt")))
+    return both.withColumn("nth", F.row_number().over(w)).where("nth = 1").drop("nth", "attempt")

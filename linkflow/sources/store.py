@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from linkflow import schemas
 
@@ -43,12 +44,21 @@ def save_state(tables: dict[str, DataFrame], path: str, version: int) -> None:
         tables[t].write.mode("overwrite").parquet(f"{path}/v={version}/{t}")
 
 
+def next_version(spark: SparkSession, path: str) -> int:
+    """The number of the next snapshot: one more than the newest complete one."""
+    return max(_versions(spark, path), default=0) + 1
+
+
 def append_archive(articles: DataFrame, path: str, run_id: str) -> None:
     """Appends a run's articles by month; running it again replaces the run's own files."""
     rows = articles.withColumn("month", F.substring("collected_at", 1, 7)).withColumn("run_id", F.lit(run_id))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", "run_id").json(path)
 
 
-def read_archive(spark: SparkSession, path: str, month: str, schema: str) -> DataFrame:
-    """A month's records; lines that are no JSON go."""
-    return spark.read.schema(schema + ", month string, run_id string").option("mode", "DROPMALFORMED").json(path).where(F.col("month") == month)
+def read_archive(spark: SparkSession, path: str, month: str, schema: StructType) -> DataFrame:
+    """A month's records in the order of runs; lines that are no JSON go. Other months are not read."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/month={month}")
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        return spark.createDataFrame([], StructType([*schema.fields, StructField("run_id", StringType())]))
+    # Only this month's folder is listed. A version with leading zeros sorts as text.
+    return spark.read.schema(StructType([*schema.fields, StructField("run_id", StringType())])).option("mode", "DROPMALFORMED").json(f"{path}/month={month}")

@@ -59,7 +59,8 @@ def test_clean_text_follows_the_parser_side(spark, value):
 
 
 def test_dates(spark):
-    assert column(spark, ["Sat, 01 Aug 2026 10:00:00 +0200", "1 Aug 2026 08:00:00 GMT", "2026-08-01T10:00:00.5+02:00", "nonsense", None], dates.published) == ["2026-08-01T08:00:00+00:00", "2026-08-01T08:00:00+00:00", "2026-08-01T08:00:00.500000+00:00", "", ""]
+    assert column(spark, ["Sat, 01 Aug 2026 10:00:00 +0200", "1 Aug 2026 08:00:00 GMT", "2026-08-01T10:00:00.5+02:00", "nonsense", None], dates.published) == ["2026-08-01T10:00:00+02:00", "2026-08-01T08:00:00+00:00", "2026-08-01T08:00:00.500000+00:00", "", ""]
+    assert column(spark, ["Sat, 01 Aug 2026 00:10:00 -0730", "Sat, 01 Aug 2026 00:10:00 -0000", "1 Aug 2026 00:10 +1345"], dates.published) == ["2026-08-01T00:10:00-07:30", "2026-08-01T00:10:00+00:00", "2026-08-01T00:10:00+13:45"]
     assert column(spark, ["2026-01-01T00:00:00Z", "not a time", None], dates.to_iso) == ["2026-01-01T00:00:00+00:00", "not a time", ""]
     hours = lambda e: dates.window_hours(F.lit("2026-01-01T00:00:00+00:00"), e)
     assert column(spark, ["2026-01-01T07:59:59+00:00", "2026-01-01T00:00:00+00:00", None], hours) == [7, 24, 24]

@@ -117,7 +117,7 @@ def test_feeds(spark):
     df = spark.createDataFrame([("r", RSS), ("a", ATOM), ("e", "<rss></rss>"), ("n", None)], "source_id string, body string")
     got = {(r.source_id, r.pos): r for r in feeds.parse(df).collect()}
     one, atom = got["r", 0], got["a", 0]
-    assert (one.url, one.title, one.content_html, one.published_at, one.author) == ("https://h.com/1?utm_source=x", "One & only", "<p>a longer body</p>", "2026-08-01T08:00:00+00:00", "Ann")
+    assert (one.url, one.title, one.content_html, one.published_at, one.author) == ("https://h.com/1?utm_source=x", "One & only", "<p>a longer body</p>", "2026-08-01T10:00:00+02:00", "Ann")
     assert got["r", 1].url == "https://h.com/2" and (atom.url, atom.author, atom.published_at, atom.content_html) == ("https://h.com/a", "Bob", "2026-08-01T00:00:00+00:00", "body")
     assert not any(k[0] in "en" for k in got) and ("r", 2) not in got
     assert feeds.parse(df, limit=1).where("source_id = 'r'").count() == 1
@@ -142,19 +142,6 @@ def test_fetch_from_fixtures(spark, tmp_path):
     assert rows(got.select("url", err.alias("e"), fetch.needs_browser(F.col("status"), F.col("error")).alias("b")), "url", "e", "b") == [("https://h/1", None, False), ("https://h/2", "http_403", True), ("https://h/3", "ConnectError", None)]
 
 
-def test_daily_run(spark, tmp_path):
-    src = config.from_rows(spark, [{"id": "s", "home_url": "https://h.com/", "rss_url": "https://h.com/f", "collect_mode": "rss"}])
-    items = lambda *ns: spark.createDataFrame([("s", "https://h.com/f", f"https://h.com/{n}", f"T{n}", "sum", None, "2026-08-01T00:00:00+00:00", "", "rss") for n in ns], "source_id string, base string, url string, title string, summary string, content_html string, published_at string, author string, via string")
-    go = lambda n, *ns: daily.run(spark, items(*ns), src, f"{tmp_path}/state", f"{tmp_path}/out", f"2026-08-0{n}T01:00:00+00:00", f"2026-08-0{n}", n)
-    assert go(1, 1, 2).count() == 0  # the first run is the baseline
-    go(2, 2, 3)
-    feed = json.loads((tmp_path / "out/feed/2026-08-02.json").read_text())
-    assert [i["html_url"] for i in feed["items"]] == ["https://h.com/3"] and feed["summary"]["by_via"] == {"rss": 1}
-    index = json.loads((tmp_path / "out/bundles/index.json").read_text())
-    assert index["latest"] == "2026-08-02" and index["days"][0]["count"] == 1
-    assert rows(store.load_state(spark, f"{tmp_path}/state")["seen"], "url") == [("https://h.com/1",), ("https://h.com/2",), ("https://h.com/3",)]
-
-
 def test_bundle_merge_and_blocks(spark):
     mk = lambda ids, title: spark.createDataFrame([(f"k{i}", title, f"2026-01-0{i}", i) for i in ids], "external_id string, title string, at string, pos long")
     got = [(r.external_id, r.title) for r in publish.merge_day(mk([1, 2], "old"), mk([2, 3], "new")).collect()]
@@ -179,7 +166,7 @@ def test_settings():
 def test_model_picks(spark):
     c = spark.createDataFrame([(1, i, f"https://h/{i}", f"title {i}", "") for i in range(3)] + [(2, 0, "https://h/x", "other", "")], "page_id long, pos int, link_url string, title string, context string")
 
-    def ask(prompt):
+    def ask(prompt, temperature):
         if "other" in prompt:
             raise TimeoutError
         return 'sure: {"article_ids": [2, 0, 7]}', {"total_tokens": 5}
@@ -189,7 +176,7 @@ def test_model_picks(spark):
     assert rows(remote.usage(answers), "requests", "failed", "total_tokens") == [(2, 1, 5)]
     b = spark.createDataFrame([(1, r, "div", 9, f"text {r}") for r in (1, 2, 3)], "page_id long, rank int, kind string, chars int, text string")
     t = spark.createDataFrame([(1, "T")], "page_id long, title string")
-    got, _ = remote.block_picks(b, t, lambda p: ('{"content_block_ids": [2, 0]}', {}))
+    got, _ = remote.block_picks(b, t, lambda p, t: ('{"content_block_ids": [2, 0]}', {}))
     assert rows(got, "page_id", "nth", "rank") == [(1, 0, 3), (1, 1, 1)]
 
 
@@ -199,3 +186,12 @@ def test_sources_check(spark, tmp_path):
     s = config.from_rows(spark, [{"id": "f", "home_url": "https://h.com/", "rss_url": "https://h.com/f"}, {"id": "p", "home_url": "https://p.com/"}, {"id": "e", "home_url": "https://e.com/"}, {"id": "x", "home_url": "https://x.com/", "rss_url": "https://x.com/f"}])
     got = rows(daily.check(spark, s, fixtures=f"{tmp_path}/f.json"), "id", "error", "found")
     assert got == [("e", "no_candidates", 0), ("f", None, 2), ("p", None, 1), ("x", "http_500", 0)]
+
+
+def test_texts_keep_every_row_and_column(spark):
+    rows = [(None, "<article>a</article>", 1), (None, "<article>bb</article>", 2), ("k", "<p>x", 3), ("k", "<p>x", 3), ("k", None, 4), ("p", "plain &lt; x", 5)]
+    df = spark.createDataFrame(rows, "url string, html string, pos int")
+    got = sorted(map(tuple, pages.texts(df).select("url", "pos", "content", "method").collect()), key=str)
+    assert got == sorted([(None, 1, "a", "article"), (None, 2, "bb", "article"), ("k", 3, "", "empty"), ("k", 3, "", "empty"), ("k", 4, "", "empty"), ("p", 5, "plain < x", "plain")], key=str)
+    assert "Exchange" not in pages.texts(df)._jdf.queryExecution().executedPlan().toString()
+    assert [r.html for r in pages.cleaned(df.where("pos = 5"), "html").collect()] == ["plain < x"]
