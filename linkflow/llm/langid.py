@@ -55,9 +55,15 @@ _WORD = re.compile(f"[{_ranges('L')}][{_ranges('LM')}]{{0,{LONGEST - 1}}}")
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("cross_entropy", pa.float64()), ("rejected", pa.bool_())])
 _OUT_DDL = "doc_id long, held_out boolean, lang_pred string, score double, cross_entropy double, rejected boolean"
 
+# The same for texts without characters from U+0300 on, where marks and most scripts begin.
+_ASCII, _LATIN, _BEYOND = re.compile("[a-z]{1,%d}" % LONGEST), re.compile(r"[^\W\d_²³¹¼½¾]{1,%d}" % LONGEST), re.compile("[\u0300-\U0010ffff]")
+
 
 def words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    low = text.lower() if text else ""
+    if low.isascii():
+        return _ASCII.findall(low)
+    return (_WORD if _BEYOND.search(low) else _LATIN).findall(low)
 
 
 def _grams(vocabulary: list[str], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

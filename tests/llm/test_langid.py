@@ -1,8 +1,11 @@
 import math
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from linkflow.llm import langid, queries
@@ -90,6 +93,20 @@ def test_edges(spark):
     assert far.rejected and far.lang_pred == "und"
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=40) | st.text(alphabet=[chr(i) for i in range(0x300)], max_size=40))
+def test_words_follow_the_unicode_categories(text):
+    out, word = [], ""
+    for ch in text.lower() + " ":
+        kind = unicodedata.category(ch)[0]
+        if kind == "L" or (kind == "M" and word):
+            word += ch
+        if word and (kind not in "LM" or len(word) == 24):
+            out.append(word)
+            word = ""
+    assert langid.words(text) == out
+
+
 def test_letters_marks_and_numerals():
     assert langid.words("²") == langid.words("½²①Ⅷ 123 __") == langid.words("\u0301\u0903 !") == []
     assert langid.words("हिन्दी caf\u0065\u0301") == ["हिन्दी", "cafe\u0301"]
