@@ -1,7 +1,8 @@
 """URL algebra as native column expressions (no Python workers).
 
-A URL is split by the RFC 3986 expression, which accepts what a strict parser rejects. Functions
-return "" for "no URL"; null counts as "".
+A URL is split by the RFC 3986 expression, which accepts what a strict parser rejects: once, into an
+array of its five parts, which all further steps work on. Functions return "" for "no URL"; null
+counts as "".
 """
 
 from __future__ import annotations
@@ -28,6 +29,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: Stands between parts; a URL holds none (it is dropped).
+_NUL = "\x00"
+
+
+def parts(url: Column) -> Column:
+    """Scheme, authority, path, query and fragment as an array, by one pass of the expression."""
+    bare = F.translate(F.coalesce(url, F.lit("")), _NUL, "")
+    return F.split(F.regexp_replace(bare, "(?s)" + RFC3986, _NUL.join(f"${i}" for i in range(1, 6))), _NUL, 5)
+
+
 def part(url: Column, group: int) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), RFC3986, group)
 
@@ -44,13 +55,13 @@ def query_of(url: Column) -> Column:
     return part(url, 4)
 
 
-def host_of(url: Column) -> Column:
-    """Lower-case host without user and port."""
-    return F.lower(F.regexp_extract(part(url, 2), r"^(?:.*@)?(\[[^\]]*\]|[^:]*)", 1))
+def _host(authority: Column) -> Column:
+    return F.lower(F.regexp_extract(authority, r"^(?:.*@)?(\[[^\]]*\]|[^:]*)", 1))
 
 
-def port_of(url: Column) -> Column:
-    return F.regexp_extract(part(url, 2), r":(\d{1,5})$", 1)
+def host_of(url: Column) -> Column:
+    """Lower-case host without user and port."""
+    return _host(part(url, 2))
 
 
 def is_http_url(url: Column) -> Column:
@@ -73,28 +84,41 @@ def _join(scheme: Column, authority: Column, path: Column, query: Column, fragme
 
 def _without_dots(path: Column) -> Column:
     """Resolves ``.`` and ``..`` segments of an absolute path."""
-    parts = F.slice(F.split(path, "/"), 2, 100_000)
-    last = F.element_at(parts, -1)
-    kept = F.aggregate(parts, F.expr("cast(array() as array<string>)"), lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
-    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(last.isin(".", "..") & (F.size(kept) > 0), "/").otherwise(""))
+    pieces = F.split(path, "/")
+    pieces = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+    last = F.element_at(pieces, -1)
+    kept = F.aggregate(pieces, F.expr("cast(array() as array<string>)"), lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
+    resolved = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(last.isin(".", "..") & (F.size(kept) > 0), "/").otherwise(""))
+    return F.when(path.contains("/."), resolved).otherwise(path)
+
+
+def _skipped(href: Column) -> Column:
+    out = href == ""
+    for s in SKIPPED_SCHEMES:
+        out = out | href.startswith(s)
+    return out
+
+
+def _against(base: Column, h: Column) -> Column:
+    """The parts of a reference with parts ``h`` against a base with parts ``base``."""
+    own, scheme = h[2], F.lower(base[0])
+    folder = F.regexp_extract(base[2], r"^(.*/)[^/]*$", 1)
+    folder = F.when(folder == "", "/").otherwise(folder)
+    path = F.when(own == "", base[2]).when(own.startswith("/"), _without_dots(own)).otherwise(_without_dots(F.concat(folder, own)))
+    query = F.when((own == "") & (h[3] == ""), base[3]).otherwise(h[3])
+    absent = F.array_join(base, "") == ""
+    return F.when((h[0] != "") | absent, h).when(h[1] != "", F.array(scheme, h[1], own, h[3], h[4])).otherwise(F.array(scheme, base[1], path, query, h[4]))
 
 
 def resolve_url(base: Column, href: Column) -> Column:
     """``href`` against ``base``: absolute, ``//host``, ``/path``, ``?query``, ``#fragment`` and relative forms."""
+    known = F.struct(F.trim(F.coalesce(href, F.lit(""))).alias("href"), parts(base).alias("base"), parts(F.trim(F.coalesce(href, F.lit("")))).alias("own"))
 
-    def joined(h: Column) -> Column:
-        skip = h == ""
-        for s in SKIPPED_SCHEMES:
-            skip = skip | h.startswith(s)
-        folder = F.concat(F.regexp_extract(path_of(base), r"^(.*/)[^/]*$", 1))
-        folder = F.when(folder == "", "/").otherwise(folder)
-        own = part(h, 3)
-        path = F.when(own == "", path_of(base)).when(own.startswith("/"), _without_dots(own)).otherwise(_without_dots(F.concat(folder, own)))
-        query = F.when((own == "") & (part(h, 4) == ""), query_of(base)).otherwise(part(h, 4))
-        relative = _join(scheme_of(base), part(base, 2), path, query, part(h, 5))
-        return F.when(skip, "").when(part(h, 1) != "", h).when(part(h, 2) != "", F.concat(scheme_of(base), F.lit(":"), h)).when(F.coalesce(base, F.lit("")) == "", h).otherwise(relative)
+    def joined(x: Column) -> Column:
+        absolute = (x["own"][0] != "") | (F.array_join(x["base"], "") == "")
+        return F.when(_skipped(x["href"]), "").when(absolute, x["href"]).otherwise(let(_against(x["base"], x["own"]), lambda r: _join(r[0], r[1], r[2], r[3], r[4])))
 
-    return let(F.trim(F.coalesce(href, F.lit(""))), joined)
+    return let(known, joined)
 
 
 def _decode(x: Column) -> Column:
@@ -109,33 +133,37 @@ def filter_query(query: Column, keep: Callable[[Column], Column]) -> Column:
     """Re-encoded ``k=v`` pairs whose decoded key is kept, in order; duplicates and blanks stay."""
     pairs = F.filter(F.split(query, "&"), lambda p: p != "")
     pairs = F.transform(pairs, lambda p: F.struct(_decode(F.regexp_extract(p, r"^([^=]*)", 1)).alias("k"), _decode(F.regexp_extract(p, r"^[^=]*=(.*)$", 1)).alias("v")))
-    return F.array_join(F.transform(F.filter(pairs, lambda p: keep(p["k"])), lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))), "&")
+    kept = F.array_join(F.transform(F.filter(pairs, lambda p: keep(p["k"])), lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))), "&")
+    return F.when(query == "", "").otherwise(kept)
 
 
-def strip_tracking(url: Column, extra: Column | None = None) -> Column:
-    """Drops the fragment and tracking keys (and ``extra``, an array of keys); re-encodes the query."""
+def _is_tracking(key: Column, extra: Column | None) -> Column:
+    low = F.lower(key)
+    bad = low.isin(*TRACKING_KEYS)
+    for p in TRACKING_PREFIXES:
+        bad = bad | low.startswith(p)
+    if extra is not None:
+        bad = bad | F.array_contains(F.transform(F.coalesce(extra, F.expr("cast(array() as array<string>)")), F.lower), low)
+    return bad
 
-    def keep(k: Column) -> Column:
-        low = F.lower(k)
-        bad = low.isin(*TRACKING_KEYS)
-        for p in TRACKING_PREFIXES:
-            bad = bad | low.startswith(p)
-        if extra is not None:
-            bad = bad | F.array_contains(F.transform(F.coalesce(extra, F.expr("cast(array() as array<string>)")), F.lower), low)
-        return ~bad
 
-    return let(F.coalesce(url, F.lit("")), lambda u: _join(scheme_of(u), part(u, 2), path_of(u), filter_query(query_of(u), keep)))
+def _is_amp(key: Column) -> Column:
+    return F.lower(key).isin(*AMP_KEYS)
 
 
-def strip_amp(url: Column) -> Column:
-    """Drops an ``/amp`` path end and AMP query keys; keeps the fragment."""
+def _without_amp(path: Column) -> Column:
+    end = F.regexp_replace(path, "/amp$", "")
+    return F.when(path.endswith("/amp/"), F.regexp_replace(path, "/amp/$", "/")).when(path == "/amp", "/").when(path.endswith("/amp"), end).otherwise(path)
 
-    def clean(u: Column) -> Column:
-        p = path_of(u)
-        path = F.when(p.endswith("/amp/"), F.regexp_replace(p, "/amp/$", "/")).when(p.endswith("/amp"), let(F.regexp_replace(p, "/amp$", ""), lambda x: F.when(x == "", "/").otherwise(x))).otherwise(p)
-        return _join(scheme_of(u), part(u, 2), path, filter_query(query_of(u), lambda k: ~F.lower(k).isin(*AMP_KEYS)), part(u, 5))
 
-    return let(F.coalesce(url, F.lit("")), clean)
+def strip_tracking(url: Column, extra: Column | None = None) -> Column:
+    """Drops the fragment and tracking keys (and ``extra``, an array of keys); re-encodes the query."""
+    return let(parts(url), lambda r: _join(F.lower(r[0]), r[1], r[2], filter_query(r[3], lambda k: ~_is_tracking(k, extra))))
+
+
+def strip_amp(url: Column) -> Column:
+    """Drops an ``/amp`` path end and AMP query keys; keeps the fragment."""
+    return let(parts(url), lambda r: _join(F.lower(r[0]), r[1], _without_amp(r[2]), filter_query(r[3], lambda k: ~_is_amp(k)), r[4]))
 
 
 def allowed_hosts(home: Column, allowed: Column | None = None) -> Column:
@@ -150,20 +178,31 @@ def allowed_hosts(home: Column, allowed: Column | None = None) -> Column:
 def canonicalize(url: Column, base: Column | None = None, home: Column | None = None, allowed: Column | None = None, extra: Column | None = None) -> Column:
     """A cleaned absolute URL, or "" if it is no http URL, has a bad port, or its host is not allowed."""
     start = F.coalesce(base, home) if base is not None and home is not None else base if base is not None else home
-    raw = F.trim(F.coalesce(url, F.lit(""))) if start is None else resolve_url(start, url)
-
-    def clean(u: Column) -> Column:
-        port, scheme = port_of(u), scheme_of(u)
+    trimmed = F.trim(F.coalesce(url, F.lit("")))
+    # AMP and tracking keys go in one pass: a query that is decoded and encoded twice is as after once.
+    keep = lambda k: ~(_is_tracking(k, extra) | _is_amp(k))
+
+    def clean(r: Column) -> Column:
+        scheme = F.lower(r[0])
+        path = F.regexp_replace(_without_amp(r[2]), r";[^/]*$", "")
+        port = F.regexp_extract(r[1], r":(\d{1,5})$", 1)
+        both = F.struct(scheme.alias("scheme"), _host(r[1]).alias("host"), port.alias("port"), F.when(path == "", "/").otherwise(path).alias("path"))
+        return let(both, lambda x: _checked(x, r))
+
+    def _checked(x: Column, r: Column) -> Column:
+        scheme, port = x["scheme"], x["port"]
         usual = (port == "") | (port == "0") | ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443"))
-        netloc = F.concat(host_of(u), F.when(usual, "").otherwise(F.concat(F.lit(":"), port.cast("int").cast("string"))))
-        path = let(F.regexp_replace(path_of(u), r";[^/]*$", ""), lambda p: F.when(p == "", "/").otherwise(p))
-        good = is_http_url(u) & ((port == "") | (F.try_to_number(port, F.lit("99999")) <= 65535))
+        netloc = F.concat(x["host"], F.when(usual, "").otherwise(F.concat(F.lit(":"), port.cast("int").cast("string"))))
+        good = scheme.isin("http", "https") & (r[1] != "") & ((port == "") | (F.try_to_number(port, F.lit("99999")) <= 65535))
         if home is not None or allowed is not None:
             hosts = allowed_hosts(home if home is not None else F.lit(""), allowed)
-            good = good & let(hosts, lambda h: (F.size(h) == 0) | F.array_contains(h, host_of(u)))
-        return F.when(good, _join(scheme, netloc, path, query_of(u))).otherwise("")
+            good = good & let(hosts, lambda h: (F.size(h) == 0) | F.array_contains(h, x["host"]))
+        return F.when(good, _join(scheme, netloc, x["path"], filter_query(r[3], keep))).otherwise("")
 
-    return let(strip_tracking(strip_amp(raw), extra), clean)
+    if start is None:
+        return let(parts(trimmed), clean)
+    known = F.struct(trimmed.alias("href"), parts(start).alias("base"), parts(trimmed).alias("own"))
+    return let(known, lambda x: F.when(_skipped(x["href"]), "").otherwise(let(_against(x["base"], x["own"]), clean)))
 
 
 def is_non_article(url: Column) -> Column:

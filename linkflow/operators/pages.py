@@ -46,9 +46,9 @@ def links(pages: DataFrame) -> DataFrame:
 
 def links_native(pages: DataFrame) -> DataFrame:
     """(pos, href, title) of each link by expressions alone; enough where links hold plain text."""
-    both = F.arrays_zip(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1)).alias("href"), F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2)).alias("title"))
-    out = pages.select("*", F.posexplode(both).alias("pos", "link"))
-    return out.select(*pages.columns, "pos", F.col("link.href").alias("href"), F.trim(F.regexp_replace(F.col("link.title"), r"<[^>]*>", "")).alias("title"))
+    out = pages.select("*", F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(0))).alias("pos", "anchor"))
+    title = F.regexp_replace(F.regexp_extract("anchor", ANCHOR, 2), r"<[^>]*>", "")
+    return out.select(*pages.columns, "pos", F.regexp_extract("anchor", ANCHOR, 1).alias("href"), F.trim(title).alias("title"))
 
 
 def candidates(links: DataFrame, page_key: str = "page_id", page_url: str = "url", limit: int = Settings.page_candidates, hosts: str | None = None, extra: str | None = None) -> DataFrame:
