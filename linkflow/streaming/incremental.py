@@ -38,31 +38,35 @@ def start(stream: DataFrame, state_path: str, out_path: str, checkpoint: str, se
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stateful(stream: DataFrame) -> DataFrame:
+def stateful(stream: DataFrame, limit: int = Settings.seen_cap) -> DataFrame:
     """The same rule inside the stateful operator: per source the URLs seen, kept in RocksDB.
 
-    A source's first batch sets the baseline and emits nothing.
+    A source's first batch sets the baseline and emits nothing. The newest ``limit`` URLs of a source
+    stay (ties by URL), as in the batch form; an evicted URL that comes again is new again.
     """
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor
-    from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
     class Seen(StatefulProcessor):
         def init(self, handle) -> None:
-            self.known = handle.getMapState("known", StructType([StructField("url", StringType())]), StructType([StructField("seen", BooleanType())]))
-            self.ready = handle.getValueState("ready", StructType([StructField("ready", BooleanType())]))
+            self.known = handle.getMapState("known", StructType([StructField("url", StringType())]), StructType([StructField("batch", IntegerType())]))
+            self.last = handle.getValueState("last", StructType([StructField("batch", IntegerType())]))
 
         def handleInputRows(self, key, rows, timers):
-            baseline, out = not self.ready.exists(), []
+            batch = self.last.get()[0] + 1 if self.last.exists() else 1
+            out = []
             for pdf in rows:
                 for url in pdf["url"].dropna().unique():
                     if not self.known.containsKey((url,)):
-                        self.known.updateValue((url,), (True,))
-                        if not baseline:
+                        self.known.updateValue((url,), (batch,))
+                        if batch > 1:
                             out.append(url)
-            if baseline:
-                self.ready.update((True,))
-            yield pd.DataFrame({"source_id": [key[0]] * len(out), "url": out})
+            self.last.update((batch,))
+            held = sorted((-value[0], name[0]) for name, value in self.known.iterator())
+            for _, url in held[limit:]:
+                self.known.removeKey((url,))
+            yield pd.DataFrame({"source_id": [key[0]] * len(out), "url": out}, dtype=object)
 
         def close(self) -> None:
             pass

@@ -1,4 +1,5 @@
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,6 +73,26 @@ def test_stream_over_files(spark, tmp_path):
     assert rows(incremental.all_output(spark, f"{tmp_path}/out"), "url") == [("c",), ("d",)]
 
 
+def test_stateful_form_emits_what_the_batches_do_and_forgets_the_oldest(spark, tmp_path):
+    schema = "source_id string, url string, title string, published_at string"
+    runs = (["a", "b"], ["b", "c"], ["d", "e", "c"], ["a", "e"])
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    got, before = [], Counter()
+    try:
+        for urls in runs:
+            spark.createDataFrame([("s", u, "", "") for u in urls], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+            new = incremental.stateful(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), limit=3)
+            query = new.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start()
+            query.awaitTermination()
+            every = Counter(r.url for r in spark.read.schema("source_id string, url string").parquet(f"{tmp_path}/out").collect())
+            got.append(sorted((every - before).elements()))
+            before = every
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    # Three URLs stay, the newest first: a and b go in the third run, so a is new again.
+    assert got == [[], ["c"], ["d", "e"], ["a"]]
+
+
 def test_redirects_mark_both_urls_and_gone_articles_go(spark):
     a = spark.createDataFrame([("s", f"https://h.com/{x}", "t", False, "", "", "", "") for x in "abc"], "source_id string, url string, title string, url_corrected boolean, published_at string, content_status string, content_sha256 string, content_fetched_at string")
     p = spark.createDataFrame([("https://h.com/a", 200, "https://h.com/final?utm_x=1"), ("https://h.com/b", 410, ""), ("https://h.com/c", 500, "")], "url string, code int, final_url string")
