@@ -292,7 +292,12 @@ def _(spark, d):
     return pages.texts(read(spark, d, "pages", "page_id", "html"))
 
 
-@query("block_rank")
+_DECODED = "replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;', '&')"
+
+
+@query("block_rank", f"""WITH {_ARTICLE}, b AS (SELECT page_id, 0 AS o, 'article' AS kind, {_DECODED.format(x=_DROP.format(l='l'))} AS t FROM l
+ UNION ALL SELECT page_id, 1, 'div', trim({_DECODED.format(x="regexp_extract(html, '(?is)<div class=.ad.>(.*?)</div>', 1)")}) FROM pages), f AS (SELECT *, length(t)::INT AS chars, least(length(t), 60000)::INT AS score FROM b WHERE length(t) >= 120)
+ SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY score DESC, chars DESC, o))::INT AS rank, kind, chars, score, sha256(t) AS text_sha256 FROM f""")
 def _(spark, d):
     return pages.blocks(read(spark, d, "pages", "page_id", "html")).select("page_id", "rank", "kind", "chars", "score", text.sha256(F.col("text")).alias("text_sha256"))
 
@@ -307,7 +312,14 @@ def _(spark, d):
     return pages.rank_blocks(rows, "page_id").select("page_id", "rank", "chars", "score")
 
 
-@query("html_excerpt")
+_BODY = (
+    "regexp_replace(regexp_replace(regexp_extract(regexp_replace(html, '(?is)<(?:script)[^>]*>.*?</script>|<(?:style)[^>]*>.*?</style>|<(?:nav)[^>]*>.*?</nav>|<(?:header)[^>]*>.*?</header>|<(?:footer)[^>]*>.*?(?:</footer>|$)', '', 'g'), "
+    "'(?is)<body[^>]*>(.*?)(?:</body>|$)', 1), '(?s)<!--.*?-->', chr(10), 'g'), '<[^>]*>', chr(10), 'g')"
+)
+
+
+@query("html_excerpt", f"""WITH l AS (SELECT page_id, list_filter(list_transform(string_split({_BODY}, chr(10)), lambda x: trim({_DECODED.format(x='x')})), lambda x: x <> '') AS l FROM pages)
+ SELECT page_id, substr(array_to_string(l, chr(10)), 1, 12000) AS excerpt FROM l""")
 def _(spark, d):
     return pages.excerpts(read(spark, d, "pages", "page_id", "html"))
 
