@@ -38,7 +38,7 @@ SAMPLE, LIST_SAMPLE = 20_000, 40
 #: Lists: the square root of the number of vectors, at most so many (longer lists are split into parts).
 MAX_LISTS = 4096
 #: Share of true neighbours whose lists the probes must reach, measured with so many queries; least number of probes.
-TARGET, TRIALS, PROBE_LEAST = 0.955, 400, 16
+TARGET, TRIALS, PROBE_LEAST = 0.965, 400, 16
 SUBSPACES, CODES = 16, 256
 RERANK = 60
 PART, QUERY_PART = 8192, 2048
