@@ -62,3 +62,70 @@ def test_edges(spark, small):
     assert quality.score(docs.limit(0), net, F.lit(True)).count() == 0
     again = quality.fit(docs.repartition(7), labels)
     assert all(np.array_equal(net.w[k], again.w[k]) for k in net.w)
+
+
+def plain_features(text):
+    """The passages and their features from the definition, byte by byte and word by word."""
+    import xxhash
+
+    full, white = 2**64 - 1, b" \t\n\r\x0b\x0c"
+
+    def mixed(x):
+        for _ in range(2):
+            x ^= x >> 32
+            x = x * 0xD6E8FEB86659FD93 & full
+        return x ^ x >> 32
+
+    def kind(b):
+        c = chr(b)
+        tests = ["a" <= c <= "z", "A" <= c <= "Z", "0" <= c <= "9", b in white, c in ".,;:'\"-()", c in "!?", b < 128, True]
+        return tests.index(True)
+
+    raw = (text or "").encode()
+    at, i = [], 0
+    while i < len(raw):
+        if raw[i] in white:
+            i += 1
+            continue
+        j = i
+        while j < len(raw) and raw[j] not in white:
+            j += 1
+        at.append((i, j))
+        i = j
+    if not at:
+        return [[0.0] * quality.FEATURES]
+    bags = [at[k : k + 64] for k in range(0, len(at), 64)]
+    if len(bags) > 1 and len(bags[-1]) < 16:
+        bags[-2:] = [bags[-2] + bags[-1]]
+    out = []
+    for k, bag in enumerate(bags):
+        first = 0 if k == 0 else bag[0][0]
+        part = raw[first : bags[k + 1][0][0] if k + 1 < len(bags) else len(raw)]
+        kinds = [kind(b) for b in part]
+        words = [raw[i:j].lower() for i, j in bag]
+        n, size = len(words), [j - i for i, j in bag]
+        shape = [kinds.count(c) / len(part) for c in range(8)]
+        shape += [len(set(words)) / n, max(map(words.count, words)) / n, sum(a == b for a, b in zip(words, words[1:], strict=False)) / n]
+        shape += [sum(size) / n / 10, sum(s <= 2 for s in size) / n, math.log1p(n) / 5, sum(s == 1 for s in size) / n]
+        h = [xxhash.xxh3_64_intdigest(w) for w in words]
+        hashed = [0.0] * quality.HASHED
+        for x in h + [mixed((b + mixed(a)) & full) for a, b in zip(h, h[1:], strict=False)]:
+            hashed[x % quality.HASHED] += -1 if x >> 63 else 1
+        out.append([x / math.sqrt(n) for x in hashed] + shape)
+    return out
+
+
+def test_query_against_the_definition(spark):
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    net = queries.quality_network(spark, docs, d)
+    got = {r.doc_id: r.score for r in queries.op2_quality(spark, d).collect()}
+    w = net.w
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        total, weights = [], []
+        for f in plain_features(text):
+            e = np.tanh(((np.array(f) - net.mean) / net.scale) @ w["E"] + w["e"])
+            weights.append(math.exp((np.tanh(e @ w["T"]) / (1 + np.exp(-(e @ w["S"])))) @ w["a"]))
+            total.append(e)
+        z = np.average(total, axis=0, weights=weights)
+        assert math.isclose(got[doc_id], 1 / (1 + math.exp(-(z @ w["c"] + w["d"][0]))), rel_tol=1e-3, abs_tol=1e-4)
