@@ -264,7 +264,9 @@ def digests(docs: DataFrame, tokenizer: str, end_id: int = END_ID, kind: str = "
     write(docs, path, tokenizer, end_id, kind, cache_words=cache_words)
     rows = save(read(spark, path), "plane-docs")
     shards = rows.groupBy("pid", "seq").agg(F.sum("n_tokens").alias("ids"))
-    # One row per shard file: the running total over them is small.
-    before = Window.orderBy("pid", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    shards = shards.select("pid", "seq", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("base"))
+    # Running totals: over the files of a task, and over the tasks, of which there is one row each.
+    so_far = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tasks = shards.groupBy("pid").agg(F.sum("ids").alias("all")).select("pid", so_far("all", Window.orderBy("pid")).alias("start"))
+    shards = shards.withColumn("inner", so_far("ids", Window.partitionBy("pid").orderBy("seq"))).join(tasks, "pid")
+    shards = shards.select("pid", "seq", (F.col("start") + F.col("inner")).alias("base"))
     return rows.join(shards, ["pid", "seq"]).select("doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
