@@ -102,7 +102,9 @@ class Index:
         depth = np.sort(np.concatenate(depth)) if depth else np.zeros(0, int)
         return min(lists, max(PROBE_LEAST, int(depth[min(len(depth) - 1, math.ceil(target * len(depth)))]) + 1 if len(depth) else lists))
 
-    def search(self, cell: int, code: np.ndarray, ids: np.ndarray, x: np.ndarray, qid: np.ndarray, q: np.ndarray, k: int, rerank: int = RERANK) -> list[tuple[np.ndarray, np.ndarray]]:
+    def search(
+        self, cell: int, code: np.ndarray, ids: np.ndarray, x: np.ndarray, qid: np.ndarray, q: np.ndarray, k: int, rerank: int = RERANK
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per query the ids and exact scores of the best k of one part of a list."""
         order = np.argsort(ids, kind="stable")
         ids, code, x = ids[order], code[order], x[order]
@@ -188,8 +190,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, target: fl
     asks = queries.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_PART).cast("int").alias("qparts"))
     sizes = F.broadcast(parts.join(asks, "cell"))
     every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = entries.join(sizes, "cell").select("cell", F.pmod(F.xxhash64("vec_id"), "parts").cast("int").alias("part"), every("qparts").alias("qpart"), "vec_id", "v", "code")
-    right = queries.join(sizes, "cell").select(F.col("cell").alias("qcell"), every("parts").alias("rpart"), F.pmod(F.xxhash64("qid", F.lit(1)), "qparts").cast("int").alias("rqpart"), "qid", "q")
+    left = entries.join(sizes, "cell").select(
+        "cell", F.pmod(F.xxhash64("vec_id"), "parts").cast("int").alias("part"), every("qparts").alias("qpart"), "vec_id", "v", "code"
+    )
+    right = queries.join(sizes, "cell").select(
+        F.col("cell").alias("qcell"), every("parts").alias("rpart"),
+        F.pmod(F.xxhash64("qid", F.lit(1)), "qparts").cast("int").alias("rqpart"), "qid", "q"
+    )
     hits = pa.schema([("query_id", pa.int64()), ("hits", pa.list_(pa.struct([("score", pa.float64()), ("vec_id", pa.int64())])))])
 
     def scan(t, asked):
@@ -205,7 +212,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, target: fl
         flat = pa.StructArray.from_arrays([pa.array(np.concatenate([s for _, s in out])), pa.array(np.concatenate([a for a, _ in out]))], names=["score", "vec_id"])
         return pa.table([pa.array(qid), pa.ListArray.from_arrays(pa.array(size), flat)], schema=hits)
 
-    found = left.groupBy("cell", "part", "qpart").cogroup(right.groupBy("qcell", "rpart", "rqpart")).applyInArrow(scan, "query_id long, hits array<struct<score:double,vec_id:long>>")
+    found = left.groupBy("cell", "part", "qpart").cogroup(right.groupBy("qcell", "rpart", "rqpart")).applyInArrow(
+        scan, "query_id long, hits array<struct<score:double,vec_id:long>>"
+    )
     # Each task first keeps its own best; the best of the lists' parts are at most k rows each.
     hit = found.select("query_id", F.explode("hits").alias("hit")).select("query_id", F.col("hit.score").alias("score"), F.col("hit.vec_id").alias("vec_id"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

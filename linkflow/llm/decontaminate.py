@@ -35,7 +35,9 @@ PART_BYTES = 16 << 20
 # Lower-cases A-Z; every other ASCII character than a digit or a letter separates words.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 _RESULT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<first:int,last:int>>"
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("spans", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))])
+_SCHEMA = pa.schema(
+    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("spans", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))]
+)
 
 
 def words(text: str | None) -> list[bytes]:
@@ -171,7 +173,11 @@ def flag(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int
             for t, s in zip(b.column(1), state, strict=True):
                 w, hit, found = scan(t.as_py(), s)
                 n, names = int(hit.sum()), sorted(found)
-                for o, v in zip(out, (len(w), n, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), n > 0 and share * n >= len(w), _spans(hit) if n else []), strict=True):
+                for o, v in zip(
+                    out,
+                    (len(w), n, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), n > 0 and share * n >= len(w), _spans(hit) if n else []),
+                    strict=True
+                ):
                     o.append(v)
             yield batch(_SCHEMA, b.column(0), *out)
 

@@ -31,15 +31,26 @@ from linkflow.llm.common import batch
 RAW = frozenset("script style noscript template textarea title iframe object svg math canvas audio video xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE = frozenset("nav header footer aside form menu button select option fieldset label dialog head datalist".split())
-BLOCK = frozenset("html body article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre hr figure figcaption address details summary center nav header footer aside form menu fieldset dialog head".split())
+BLOCK = frozenset(
+    "html body article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre hr figure figcaption address details summary center nav header footer aside form menu fieldset dialog head".split()
+)
 PARAGRAPH = frozenset("p pre blockquote td li dd h1 h2 h3 h4 h5 h6 figcaption".split())
 # A start tag of the key's kind closes an open element of the values, up to the nearest limit.
-CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-UNLIKELY = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-?bar|nav\w*|menu|breadcrumbs?|footer|header|masthead|comments?|commentlist|disqus|respond|replies|reply|related|recommend\w*|share|sharing|social|newsletter|subscribe|signup|popup|modal|overlay|cookie\w*|consent|gdpr|notices?|alert|widget|pagination|pager|toolbar)(?=$|[\s_-])", re.I)
+CLOSES = {
+    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
+    "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})
+}
+UNLIKELY = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side-?bar|nav\w*|menu|breadcrumbs?|footer|header|masthead|comments?|commentlist|disqus|respond|replies|reply|related|recommend\w*|share|sharing|social|newsletter|subscribe|signup|popup|modal|overlay|cookie\w*|consent|gdpr|notices?|alert|widget|pagination|pager|toolbar)(?=$|[\s_-])",
+    re.I
+)
 ROLES = re.compile(r"\brole\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|dialog|alert|menu|form)\b", re.I)
 
 #: Names that tell what an element has or how it is shown, not what it is.
-STATES = re.compile(r"(?:^|[_-])(?:has|no|with|without)[_-]|^(?:is|not|fixed|sticky|show|hide|enable|disable)[_-]|[_-](?:open|closed|on|off|enabled|disabled|active|visible)$", re.I)
+STATES = re.compile(
+    r"(?:^|[_-])(?:has|no|with|without)[_-]|^(?:is|not|fixed|sticky|show|hide|enable|disable)[_-]|[_-](?:open|closed|on|off|enabled|disabled|active|visible)$",
+    re.I
+)
 COMMENTS = re.compile(r"(?:^|[_-])(?:comments?|commentlist|disqus|respond|replies|reply)(?=$|[_-])", re.I)
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
@@ -243,4 +254,6 @@ def extract(pages: DataFrame) -> DataFrame:
                 texts = [main_text(h.as_py()) for h in p.column(2)]
                 yield batch(_SCHEMA, p.column(0), p.column(1).cast(pa.string()), texts, list(map(len, texts)))
 
-    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return pages.select(
+        F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")
+    ).mapInArrow(run, "page_id long, url string, text string, n_chars long")

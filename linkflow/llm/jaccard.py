@@ -113,7 +113,10 @@ def _classify(docs: DataFrame, k: int) -> DataFrame:
         if count.any():
             part = np.split(np.minimum(count, 65535).astype("<u2"), SLICES)
             none = pa.nulls(SLICES)
-            yield batch(_CLASSES, none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.binary()), list(range(SLICES)), [z.compress(p.tobytes()) for p in part])
+            yield batch(
+                _CLASSES, none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int32()), none.cast(pa.binary()), list(range(SLICES)),
+                [z.compress(p.tobytes()) for p in part]
+            )
 
     return docs.mapInArrow(trimmed(run), _CLASSES_DDL)
 
@@ -212,7 +215,9 @@ def _texts(docs: DataFrame, classes: DataFrame, regions: DataFrame, k: int) -> D
                     blob.append(z.compress(text.encode("utf-8", "replace")))
             yield batch(schema, g, blob)
 
-    both = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "th", "text").where("text is not null").join(_sized(wanted.drop("times")), ["id", "th"]).select("text", "g")
+    both = docs.select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "th", "text"
+    ).where("text is not null").join(_sized(wanted.drop("times")), ["id", "th"]).select("text", "g")
     texts = both.mapInArrow(trimmed(run), "g binary, blob binary")
     # Only rows that are equal in doc_id and text give a class two texts.
     return texts if wanted.where("times > 1").isEmpty() else texts.dropDuplicates(["g"])
@@ -229,7 +234,9 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     Each b goes to its pivot a; a pivot with many partners is copied to as many tasks as it needs.
     """
     need = save(pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts")), "jaccard-need")
-    pivots = texts.select(F.col("g").alias("a"), F.col("blob").alias("pivot")).join(_sized(need), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "pivot")
+    pivots = texts.select(F.col("g").alias("a"), F.col("blob").alias("pivot")).join(_sized(need), "a").select(
+        "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "pivot"
+    )
     dealt = save(pairs.join(need, "a").select(F.col("a").alias("pa"), F.expr("pmod(xxhash64(b), salts)").cast("int").alias("psalt"), "b"), "jaccard-dealt")
     members = texts.withColumnRenamed("g", "b").join(_sized(dealt), "b").select("pa", "psalt", "b", "blob")
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("inter", pa.int32()), ("na", pa.int32()), ("nb", pa.int32())])
@@ -248,7 +255,10 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
             inter.append(int((p[at] == s).sum()))
             nb.append(len(s))
         size = right.num_rows
-        return pa.table([pa.array([left.column("a")[0].as_py()] * size, pa.binary()), right.column("b").cast(pa.binary()), pa.array(inter, pa.int32()), pa.array(np.full(size, len(p), np.int32)), pa.array(nb, pa.int32())], schema=schema)
+        return pa.table(
+            [pa.array([left.column("a")[0].as_py()] * size, pa.binary()), right.column("b").cast(pa.binary()), pa.array(inter, pa.int32()), pa.array(np.full(size, len(p), np.int32)), pa.array(nb, pa.int32())],
+            schema=schema
+        )
 
     out = save(pivots.groupBy("a", "salt").cogroup(members.groupBy("pa", "psalt")).applyInArrow(run, "a binary, b binary, inter int, na int, nb int"), "jaccard-found")
     release(need)
@@ -347,7 +357,10 @@ def _turn(cells: DataFrame, texts: DataFrame, found: DataFrame, shingle: int, pe
     A pair that lives in several cells is compared in the home of its lesser member.
     """
     last = cells.where(F.col("minor") <= SMALL)
-    few = last.where("comp != main").select("cell", F.col("g").alias("pg"), F.col("n").alias("pn"), F.col("pos").alias("ppos"), F.col("comp").alias("pcomp"), F.col("home").alias("phome"))
+    few = last.where("comp != main").select(
+        "cell", F.col("g").alias("pg"), F.col("n").alias("pn"), F.col("pos").alias("ppos"), F.col("comp").alias("pcomp"),
+        F.col("home").alias("phome")
+    )
     few = save(few, "jaccard-few")
     # At most SMALL rows a cell.
     pairs = last.join(_sized(few), "cell").where(f"comp != pcomp AND (comp = main OR pg < g) AND IF(pg < g, phome, home) AND {_fits(percent)}")
@@ -414,8 +427,12 @@ def _separating(met: DataFrame, large: DataFrame, eps: float) -> DataFrame:
 def _cut(met: DataFrame, rest: DataFrame, eps: float) -> DataFrame:
     """The cells that rings make of larger ones: a new cell is a combination of rings, one of each pivot."""
     at, reach = _rings(eps)
-    own = met.select("cell", "pg", "g", at.alias("at"), reach.alias("reach")).groupBy("cell", "g").agg(F.array_sort(F.collect_list(F.struct("pg", "at", "reach"))).alias("rings"))
-    one = lambda c, x: F.transform(x["reach"], lambda r: F.struct(F.xxhash64(c["cell"], x["pg"], r).alias("cell"), (c["home"] & (r == x["at"])).alias("home")))
+    own = met.select("cell", "pg", "g", at.alias("at"), reach.alias("reach")).groupBy("cell", "g").agg(
+        F.array_sort(F.collect_list(F.struct("pg", "at", "reach"))).alias("rings")
+    )
+    one = lambda c, x: F.transform(
+        x["reach"], lambda r: F.struct(F.xxhash64(c["cell"], x["pg"], r).alias("cell"), (c["home"] & (r == x["at"])).alias("home"))
+    )
     combined = F.aggregate("rings", F.array(F.struct("cell", "home")), lambda acc, x: F.flatten(F.transform(acc, lambda c: one(c, x))))
     cut = rest.join(own, ["cell", "g"]).select("g", "n", "pos", F.explode(combined).alias("new")).select("new.cell", "g", "n", "pos", "new.home")
     return cut.groupBy("cell", "g", "n").agg(F.min("pos").alias("pos"), F.max("home").alias("home"))
@@ -430,7 +447,10 @@ def _windows(met: DataFrame, rest: DataFrame, percent: int, eps: float) -> DataF
     rows = rows.select("cell", "g", "n", "pos", "comp", "home", F.transform("ds", lambda x: x["d"]).alias("ds"), F.ceil(F.col("m") / CHUNK).cast("int").alias("blocks"))
     rows = save(rows, "jaccard-rows")
     left = rows.where("home").select("cell", F.expr("pmod(xxhash64(g), blocks)").cast("int").alias("block"), "g", "n", "pos", "comp", "ds")
-    right = rows.select(F.col("cell").alias("of"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at"), *[F.col(c).alias(f"o_{c}") for c in ("g", "n", "pos", "comp", "ds")])
+    right = rows.select(
+        F.col("cell").alias("of"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at"),
+        *[F.col(c).alias(f"o_{c}") for c in ("g", "n", "pos", "comp", "ds")]
+    )
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(one, other):
@@ -477,7 +497,10 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     classes, comps, _ = links(docs, shingle, percent)
     labels = _labels(classes, comps).select("g", "first_id")
     out = classes.join(_sized(labels), "g", "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("first_id")).alias("component_id"), F.col("g").alias("class_id"))
+    return out.select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("g").isNull(), F.col("doc_id")).otherwise(F.col("first_id")).alias("component_id"), F.col("g").alias("class_id")
+    )
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

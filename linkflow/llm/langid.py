@@ -52,7 +52,9 @@ def _ranges(kind: str) -> str:
 
 
 _WORD = re.compile(f"[{_ranges('L')}][{_ranges('LM')}]{{0,{LONGEST - 1}}}")
-_OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("cross_entropy", pa.float64()), ("rejected", pa.bool_())])
+_OUT = pa.schema(
+    [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64()), ("cross_entropy", pa.float64()), ("rejected", pa.bool_())]
+)
 _OUT_DDL = "doc_id long, held_out boolean, lang_pred string, score double, cross_entropy double, rejected boolean"
 
 # The same for texts without characters from U+0300 on, where marks and most scripts begin.
@@ -234,7 +236,10 @@ def fit(docs: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS, cal
             for t, lang in zip(b.column(0), b.column(1), strict=True):
                 found.setdefault(lang.as_py(), Counter()).update(words(t.as_py()))
         for lang, c in found.items():
-            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(c), "word": list(c), "n": list(c.values())}, pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())]))
+            yield pa.RecordBatch.from_pydict(
+                {"lang": [lang] * len(c), "word": list(c), "n": list(c.values())},
+                pa.schema([("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
+            )
 
     vocabulary = train.select("text", "lang").mapInArrow(tally, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
@@ -259,7 +264,9 @@ def fit(docs: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS, cal
         grams[n] = (key, *(np.concatenate([m[n][x] for m in models.values()])[first] for x in ("of", "suffix")))
     model = Model(models, grams, order)
     calibration = docs.where(_draw(calibration_docs, counts, F.lit(0.0)) & ~_draw(sample_docs, counts, start))
-    rows = [(r.lang, np.array(r.h)) for r in _entropies(calibration.select(F.lit(0).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), "text", "lang"), model).collect() if r.n and r.lang in models]
+    rows = [
+        (r.lang, np.array(r.h)) for r in _entropies(calibration.select(F.lit(0).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), "text", "lang"), model).collect() if r.n and r.lang in models
+    ]
     if rows:
         truth, h = np.array([model.languages.index(x) for x, _ in rows]), np.stack([x for _, x in rows])
         grid = np.geomspace(1, 300, 40)

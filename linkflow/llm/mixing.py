@@ -66,7 +66,10 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None, tempe
     return n.select(F.col("source").alias("rate_source"), "parts", cdf.alias("cdf"))
 
 
-def replicate(docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = TEMPERATURE, output_rows: int | None = None, seed: str = SEED) -> DataFrame:
+def replicate(
+    docs: DataFrame, weights: dict[str | None, float] | None = None, temperature: float = TEMPERATURE, output_rows: int | None = None,
+    seed: str = SEED
+) -> DataFrame:
     """All copies in shuffled order: the input's columns, ``copy`` (from 1) and ``shuffle_key``."""
     docs = docs.drop("copy", "shuffle_key")
     r = rates(docs, weights, temperature, output_rows)

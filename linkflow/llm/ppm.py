@@ -385,7 +385,10 @@ def pretrained(docs: DataFrame, held_out: Column, order: int = ORDER, block_byte
 
     def report(key, t):
         part, (w, n) = key[0].as_py(), _range(t)
-        out = [pa.table([pa.array(np.full(len(e), part, np.int32)), pa.array(np.full(len(e), k, np.int32)), pa.array(e.view(np.int64)), pa.array(c)], schema=_EDGE) for k, e, c in borders(part, w, n, cuts.value, order)]
+        out = [
+            pa.table([pa.array(np.full(len(e), part, np.int32)), pa.array(np.full(len(e), k, np.int32)), pa.array(e.view(np.int64)), pa.array(c)], schema=_EDGE) for k,
+            e, c in borders(part, w, n, cuts.value, order)
+        ]
         return pa.concat_tables(out)
 
     edges = save(entries.groupBy("part").applyInArrow(report, "part int, level int, edge long, n long"), "ppm-borders")
@@ -413,7 +416,10 @@ def pretrained(docs: DataFrame, held_out: Column, order: int = ORDER, block_byte
         cost = costs(w, counts, order, low.value, known).astype("<f4")
         pulled = [_planes(cost[np.searchsorted(w, _unpack(x.as_py()))]) for x in t.column("keys")]
         size = t.num_rows
-        return pa.table([pa.array(["window"] * size), t.column("block"), t.column("keys").cast(pa.binary()), pa.array(pulled, pa.binary()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64())], schema=_PULL)
+        return pa.table(
+            [pa.array(["window"] * size), t.column("block"), t.column("keys").cast(pa.binary()), pa.array(pulled, pa.binary()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64())],
+            schema=_PULL
+        )
 
     def count(key, t):
         total: dict[bytes, int] = {}
@@ -424,7 +430,10 @@ def pretrained(docs: DataFrame, held_out: Column, order: int = ORDER, block_byte
         pulled = [_planes(np.fromiter(map(total.__getitem__, own), np.int64, len(own))) for own in words]
         size = t.num_rows
         once = lambda v: pa.array([v, *[0] * (size - 1)], pa.int64())
-        return pa.table([pa.array(["token"] * size), t.column("block"), t.column("keys").cast(pa.binary()), pa.array(pulled, pa.binary()), once(sum(total.values())), once(sum(n > 0 for n in total.values()))], schema=_PULL)
+        return pa.table(
+            [pa.array(["token"] * size), t.column("block"), t.column("keys").cast(pa.binary()), pa.array(pulled, pa.binary()), once(sum(total.values())), once(sum(n > 0 for n in total.values()))],
+            schema=_PULL
+        )
 
     counted = save(blocks.where("kind = 'token'").select("part", "block", "keys", "counts").groupBy("part").applyInArrow(count, _PULL_DDL), "ppm-tokens")
     priced = save(entries.groupBy("part").cogroup(border.groupBy("part")).applyInArrow(price, _PULL_DDL), "ppm-costs")
@@ -455,7 +464,9 @@ def pretrained(docs: DataFrame, held_out: Column, order: int = ORDER, block_byte
             c = np.fromiter((known[w] for s in split for w in (*s, END)), np.int64, int(m.sum()))
             first = np.cumsum(m) - m
             base = np.add.reduceat(np.log10((c + 0.1) / (n + 0.1 * (v + 1))), first)
-            out.append(pa.record_batch([ids.values, held.values, pa.array(m), pa.array(np.add.reduceat((c > 0).astype(np.int64), first)), pa.array(np.full(len(m), n, np.int64)), pa.array(base), pa.array(spelled)], schema=_RESULT))
+            out.append(
+                pa.record_batch([ids.values, held.values, pa.array(m), pa.array(np.add.reduceat((c > 0).astype(np.int64), first)), pa.array(np.full(len(m), n, np.int64)), pa.array(base), pa.array(spelled)], schema=_RESULT)
+            )
         return pa.Table.from_batches(out, _RESULT)
 
     texts = blocks.where("kind = 'text'").select("block", "doc_ids", "held", "keys")

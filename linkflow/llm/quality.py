@@ -75,7 +75,9 @@ def encode(text: str | None) -> np.ndarray:
     distinct = np.bincount(bs[new], minlength=k)
     same = np.bincount(bag[1:], (h[1:] == h[:-1]) & (bag[1:] == bag[:-1]), k) if len(h) > 1 else np.zeros(k)
     length = np.fromiter(map(len, words), np.int64, len(words))
-    shape = np.column_stack([share, distinct / n, most / n, same / n, np.bincount(bag, length, k) / n / 10, np.bincount(bag, length <= 2, k) / n, np.log1p(n) / 5, np.bincount(bag, length == 1, k) / n])
+    shape = np.column_stack(
+        [share, distinct / n, most / n, same / n, np.bincount(bag, length, k) / n / 10, np.bincount(bag, length <= 2, k) / n, np.log1p(n) / 5, np.bincount(bag, length == 1, k) / n]
+    )
     # Words and pairs within a passage; the hash gives the place and, by its top bit, the sign.
     pair = mix64(h[1:] + mix64(h[:-1]))[bag[1:] == bag[:-1]]
     at, own = np.concatenate((h, pair)), np.concatenate((bag, bag[1:][bag[1:] == bag[:-1]]))
@@ -199,7 +201,9 @@ def _scores(net: Network | None, texts: pa.Array) -> tuple[np.ndarray, list[int]
     return np.concatenate(out) if out else np.zeros(0), count, top
 
 
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32()), ("n_passages", pa.int32()), ("top_weight", pa.float64())])
+_SCHEMA = pa.schema(
+    [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32()), ("n_passages", pa.int32()), ("top_weight", pa.float64())]
+)
 
 
 def score(docs: DataFrame, net: Network | None, held_out: Column) -> DataFrame:
@@ -211,7 +215,9 @@ def score(docs: DataFrame, net: Network | None, held_out: Column) -> DataFrame:
             s, n, top = _scores(shared.value, b.column(2))
             yield batch(_SCHEMA, b.column(0), b.column(1), s, (s >= 0.5).astype(np.int32), n, top)
 
-    return docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text").mapInArrow(trimmed(run), "doc_id long, held_out boolean, score double, predicted int, n_passages int, top_weight double")
+    return docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), "text").mapInArrow(
+        trimmed(run), "doc_id long, held_out boolean, score double, predicted int, n_passages int, top_weight double"
+    )
 
 
 def keep(docs: DataFrame, net: Network | None) -> DataFrame:

@@ -60,7 +60,11 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"pipeline": corpus_pipeline.run, "op1_langid": op1_langid, "op2_quality": op2_quality, "op3_mixing": op3_mixing, "op4_ann": op4_ann, "op5_ppm": op5_ppm, "op6_token_planes": op6_token_planes, "op7_jaccard": op7_jaccard, "op8_line_dedup": op8_line_dedup, "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract}
+    return {
+        "pipeline": corpus_pipeline.run, "op1_langid": op1_langid, "op2_quality": op2_quality, "op3_mixing": op3_mixing, "op4_ann": op4_ann,
+        "op5_ppm": op5_ppm, "op6_token_planes": op6_token_planes, "op7_jaccard": op7_jaccard, "op8_line_dedup": op8_line_dedup,
+        "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract
+    }
 
 
 def oracle_sql() -> dict[str, str]:

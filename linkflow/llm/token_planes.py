@@ -47,7 +47,9 @@ PLAIN = frozenset(bytes([c]) for c in b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMN
 TAIL = b".,!?;:*#$%&"
 
 _BLOB = pa.schema([("blob", pa.binary())])
-_DOCS = pa.schema([("pid", pa.int32()), ("seq", pa.int32()), ("pos", pa.int64()), ("doc_id", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+_DOCS = pa.schema(
+    [("pid", pa.int32()), ("seq", pa.int32()), ("pos", pa.int64()), ("doc_id", pa.int64()), ("local", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())]
+)
 _DOCS_DDL = "pid int, seq int, pos long, doc_id long, local long, n_tokens long, ids_crc32 long"
 
 
