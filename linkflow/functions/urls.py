@@ -78,7 +78,11 @@ def context_key(url: Column) -> Column:
 
 
 def _join(scheme: Column, authority: Column, path: Column, query: Column, fragment: Column | None = None) -> Column:
-    out = F.concat(F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""), F.when(authority != "", F.concat(F.lit("//"), authority)).otherwise(""), path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    out = F.concat(
+        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
+        F.when(authority != "", F.concat(F.lit("//"), authority)).otherwise(""), path,
+        F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")
+    )
     return out if fragment is None else F.concat(out, F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""))
 
 
@@ -87,7 +91,10 @@ def _without_dots(path: Column) -> Column:
     pieces = F.split(path, "/")
     pieces = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
     last = F.element_at(pieces, -1)
-    kept = F.aggregate(pieces, F.expr("cast(array() as array<string>)"), lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
+    kept = F.aggregate(
+        pieces, F.expr("cast(array() as array<string>)"), lambda acc,
+        s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(s == ".", acc).otherwise(F.concat(acc, F.array(s)))
+    )
     resolved = F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(last.isin(".", "..") & (F.size(kept) > 0), "/").otherwise(""))
     return F.when(path.contains("/."), resolved).otherwise(path)
 
@@ -168,7 +175,10 @@ def strip_amp(url: Column) -> Column:
 
 def allowed_hosts(home: Column, allowed: Column | None = None) -> Column:
     """The listed hosts, or the home page's host with and without ``www.``."""
-    own = let(host_of(home), lambda h: F.when(h == "", F.expr("cast(array() as array<string>)")).otherwise(F.array(h, F.when(h.startswith("www."), F.substr(h, F.lit(5))).otherwise(F.concat(F.lit("www."), h)))))
+    own = let(
+        host_of(home),
+        lambda h: F.when(h == "", F.expr("cast(array() as array<string>)")).otherwise(F.array(h, F.when(h.startswith("www."), F.substr(h, F.lit(5))).otherwise(F.concat(F.lit("www."), h))))
+    )
     if allowed is None:
         return own
     listed = F.filter(F.transform(allowed, lambda h: F.lower(F.trim(h))), lambda h: h != "")

@@ -110,7 +110,10 @@ def enrich(articles: DataFrame, attempts: DataFrame, fetched_at: str, settings:
     out = out.withColumn("content_status", pick(F.lit("ok"), F.lit("ok"), F.lit("partial"), F.lit("failed")))
     out = out.withColumn("content_via", pick(F.lit("rss"), F.col("best.via"), F.lit("rss_summary"), F.lit("")))
     out = out.withColumn("content_source_url", pick(F.col("url"), F.col("best.final_url"), F.col("url"), F.col("url")))
-    out = out.withColumn("content_error", pick(F.lit(None).cast("string"), F.lit(None).cast("string"), F.substring("notes", 1, 500), F.substring(F.coalesce("notes", F.lit("")), 1, 500)))
+    out = out.withColumn(
+        "content_error",
+        pick(F.lit(None).cast("string"), F.lit(None).cast("string"), F.substring("notes", 1, 500), F.substring(F.coalesce("notes", F.lit("")), 1, 500))
+    )
     out = out.withColumn("content_chars", n_chars(F.col("content"))).withColumn("content_sha256", sha256(F.col("content")))
     return out.withColumn("content_fetched_at", F.lit(fetched_at)).drop("best", "notes", "rss_text", "summary_text", "content_html")
 

@@ -29,7 +29,10 @@ def parse_ids(answer: Column, key: str, n: Column) -> Column:
     raw = F.try_variant_get(F.try_parse_json(F.nullif(body, F.lit(""))), f"$.{key}", "array<string>")
     kinds = F.transform(F.try_variant_get(F.try_parse_json(F.nullif(body, F.lit(""))), f"$.{key}", "array<variant>"), F.schema_of_variant)
     both = F.filter(F.arrays_zip(raw.alias("v"), kinds.alias("k")), lambda x: x["k"] != "BOOLEAN")
-    ids = F.transform(both, lambda x: F.expr("1") * F.when(F.trim(x["v"]).rlike(r"^[+-]?\d{1,9}$"), F.trim(x["v"]).try_cast("int")).otherwise(F.when((x["k"] != "STRING") & x["v"].rlike(r"^-?\d{1,9}\.\d*$"), x["v"].try_cast("double").cast("int"))))
+    ids = F.transform(
+        both,
+        lambda x: F.expr("1") * F.when(F.trim(x["v"]).rlike(r"^[+-]?\d{1,9}$"), F.trim(x["v"]).try_cast("int")).otherwise(F.when((x["k"] != "STRING") & x["v"].rlike(r"^-?\d{1,9}\.\d*$"), x["v"].try_cast("double").cast("int")))
+    )
     good = F.filter(ids, lambda i: i.isNotNull() & (i >= 0) & (i < n))
     return F.coalesce(F.array_distinct(good), F.expr("cast(array() as array<int>)"))
 

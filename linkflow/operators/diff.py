@@ -56,9 +56,14 @@ def update_candidates(state: DataFrame, observed: DataFrame, now: str, initializ
     A URL is baseline if its source's candidates were not initialised, or it was seen before.
     """
     s = settings or Settings()
-    old = state.select("source_id", "url", *[F.col(c).alias(f"old_{c}") for c in ("title", "first_seen", "last_seen", "baseline", "selected", "last_selected", "selector")])
+    old = state.select(
+        "source_id", "url",
+        *[F.col(c).alias(f"old_{c}") for c in ("title", "first_seen", "last_seen", "baseline", "selected", "last_selected", "selector")]
+    )
     rows = observed.join(old, ["source_id", "url"], "full_outer")
-    rows = rows.join(initialized.select("source_id", F.lit(True).alias("ready")), "source_id", "left").join(seen.select("source_id", "url", F.lit(True).alias("was_seen")).distinct(), ["source_id", "url"], "left")
+    rows = rows.join(initialized.select("source_id", F.lit(True).alias("ready")), "source_id", "left").join(
+        seen.select("source_id", "url", F.lit(True).alias("was_seen")).distinct(), ["source_id", "url"], "left"
+    )
     fresh = F.col("old_first_seen").isNull()
     now_seen = F.col("selected").isNotNull()
     chosen = F.coalesce("selected", F.lit(False))
@@ -82,7 +87,10 @@ def update_seen(seen: DataFrame, articles: DataFrame, now: str, settings: Settin
     cols = ["title", "published_at", "content_status", "content_sha256", "content_fetched_at"]
     rows = rows.groupBy("source_id", "url").agg(*[F.max(c).alias(f"new_{c}") for c in cols])
     both = seen.join(rows, ["source_id", "url"], "full_outer")
-    out = both.select("source_id", "url", F.coalesce("title", "new_title").alias("title"), F.coalesce("first_seen", F.lit(now)).alias("first_seen"), F.coalesce("published_at", "new_published_at").alias("published_at"), *[F.coalesce(f"new_{c}", c).alias(c) for c in cols[2:]])
+    out = both.select(
+        "source_id", "url", F.coalesce("title", "new_title").alias("title"), F.coalesce("first_seen", F.lit(now)).alias("first_seen"),
+        F.coalesce("published_at", "new_published_at").alias("published_at"), *[F.coalesce(f"new_{c}", c).alias(c) for c in cols[2:]]
+    )
     return cap(out, "first_seen", s.seen_cap)
 
 
@@ -115,4 +123,7 @@ def first_working(attempts: DataFrame) -> DataFrame:
     """The access cascade: the first level of each source that worked, or the joined errors."""
     ok = F.coalesce("error", F.lit("")) == ""
     notes = F.array_sort(F.collect_list(F.when(~ok, F.struct("level", "error"))))
-    return attempts.groupBy("source_id").agg(F.min_by("method", F.when(ok, F.col("level"))).alias("method"), F.array_join(F.transform(notes, lambda x: x["error"]), "; ").alias("errors"))
+    return attempts.groupBy("source_id").agg(
+        F.min_by("method", F.when(ok, F.col("level"))).alias("method"),
+        F.array_join(F.transform(notes, lambda x: x["error"]), "; ").alias("errors")
+    )

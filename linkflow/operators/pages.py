@@ -34,7 +34,10 @@ def _explode(df: DataFrame, column: str, parse: Callable[[str], list[tuple]], fi
                     pos += range(len(got))
                 kept = part.take(pa.array(take, pa.int64()))
                 cols = list(zip(*rows, strict=True)) or [[] for _ in names]
-                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(pos, pa.int32()), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]], names=[*own, "pos", *names])
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array(pos, pa.int32()), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]],
+                    names=[*own, "pos", *names]
+                )
 
     return df.mapInArrow(run, StructType([*df.schema.fields, *out.fields]))
 
@@ -51,13 +54,19 @@ def links_native(pages: DataFrame) -> DataFrame:
     return out.select(*pages.columns, "pos", F.regexp_extract("anchor", ANCHOR, 1).alias("href"), F.trim(title).alias("title"))
 
 
-def candidates(links: DataFrame, page_key: str = "page_id", page_url: str = "url", limit: int = Settings.page_candidates, hosts: str | None = None, extra: str | None = None) -> DataFrame:
+def candidates(
+    links: DataFrame, page_key: str = "page_id", page_url: str = "url", limit: int = Settings.page_candidates, hosts: str | None = None,
+    extra: str | None = None
+) -> DataFrame:
     """The links of each page that may be articles: first accepted link of a URL, in page order.
 
     Filters come before the deduplication, so a link that they drop does not hide a later one.
     """
     base = F.col(page_url)
-    url = urls.canonicalize(F.col("href"), base=base, home=F.col("home_url") if "home_url" in links.columns else base, allowed=F.col(hosts) if hosts else None, extra=F.col(extra) if extra else None)
+    url = urls.canonicalize(
+        F.col("href"), base=base, home=F.col("home_url") if "home_url" in links.columns else base, allowed=F.col(hosts) if hosts else None,
+        extra=F.col(extra) if extra else None
+    )
     out = links.withColumn("link_url", url).where("link_url != ''")
     out = out.where(~urls.is_non_article(F.col("link_url")) & ~urls.is_promotion(F.col("link_url"), F.col("title")) & ~urls.is_asset(F.col("link_url")))
     first = Window.partitionBy(page_key, "link_url").orderBy("pos")

@@ -14,7 +14,11 @@ from linkflow.functions.text import or_else
 from linkflow.operators.articles import merge
 
 SCHEMA_VERSION = 1
-_OPTIONAL = ("title", "via", "collect_mode", "content", "content_format", "content_status", "content_via", "content_source_url", "content_sha256", "content_fetched_at", "content_error", "source_name", "fetch_status", "published_at", "collected_at", "home_url", "author", "source_id", "external_id", "id", "url")
+_OPTIONAL = (
+    "title", "via", "collect_mode", "content", "content_format", "content_status", "content_via", "content_source_url", "content_sha256",
+    "content_fetched_at", "content_error", "source_name", "fetch_status", "published_at", "collected_at", "home_url", "author", "source_id",
+    "external_id", "id", "url"
+)
 
 
 def _text(df: DataFrame, name: str) -> Column:
@@ -69,7 +73,10 @@ def contract_items(items: DataFrame, collected_at: str | None = None) -> DataFra
         F.struct(who.alias("id"), name.alias("name"), F.col("actor_url").alias("home_url")).alias("source"), F.struct("title", url.alias("url"), "content_sha256").alias("article"),
     )
     no, empty = F.lit(False), F.expr("cast(array() as array<string>)")
-    flags = F.struct(F.lit("publish").alias("kind"), "via", or_else(F.col("collect_mode"), F.lit("auto")).alias("collect_mode"), "time_precision", no.alias("is_follow"), no.alias("is_repo_event"), "url_corrected", "fetch_status", "content_status", "content_via")
+    flags = F.struct(
+        F.lit("publish").alias("kind"), "via", or_else(F.col("collect_mode"), F.lit("auto")).alias("collect_mode"), "time_precision",
+        no.alias("is_follow"), no.alias("is_repo_event"), "url_corrected", "fetch_status", "content_status", "content_via"
+    )
     keep = ["pos"] if "pos" in items.columns else []
     return items.select(
         "id", who.alias("who"), F.col("actor_url").alias("who_url"), F.lit("publish").alias("action"), F.col("title").alias("target"), url.alias("target_url"), text.alias("text"), at.alias("at"), F.col("id").alias("external_id"), url.alias("url"), "title",
@@ -83,7 +90,9 @@ def contract_items(items: DataFrame, collected_at: str | None = None) -> DataFra
 
 def tag_rollup(items: DataFrame) -> DataFrame:
     """Occurrences of kind, via and src tags: ``prefix, label, n``."""
-    t = items.select(F.explode("tags").alias("tag")).select(F.substring_index("tag", ":", 1).alias("prefix"), F.expr("substring(tag, instr(tag, ':') + 1)").alias("label"))
+    t = items.select(F.explode("tags").alias("tag")).select(
+        F.substring_index("tag", ":", 1).alias("prefix"), F.expr("substring(tag, instr(tag, ':') + 1)").alias("label")
+    )
     return t.where(F.col("prefix").isin("kind", "via", "src")).groupBy("prefix", "label").agg(F.count("*").alias("n"))
 
 
@@ -101,7 +110,10 @@ def merge_day(existing: DataFrame, items: DataFrame) -> DataFrame:
 
 def bundle_document(items: list[dict], date: str, source_id: str, start: str, end: str, hours: int, producer: dict, stats: dict) -> str:
     """The JSON of one day. A day is tens of items, rendered on the driver so that its bytes are exact."""
-    doc = {"schema_version": SCHEMA_VERSION, "source_id": source_id, "collect_date": date, "collect_window": {"start": start, "end": end, "hours": hours or 24}, "producer": producer, "stats": stats, "items": items}
+    doc = {
+        "schema_version": SCHEMA_VERSION, "source_id": source_id, "collect_date": date,
+        "collect_window": {"start": start, "end": end, "hours": hours or 24}, "producer": producer, "stats": stats, "items": items
+    }
     return json.dumps(doc, ensure_ascii=False, indent=2) + "\n"
 
 
@@ -109,14 +121,20 @@ def index_rows(bundles: DataFrame) -> DataFrame:
     """``date, count, sha256, window_end`` of bundle files read by the binaryFile source (path, content)."""
     doc = F.try_parse_json(F.decode("content", "UTF-8"))
     get = lambda path, kind: F.try_variant_get(doc, path, kind)
-    rows = bundles.where(~F.col("path").endswith("/index.json")).select(get("$.collect_date", "string").alias("date"), get("$.stats.total", "long").alias("count"), F.sha2("content", 256).alias("sha256"), F.coalesce(get("$.collect_window.end", "string"), F.lit("")).alias("window_end"))
+    rows = bundles.where(~F.col("path").endswith("/index.json")).select(
+        get("$.collect_date", "string").alias("date"), get("$.stats.total", "long").alias("count"), F.sha2("content", 256).alias("sha256"),
+        F.coalesce(get("$.collect_window.end", "string"), F.lit("")).alias("window_end")
+    )
     return rows.where("date is not null")
 
 
 def index_document(rows: DataFrame, source_id: str, updated_at: str) -> dict:
     """The index over all days; its rows are days."""
     days = [r.asDict() for r in rows.orderBy(F.desc("date")).collect()]
-    return {"source_id": source_id, "schema_version": SCHEMA_VERSION, "latest": days[0]["date"] if days else "", "watermark": max((d["window_end"] for d in days), default=""), "updated_at": updated_at, "days": days}
+    return {
+        "source_id": source_id, "schema_version": SCHEMA_VERSION, "latest": days[0]["date"] if days else "",
+        "watermark": max((d["window_end"] for d in days), default=""), "updated_at": updated_at, "days": days
+    }
 
 
 def _path(spark: SparkSession, path: str):

@@ -86,7 +86,10 @@ def _show(rows: DataFrame, **fields) -> DataFrame:
     return rows.groupBy("page").agg(F.array_sort(F.collect_list(line)).alias("lines")).select("page", F.size("lines").alias("n"), shown.alias("shown"))
 
 
-def article_prompts(eligible: DataFrame, excerpts: DataFrame | None = None, page_key: str = "page_id", limit: int = Settings.page_candidates, excerpt_chars: int = Settings.llm_excerpt_chars) -> tuple[DataFrame, DataFrame]:
+def article_prompts(
+    eligible: DataFrame, excerpts: DataFrame | None = None, page_key: str = "page_id", limit: int = Settings.page_candidates,
+    excerpt_chars: int = Settings.llm_excerpt_chars
+) -> tuple[DataFrame, DataFrame]:
     """The numbered candidates, and ``page, n, prompt``; ``excerpts(page_key, excerpt)`` are the pages' visible text."""
     order = F.row_number().over(Window.partitionBy(page_key).orderBy("pos")) - 1
     rows = eligible.withColumn("page", F.col(page_key).cast("string")).withColumn("at", order).where(F.col("at") < limit)
@@ -97,11 +100,17 @@ def article_prompts(eligible: DataFrame, excerpts: DataFrame | None = None, page
     if excerpts is None:
         shown = shown.withColumn("excerpt", F.lit(""))
     else:
-        shown = shown.join(excerpts.select(F.col(page_key).cast("string").alias("page"), as_data(F.substring("excerpt", 1, excerpt_chars)).alias("excerpt")), "page", "left")
+        shown = shown.join(
+            excerpts.select(F.col(page_key).cast("string").alias("page"), as_data(F.substring("excerpt", 1, excerpt_chars)).alias("excerpt")),
+            "page", "left"
+        )
     return rows, shown.withColumn("prompt", F.format_string(ARTICLES, "page", F.coalesce("excerpt", F.lit("")), "shown"))
 
 
-def article_picks(eligible: DataFrame, ask: Ask, page_key: str = "page_id", limit: int = Settings.page_candidates, excerpts: DataFrame | None = None, keep=lambda df, name: df) -> tuple[DataFrame, DataFrame]:
+def article_picks(
+    eligible: DataFrame, ask: Ask, page_key: str = "page_id", limit: int = Settings.page_candidates, excerpts: DataFrame | None = None,
+    keep=lambda df, name: df
+) -> tuple[DataFrame, DataFrame]:
     """The candidates that the model picks, and the answers with their usage."""
     rows, prompts = article_prompts(eligible, excerpts, page_key, limit)
     answers = keep(_answers(prompts, ask, TEMPERATURES["articles"]), "article-answers")
@@ -109,7 +118,9 @@ def article_picks(eligible: DataFrame, ask: Ask, page_key: str = "page_id", limi
     return rows.join(ids, ["page", "at"], "left_semi").drop("page", "at"), answers
 
 
-def block_picks(blocks: DataFrame, titles: DataFrame, ask: Ask, page_key: str = "page_id", limit: int = Settings.block_limit, keep=lambda df, name: df) -> tuple[DataFrame, DataFrame]:
+def block_picks(
+    blocks: DataFrame, titles: DataFrame, ask: Ask, page_key: str = "page_id", limit: int = Settings.block_limit, keep=lambda df, name: df
+) -> tuple[DataFrame, DataFrame]:
     """``(page_key, nth, rank)`` of the blocks that the model picks, and the answers."""
     rows = blocks.where(F.col("rank") <= limit).withColumn("page", F.col(page_key).cast("string")).withColumn("at", F.col("rank") - 1)
     ratio = F.round("link_ratio", 3) if "link_ratio" in blocks.columns else F.lit(0.0)

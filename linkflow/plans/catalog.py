@@ -69,13 +69,20 @@ def derived(spark: SparkSession, d: str) -> DataFrame:
 def observed(spark: SparkSession, d: str) -> DataFrame:
     """(source_id, url, run, title, selected): page looks as observations."""
     u = F.col("url")
-    return read(spark, d, "pages", "page_id", "url").select(urls.host_of(u).alias("source_id"), urls.canonicalize(u).alias("url"), (F.col("page_id") % 5).alias("run"), F.concat(F.lit("title "), F.lpad(F.col("page_id").cast("string"), 9, "0")).alias("title"), (F.col("page_id") % 3 == 0).alias("selected"))
+    return read(spark, d, "pages", "page_id", "url").select(
+        urls.host_of(u).alias("source_id"), urls.canonicalize(u).alias("url"), (F.col("page_id") % 5).alias("run"),
+        F.concat(F.lit("title "), F.lpad(F.col("page_id").cast("string"), 9, "0")).alias("title"),
+        (F.col("page_id") % 3 == 0).alias("selected")
+    )
 
 
 def events(spark: SparkSession, d: str) -> DataFrame:
     """(source_id, pos, ts, via, ok): events as an observation log."""
     e = read(spark, d, "events", "event_id", "ts", "user_id", "event_type", "value")
-    return e.select(F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("source_id"), F.col("event_id").alias("pos"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("via"), (F.col("event_type") != "error").alias("ok"), "value")
+    return e.select(
+        F.concat(F.lit("s"), F.col("user_id").cast("string")).alias("source_id"), F.col("event_id").alias("pos"),
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("via"), (F.col("event_type") != "error").alias("ok"), "value"
+    )
 
 
 # -- SQL fragments -----------------------------------------------------------------------------
@@ -125,8 +132,17 @@ _CANON = (
     f"d AS (SELECT page_id, {DERIVED} AS u FROM pages), a AS (SELECT page_id, u, {_amp('u')} AS x FROM d), t AS (SELECT page_id, u, {_track('x')} AS x FROM a), "
     f"c AS (SELECT page_id, u, lower({_p('x', 1)}) || '://' || {_host('x')} || CASE WHEN {_p('x', 3)} = '' THEN '/' ELSE {_p('x', 3)} END || {_q(_p('x', 4))} AS canonical FROM t)"
 )
-_OBS = f"o0 AS (SELECT page_id, {_host('url')} AS source_id, url AS raw FROM pages), o1 AS (SELECT page_id, source_id, {_track('raw')} AS x FROM o0), obs AS (SELECT page_id, source_id, lower({_p('x', 1)}) || '://' || {_host('x')} || CASE WHEN {_p('x', 3)} = '' THEN '/' ELSE {_p('x', 3)} END || {_q(_p('x', 4))} AS url, page_id % 5 AS run, 'title ' || lpad(page_id::VARCHAR, 9, '0') AS title, page_id % 3 = 0 AS selected FROM o1)"
-_ANCHORS = "an AS (SELECT page_id, url, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS href, unnest(m) AS title FROM (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\\s[^>]*?href\\s*=\\s*\"([^\"]*)\"[^>]*>(.*?)</a>', 1) AS l, regexp_extract_all(html, '(?is)<a\\s[^>]*?href\\s*=\\s*\"([^\"]*)\"[^>]*>(.*?)</a>', 2) AS m FROM pages))"
+_OBS = (
+    f"o0 AS (SELECT page_id, {_host('url')} AS source_id, url AS raw FROM pages), o1 AS (SELECT page_id, source_id, {_track('raw')} "
+    f"AS x FROM o0), obs AS (SELECT page_id, source_id, lower({_p('x', 1)}) || '://' || {_host('x')} || CASE WHEN {_p('x', 3)} "
+    f"= '' THEN '/' ELSE {_p('x', 3)} END || {_q(_p('x', 4))} AS url, page_id % 5 AS run, 'title ' || lpad(page_id::VARCHAR, 9, "
+    f"'0') AS title, page_id % 3 = 0 AS selected FROM o1)"
+)
+_ANCHORS = (
+    "an AS (SELECT page_id, url, generate_subscripts(l, 1) - 1 AS pos, unnest(l) AS href, unnest(m) AS title FROM (SELECT page_id, "
+    "url, regexp_extract_all(html, '(?is)<a\\s[^>]*?href\\s*=\\s*\"([^\"]*)\"[^>]*>(.*?)</a>', 1) AS l, regexp_extract_all(html, "
+    "'(?is)<a\\s[^>]*?href\\s*=\\s*\"([^\"]*)\"[^>]*>(.*?)</a>', 2) AS m FROM pages))"
+)
 _EV = "ev AS (SELECT 's' || user_id AS source_id, event_id AS pos, ts, event_type AS via, event_type <> 'error' AS ok, value FROM events)"
 
 
@@ -138,7 +154,11 @@ def _(spark, d):
     return derived(spark, d).select("page_id", urls.external_id(F.col("u")).alias("external_id"))
 
 
-@query("url_host", f"WITH d AS (SELECT page_id, {DERIVED} AS u FROM pages) SELECT page_id, {_host('u')} AS host, regexp_replace({_host('u')}, '^www\\.', '') AS context_key FROM d")
+@query(
+    "url_host",
+    f"WITH d AS (SELECT page_id, {DERIVED} AS u FROM pages) SELECT page_id, {_host('u')} AS host, regexp_replace({_host('u')}, "
+    f"'^www\\.', '') AS context_key FROM d",
+)
 def _(spark, d):
     return derived(spark, d).select("page_id", urls.host_of(F.col("u")).alias("host"), urls.context_key(F.col("u")).alias("context_key"))
 
@@ -146,12 +166,19 @@ def _(spark, d):
 _ODD = "CASE page_id % 4 WHEN 0 THEN concat('ftp://x/', page_id) WHEN 1 THEN concat('mailto:a@b', page_id) WHEN 2 THEN 'http:///p' ELSE url END"
 
 
-@query("url_is_http", f"SELECT page_id, lower({_p('u', 1)}) IN ('http','https') AND {_p('u', 2)} <> '' AS is_http FROM (SELECT page_id, {_ODD} AS u FROM pages)")
+@query(
+    "url_is_http",
+    f"SELECT page_id, lower({_p('u', 1)}) IN ('http','https') AND {_p('u', 2)} <> '' AS is_http FROM (SELECT page_id, {_ODD} AS "
+    f"u FROM pages)",
+)
 def _(spark, d):
     return read(spark, d, "pages", "page_id", "url").select("page_id", urls.is_http_url(F.expr(_ODD)).alias("is_http"))
 
 
-_HREF = "CASE page_id % 8 WHEN 0 THEN 'next/page' WHEN 1 THEN '../up?x=1' WHEN 2 THEN '//cdn.example.com/a' WHEN 3 THEN 'javascript:void(0)' WHEN 4 THEN ' /root/./p ' WHEN 5 THEN '?only=q' WHEN 6 THEN '#frag' ELSE 'https://other.example/abs' END"
+_HREF = (
+    "CASE page_id % 8 WHEN 0 THEN 'next/page' WHEN 1 THEN '../up?x=1' WHEN 2 THEN '//cdn.example.com/a' WHEN 3 THEN 'javascript:void(0)' "
+    "WHEN 4 THEN ' /root/./p ' WHEN 5 THEN '?only=q' WHEN 6 THEN '#frag' ELSE 'https://other.example/abs' END"
+)
 _RESOLVE = f"""
 WITH h AS (SELECT page_id, trim({_HREF}) AS h, lower({_p('url', 1)}) AS s, {_p('url', 2)} AS a, {_p('url', 3)} AS p, {_p('url', 4)} AS q, string_split({_p('url', 3)}, '/') AS l FROM pages)
 SELECT page_id, CASE page_id % 8
@@ -176,7 +203,11 @@ def _(spark, d):
     return derived(spark, d).select("page_id", urls.strip_amp(F.col("u")).alias("stripped"))
 
 
-@query("url_allowed_hosts", f"WITH h AS (SELECT page_id, {_host('url')} AS h FROM pages) SELECT page_id, h AS host, CASE WHEN h LIKE 'www.%' THEN substr(h, 5) ELSE 'www.' || h END AS toggled FROM h")
+@query(
+    "url_allowed_hosts",
+    f"WITH h AS (SELECT page_id, {_host('url')} AS h FROM pages) SELECT page_id, h AS host, CASE WHEN h LIKE 'www.%' THEN substr(h, "
+    f"5) ELSE 'www.' || h END AS toggled FROM h",
+)
 def _(spark, d):
     hosts = urls.allowed_hosts(F.col("url"))
     return read(spark, d, "pages", "page_id", "url").select("page_id", F.get(hosts, F.lit(0)).alias("host"), F.get(hosts, F.lit(1)).alias("toggled"))
@@ -187,16 +218,28 @@ def _(spark, d):
     return derived(spark, d).select("page_id", urls.canonicalize(F.col("u")).alias("canonical"))
 
 
-@query("url_non_article", f"WITH d AS (SELECT page_id, {DERIVED} AS u FROM pages) SELECT page_id, {_p('u', 3)} IN ('', '/') OR regexp_matches({_p('u', 3)}, '{urls.NON_ARTICLE}') AS non_article FROM d")
+@query(
+    "url_non_article",
+    f"WITH d AS (SELECT page_id, {DERIVED} AS u FROM pages) SELECT page_id, {_p('u', 3)} IN ('', '/') OR regexp_matches({_p('u', 3)}, "
+    f"'{urls.NON_ARTICLE}') AS non_article FROM d",
+)
 def _(spark, d):
     return derived(spark, d).select("page_id", urls.is_non_article(F.col("u")).alias("non_article"))
 
 
-_TITLE = "CASE page_id % 6 WHEN 0 THEN 'Sponsored content' WHEN 1 THEN 'please rent this thread now' WHEN 2 THEN 'Promoted' WHEN 3 THEN ' advertisement ' ELSE 'A sponsored look' END"
+_TITLE = (
+    "CASE page_id % 6 WHEN 0 THEN 'Sponsored content' WHEN 1 THEN 'please rent this thread now' WHEN 2 THEN 'Promoted' WHEN 3 "
+    "THEN ' advertisement ' ELSE 'A sponsored look' END"
+)
 _PROMO = "(?i)^(?:advertisement|sponsored|promoted)(?:\\s+content)?$|\\brent\\s+(?:this|a)\\s+thread\\b|\\bunlock\\s+the\\s+power\\s+of\\s+advertising\\b"
 
 
-@query("url_promotion", f"WITH d AS (SELECT page_id, {DERIVED} AS u, {_TITLE} AS title FROM pages) SELECT page_id, regexp_matches(trim(title), '{_PROMO}') OR ({_p('u', 3)} LIKE '%/misc.php' AND {_p('u', 4)} LIKE '%do=tad%') AS promotion, regexp_matches(u || '.pdf', '\\.(css|js|png|jpg|jpeg|gif|svg|zip|pdf)$') AND {_p('u', 4)} = '' AND {_p('u', 5)} = '' AS asset FROM d")
+@query(
+    "url_promotion",
+    f"WITH d AS (SELECT page_id, {DERIVED} AS u, {_TITLE} AS title FROM pages) SELECT page_id, regexp_matches(trim(title), '{_PROMO}') "
+    f"OR ({_p('u', 3)} LIKE '%/misc.php' AND {_p('u', 4)} LIKE '%do=tad%') AS promotion, regexp_matches(u || '.pdf', '\\.(css|js|png|jpg|jpeg|gif|svg|zip|pdf)$') "
+    f"AND {_p('u', 4)} = '' AND {_p('u', 5)} = '' AS asset FROM d",
+)
 def _(spark, d):
     u = F.col("u")
     return derived(spark, d).select("page_id", urls.is_promotion(u, F.expr(_TITLE)).alias("promotion"), urls.is_asset(F.concat(u, F.lit(".pdf"))).alias("asset"))
@@ -243,19 +286,31 @@ def _(spark, d):
     return pages.candidates(_linked(spark, d)).select("page_id", "pos", "link_url", "title", "rank")
 
 
-@query("heuristic_picks", f"WITH {_LINKED}, h AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS pick FROM cand WHERE rank <= 80 AND length(trim(title)) >= 8) SELECT page_id, link_url, pick::INT AS pick FROM h WHERE pick <= 40")
+@query(
+    "heuristic_picks",
+    f"WITH {_LINKED}, h AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS pick FROM cand WHERE rank <= 80 "
+    f"AND length(trim(title)) >= 8) SELECT page_id, link_url, pick::INT AS pick FROM h WHERE pick <= 40",
+)
 def _(spark, d):
     return pages.heuristic_picks(pages.candidates(_linked(spark, d))).select("page_id", "link_url", "pick")
 
 
-@query("eligible_candidates", f"WITH {_LINKED} SELECT page_id, link_url FROM cand WHERE rank <= 80 AND link_url NOT IN (SELECT link_url FROM cand WHERE pos % 4 = 0)")
+@query(
+    "eligible_candidates",
+    f"WITH {_LINKED} SELECT page_id, link_url FROM cand WHERE rank <= 80 AND link_url NOT IN (SELECT link_url FROM cand WHERE "
+    f"pos % 4 = 0)",
+)
 def _(spark, d):
     c = pages.candidates(_linked(spark, d)).select("page_id", "link_url", "pos", "title")
     known = c.where("pos % 4 = 0").select(F.col("link_url").alias("url"))
     return classify.choose(c, known, scorer=lambda x: x).select("page_id", "link_url")
 
 
-@query("picked_urls", f"WITH {_LINKED}, c AS (SELECT * FROM cand WHERE rank <= 80) SELECT page_id, link_url FROM c WHERE rtrim(link_url, '/') IN (SELECT rtrim(link_url, '/') FROM c WHERE page_id % 2 = 0)")
+@query(
+    "picked_urls",
+    f"WITH {_LINKED}, c AS (SELECT * FROM cand WHERE rank <= 80) SELECT page_id, link_url FROM c WHERE rtrim(link_url, '/') IN "
+    f"(SELECT rtrim(link_url, '/') FROM c WHERE page_id % 2 = 0)",
+)
 def _(spark, d):
     """All candidates that the even pages' picks name, with a slash more or less."""
     c = pages.candidates(_linked(spark, d))
@@ -273,13 +328,23 @@ def _(spark, d):
     return read(spark, d, "documents", "doc_id", "text").select("doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
-@query("content_digest", "SELECT doc_id, length(text)::INT AS content_chars, CASE WHEN text = '' THEN '' ELSE sha256(text) END AS content_sha256 FROM documents")
+@query(
+    "content_digest",
+    "SELECT doc_id, length(text)::INT AS content_chars, CASE WHEN text = '' THEN '' ELSE sha256(text) END AS content_sha256 FROM "
+    "documents",
+)
 def _(spark, d):
     return pages.digest(read(spark, d, "documents", "doc_id", "text"), "text").select("doc_id", "content_chars", "content_sha256")
 
 
-_BARE_HTML = "regexp_replace(html, '(?is)<(?:script)[^>]*>.*?</script>|<(?:style)[^>]*>.*?</style>|<(?:nav)[^>]*>.*?</nav>|<(?:footer)[^>]*>.*?</footer>|<(?:header)[^>]*>.*?</header>|<(?:form)[^>]*>.*?</form>|<(?:aside)[^>]*>.*?</aside>', '', 'g')"
-_ARTICLE = f"l0 AS (SELECT page_id, regexp_replace(regexp_extract({_BARE_HTML}, '(?is)<article[^>]*>(.*?)</article>', 1), '<[^>]*>', chr(10), 'g') AS x FROM pages), l AS (SELECT page_id, {_CLEAN.format(x='x')} AS l FROM l0)"
+_BARE_HTML = (
+    "regexp_replace(html, '(?is)<(?:script)[^>]*>.*?</script>|<(?:style)[^>]*>.*?</style>|<(?:nav)[^>]*>.*?</nav>|<(?:footer)[^>]*>.*?</footer>|<(?:header)[^>]*>.*?</header>|<(?:form)[^>]*>.*?</form>|<(?:aside)[^>]*>.*?</aside>', "
+    "'', 'g')"
+)
+_ARTICLE = (
+    f"l0 AS (SELECT page_id, regexp_replace(regexp_extract({_BARE_HTML}, '(?is)<article[^>]*>(.*?)</article>', 1), '<[^>]*>', "
+    f"chr(10), 'g') AS x FROM pages), l AS (SELECT page_id, {_CLEAN.format(x='x')} AS l FROM l0)"
+)
 
 
 @query("article_text", f"WITH {_ARTICLE} SELECT page_id, {_DROP.format(l='l')} AS content FROM l")
@@ -287,7 +352,11 @@ def _(spark, d):
     return pages.texts_native(read(spark, d, "pages", "page_id", "html")).select("page_id", "content")
 
 
-@query("article_text_dom", f"WITH {_ARTICLE} SELECT page_id, replace(replace(replace(replace({_DROP.format(l='l')}, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;', '&') AS content, 'article' AS method FROM l")
+@query(
+    "article_text_dom",
+    f"WITH {_ARTICLE} SELECT page_id, replace(replace(replace(replace({_DROP.format(l='l')}, '&lt;', '<'), '&gt;', '>'), '&quot;', "
+    f"chr(34)), '&amp;', '&') AS content, 'article' AS method FROM l",
+)
 def _(spark, d):
     return pages.texts(read(spark, d, "pages", "page_id", "html"))
 
@@ -302,10 +371,20 @@ def _(spark, d):
     return pages.blocks(read(spark, d, "pages", "page_id", "html")).select("page_id", "rank", "kind", "chars", "score", text.sha256(F.col("text")).alias("text_sha256"))
 
 
-_PARA = "pb AS (SELECT doc_id AS page_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents)"
+_PARA = (
+    "pb AS (SELECT doc_id AS page_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), "
+    "1) - 1 AS pos FROM documents)"
+)
 
 
-@query("block_rank_lines", f"WITH {_PARA}, f AS (SELECT *, length(text)::INT AS chars, ((pos * 7) % 100) * length(text) // 100 AS link_chars, row_number() OVER (PARTITION BY page_id, text ORDER BY pos) AS nth FROM pb WHERE length(text) >= 120), s AS (SELECT *, floor(least(chars, 60000) * (1.0::DOUBLE - least(1.0::DOUBLE, link_chars / chars)))::INT AS score FROM f WHERE nth = 1 AND least(1.0::DOUBLE, link_chars / chars) <= 0.65), r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, chars DESC, pos) AS rank FROM s) SELECT page_id, rank::INT AS rank, chars, score FROM r WHERE rank <= 12")
+@query(
+    "block_rank_lines",
+    f"WITH {_PARA}, f AS (SELECT *, length(text)::INT AS chars, ((pos * 7) % 100) * length(text) // 100 AS link_chars, row_number() "
+    f"OVER (PARTITION BY page_id, text ORDER BY pos) AS nth FROM pb WHERE length(text) >= 120), s AS (SELECT *, floor(least(chars, "
+    f"60000) * (1.0::DOUBLE - least(1.0::DOUBLE, link_chars / chars)))::INT AS score FROM f WHERE nth = 1 AND least(1.0::DOUBLE, "
+    f"link_chars / chars) <= 0.65), r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, chars DESC, pos) "
+    f"AS rank FROM s) SELECT page_id, rank::INT AS rank, chars, score FROM r WHERE rank <= 12",
+)
 def _(spark, d):
     lines = read(spark, d, "documents", "doc_id", "text").select(F.col("doc_id").alias("page_id"), F.posexplode(F.split("text", "\n")).alias("pos", "text"))
     rows = lines.withColumn("kind", F.lit("line")).withColumn("link_chars", F.expr("((pos * 7) % 100) * char_length(text) div 100"))
@@ -337,12 +416,21 @@ def _(spark, d):
 def _sources(df: DataFrame) -> DataFrame:
     host = urls.host_of(F.col("url"))
     keys = F.expr("array('b')")
-    return df.select(host.alias("id"), F.concat(F.lit("Site "), host).alias("name"), F.concat(F.lit("https://"), host, F.lit("/")).alias("home_url"), F.array(host).alias("allowed_hosts"), keys.alias("strip_query_keys"), F.lit("rss").alias("collect_mode")).distinct()
+    return df.select(
+        host.alias("id"), F.concat(F.lit("Site "), host).alias("name"), F.concat(F.lit("https://"), host, F.lit("/")).alias("home_url"),
+        F.array(host).alias("allowed_hosts"), keys.alias("strip_query_keys"), F.lit("rss").alias("collect_mode")
+    ).distinct()
 
 
 def _normalized(spark: SparkSession, d: str) -> DataFrame:
     p = read(spark, d, "pages", "page_id", "url")
-    items = p.select(urls.host_of(F.col("url")).alias("source_id"), F.lit("").alias("base"), F.expr(DERIVED).alias("url"), F.expr("CASE WHEN page_id % 3 = 0 THEN '' ELSE concat(' T ', page_id, ' ') END").alias("title"), F.lit("s").alias("summary"), F.lit(None).cast("string").alias("content_html"), F.expr("CASE WHEN page_id % 2 = 0 THEN '2026-01-01T00:00:00+00:00' END").alias("published_at"), F.lit("").alias("author"), F.lit("rss").alias("via"))
+    items = p.select(
+        urls.host_of(F.col("url")).alias("source_id"), F.lit("").alias("base"), F.expr(DERIVED).alias("url"),
+        F.expr("CASE WHEN page_id % 3 = 0 THEN '' ELSE concat(' T ', page_id, ' ') END").alias("title"), F.lit("s").alias("summary"),
+        F.lit(None).cast("string").alias("content_html"),
+        F.expr("CASE WHEN page_id % 2 = 0 THEN '2026-01-01T00:00:00+00:00' END").alias("published_at"), F.lit("").alias("author"),
+        F.lit("rss").alias("via")
+    )
     return articles.normalize(items, _sources(p))
 
 
@@ -360,53 +448,100 @@ def _(spark, d):
     return articles.upsert(events(spark, d).select("source_id", "via", "pos"), "source_id", "pos")
 
 
-@query("diff_new_urls", f"WITH {_OBS} SELECT DISTINCT source_id, url FROM obs WHERE run = 4 AND (source_id, url) NOT IN (SELECT source_id, url FROM obs WHERE run < 4)")
+@query(
+    "diff_new_urls",
+    f"WITH {_OBS} SELECT DISTINCT source_id, url FROM obs WHERE run = 4 AND (source_id, url) NOT IN (SELECT source_id, url FROM "
+    f"obs WHERE run < 4)",
+)
 def _(spark, d):
     o = observed(spark, d)
     return diff.new_urls(o.where("run = 4").select("source_id", "url").distinct(), o.where("run < 4"))
 
 
-@query("baseline_emit", f"WITH {_OBS}, f AS (SELECT source_id, url, min(run) AS run FROM obs GROUP BY ALL) SELECT source_id, url, run FROM f WHERE run > (SELECT min(run) FROM obs o WHERE o.source_id = f.source_id)")
+@query(
+    "baseline_emit",
+    f"WITH {_OBS}, f AS (SELECT source_id, url, min(run) AS run FROM obs GROUP BY ALL) SELECT source_id, url, run FROM f WHERE "
+    f"run > (SELECT min(run) FROM obs o WHERE o.source_id = f.source_id)",
+)
 def _(spark, d):
     return diff.emitted(observed(spark, d))
 
 
-@query("candidate_state_fold", f"WITH {_OBS}, p AS (SELECT source_id, url, min(run) AS first_seen, max(run) AS last_seen, arg_max(title, title) FILTER (true) AS title0, bool_or(selected) AS selected, max(CASE WHEN selected THEN run END) AS last_selected FROM obs GROUP BY source_id, url) SELECT source_id, url, first_seen, last_seen, selected, last_selected, first_seen = min(first_seen) OVER (PARTITION BY source_id) AS baseline FROM p")
+@query(
+    "candidate_state_fold",
+    f"WITH {_OBS}, p AS (SELECT source_id, url, min(run) AS first_seen, max(run) AS last_seen, arg_max(title, title) FILTER (true) "
+    f"AS title0, bool_or(selected) AS selected, max(CASE WHEN selected THEN run END) AS last_selected FROM obs GROUP BY source_id, "
+    f"url) SELECT source_id, url, first_seen, last_seen, selected, last_selected, first_seen = min(first_seen) OVER (PARTITION "
+    f"BY source_id) AS baseline FROM p",
+)
 def _(spark, d):
     return diff.fold_candidates(observed(spark, d)).drop("title")
 
 
-@query("not_baseline", f"WITH {_OBS}, p AS (SELECT source_id, url, min(run) AS f FROM obs GROUP BY ALL), b AS (SELECT source_id, url FROM p WHERE f = (SELECT min(f) FROM p q WHERE q.source_id = p.source_id)) SELECT DISTINCT source_id, url FROM obs WHERE (source_id, url) NOT IN (SELECT source_id, url FROM b)")
+@query(
+    "not_baseline",
+    f"WITH {_OBS}, p AS (SELECT source_id, url, min(run) AS f FROM obs GROUP BY ALL), b AS (SELECT source_id, url FROM p WHERE "
+    f"f = (SELECT min(f) FROM p q WHERE q.source_id = p.source_id)) SELECT DISTINCT source_id, url FROM obs WHERE (source_id, "
+    f"url) NOT IN (SELECT source_id, url FROM b)",
+)
 def _(spark, d):
     o = observed(spark, d)
     return diff.not_baseline(o.select("source_id", "url").distinct(), diff.fold_candidates(o))
 
 
-@query("seen_cap", f"WITH {_EV}, s AS (SELECT source_id, 'u' || pos AS url, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS first_seen FROM ev), r AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY first_seen DESC, url) AS nth FROM s) SELECT source_id, url, first_seen FROM r WHERE nth <= 20")
+@query(
+    "seen_cap",
+    f"WITH {_EV}, s AS (SELECT source_id, 'u' || pos AS url, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS first_seen FROM ev), r AS (SELECT "
+    f"*, row_number() OVER (PARTITION BY source_id ORDER BY first_seen DESC, url) AS nth FROM s) SELECT source_id, url, first_seen "
+    f"FROM r WHERE nth <= 20",
+)
 def _(spark, d):
-    s = events(spark, d).select("source_id", F.concat(F.lit("u"), F.col("pos").cast("string")).alias("url"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("first_seen"))
+    s = events(spark, d).select(
+        "source_id", F.concat(F.lit("u"), F.col("pos").cast("string")).alias("url"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("first_seen")
+    )
     return diff.cap(s, "first_seen", 20)
 
 
-@query("feed_fail_streak", f"WITH {_EV}, g AS (SELECT *, sum(ok::INT) OVER (PARTITION BY source_id ORDER BY pos) AS island FROM ev), s AS (SELECT source_id, pos, sum((NOT ok)::INT) OVER (PARTITION BY source_id, island ORDER BY pos)::BIGINT AS streak FROM g) SELECT source_id, pos, streak, streak >= 3 AS forget FROM s")
+@query(
+    "feed_fail_streak",
+    f"WITH {_EV}, g AS (SELECT *, sum(ok::INT) OVER (PARTITION BY source_id ORDER BY pos) AS island FROM ev), s AS (SELECT source_id, "
+    f"pos, sum((NOT ok)::INT) OVER (PARTITION BY source_id, island ORDER BY pos)::BIGINT AS streak FROM g) SELECT source_id, pos, "
+    f"streak, streak >= 3 AS forget FROM s",
+)
 def _(spark, d):
     e = events(spark, d).select("source_id", F.col("pos").alias("run"), "ok")
     return diff.fail_streak(e).select("source_id", F.col("run").alias("pos"), "streak", "forget")
 
 
-_STREAK = "g AS (SELECT *, sum(ok::INT) OVER (PARTITION BY source_id ORDER BY pos) AS island FROM ev), s AS (SELECT *, sum((NOT ok)::INT) OVER (PARTITION BY source_id, island ORDER BY pos) AS streak FROM g)"
+_STREAK = (
+    "g AS (SELECT *, sum(ok::INT) OVER (PARTITION BY source_id ORDER BY pos) AS island FROM ev), s AS (SELECT *, sum((NOT ok)::INT) "
+    "OVER (PARTITION BY source_id, island ORDER BY pos) AS streak FROM g)"
+)
 
 
-@query("resolved_feed_memory", f"WITH {_EV}, {_STREAK} SELECT source_id, pos, CASE WHEN streak < 3 THEN last_value(CASE WHEN ok THEN 'f' || pos END IGNORE NULLS) OVER (PARTITION BY source_id ORDER BY pos) END AS resolved FROM s")
+@query(
+    "resolved_feed_memory",
+    f"WITH {_EV}, {_STREAK} SELECT source_id, pos, CASE WHEN streak < 3 THEN last_value(CASE WHEN ok THEN 'f' || pos END IGNORE "
+    f"NULLS) OVER (PARTITION BY source_id ORDER BY pos) END AS resolved FROM s",
+)
 def _(spark, d):
     e = events(spark, d).select("source_id", "pos", "ok", F.concat(F.lit("f"), F.col("pos").cast("string")).alias("feed_url"))
     return diff.resolved_feed(e, "pos").select("source_id", "pos", "resolved")
 
 
-@query("access_cascade", f"WITH {_EV}, a AS (SELECT source_id, pos, via, CASE WHEN via NOT IN ('click', 'view') THEN 'e' || pos END AS error FROM ev) SELECT source_id, arg_min(via, pos) FILTER (error IS NULL) AS method, coalesce(string_agg(error, '; ' ORDER BY pos) FILTER (error IS NOT NULL), '') AS errors FROM a GROUP BY source_id")
+@query(
+    "access_cascade",
+    f"WITH {_EV}, a AS (SELECT source_id, pos, via, CASE WHEN via NOT IN ('click', 'view') THEN 'e' || pos END AS error FROM ev) "
+    f"SELECT source_id, arg_min(via, pos) FILTER (error IS NULL) AS method, coalesce(string_agg(error, '; ' ORDER BY pos) FILTER "
+    f"(error IS NOT NULL), '') AS errors FROM a GROUP BY source_id",
+)
 def _(spark, d):
     """All events as attempts of their sources."""
-    a = events(spark, d).select("source_id", F.col("pos").alias("level"), F.col("via").alias("method"), F.when(~F.col("via").isin("click", "view"), F.concat(F.lit("e"), F.col("pos").cast("string"))).alias("error"))
+    a = events(spark, d).select(
+        "source_id", F.col("pos").alias("level"), F.col("via").alias("method"),
+        F.when(~F.col("via").isin("click", "view"), F.concat(F.lit("e"), F.col("pos").cast("string"))).alias("error")
+    )
     return diff.first_working(a)
 
 
@@ -417,36 +552,71 @@ def _(spark, d):
     return diff.new_urls(o.where("run = 4").select("source_id", "url").distinct(), known)
 
 
-@query("archive_day_first", f"WITH {_EV}, a AS (SELECT 'k' || pos % 37 AS external_id, pos, via FROM ev WHERE strftime(ts, '%Y-%m-%d') = '2024-01-05') SELECT external_id, arg_min(via, pos) AS via, min(pos) AS pos FROM a GROUP BY external_id")
+@query(
+    "archive_day_first",
+    f"WITH {_EV}, a AS (SELECT 'k' || pos % 37 AS external_id, pos, via FROM ev WHERE strftime(ts, '%Y-%m-%d') = '2024-01-05') "
+    f"SELECT external_id, arg_min(via, pos) AS via, min(pos) AS pos FROM a GROUP BY external_id",
+)
 def _(spark, d):
-    a = events(spark, d).select(F.concat(F.lit("k"), (F.col("pos") % 37).cast("string")).alias("external_id"), F.lit("").alias("url"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("collected_at"), "pos", "via")
+    a = events(spark, d).select(
+        F.concat(F.lit("k"), (F.col("pos") % 37).cast("string")).alias("external_id"), F.lit("").alias("url"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("collected_at"), "pos", "via"
+    )
     return articles.first_of_day(a, "2024-01-05").select("external_id", "via", "pos")
 
 
 _CODE = "CASE pos % 7 WHEN 0 THEN 404 WHEN 1 THEN 410 WHEN 2 THEN 403 WHEN 3 THEN 200 WHEN 4 THEN 301 WHEN 5 THEN 500 ELSE NULL END"
 
 
-@query("probe_status", f"WITH {_EV} SELECT pos, CASE WHEN c IN (404, 410) THEN 'not_found' WHEN c IN (401, 403) THEN 'blocked' WHEN c >= 200 AND c < 400 THEN 'ok' ELSE 'unknown' END AS fetch_status FROM (SELECT pos, {_CODE} AS c FROM ev) WHERE c IS NULL OR c NOT IN (404, 410)")
+@query(
+    "probe_status",
+    f"WITH {_EV} SELECT pos, CASE WHEN c IN (404, 410) THEN 'not_found' WHEN c IN (401, 403) THEN 'blocked' WHEN c >= 200 AND "
+    f"c < 400 THEN 'ok' ELSE 'unknown' END AS fetch_status FROM (SELECT pos, {_CODE} AS c FROM ev) WHERE c IS NULL OR c NOT IN "
+    f"(404, 410)",
+)
 def _(spark, d):
     e = events(spark, d)
     arts = e.select("pos", F.concat(F.lit("https://h.example/"), F.col("pos").cast("string")).alias("url"), F.lit(False).alias("url_corrected"))
-    probes = e.select(F.concat(F.lit("https://h.example/"), F.col("pos").cast("string")).alias("url"), F.expr(_CODE).alias("code"), F.lit(None).cast("string").alias("final_url"))
+    probes = e.select(
+        F.concat(F.lit("https://h.example/"), F.col("pos").cast("string")).alias("url"), F.expr(_CODE).alias("code"),
+        F.lit(None).cast("string").alias("final_url")
+    )
     return articles.apply_probe(arts, probes).select("pos", "fetch_status")
 
 
-@query("enrich_cascade", "SELECT doc_id, CASE WHEN doc_id % 4 = 0 AND length(text) >= 800 THEN 'rss' WHEN doc_id % 4 <> 3 AND length(text) >= 200 THEN 'http' WHEN doc_id % 4 = 0 AND text <> '' OR doc_id % 2 = 0 THEN 'rss_summary' ELSE '' END AS content_via, CASE WHEN doc_id % 4 = 0 AND length(text) >= 800 OR doc_id % 4 <> 3 AND length(text) >= 200 THEN 'ok' WHEN doc_id % 4 = 0 AND text <> '' OR doc_id % 2 = 0 THEN 'partial' ELSE 'failed' END AS content_status, CASE WHEN doc_id % 4 = 0 AND length(text) >= 800 OR doc_id % 4 <> 3 AND length(text) >= 200 OR doc_id % 4 = 0 AND text <> '' THEN length(text) WHEN doc_id % 2 = 0 THEN 7 ELSE 0 END::INT AS content_chars FROM documents")
+@query(
+    "enrich_cascade",
+    "SELECT doc_id, CASE WHEN doc_id % 4 = 0 AND length(text) >= 800 THEN 'rss' WHEN doc_id % 4 <> 3 AND length(text) >= 200 "
+    "THEN 'http' WHEN doc_id % 4 = 0 AND text <> '' OR doc_id % 2 = 0 THEN 'rss_summary' ELSE '' END AS content_via, CASE WHEN "
+    "doc_id % 4 = 0 AND length(text) >= 800 OR doc_id % 4 <> 3 AND length(text) >= 200 THEN 'ok' WHEN doc_id % 4 = 0 AND text "
+    "<> '' OR doc_id % 2 = 0 THEN 'partial' ELSE 'failed' END AS content_status, CASE WHEN doc_id % 4 = 0 AND length(text) >= "
+    "800 OR doc_id % 4 <> 3 AND length(text) >= 200 OR doc_id % 4 = 0 AND text <> '' THEN length(text) WHEN doc_id % 2 = 0 THEN "
+    "7 ELSE 0 END::INT AS content_chars FROM documents",
+)
 def _(spark, d):
     docs = read(spark, d, "documents", "doc_id", "text")
     eid = F.col("doc_id").cast("string").alias("external_id")
-    arts = docs.select(eid, "doc_id", F.lit("https://x/").alias("url"), F.expr("CASE WHEN doc_id % 4 = 0 THEN text ELSE '' END").alias("rss_text"), F.expr("CASE WHEN doc_id % 2 = 0 THEN 'summary' ELSE '' END").alias("summary_text"), F.lit(None).cast("string").alias("content_html"))
-    loads = docs.where("doc_id % 4 != 3").select(eid, F.lit(0).alias("attempt"), F.lit("http").alias("transport"), F.lit("https://x/").alias("final_url"), "text", F.lit("article").alias("method"), F.lit("").alias("block_text"), F.lit(None).cast("string").alias("error"))
+    arts = docs.select(
+        eid, "doc_id", F.lit("https://x/").alias("url"), F.expr("CASE WHEN doc_id % 4 = 0 THEN text ELSE '' END").alias("rss_text"),
+        F.expr("CASE WHEN doc_id % 2 = 0 THEN 'summary' ELSE '' END").alias("summary_text"),
+        F.lit(None).cast("string").alias("content_html")
+    )
+    loads = docs.where("doc_id % 4 != 3").select(
+        eid, F.lit(0).alias("attempt"), F.lit("http").alias("transport"), F.lit("https://x/").alias("final_url"), "text",
+        F.lit("article").alias("method"), F.lit("").alias("block_text"), F.lit(None).cast("string").alias("error")
+    )
     return articles.enrich(arts, loads, "2026-01-01T00:00:00+00:00").select("doc_id", "content_via", "content_status", "content_chars")
 
 
 _ANSWER = "concat('noise {\"article_ids\": [', value_id, ', 2, \"1\", true, 99, -1, \"x\", 2]} tail')"
 
 
-@query("parse_ids", "SELECT event_id AS pos, array_to_string(list_distinct_ordered, ',') AS ids FROM (SELECT event_id, CASE WHEN event_id % 5 IN (1, 2) THEN CASE WHEN event_id % 5 = 1 THEN ['1', '2'] ELSE ['2', '1'] END ELSE [(event_id % 5)::VARCHAR, '2', '1'] END AS list_distinct_ordered FROM events)")
+@query(
+    "parse_ids",
+    "SELECT event_id AS pos, array_to_string(list_distinct_ordered, ',') AS ids FROM (SELECT event_id, CASE WHEN event_id % 5 "
+    "IN (1, 2) THEN CASE WHEN event_id % 5 = 1 THEN ['1', '2'] ELSE ['2', '1'] END ELSE [(event_id % 5)::VARCHAR, '2', '1'] END "
+    "AS list_distinct_ordered FROM events)",
+)
 def _(spark, d):
     e = events(spark, d).withColumn("value_id", F.col("pos") % 5)
     return e.select("pos", F.array_join(classify.parse_ids(F.expr(_ANSWER), "article_ids", F.lit(10)).cast("array<string>"), ",").alias("ids"))
@@ -457,14 +627,32 @@ def _(spark, d):
 
 def _feed(spark: SparkSession, d: str) -> DataFrame:
     p = read(spark, d, "pages", "page_id", "url")
-    arts = p.select(F.col("page_id").alias("pos"), urls.external_id(F.col("url")).alias("external_id"), "url", F.concat(F.lit("T"), (F.col("page_id") % 11).cast("string")).alias("title"), urls.host_of(F.col("url")).alias("source_id"), F.expr("CASE page_id % 3 WHEN 0 THEN 'rss' WHEN 1 THEN 'llm' ELSE '' END").alias("via"), F.expr("CASE WHEN page_id % 4 = 0 THEN '' ELSE concat('2026-01-0', 1 + page_id % 9, 'T00:00:00Z') END").alias("published_at"), F.lit("2026-01-05T12:00:00+00:00").alias("collected_at"), F.expr("CASE page_id % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'failed' END").alias("content_status"), F.lit("c").alias("content"), F.lit(1).alias("content_chars"))
+    arts = p.select(
+        F.col("page_id").alias("pos"), urls.external_id(F.col("url")).alias("external_id"), "url",
+        F.concat(F.lit("T"), (F.col("page_id") % 11).cast("string")).alias("title"), urls.host_of(F.col("url")).alias("source_id"),
+        F.expr("CASE page_id % 3 WHEN 0 THEN 'rss' WHEN 1 THEN 'llm' ELSE '' END").alias("via"),
+        F.expr("CASE WHEN page_id % 4 = 0 THEN '' ELSE concat('2026-01-0', 1 + page_id % 9, 'T00:00:00Z') END").alias("published_at"),
+        F.lit("2026-01-05T12:00:00+00:00").alias("collected_at"),
+        F.expr("CASE page_id % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'failed' END").alias("content_status"), F.lit("c").alias("content"),
+        F.lit(1).alias("content_chars")
+    )
     return publish.feed_items(arts, "2026-01-09T00:00:00+00:00")
 
 
-_FEED = f"fi AS (SELECT page_id AS pos, 'a:' || substr(sha1(url), 1, 16) AS id, url AS html_url, 'T' || page_id % 11 AS title, {_host('url')} AS actor, CASE page_id % 3 WHEN 0 THEN 'rss' WHEN 1 THEN 'llm' ELSE '' END AS via, CASE WHEN page_id % 4 = 0 THEN '2026-01-05T12:00:00+00:00' ELSE concat('2026-01-0', 1 + page_id % 9, 'T00:00:00Z') END AS created_at, CASE page_id % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'failed' ELSE '' END AS content_status, CASE WHEN page_id % 4 = 0 THEN 'daily_window' ELSE 'exact' END AS time_precision FROM pages)"
+_FEED = (
+    f"fi AS (SELECT page_id AS pos, 'a:' || substr(sha1(url), 1, 16) AS id, url AS html_url, 'T' || page_id % 11 AS title, {_host('url')} "
+    f"AS actor, CASE page_id % 3 WHEN 0 THEN 'rss' WHEN 1 THEN 'llm' ELSE '' END AS via, CASE WHEN page_id % 4 = 0 THEN '2026-01-05T12:00:00+00:00' "
+    f"ELSE concat('2026-01-0', 1 + page_id % 9, 'T00:00:00Z') END AS created_at, CASE page_id % 5 WHEN 0 THEN 'ok' WHEN 1 THEN "
+    f"'failed' ELSE '' END AS content_status, CASE WHEN page_id % 4 = 0 THEN 'daily_window' ELSE 'exact' END AS time_precision "
+    f"FROM pages)"
+)
 
 
-@query("feed_items", f"WITH {_FEED} SELECT pos, id, actor || ' published: ' || title AS text, actor, html_url, title, via, created_at, content_status, time_precision, 'auto' AS collect_mode FROM fi")
+@query(
+    "feed_items",
+    f"WITH {_FEED} SELECT pos, id, actor || ' published: ' || title AS text, actor, html_url, title, via, created_at, content_status, "
+    f"time_precision, 'auto' AS collect_mode FROM fi",
+)
 def _(spark, d):
     return _feed(spark, d).select("pos", "id", "text", "actor", "html_url", "title", "via", "created_at", "content_status", "time_precision", "collect_mode")
 
@@ -486,27 +674,51 @@ def _(spark, d):
     return publish.count_by(_feed(spark, d), "actor", "?")
 
 
-@query("count_by_status", "SELECT coalesce(CASE quality WHEN 1 THEN 'ok' WHEN 0 THEN 'failed' END, 'missing') AS label, count(*) AS n FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1")
+@query(
+    "count_by_status",
+    "SELECT coalesce(CASE quality WHEN 1 THEN 'ok' WHEN 0 THEN 'failed' END, 'missing') AS label, count(*) AS n FROM documents "
+    "LEFT JOIN labels USING (doc_id) GROUP BY 1",
+)
 def _(spark, d):
     both = read(spark, d, "documents", "doc_id").join(read(spark, d, "labels", "doc_id", "quality"), "doc_id", "left")
     return publish.count_by(both.withColumn("status", F.expr("CASE quality WHEN 1 THEN 'ok' WHEN 0 THEN 'failed' END")), "status", "missing")
 
 
-@query("feed_summary", f"WITH {_FEED} SELECT count(*) AS item_count, count(*) FILTER (via = '') AS unknown_via, count(*) FILTER (content_status = '') AS missing_status, count(DISTINCT actor) AS n_sources FROM fi")
+@query(
+    "feed_summary",
+    f"WITH {_FEED} SELECT count(*) AS item_count, count(*) FILTER (via = '') AS unknown_via, count(*) FILTER (content_status = "
+    f"'') AS missing_status, count(DISTINCT actor) AS n_sources FROM fi",
+)
 def _(spark, d):
     s = publish.summary(_feed(spark, d))
-    return s.select("item_count", F.expr("by_via['unknown']").alias("unknown_via"), F.expr("by_content_status['missing']").alias("missing_status"), F.size("by_source").cast("long").alias("n_sources"))
+    return s.select(
+        "item_count", F.expr("by_via['unknown']").alias("unknown_via"), F.expr("by_content_status['missing']").alias("missing_status"),
+        F.size("by_source").cast("long").alias("n_sources")
+    )
 
 
-@query("tag_rollup", f"WITH {_FEED}, t AS (SELECT 'kind' AS prefix, 'publish' AS label FROM fi UNION ALL SELECT 'src', actor FROM fi UNION ALL SELECT 'via', via FROM fi WHERE via <> '') SELECT prefix, label, count(*) AS n FROM t GROUP BY ALL")
+@query(
+    "tag_rollup",
+    f"WITH {_FEED}, t AS (SELECT 'kind' AS prefix, 'publish' AS label FROM fi UNION ALL SELECT 'src', actor FROM fi UNION ALL "
+    f"SELECT 'via', via FROM fi WHERE via <> '') SELECT prefix, label, count(*) AS n FROM t GROUP BY ALL",
+)
 def _(spark, d):
     return publish.tag_rollup(publish.contract_items(_feed(spark, d)))
 
 
-@query("contract_items", f"WITH {_FEED} SELECT id AS external_id, actor AS who, html_url AS target_url, CASE WHEN created_at LIKE '%Z' THEN replace(created_at, 'Z', '+00:00') ELSE created_at END AS at, array_to_string(list_filter(['kind:publish', 'src:' || actor, CASE WHEN via <> '' THEN 'via:' || via END, 'channel:auto'], lambda x: x IS NOT NULL), '|') AS tags, html_url AS links, actor AS login, time_precision FROM fi")
+@query(
+    "contract_items",
+    f"WITH {_FEED} SELECT id AS external_id, actor AS who, html_url AS target_url, CASE WHEN created_at LIKE '%Z' THEN replace(created_at, "
+    f"'Z', '+00:00') ELSE created_at END AS at, array_to_string(list_filter(['kind:publish', 'src:' || actor, CASE WHEN via <> "
+    f"'' THEN 'via:' || via END, 'channel:auto'], lambda x: x IS NOT NULL), '|') AS tags, html_url AS links, actor AS login, time_precision "
+    f"FROM fi",
+)
 def _(spark, d):
     c = publish.contract_items(_feed(spark, d))
-    return c.select("external_id", "who", "target_url", "at", F.array_join("tags", "|").alias("tags"), F.array_join("links", "|").alias("links"), F.col("refs.actor.login").alias("login"), F.col("flags.time_precision").alias("time_precision"))
+    return c.select(
+        "external_id", "who", "target_url", "at", F.array_join("tags", "|").alias("tags"), F.array_join("links", "|").alias("links"),
+        F.col("refs.actor.login").alias("login"), F.col("flags.time_precision").alias("time_precision")
+    )
 
 
 @query("beijing_day_counts", f"WITH {_EV} SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS day, count(*) AS n FROM ev GROUP BY 1")
@@ -514,20 +726,35 @@ def _(spark, d):
     return events(spark, d).groupBy(dates.beijing_date(F.col("ts")).alias("day")).agg(F.count("*").alias("n"))
 
 
-@query("bundle_window_hours", f"WITH {_EV}, w AS (SELECT via, min(ts) AS s, max(ts) AS e FROM ev GROUP BY via) SELECT via, strftime(s, '%Y-%m-%dT%H:%M:%S') AS start, coalesce(nullif((epoch_us(e) - epoch_us(s)) // 3600000000, 0), 24)::BIGINT AS hours FROM w")
+@query(
+    "bundle_window_hours",
+    f"WITH {_EV}, w AS (SELECT via, min(ts) AS s, max(ts) AS e FROM ev GROUP BY via) SELECT via, strftime(s, '%Y-%m-%dT%H:%M:%S') "
+    f"AS start, coalesce(nullif((epoch_us(e) - epoch_us(s)) // 3600000000, 0), 24)::BIGINT AS hours FROM w",
+)
 def _(spark, d):
     w = events(spark, d).groupBy("via").agg(F.min("ts").alias("s"), F.max("ts").alias("e"))
-    return w.select("via", F.date_format("s", "yyyy-MM-dd'T'HH:mm:ss").alias("start"), dates.window_hours(dates.format_iso(F.col("s")), dates.format_iso(F.col("e"))).alias("hours"))
+    return w.select(
+        "via", F.date_format("s", "yyyy-MM-dd'T'HH:mm:ss").alias("start"),
+        dates.window_hours(dates.format_iso(F.col("s")), dates.format_iso(F.col("e"))).alias("hours")
+    )
 
 
-@query("iso_times", f"WITH {_EV} SELECT pos, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS whole, CASE WHEN pos % 2 = 0 THEN strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || '+00:00' ELSE 'not a time ' || pos END AS iso FROM ev")
+@query(
+    "iso_times",
+    f"WITH {_EV} SELECT pos, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS whole, CASE WHEN pos % 2 = "
+    f"0 THEN strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || '+00:00' ELSE 'not a time ' || pos END AS iso FROM ev",
+)
 def _(spark, d):
     second = F.date_trunc("second", "ts")
     given = F.when(F.col("pos") % 2 == 0, F.date_format(second, "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(F.concat(F.lit("not a time "), F.col("pos").cast("string")))
     return events(spark, d).select("pos", dates.format_iso(second).alias("whole"), dates.to_iso(given).alias("iso"))
 
 
-@query("rfc822_times", f"WITH {_EV} SELECT pos, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || CASE pos % 4 WHEN 0 THEN '+02:00' WHEN 1 THEN '-07:30' ELSE '+00:00' END AS published FROM ev")
+@query(
+    "rfc822_times",
+    f"WITH {_EV} SELECT pos, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || CASE pos % 4 WHEN 0 THEN '+02:00' WHEN "
+    f"1 THEN '-07:30' ELSE '+00:00' END AS published FROM ev",
+)
 def _(spark, d):
     zone = F.expr("CASE pos % 4 WHEN 0 THEN '+0200' WHEN 1 THEN '-0730' WHEN 2 THEN '-0000' ELSE 'GMT' END")
     given = F.concat(F.lit("Mon, "), F.date_format(F.date_trunc("second", "ts"), "d MMM yyyy HH:mm:ss"), F.lit(" "), zone)
@@ -539,25 +766,40 @@ _DAYS = "d AS (SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS count, max(s
 
 def _bundles(spark: SparkSession, d: str) -> DataFrame:
     """(path, content): a bundle document of each day, as the binaryFile source would read it."""
-    days = events(spark, d).groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date")).agg(F.count("*").alias("total"), F.max(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("end"))
+    days = events(spark, d).groupBy(F.date_format("ts", "yyyy-MM-dd").alias("date")).agg(
+        F.count("*").alias("total"), F.max(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")).alias("end")
+    )
     doc = F.to_json(F.struct(F.col("date").alias("collect_date"), F.struct("end").alias("collect_window"), F.struct("total").alias("stats")))
     return days.select(F.concat(F.lit("/b/"), "date", F.lit(".json")).alias("path"), doc.cast("binary").alias("content"))
 
 
-@query("index_rows", f"WITH {_EV}, {_DAYS} SELECT date, count, window_end, sha256('{{\"collect_date\":\"' || date || '\",\"collect_window\":{{\"end\":\"' || window_end || '\"}},\"stats\":{{\"total\":' || count || '}}}}') AS sha256 FROM d")
+@query(
+    "index_rows",
+    f"WITH {_EV}, {_DAYS} SELECT date, count, window_end, sha256('{{\"collect_date\":\"' || date || '\",\"collect_window\":{{\"end\":\"' "
+    f"|| window_end || '\"}},\"stats\":{{\"total\":' || count || '}}}}') AS sha256 FROM d",
+)
 def _(spark, d):
     index = spark.createDataFrame([("/b/index.json", bytearray(b"{}"))], "path string, content binary")
     return publish.index_rows(_bundles(spark, d).union(index))
 
 
-@query("bundle_index", f"WITH {_EV}, {_DAYS} SELECT date, count, window_end, (SELECT max(window_end) FROM d) AS watermark, (SELECT max(date) FROM d) AS latest FROM d")
+@query(
+    "bundle_index",
+    f"WITH {_EV}, {_DAYS} SELECT date, count, window_end, (SELECT max(window_end) FROM d) AS watermark, (SELECT max(date) FROM "
+    f"d) AS latest FROM d",
+)
 def _(spark, d):
     days = publish.index_rows(_bundles(spark, d)).drop("sha256")
     top = days.agg(F.max("window_end").alias("watermark"), F.max("date").alias("latest"))
     return days.withColumn("one", F.lit(1)).join(F.broadcast(top.withColumn("one", F.lit(1))), "one").drop("one")
 
 
-@query("bundle_upsert", "WITH a AS (SELECT 'k' || event_id % 500 AS external_id, event_id AS pos, event_type AS via, CASE WHEN event_id < (SELECT count(*) // 2 FROM events) THEN 0 ELSE 1 END AS side FROM events) SELECT external_id, arg_max(via, struct_pack(side := side, pos := pos)) AS via FROM a GROUP BY external_id")
+@query(
+    "bundle_upsert",
+    "WITH a AS (SELECT 'k' || event_id % 500 AS external_id, event_id AS pos, event_type AS via, CASE WHEN event_id < (SELECT "
+    "count(*) // 2 FROM events) THEN 0 ELSE 1 END AS side FROM events) SELECT external_id, arg_max(via, struct_pack(side := side, "
+    "pos := pos)) AS via FROM a GROUP BY external_id",
+)
 def _(spark, d):
     e = read(spark, d, "events", "event_id", "event_type")
     half = e.count() // 2
@@ -578,14 +820,20 @@ _XML = (
  'T & ' || doc_id AS title, '2026-01-05T10:00:00+0' || doc_id % 10 || ':00' AS published_at, length(text)::INT AS chars FROM documents""")
 def _(spark, d):
     """A feed of each document, whose whole text is the entry's description (XML readers trim it, so its size is what counts)."""
-    docs = read(spark, d, "documents", "doc_id", "text").select("doc_id", F.expr(_XML).alias("body"), F.char_length(F.trim("text")).alias("trimmed"), F.char_length("text").alias("n"))
+    docs = read(spark, d, "documents", "doc_id", "text").select(
+        "doc_id", F.expr(_XML).alias("body"), F.char_length(F.trim("text")).alias("trimmed"), F.char_length("text").alias("n")
+    )
     out = feeds.parse(docs).withColumn("got", F.char_length(F.trim("content_html")))
     return out.select("doc_id", "url", "title", "published_at", F.when(F.col("got") == F.col("trimmed"), F.col("n")).otherwise(-F.col("got")).alias("chars"))
 
 
 _SRC_MODE = "CASE page_id % 5 WHEN 0 THEN 'auto' WHEN 1 THEN 'rss' WHEN 2 THEN 'html_llm' WHEN 3 THEN 'browser_llm' ELSE 'other' END"
 _SRC_STATUS = "CASE page_id % 7 WHEN 0 THEN 'blocked' WHEN 1 THEN 'browser_required' WHEN 2 THEN 'gone' ELSE 'direct' END"
-_SRC = f"src AS (SELECT 's' || page_id // 2 * 2 AS id0, page_id, {_SRC_MODE} AS m, {_SRC_STATUS} AS a, page_id % 3 = 0 AS fb, page_id % 11 <> 0 AS en, page_id % 2 = 0 AS fed FROM pages), sr AS (SELECT CASE WHEN page_id % 9 = 0 THEN id0 ELSE 'p' || page_id END AS id, * EXCLUDE (id0) FROM src)"
+_SRC = (
+    f"src AS (SELECT 's' || page_id // 2 * 2 AS id0, page_id, {_SRC_MODE} AS m, {_SRC_STATUS} AS a, page_id % 3 = 0 AS fb, page_id "
+    f"% 11 <> 0 AS en, page_id % 2 = 0 AS fed FROM pages), sr AS (SELECT CASE WHEN page_id % 9 = 0 THEN id0 ELSE 'p' || page_id "
+    f"END AS id, * EXCLUDE (id0) FROM src)"
+)
 
 
 @query("source_validate", f"""WITH {_SRC} SELECT id, unnest(list_filter([CASE WHEN m = 'auto' THEN 'auto mode' END, CASE WHEN m = 'other' THEN 'unknown mode' END, CASE WHEN a = 'gone' THEN 'unknown access status' END, CASE WHEN m = 'rss' AND NOT fed THEN 'rss needs rss_url' END,
@@ -600,12 +848,19 @@ def _(spark, d):
     ))
 
 
-@query("content_redirect", f"WITH r AS (SELECT page_id FROM pages) SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'redirect_host:evil.example' END AS error FROM r")
+@query(
+    "content_redirect",
+    f"WITH r AS (SELECT page_id FROM pages) SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'redirect_host:evil.example' END AS "
+    f"error FROM r",
+)
 def _(spark, d):
     p = read(spark, d, "pages", "page_id", "url")
     host = urls.host_of(F.col("url"))
     final = F.expr("page_id % 4")
-    target = F.when(final == 0, F.lit("https://evil.example/x")).when(final == 1, F.concat(F.lit("https://"), F.when(host.startswith("www."), F.substr(host, F.lit(5))).otherwise(F.concat(F.lit("www."), host)), F.lit("/moved"))).when(final == 2, F.col("url")).otherwise("")
+    target = F.when(final == 0, F.lit("https://evil.example/x")).when(
+        final == 1,
+        F.concat(F.lit("https://"), F.when(host.startswith("www."), F.substr(host, F.lit(5))).otherwise(F.concat(F.lit("www."), host)), F.lit("/moved"))
+    ).when(final == 2, F.col("url")).otherwise("")
     return p.select("page_id", articles.redirect_error(target, F.col("url")).alias("error"))
 
 
@@ -621,7 +876,10 @@ def _(spark, d):
     one = diff.update_candidates(empty, look(c.where("rank % 3 = 0"), F.lit(False)), "r1", none.select("source_id"), none)
     two = diff.update_candidates(one, look(c, F.col("rank") % 2 == 0), "r2", every, none).where("last_seen = 'r2'")
     fresh = F.col("first_seen") == "r2"
-    return two.groupBy("source_id").agg(F.count("*").alias("candidate_count"), F.count_if(fresh).alias("candidate_new_count"), F.count_if(fresh & F.col("selected")).alias("selected"))
+    return two.groupBy("source_id").agg(
+        F.count("*").alias("candidate_count"), F.count_if(fresh).alias("candidate_new_count"),
+        F.count_if(fresh & F.col("selected")).alias("selected")
+    )
 
 
 def _shared(spark: SparkSession) -> str:
@@ -645,8 +903,13 @@ def _(spark, d):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of pages, cleaned and filtered; what is new against earlier runs; counted by source."""
     p = read(spark, sf_dir, "pages", "page_id", "url", "html")
-    c = pages.candidates(pages.links_native(p)).select(urls.host_of(F.col("link_url")).alias("source_id"), F.col("link_url").alias("url"), (F.col("page_id") % 5).alias("run"))
+    c = pages.candidates(pages.links_native(p)).select(
+        urls.host_of(F.col("link_url")).alias("source_id"), F.col("link_url").alias("url"), (F.col("page_id") % 5).alias("run")
+    )
     return publish.count_by(diff.emitted(c), "source_id", "?")
 
 
-query("flagship", f"WITH {_ANCHORS}, l AS (SELECT {_host('url')} AS source_id, lower({_p('url', 1)}) || '://' || {_host('url')} || href AS u, page_id % 5 AS run FROM an), f AS (SELECT source_id, u, min(run) AS run FROM l GROUP BY ALL) SELECT source_id AS label, count(*) AS n FROM f WHERE run > (SELECT min(run) FROM l WHERE l.source_id = f.source_id) GROUP BY 1")(flagship)
+query(
+    "flagship",
+    f"WITH {_ANCHORS}, l AS (SELECT {_host('url')} AS source_id, lower({_p('url', 1)}) || '://' || {_host('url')} || href AS u, page_id % 5 AS run FROM an), f AS (SELECT source_id, u, min(run) AS run FROM l GROUP BY ALL) SELECT source_id AS label, count(*) AS n FROM f WHERE run > (SELECT min(run) FROM l WHERE l.source_id = f.source_id) GROUP BY 1"
+)(flagship)

@@ -54,7 +54,10 @@ class Collected:
 
 
 def _attempt(df: DataFrame, level: int, method: Column, transport: Column, feed_url: Column, error: Column) -> DataFrame:
-    return df.select("source_id", F.lit(level).alias("level"), method.cast("string").alias("method"), transport.cast("string").alias("transport"), feed_url.cast("string").alias("feed_url"), error.cast("string").alias("error"))
+    return df.select(
+        "source_id", F.lit(level).alias("level"), method.cast("string").alias("method"), transport.cast("string").alias("transport"),
+        feed_url.cast("string").alias("feed_url"), error.cast("string").alias("error")
+    )
 
 
 def served_by(attempts: DataFrame) -> DataFrame:
@@ -65,7 +68,10 @@ def with_state(sources: DataFrame, state: dict[str, DataFrame], settings: Settin
     """The sources with their state: defaults for new ones, ``baseline`` for those without a first run, ``verify`` for TLS."""
     seen = state["seen"].select("source_id").distinct().withColumn("has_seen", F.lit(True))
     out = sources.withColumnRenamed("id", "source_id").join(state["source_state"], "source_id", "left").join(seen, "source_id", "left")
-    for c, v in (("baseline_initialized", False), ("candidates_initialized", False), ("resolved_feed_url", ""), ("feed_fail_streak", 0), ("method", ""), ("last_ok_at", ""), ("has_seen", False)):
+    for c, v in (
+        ("baseline_initialized", False), ("candidates_initialized", False), ("resolved_feed_url", ""), ("feed_fail_streak", 0),
+        ("method", ""), ("last_ok_at", ""), ("has_seen", False)
+    ):
         out = out.withColumn(c, F.coalesce(c, F.lit(v)))
     out = out.withColumn("baseline", ~(F.col("baseline_initialized") | (F.col("last_ok_at") != "") | F.col("has_seen"))).drop("has_seen")
     return out.withColumn("verify", fetch.verified(F.col("home_url"), settings.ssl_insecure_hosts, F.col("ssl_verify")))
@@ -73,17 +79,26 @@ def with_state(sources: DataFrame, state: dict[str, DataFrame], settings: Settin
 
 def _feed_items(entries: DataFrame, chosen: DataFrame) -> DataFrame:
     rows = entries.join(chosen.select("source_id", "feed_url").distinct(), ["source_id", "feed_url"], "left_semi")
-    return rows.select("source_id", F.col("feed_url").alias("base"), "url", "title", "summary", "content_html", "published_at", "author", F.lit("rss").alias("via"), F.col("pos").cast("long").alias("pos"))
+    return rows.select(
+        "source_id", F.col("feed_url").alias("base"), "url", "title", "summary", "content_html", "published_at", "author",
+        F.lit("rss").alias("via"), F.col("pos").cast("long").alias("pos")
+    )
 
 
 def feed_levels(src: DataFrame, keep: Keep, world: World) -> tuple[DataFrame, DataFrame]:
     """Levels 1 to 3, for sources that may have a feed: attempts and items."""
     able = src.where(F.col("collect_mode").isin("auto", "rss"))
     none = F.lit(None)
-    one, entries1 = feeds.scan(able.where("rss_url != ''").select("source_id", F.col("rss_url").alias("feed_url"), "verify"), keep, "configured", world.options, world.served)
+    one, entries1 = feeds.scan(
+        able.where("rss_url != ''").select("source_id", F.col("rss_url").alias("feed_url"), "verify"), keep, "configured", world.options,
+        world.served
+    )
     attempts = _attempt(one, 1, F.lit("rss"), F.lit("http"), F.col("feed_url"), F.col("error"))
     left = able.join(served_by(attempts), "source_id", "left_anti")
-    two, entries2 = feeds.scan(left.where("resolved_feed_url != ''").select("source_id", F.col("resolved_feed_url").alias("feed_url"), "verify"), keep, "remembered", world.options, world.served)
+    two, entries2 = feeds.scan(
+        left.where("resolved_feed_url != ''").select("source_id", F.col("resolved_feed_url").alias("feed_url"), "verify"), keep,
+        "remembered", world.options, world.served
+    )
     attempts = attempts.unionByName(_attempt(two, 2, F.lit("rss"), F.lit("http"), F.col("feed_url"), F.col("error")))
     left = able.join(served_by(attempts), "source_id", "left_anti")
     found, entries3 = feeds.discover(left.select("source_id", "home_url", "verify"), keep, world.options, world.served)
@@ -119,8 +134,13 @@ def page_level(src: DataFrame, level: int, known: DataFrame, keep: Keep, world:
     """
     save = lambda df, name: keep(df, f"level{level}-{name}")
     wanted = src.select(F.col("home_url").alias("url"), "first", "fallback", "verify")
-    loads = save(fetch.pages(wanted, save, world.options, world.served), "pages").select(F.col("url").alias("home_url"), "transport", "final_url", "body", F.col("error").alias("load_error"))
-    looked = src.select("source_id", "home_url", "allowed_hosts", "strip_query_keys", (F.col("baseline") | ~F.col("candidates_initialized")).alias("baseline_only")).join(loads, "home_url")
+    loads = save(fetch.pages(wanted, save, world.options, world.served), "pages").select(
+        F.col("url").alias("home_url"), "transport", "final_url", "body", F.col("error").alias("load_error")
+    )
+    looked = src.select(
+        "source_id", "home_url", "allowed_hosts", "strip_query_keys",
+        (F.col("baseline") | ~F.col("candidates_initialized")).alias("baseline_only")
+    ).join(loads, "home_url")
     shown = looked.where("load_error IS NULL").withColumn("url", F.col("final_url")).withColumnRenamed("body", "html")
     found = pages.candidates(pages.links(shown), page_key="source_id", page_url="url", limit=settings.page_candidates, hosts="allowed_hosts", extra="strip_query_keys")
     found = save(found.select("source_id", "pos", "link_url", "title", "context", "transport", "baseline_only"), "candidates")
@@ -150,7 +170,10 @@ def page_level(src: DataFrame, level: int, known: DataFrame, keep: Keep, world:
     error = F.when(F.col("load_error").isNotNull(), F.col("load_error")).when(F.coalesce("n", F.lit(0)) == 0, "no_candidates").when(~by_rule, F.col("score_error"))
     method = F.when(by_rule, "browser_heuristic" if level > 4 else "heuristic").otherwise(name)
     attempts = save(_attempt(outcome, level, method, F.col("transport"), F.lit(None), error), "attempts")
-    seen = found.join(picks, ["source_id", "link_url"], "left").select("source_id", "pos", F.col("link_url").alias("url"), "title", F.col("via").isNotNull().alias("selected"), F.col("via").alias("selector"))
+    seen = found.join(picks, ["source_id", "link_url"], "left").select(
+        "source_id", "pos", F.col("link_url").alias("url"), "title", F.col("via").isNotNull().alias("selected"),
+        F.col("via").alias("selector")
+    )
     return attempts, seen, answers
 
 
@@ -177,7 +200,10 @@ def collect(sources: DataFrame, state: dict[str, DataFrame], keep: Keep, world:
     observed = keep(observed, "observed")
     home = src.select("source_id", F.col("home_url").alias("base"))
     none = F.lit(None).cast("string")
-    picked = observed.where("selected").join(home, "source_id").select("source_id", "base", "url", "title", F.lit("").alias("summary"), none.alias("content_html"), F.lit("").alias("published_at"), F.lit("").alias("author"), F.col("selector").alias("via"), F.col("pos").cast("long").alias("pos"))
+    picked = observed.where("selected").join(home, "source_id").select(
+        "source_id", "base", "url", "title", F.lit("").alias("summary"), none.alias("content_html"), F.lit("").alias("published_at"),
+        F.lit("").alias("author"), F.col("selector").alias("via"), F.col("pos").cast("long").alias("pos")
+    )
     items = keep(items.unionByName(picked).select(*[c.split()[0] for c in schemas.ITEM.split(", ")]), "items")
     return Collected(items, attempts, observed, memory, [*answers, *said])
 
@@ -189,7 +215,10 @@ def outcomes(src: DataFrame, attempts: DataFrame) -> DataFrame:
     got = got.join(attempts.groupBy("source_id").agg(how), "source_id")
     rows = src.select("source_id", "baseline").join(got, "source_id", "left")
     ok = F.col("method").isNotNull()
-    return rows.select("source_id", "baseline", ok.alias("ok"), F.coalesce("method", F.lit("")).alias("via"), F.coalesce("how.transport", F.lit("")).alias("transport"), F.when(~ok, F.coalesce("errors", F.lit("not_tried"))).alias("error"))
+    return rows.select(
+        "source_id", "baseline", ok.alias("ok"), F.coalesce("method", F.lit("")).alias("via"),
+        F.coalesce("how.transport", F.lit("")).alias("transport"), F.when(~ok, F.coalesce("errors", F.lit("not_tried"))).alias("error")
+    )
 
 
 def choose_by(ask: remote.Ask) -> classify.Scorer:

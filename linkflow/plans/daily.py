@@ -57,7 +57,10 @@ def with_content(new: DataFrame, src: DataFrame, now: str, keep: Keep, world: Wo
     able = F.col("browser_fallback") | F.lit(settings.browser_auto)
     site = src.select("source_id", able.alias("able"), "verify", "allowed_hosts")
     todo = rows.where(F.char_length("rss_text") < enough).join(site, "source_id")
-    todo = todo.select("external_id", "url", "home_url", "allowed_hosts", "title", "verify", F.posexplode(articles.transports(F.col("collect_mode"), F.col("able"))).alias("attempt", "transport"))
+    todo = todo.select(
+        "external_id", "url", "home_url", "allowed_hosts", "title", "verify",
+        F.posexplode(articles.transports(F.col("collect_mode"), F.col("able"))).alias("attempt", "transport")
+    )
     attempts = None
     # The second transport is tried for what the first did not read; there are two at most.
     for turn in (0, 1):
@@ -83,13 +86,22 @@ def _read_pages(asked: DataFrame, name: str, keep: Keep, world: World, settings:
     picked = read.limit(0).select("external_id", F.lit("").alias("block_text"))
     if world.ask is not None:
         poor = read.where("error IS NULL").where(weak).select("external_id")
-        blocks = keep(pages.blocks(rows.join(poor, "external_id", "left_semi").select("external_id", F.col("page").alias("html")), "external_id", settings), f"{name}-blocks")
-        chosen, _ = remote.block_picks(blocks, read.select("external_id", "title"), world.ask, "external_id", settings.block_limit, keep=lambda df, n: keep(df, f"{name}-{n}"))
+        blocks = keep(
+            pages.blocks(rows.join(poor, "external_id", "left_semi").select("external_id", F.col("page").alias("html")), "external_id", settings),
+            f"{name}-blocks"
+        )
+        chosen, _ = remote.block_picks(
+            blocks, read.select("external_id", "title"), world.ask, "external_id", settings.block_limit, keep=lambda df,
+            n: keep(df, f"{name}-{n}")
+        )
         picked = articles.join_blocks(blocks, "external_id", chosen)
     return read.join(picked, "external_id", "left").select("external_id", "attempt", "transport", "final_url", "text", "method", "block_text", "error")
 
 
-def next_state(state: dict[str, DataFrame], src: DataFrame, rows: DataFrame, emitted: DataFrame, got: collect.Collected, results: DataFrame, now: str, settings: Settings) -> dict[str, DataFrame]:
+def next_state(
+    state: dict[str, DataFrame], src: DataFrame, rows: DataFrame, emitted: DataFrame, got: collect.Collected, results: DataFrame, now: str,
+    settings: Settings
+) -> dict[str, DataFrame]:
     """The state after a run; a failed source keeps its own but for the memory of its feed."""
     none = {c: F.lit(None).cast("string") for c in _CONTENT}
     keys = ["source_id", "url", "title", "published_at", *_CONTENT]
@@ -97,7 +109,9 @@ def next_state(state: dict[str, DataFrame], src: DataFrame, rows: DataFrame, emi
     ready = src.where("candidates_initialized AND NOT baseline").select("source_id")
     ok = results.where("ok").select("source_id", F.col("via").alias("new_method"), F.lit(True).alias("ok"))
     by_page = got.observed.select("source_id").distinct().withColumn("looked", F.lit(True))
-    both = src.select("source_id", "baseline_initialized", "candidates_initialized", "method", "last_ok_at").join(ok, "source_id", "left").join(by_page, "source_id", "left").join(got.feeds, "source_id", "left")
+    both = src.select(
+        "source_id", "baseline_initialized", "candidates_initialized", "method", "last_ok_at"
+    ).join(ok, "source_id", "left").join(by_page, "source_id", "left").join(got.feeds, "source_id", "left")
     good = F.coalesce("ok", F.lit(False))
     own = both.select(
         "source_id", (F.col("baseline_initialized") | good).alias("baseline_initialized"), (F.col("candidates_initialized") | F.coalesce("looked", F.lit(False))).alias("candidates_initialized"), "resolved_feed_url", "feed_fail_streak",
@@ -111,7 +125,10 @@ def next_state(state: dict[str, DataFrame], src: DataFrame, rows: DataFrame, emi
     }
 
 
-def publish_day(spark: SparkSession, day: DataFrame, date: str, now: str, out: str, source_id: str, producer: dict, failed: list[str] | None = None, merge: bool = True) -> dict:
+def publish_day(
+    spark: SparkSession, day: DataFrame, date: str, now: str, out: str, source_id: str, producer: dict, failed: list[str] | None = None,
+    merge: bool = True
+) -> dict:
     """Writes a day's feed and bundle documents and returns the bundle's row of the index.
 
     ``day`` are the articles of one day, tens of rows, which are rendered on the driver. An existing
@@ -122,7 +139,11 @@ def publish_day(spark: SparkSession, day: DataFrame, date: str, now: str, out: s
     summary = publish.summary(items).first().asDict()
     plain = lambda rows: [{k: v for k, v in r.asDict(recursive=True).items() if k != "pos"} for r in rows]
     ordered = plain(publish.sort_items(items).collect())
-    feed = {"schema_version": publish.SCHEMA_VERSION, "date": date, "generated_at": now, "item_count": len(ordered), "kinds_included": ["publish"], "items": ordered, "summary": {k: summary[k] for k in ("by_kind", "by_via", "by_source", "by_content_status")}}
+    feed = {
+        "schema_version": publish.SCHEMA_VERSION, "date": date, "generated_at": now, "item_count": len(ordered),
+        "kinds_included": ["publish"], "items": ordered,
+        "summary": {k: summary[k] for k in ("by_kind", "by_via", "by_source", "by_content_status")}
+    }
     for name in (date, "latest"):
         publish.write_text(spark, f"{out}/feed/{name}.json", json.dumps(feed, ensure_ascii=False, indent=2) + "\n")
     contract = publish.contract_items(items)
@@ -151,7 +172,10 @@ def rebuild_index(spark: SparkSession, out: str, source_id: str, now: str) -> di
     return doc
 
 
-def run(spark: SparkSession, sources: DataFrame, state_path: str, out: str, now: str, world: World, settings: Settings | None = None, date: str | None = None, source_id: str = "linkflow") -> dict[str, DataFrame]:
+def run(
+    spark: SparkSession, sources: DataFrame, state_path: str, out: str, now: str, world: World, settings: Settings | None = None,
+    date: str | None = None, source_id: str = "linkflow"
+) -> dict[str, DataFrame]:
     """One run over the enabled sources: collect, detect, probe, enrich, archive, save the state, publish.
 
     Gives ``results`` (one row a source), ``emitted`` articles and ``usage`` of the model. The
@@ -191,7 +215,9 @@ def run(spark: SparkSession, sources: DataFrame, state_path: str, out: str, now:
 def run_results(src: DataFrame, got: collect.Collected, rows: DataFrame, emitted: DataFrame, state: dict[str, DataFrame]) -> DataFrame:
     """One row a source: how it was served, and how many candidates, new candidates, articles and new articles it had."""
     old = state["candidates"].select("source_id", "url", F.lit(True).alias("old"))
-    looked = got.observed.join(old, ["source_id", "url"], "left").groupBy("source_id").agg(F.count("*").alias("candidate_count"), F.count_if(F.col("old").isNull()).alias("candidate_new_count"))
+    looked = got.observed.join(old, ["source_id", "url"], "left").groupBy("source_id").agg(
+        F.count("*").alias("candidate_count"), F.count_if(F.col("old").isNull()).alias("candidate_new_count")
+    )
     out = collect.outcomes(src, got.attempts).join(looked, "source_id", "left")
     for df, name in ((rows, "all_normalized"), (emitted, "new_articles")):
         out = out.join(df.groupBy("source_id").agg(F.count("*").alias(name)), "source_id", "left")
@@ -213,12 +239,18 @@ def check(spark: SparkSession, sources: DataFrame, world: World | None = None, *
     if world is None:
         world = World(fetch.Options(), served=_served(options.get("fixtures")))
     loads = fetch.load(asked.withColumn("kind", F.when(F.col("is_feed"), "feed").otherwise("page")), world.options, world.served)
-    loads = asked.join(loads, "url").select("id", "url", "is_feed", "status", "transport", "body", fetch.load_error(F.col("status"), F.col("body"), F.col("transport"), F.col("error")).alias("load_error"))
+    loads = asked.join(loads, "url").select(
+        "id", "url", "is_feed", "status", "transport", "body",
+        fetch.load_error(F.col("status"), F.col("body"), F.col("transport"), F.col("error")).alias("load_error")
+    )
     entries = feeds.parse(loads.where("is_feed AND load_error IS NULL").select("id", "body")).groupBy("id").agg(F.count("*").alias("found"))
     p = loads.where("NOT is_feed AND load_error IS NULL").select("id", "url", F.col("body").alias("html"))
     links = pages.candidates(pages.links(p), page_key="id").groupBy("id").agg(F.count("*").alias("found"))
     out = loads.join(entries.union(links), "id", "left").withColumn("found", F.coalesce("found", F.lit(0)))
-    error = F.coalesce("load_error", F.when(F.col("is_feed"), feeds.outcome(F.col("status"), F.col("body"), F.col("found"))).when(F.col("found") == 0, F.lit("no_candidates")))
+    error = F.coalesce(
+        "load_error",
+        F.when(F.col("is_feed"), feeds.outcome(F.col("status"), F.col("body"), F.col("found"))).when(F.col("found") == 0, F.lit("no_candidates"))
+    )
     return out.select("id", "url", error.alias("error"), "found")
 
 

@@ -44,7 +44,9 @@ def enabled(sources: DataFrame) -> DataFrame:
 
 def strict(sources: DataFrame) -> DataFrame:
     """Raises for an unknown mode or status, and for rss without a feed URL, when it is computed."""
-    wrong = F.when(~F.col("collect_mode").isin(*COLLECT_MODES), F.concat(F.lit("collect_mode: "), "collect_mode")).when(~F.col("access_status").isin(*ACCESS_STATUSES), F.concat(F.lit("access_status: "), "access_status"))
+    wrong = F.when(~F.col("collect_mode").isin(*COLLECT_MODES), F.concat(F.lit("collect_mode: "), "collect_mode")).when(
+        ~F.col("access_status").isin(*ACCESS_STATUSES), F.concat(F.lit("access_status: "), "access_status")
+    )
     wrong = wrong.when((F.col("collect_mode") == "rss") & (F.col("rss_url") == ""), F.lit("rss without rss_url"))
     return sources.withColumn("id", F.when(wrong.isNotNull(), F.raise_error(F.concat(F.col("id"), F.lit(": "), wrong)).cast("string")).otherwise(F.col("id")))
 

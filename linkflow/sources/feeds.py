@@ -35,7 +35,10 @@ def entry_link(e: Column) -> Column:
 
 def entry_content(e: Column) -> Column:
     """The longest body of an entry, the first of equals."""
-    bodies = F.concat(F.transform(F.coalesce(e["content"], F.expr("cast(array() as array<struct<_VALUE:string,_type:string>>)")), lambda c: c["_VALUE"]), F.array(e["content:encoded"], e["description"], e["summary"]))
+    bodies = F.concat(
+        F.transform(F.coalesce(e["content"], F.expr("cast(array() as array<struct<_VALUE:string,_type:string>>)")), lambda c: c["_VALUE"]),
+        F.array(e["content:encoded"], e["description"], e["summary"])
+    )
     return F.aggregate(bodies, F.lit(""), lambda best, x: F.when(F.char_length(F.coalesce(x, F.lit(""))) > F.char_length(best), x).otherwise(best))
 
 
@@ -52,7 +55,12 @@ def parse(feeds: DataFrame, body: str = "body", limit: int = Settings.feed_max_i
     rows = items.select(*keep, "pos", e.alias("e")).where("e IS NOT NULL")
     e = F.col("e")
     summary = or_else(e["summary"], e["description"])
-    out = rows.select(*keep, "pos", entry_link(e).alias("url"), F.trim(F.coalesce(e["title"], F.lit(""))).alias("title"), F.substring(summary, 1, Settings.summary_chars).alias("summary"), entry_content(e).alias("content_html"), published(e["pubDate"], e["published"], e["updated"], e["created"], e["dc:date"]).alias("published_at"), or_else(e["author"]["name"], e["author"]["_VALUE"], e["dc:creator"]).alias("author"))
+    out = rows.select(
+        *keep, "pos", entry_link(e).alias("url"), F.trim(F.coalesce(e["title"], F.lit(""))).alias("title"),
+        F.substring(summary, 1, Settings.summary_chars).alias("summary"), entry_content(e).alias("content_html"),
+        published(e["pubDate"], e["published"], e["updated"], e["created"], e["dc:date"]).alias("published_at"),
+        or_else(e["author"]["name"], e["author"]["_VALUE"], e["dc:creator"]).alias("author")
+    )
     return out.where("url != ''")
 
 
@@ -61,7 +69,9 @@ def outcome(status: Column, body: Column, entries: Column) -> Column:
     start = F.lower(F.substring(F.ltrim(F.coalesce(body, F.lit(""))), 1, 500))
     html = start.startswith("<!doctype html") | start.startswith("<html")
     feed = start.rlike(r"<(?:rss|feed|rdf:rdf|\?xml)")
-    return F.when(status == 304, F.lit(None)).when(status >= 400, F.concat(F.lit("http_"), status.cast("string"))).when(html, "not_a_feed_html").when((entries == 0) & ~feed, "parse_error")
+    return F.when(status == 304, F.lit(None)).when(
+        status >= 400, F.concat(F.lit("http_"), status.cast("string"))
+    ).when(html, "not_a_feed_html").when((entries == 0) & ~feed, "parse_error")
 
 
 # Where feeds usually are, below a site's origin or home page.
@@ -116,5 +126,7 @@ def discover(homes: DataFrame, keep, options: fetch.Options | None = None, serve
     tries = feed_candidates(homes.select("home_url").distinct(), linked.select("home_url", F.col("pos"), "href"))
     tries = keep(homes.select("source_id", "home_url", *[c for c in homes.columns if c == "verify"]).join(tries, "home_url"), "feed-tries")
     outcomes, entries = scan(tries.withColumnRenamed("url", "feed_url"), keep, "feed-probes", options, served)
-    probed = tries.withColumnRenamed("url", "feed_url").join(outcomes, ["source_id", "feed_url"]).select("home_url", "pos", F.col("feed_url").alias("url"), "error", "entries")
+    probed = tries.withColumnRenamed("url", "feed_url").join(outcomes, ["source_id", "feed_url"]).select(
+        "home_url", "pos", F.col("feed_url").alias("url"), "error", "entries"
+    )
     return homes.select("source_id", "home_url").join(discovered(probed.distinct()), "home_url").select("source_id", "feed_url"), entries

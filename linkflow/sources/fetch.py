@@ -33,7 +33,9 @@ ACCEPT = {
 CHALLENGES = ("just a moment", "checking your browser", "attention required")
 
 _FIELDS = ("url", "transport", "kind", "verify", "etag", "last_modified")
-_OUT = pa.schema([("url", pa.string()), ("transport", pa.string()), ("final_url", pa.string()), ("status", pa.int32()), ("body", pa.string()), ("error", pa.string()), ("etag", pa.string()), ("last_modified", pa.string())])
+_OUT = pa.schema(
+    [("url", pa.string()), ("transport", pa.string()), ("final_url", pa.string()), ("status", pa.int32()), ("body", pa.string()), ("error", pa.string()), ("etag", pa.string()), ("last_modified", pa.string())]
+)
 
 
 @dataclass(frozen=True)
@@ -50,7 +52,10 @@ class Options:
 
     @classmethod
     def of(cls, s: Settings) -> Options:
-        return cls(s.http_timeout_s, s.probe_timeout_s, s.browser_wait_until, s.browser_wait_ms, s.browser_challenge_ms, s.browser_proxy or os.environ.get("HTTPS_PROXY", ""))
+        return cls(
+            s.http_timeout_s, s.probe_timeout_s, s.browser_wait_until, s.browser_wait_ms, s.browser_challenge_ms,
+            s.browser_proxy or os.environ.get("HTTPS_PROXY", "")
+        )
 
 
 class _Loader:
@@ -145,7 +150,9 @@ def load(requests: DataFrame, options: Options | None = None, served: dict | Non
     """
     o = options or Options()
     default = {"transport": F.lit("http"), "kind": F.lit("page"), "verify": F.lit(True), "etag": F.lit(None).cast("string"), "last_modified": F.lit(None).cast("string")}
-    rows = requests.select(*[F.col(c) if c in requests.columns else default[c].alias(c) for c in _FIELDS]).where("coalesce(url, '') != ''").dropDuplicates(["url", "transport"])
+    rows = requests.select(
+        *[F.col(c) if c in requests.columns else default[c].alias(c) for c in _FIELDS]
+    ).where("coalesce(url, '') != ''").dropDuplicates(["url", "transport"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loader = _Loader(o, served)

@@ -28,7 +28,9 @@ def process(batch: DataFrame, batch_id: int, state_path: str, out_path: str, set
     marked = rows.select("*", none.alias("content_status"), none.alias("content_sha256"), none.alias("content_fetched_at"))
     seen = diff.update_seen(old["seen"], marked, now, settings)
     fresh = rows.select("source_id").distinct().join(old["source_state"], "source_id", "left_anti")
-    state = old["source_state"].unionByName(fresh.select("source_id", F.lit(True).alias("baseline_initialized"), F.lit(False).alias("candidates_initialized"), F.lit("").alias("resolved_feed_url"), F.lit(0).alias("feed_fail_streak"), F.lit("rss").alias("method"), F.lit(now).alias("last_ok_at")))
+    state = old["source_state"].unionByName(
+        fresh.select("source_id", F.lit(True).alias("baseline_initialized"), F.lit(False).alias("candidates_initialized"), F.lit("").alias("resolved_feed_url"), F.lit(0).alias("feed_fail_streak"), F.lit("rss").alias("method"), F.lit(now).alias("last_ok_at"))
+    )
     store.save_state({"seen": seen, "candidates": old["candidates"], "source_state": state}, state_path, batch_id)
 
 
