@@ -179,16 +179,17 @@ def _regions(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataF
 
     rows = save(docs.select("text").mapInArrow(trimmed(run), "s long, g binary, n int, pos int"), "jaccard-prefixes")
     # Most shingles belong to one class; only the others' rows are joined with what is known of them.
+    # Both tables grow with the corpus, so both sides are sorted, whatever their size.
     name = F.xxhash64("g")
     shared_by = rows.groupBy("s").agg(F.min("n").alias("least"), F.min(name).alias("lo"), F.max(name).alias("hi")).where("lo != hi")
     shared_by = save(shared_by.select("s", "least"), "jaccard-shared")
-    own = rows.join(_sized(shared_by), "s")
+    own = rows.join(shared_by.hint("merge"), "s")
     # Partners of this size or more share too little if so many shingles were passed before.
     own = own.where(f"(n - pos) * {100 + percent} >= {percent} * (n + greatest(least, ceil({percent} * n / 100)))")
     own = save(own.groupBy("s", "g", "n", "pos").agg(F.lit(1).alias("one")).drop("one"), "jaccard-own")
     release(rows)
     of = save(own.groupBy("s").agg(F.count("*").alias("m"), F.expr("bit_xor(xxhash64(g))").alias("sig")).where("m > 1"), "jaccard-signatures")
-    out = own.join(_sized(of), "s").groupBy(F.xxhash64("m", "sig").alias("cell"), "g", "n").agg(F.min("pos").alias("pos"))
+    out = own.join(of.hint("merge"), "s").groupBy(F.xxhash64("m", "sig").alias("cell"), "g", "n").agg(F.min("pos").alias("pos"))
     out = save(out, "jaccard-regions")
     release(own)
     return out
