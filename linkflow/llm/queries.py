@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkflow.llm import ann, decontaminate, html_extract, jaccard, langid, line_dedup, mixing, ppm, quality, token_planes
+from linkflow.llm import ann, decontaminate, html_extract, jaccard, langid, line_dedup, manifest, mixing, order_minhash, ppm, quality, quarantine, token_planes
 from linkflow.llm.common import id_crc, table
 
 
@@ -59,13 +59,26 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.prove(table(spark, sf_dir, "documents"), id_crc() % 5 == 0, manifest.lowered())
+
+
+def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare(table(spark, sf_dir, "documents"))
+
+
+def op13_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quarantine.replayed(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pipeline": corpus_pipeline.run, "op1_langid": op1_langid, "op2_quality": op2_quality, "op3_mixing": op3_mixing, "op4_ann": op4_ann,
         "op5_ppm": op5_ppm, "op6_token_planes": op6_token_planes, "op7_jaccard": op7_jaccard, "op8_line_dedup": op8_line_dedup,
-        "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract
+        "op9_decontaminate": op9_decontaminate, "op10_html_extract": op10_html_extract,
+        "op11_manifest": op11_manifest, "op12_order_minhash": op12_order_minhash, "op13_quarantine": op13_quarantine
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.ORACLE}
+    return {"op3_mixing": mixing.ORACLE, "op11_manifest": manifest.ORACLE, "op13_quarantine": quarantine.ORACLE}
