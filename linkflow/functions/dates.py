@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 RFC822 = "d MMM yyyy HH:mm:ss Z"
+# The zone names of mail dates. Other names say nothing, and count as UTC.
+ZONES = {
+    "AST": "-0400", "ADT": "-0300", "EST": "-0500", "EDT": "-0400", "CST": "-0600", "CDT": "-0500",
+    "MST": "-0700", "MDT": "-0600", "PST": "-0800", "PDT": "-0700",
+}
 
 
 def beijing_date(ts: Column) -> Column:
@@ -24,10 +29,20 @@ def to_iso(x: Column) -> Column:
     return F.coalesce(format_iso(F.try_to_timestamp(F.regexp_replace(x, "Z$", "+00:00"))), x, F.lit(""))
 
 
+def _plain(x: Column) -> Column:
+    """A feed date without its weekday, its year in four digits, its zone as an offset."""
+    bare = F.regexp_replace(F.trim(x), r"^[A-Za-z]{3,9},?\s+", "")
+    # Years of two digits: 69 to 99 are of the last century.
+    bare = F.regexp_replace(bare, r"^(\d{1,2}\s+[A-Za-z]{3,9}\s+)(69|[7-9]\d)(\s)", "$119$2$3")
+    bare = F.regexp_replace(bare, r"^(\d{1,2}\s+[A-Za-z]{3,9}\s+)(\d{2})(\s)", "$120$2$3")
+    name = F.upper(F.regexp_extract(bare, r"\s([A-Za-z]{1,5})$", 1))
+    offset = F.coalesce(*[F.when(name == n, z) for n, z in ZONES.items()], F.lit("+0000"))
+    return F.when(name != "", F.concat(F.regexp_replace(bare, r"\s+[A-Za-z]{1,5}$", " "), offset)).otherwise(bare)
+
+
 def parse_rfc822(x: Column) -> Column:
     """Feed dates; the weekday is dropped, as it cannot be parsed, and zone names become offsets."""
-    bare = F.regexp_replace(F.trim(x), r"^[A-Za-z]{3,9},\s*", "")
-    bare = F.regexp_replace(bare, r"\s+(?:GMT|UTC|UT|Z)$", " +0000")
+    bare = _plain(x)
     return F.coalesce(F.try_to_timestamp(bare, F.lit(RFC822)), F.try_to_timestamp(bare, F.lit("d MMM yyyy HH:mm Z")))
 
 
@@ -36,7 +51,7 @@ def rfc822_iso(x: Column) -> Column:
 
     ``-0000`` says that the zone is not known, and counts as UTC.
     """
-    ts, zone = parse_rfc822(x), F.regexp_extract(F.trim(x), r"([+-]\d{4})$", 1)
+    ts, zone = parse_rfc822(x), F.regexp_extract(_plain(x), r"([+-]\d{4})$", 1)
     zone = F.when(zone.isin("", "-0000"), "+0000").otherwise(zone)
     minutes = (F.substring(zone, 2, 2).cast("int") * 60 + F.substring(zone, 4, 2).cast("int")) * F.when(zone.startswith("-"), -1).otherwise(1)
     local = F.timestamp_seconds(F.unix_timestamp(ts) + minutes * 60)

@@ -10,6 +10,10 @@ from linkflow.functions.text import clean_text, n_chars, or_else, sha256
 from linkflow.settings import Settings
 
 
+#: What names an article: the URL's id alone would mix the sources that list it.
+ARTICLE = ("source_id", "external_id")
+
+
 def normalize(items: DataFrame, sources: DataFrame, settings: Settings | None = None) -> DataFrame:
     """Feed entries or picked links as articles, with their source's columns.
 
@@ -76,6 +80,15 @@ def apply_probe(articles: DataFrame, probes: DataFrame, enabled: bool = True) ->
     return rows.withColumn("external_id", urls.external_id(F.col("url"))).drop("code", "final_url")
 
 
+def once_per_id(articles: DataFrame, pos: str = "pos") -> tuple[DataFrame, DataFrame]:
+    """Articles of a source that redirects have led to one URL become one: the last, at the first one's place.
+
+    The second table ``source_id, url, observed_url`` holds every URL under which they were observed.
+    """
+    observed = articles.select("source_id", "url", "observed_url")
+    return upsert(articles, list(ARTICLE), pos).select(*articles.columns), observed
+
+
 def transports(collect_mode: Column, browser_fallback: Column) -> Column:
     return F.when(collect_mode == "browser_llm", F.array(F.lit("browser"))).when(browser_fallback, F.array(F.lit("http"), F.lit("browser"))).otherwise(F.array(F.lit("http")))
 
@@ -83,25 +96,28 @@ def transports(collect_mode: Column, browser_fallback: Column) -> Column:
 def enrich(articles: DataFrame, attempts: DataFrame, fetched_at: str, settings: Settings | None = None) -> DataFrame:
     """Adds content to articles; none is dropped.
 
-    ``articles`` hold the extracted ``rss_text`` and ``summary_text``. ``attempts(external_id,
-    attempt, transport, final_url, text, method, block_text, error)`` are the page loads in order,
-    with their extracted text. The feed's own text serves if it is long enough; else the first
-    attempt with enough text; else what the feed has, as partial; else the article has failed.
+    ``articles`` hold the extracted ``rss_text`` and ``summary_text``. ``attempts(source_id,
+    external_id, attempt, transport, final_url, text, method, asked_model, block_text, error)`` are
+    the page loads in order, with their extracted text. The feed's own text serves if it is long
+    enough; else the first attempt with enough text; else what the feed has, as partial; else the
+    article has failed. Two sources may have an article of one URL: each has its own attempts, as its
+    own rules decide what may be loaded. Weak text is named a fallback only where no model was asked
+    for better.
     """
     s = settings or Settings()
     full = n_chars(F.col("rss_text")) >= max(s.content_min_chars, s.content_rss_min_chars)
     weak = (F.col("method") == "body") | (n_chars(F.col("text")) < s.content_min_chars)
     picked = F.coalesce("block_text", F.lit("")) != ""
     text = F.when(weak & picked, F.col("block_text")).otherwise(F.col("text"))
-    via = F.concat("transport", F.when(weak & picked, "_llm_blocks").when(weak & F.col("block_text").isNull(), "_body_fallback").otherwise(""))
-    tried = attempts.select("external_id", "attempt", "transport", "final_url", text.alias("text"), via.alias("via"), "error")
+    via = F.concat("transport", F.when(weak & picked, "_llm_blocks").when(weak & ~F.coalesce("asked_model", F.lit(False)), "_body_fallback").otherwise(""))
+    tried = attempts.select(*ARTICLE, "attempt", "transport", "final_url", text.alias("text"), via.alias("via"), "error")
     short = (F.coalesce("error", F.lit("")) == "") & (n_chars(F.col("text")) < s.content_min_chars)
     tried = tried.withColumn("error", F.when(short, F.concat(F.lit("content_too_short:"), n_chars(F.col("text")).cast("string"))).otherwise(F.col("error")))
     bad = F.coalesce("error", F.lit("")) != ""
     notes = F.array_sort(F.collect_list(F.when(bad, F.struct("attempt", F.concat("transport", F.lit(":"), "error").alias("note")))))
     best = F.min_by(F.struct("text", "via", "final_url"), F.when(~bad, F.col("attempt"))).alias("best")
-    got = tried.groupBy("external_id").agg(best, F.array_join(F.transform(notes, lambda x: x["note"]), "; ").alias("notes"))
-    rows = articles.join(got, "external_id", "left")
+    got = tried.groupBy(*ARTICLE).agg(best, F.array_join(F.transform(notes, lambda x: x["note"]), "; ").alias("notes"))
+    rows = articles.join(got, list(ARTICLE), "left")
     found = F.col("best.text").isNotNull()
     partial = or_else(F.col("rss_text"), F.col("summary_text"))
     pick = lambda a, b, c, d: F.when(full, a).when(found, b).when(partial != "", c).otherwise(d)

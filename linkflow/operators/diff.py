@@ -85,7 +85,9 @@ def update_seen(seen: DataFrame, articles: DataFrame, now: str, settings: Settin
     if "observed_url" in articles.columns:
         rows = articles.unionByName(articles.where("observed_url != url").withColumn("url", F.col("observed_url")))
     cols = ["title", "published_at", "content_status", "content_sha256", "content_fetched_at"]
-    rows = rows.groupBy("source_id", "url").agg(*[F.max(c).alias(f"new_{c}") for c in cols])
+    # The values of one row: one with content if there is any, the last read of those.
+    best = F.max_by(F.struct(*cols), F.struct(F.col("content_status").isNotNull(), F.coalesce("content_fetched_at", F.lit("")), F.coalesce("title", F.lit(""))))
+    rows = rows.groupBy("source_id", "url").agg(best.alias("new")).select("source_id", "url", *[F.col(f"new.{c}").alias(f"new_{c}") for c in cols])
     both = seen.join(rows, ["source_id", "url"], "full_outer")
     out = both.select(
         "source_id", "url", F.coalesce("title", "new_title").alias("title"), F.coalesce("first_seen", F.lit(now)).alias("first_seen"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -45,13 +45,31 @@ def count_by(df: DataFrame, column: str, default: str) -> DataFrame:
     return df.groupBy(or_else(F.col(column), F.lit(default)).alias("label")).agg(F.count("*").alias("n"))
 
 
+#: A feed's counters: their columns, and what an absent value counts as.
+COUNTERS = {"by_via": ("via", "unknown"), "by_source": ("actor", "?"), "by_content_status": ("content_status", "missing")}
+
+
+def counters(items: DataFrame) -> DataFrame:
+    """``counter, label, n`` of all counters and of the total (counter ``total``, label empty).
+
+    One pass: grouping sets expand each item once per counter before the map-side sums, and one
+    shuffle carries the sums of all.
+    """
+    rows = items.select(*[or_else(F.col(c), F.lit(default)).alias(name) for name, (c, default) in COUNTERS.items()])
+    names = list(COUNTERS)
+    sums = rows.groupingSets([[], *[[n] for n in names]], *names).agg(F.count("*").alias("n"), F.grouping_id().alias("set"))
+    # In a set's number each column that does not group has its bit set, the first column the highest.
+    every = (1 << len(names)) - 1
+    which = {every: "total"} | {every ^ (1 << (len(names) - 1 - i)): n for i, n in enumerate(names)}
+    counter = F.coalesce(*[F.when(F.col("set") == k, F.lit(n)) for k, n in which.items()])
+    return sums.select(counter.alias("counter"), F.coalesce(*names, F.lit("")).alias("label"), "n")
+
+
 def summary(items: DataFrame) -> DataFrame:
     """One row: the feed's counters as maps."""
-    parts = {"by_via": ("via", "unknown"), "by_source": ("actor", "?"), "by_content_status": ("content_status", "missing")}
-    out = items.agg(F.count("*").alias("item_count"))
-    for name, (column, default) in parts.items():
-        one = count_by(items, column, default).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "n")))).alias(name))
-        out = out.withColumn("one", F.lit(1)).join(one.withColumn("one", F.lit(1)), "one").drop("one")
+    c = counters(items)
+    as_map = lambda name: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("counter") == name, F.struct("label", "n")))))
+    out = c.agg(F.coalesce(F.max(F.when(F.col("counter") == "total", F.col("n"))), F.lit(0).cast("long")).alias("item_count"), *[as_map(n).alias(n) for n in COUNTERS])
     return out.withColumn("by_kind", F.create_map(F.lit("publish"), F.col("item_count")))
 
 
@@ -60,6 +78,19 @@ def sort_items(items: DataFrame, key: str = "created_at", pos: str = "pos") -> D
     return items.orderBy(F.desc(key), F.asc(pos))
 
 
+def places(items: DataFrame, order: list[Column], keep) -> DataFrame:
+    """``items`` with ``place``, from 1 by ``order``: ranges of rows are sorted by themselves, and count on from those before.
+
+    ``keep(df, name)`` saves a table. The only window over all counts the ranges, one row a partition.
+    """
+    dealt = keep(items.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranges")
+    n = dealt.groupBy("range").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    n = n.select("range", before.alias("before"))
+    own = F.row_number().over(Window.partitionBy("range").orderBy(*order))
+    return dealt.join(n, "range").withColumn("place", (F.col("before") + own).cast("long")).drop("range", "before")
+
+
 def contract_items(items: DataFrame, collected_at: str | None = None) -> DataFrame:
     """Feed items as items of the bundle contract, with nested structs."""
     who, url, at = F.col("actor"), F.col("html_url"), to_iso(F.col("created_at"))

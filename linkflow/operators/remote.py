@@ -132,5 +132,5 @@ def block_picks(
 
 
 def usage(answers: DataFrame) -> DataFrame:
-    """One row: requests, failures and token sums."""
-    return answers.agg(F.count("*").alias("requests"), F.count("error").alias("failed"), *[F.coalesce(F.sum(u), F.lit(0)).alias(u) for u in USAGE])
+    """One row: requests, those that were answered (calls), failures and token sums."""
+    return answers.agg(F.count("*").alias("requests"), F.count_if(F.col("error").isNull()).alias("calls"), F.count("error").alias("failed"), *[F.coalesce(F.sum(u), F.lit(0)).alias(u) for u in USAGE])

@@ -10,15 +10,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkflow import schemas
 from linkflow.functions import dates, text, urls
 from linkflow.operators import articles, classify, diff, pages, publish
 from linkflow.settings import Settings
-from linkflow.sources import config, feeds
-from linkflow.streaming import incremental
+from linkflow.sources import config, feeds, store
+from linkflow.streaming import bundles, cascade, incremental, lifecycle, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -586,26 +586,34 @@ def _(spark, d):
 
 @query(
     "enrich_cascade",
-    "SELECT doc_id, CASE WHEN doc_id % 4 = 0 AND length(text) >= 800 THEN 'rss' WHEN doc_id % 4 <> 3 AND length(text) >= 200 "
-    "THEN 'http' WHEN doc_id % 4 = 0 AND text <> '' OR doc_id % 2 = 0 THEN 'rss_summary' ELSE '' END AS content_via, CASE WHEN "
-    "doc_id % 4 = 0 AND length(text) >= 800 OR doc_id % 4 <> 3 AND length(text) >= 200 THEN 'ok' WHEN doc_id % 4 = 0 AND text "
-    "<> '' OR doc_id % 2 = 0 THEN 'partial' ELSE 'failed' END AS content_status, CASE WHEN doc_id % 4 = 0 AND length(text) >= "
-    "800 OR doc_id % 4 <> 3 AND length(text) >= 200 OR doc_id % 4 = 0 AND text <> '' THEN length(text) WHEN doc_id % 2 = 0 THEN "
-    "7 ELSE 0 END::INT AS content_chars FROM documents",
+    """WITH a AS (SELECT doc_id, text, unnest(['a', 'b']) AS source_id FROM documents),
+ w AS (SELECT *, doc_id % 8 >= 4 AS asked, CASE WHEN source_id = 'b' THEN 'redirect_host:h' WHEN doc_id % 4 = 3 THEN 'none' END AS error,
+    doc_id % 4 = 0 AND length(text) >= 800 AS rich FROM a),
+ g AS (SELECT *, error IS NULL AND NOT rich AND length(CASE WHEN doc_id % 8 = 6 THEN text || 'picked by a model' ELSE text END) >= 200 AS found FROM w)
+ SELECT doc_id, source_id, CASE WHEN rich THEN 'rss' WHEN found THEN 'http' || CASE WHEN doc_id % 8 = 6 THEN '_llm_blocks' WHEN NOT asked AND (doc_id % 2 = 0 OR length(text) < 200) THEN '_body_fallback' ELSE '' END
+    WHEN doc_id % 4 = 0 AND text <> '' OR doc_id % 2 = 0 THEN 'rss_summary' ELSE '' END AS content_via,
+    CASE WHEN rich OR found THEN 'ok' WHEN doc_id % 4 = 0 AND text <> '' OR doc_id % 2 = 0 THEN 'partial' ELSE 'failed' END AS content_status,
+    CASE WHEN found AND doc_id % 8 = 6 THEN length(text) + 17 WHEN rich OR found OR doc_id % 4 = 0 AND text <> '' THEN length(text) WHEN doc_id % 2 = 0 THEN 7 ELSE 0 END::INT AS content_chars FROM g""",
 )
 def _(spark, d):
-    docs = read(spark, d, "documents", "doc_id", "text")
+    """Each document as an article of two sources: the page loads of one are refused by its rule, those of the other are read.
+
+    Even ids are weak (the whole body); of ids 4 to 7 modulo 8 a model was asked, and picked blocks of those that leave 6.
+    """
+    docs = read(spark, d, "documents", "doc_id", "text").withColumn("source_id", F.explode(F.array(F.lit("a"), F.lit("b"))))
     eid = F.col("doc_id").cast("string").alias("external_id")
     arts = docs.select(
-        eid, "doc_id", F.lit("https://x/").alias("url"), F.expr("CASE WHEN doc_id % 4 = 0 THEN text ELSE '' END").alias("rss_text"),
+        eid, "doc_id", "source_id", F.lit("https://x/").alias("url"), F.expr("CASE WHEN doc_id % 4 = 0 THEN text ELSE '' END").alias("rss_text"),
         F.expr("CASE WHEN doc_id % 2 = 0 THEN 'summary' ELSE '' END").alias("summary_text"),
         F.lit(None).cast("string").alias("content_html")
     )
-    loads = docs.where("doc_id % 4 != 3").select(
-        eid, F.lit(0).alias("attempt"), F.lit("http").alias("transport"), F.lit("https://x/").alias("final_url"), "text",
-        F.lit("article").alias("method"), F.lit("").alias("block_text"), F.lit(None).cast("string").alias("error")
+    picked = F.expr("CASE WHEN doc_id % 8 = 6 THEN concat(text, 'picked by a model') END")
+    loads = docs.where("doc_id % 4 != 3 OR source_id = 'b'").select(
+        "source_id", eid, F.lit(0).alias("attempt"), F.lit("http").alias("transport"), F.lit("https://x/").alias("final_url"), "text",
+        F.expr("CASE WHEN doc_id % 2 = 0 THEN 'body' ELSE 'article' END").alias("method"), F.expr("doc_id % 8 >= 4").alias("asked_model"),
+        picked.alias("block_text"), F.expr("CASE WHEN source_id = 'b' THEN 'redirect_host:h' END").alias("error")
     )
-    return articles.enrich(arts, loads, "2026-01-01T00:00:00+00:00").select("doc_id", "content_via", "content_status", "content_chars")
+    return articles.enrich(arts, loads, "2026-01-01T00:00:00+00:00").select("doc_id", "source_id", "content_via", "content_status", "content_chars")
 
 
 _ANSWER = "concat('noise {\"article_ids\": [', value_id, ', 2, \"1\", true, 99, -1, \"x\", 2]} tail')"
@@ -659,9 +667,18 @@ def _(spark, d):
 
 @query("feed_sorted", f"WITH {_FEED} SELECT id, pos, (row_number() OVER (ORDER BY created_at DESC, pos))::INT AS place FROM fi")
 def _(spark, d):
-    # Places of a whole feed: a day's items, which are few; the sort itself is distributed.
-    ordered = publish.sort_items(_feed(spark, d).select("id", "pos", "created_at"))
-    return ordered.select("id", "pos", F.expr("cast(row_number() OVER (ORDER BY created_at DESC, pos) as int) AS place"))
+    rows = _feed(spark, d).select("id", "pos", "created_at")
+    placed = publish.places(rows, [F.desc("created_at"), F.asc("pos")], _keeper(spark))
+    return placed.select("id", "pos", F.col("place").cast("int").alias("place"))
+
+
+@query(
+    "feed_counters",
+    f"WITH {_FEED} SELECT 'total' AS counter, '' AS label, count(*) AS n FROM fi UNION ALL SELECT 'by_via', coalesce(nullif(via, ''), 'unknown'), count(*) FROM fi GROUP BY ALL UNION ALL "
+    f"SELECT 'by_source', actor, count(*) FROM fi GROUP BY ALL UNION ALL SELECT 'by_content_status', coalesce(nullif(content_status, ''), 'missing'), count(*) FROM fi GROUP BY ALL",
+)
+def _(spark, d):
+    return publish.counters(_feed(spark, d))
 
 
 @query("count_by_via", f"WITH {_EV} SELECT via AS label, count(*) AS n FROM ev GROUP BY via")
@@ -750,14 +767,21 @@ def _(spark, d):
     return events(spark, d).select("pos", dates.format_iso(second).alias("whole"), dates.to_iso(given).alias("iso"))
 
 
+#: Zones of feed dates, and how the parsed time shows them.
+_ZONES = [("+0200", "+02:00"), ("-0730", "-07:30"), ("-0000", "+00:00"), ("GMT", "+00:00"), ("EST", "-05:00"), ("EDT", "-04:00"), ("cst", "-06:00"), ("PDT", "-07:00"), ("XYZ", "+00:00"), ("Z", "+00:00")]
+
+
 @query(
     "rfc822_times",
-    f"WITH {_EV} SELECT pos, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S') || CASE pos % 4 WHEN 0 THEN '+02:00' WHEN "
-    f"1 THEN '-07:30' ELSE '+00:00' END AS published FROM ev",
+    f"WITH {_EV} SELECT pos, CASE WHEN pos % 3 = 2 THEN strftime(ts - INTERVAL 50 YEAR, '%Y') ELSE strftime(ts, '%Y') END || strftime(date_trunc('second', ts), '-%m-%dT%H:%M:%S') || CASE pos % 10 "
+    + " ".join(f"WHEN {i} THEN '{shown}'" for i, (_, shown) in enumerate(_ZONES)) + " END AS published FROM ev",
 )
 def _(spark, d):
-    zone = F.expr("CASE pos % 4 WHEN 0 THEN '+0200' WHEN 1 THEN '-0730' WHEN 2 THEN '-0000' ELSE 'GMT' END")
-    given = F.concat(F.lit("Mon, "), F.date_format(F.date_trunc("second", "ts"), "d MMM yyyy HH:mm:ss"), F.lit(" "), zone)
+    """Times as feed dates of all zone forms; every third has a year of two digits, every other third one of the last century."""
+    zone = F.expr("CASE pos % 10 " + " ".join(f"WHEN {i} THEN '{z}'" for i, (z, _) in enumerate(_ZONES)) + " END")
+    ts = F.date_trunc("second", "ts")
+    year = F.when(F.col("pos") % 3 == 0, F.date_format(ts, "yyyy")).when(F.col("pos") % 3 == 1, F.date_format(ts, "yy")).otherwise(F.date_format(ts - F.expr("INTERVAL 50 YEARS"), "yy"))
+    given = F.concat(F.lit("Mon, "), F.date_format(ts, "d MMM "), year, F.date_format(ts, " HH:mm:ss"), F.lit(" "), zone)
     return events(spark, d).select("pos", dates.published(given).alias("published"))
 
 
@@ -890,16 +914,86 @@ def _shared(spark: SparkSession) -> str:
     return (base or "/tmp/linkflow-scratch").rstrip("/")
 
 
+def _keeper(spark: SparkSession):
+    """Saves tables in the shared folder."""
+    base = f"{_shared(spark)}/linkflow/keep-{uuid.uuid4().hex}"
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
+    return keep
+
+
+def _in_turns(spark: SparkSession, rows: DataFrame, turns: int, begin) -> str:
+    """Lets rows arrive in ``turns`` by their column ``turn``: a stream starts anew on its checkpoint for each, ``begin(stream, base)``."""
+    base = f"{_shared(spark)}/linkflow/stream-{uuid.uuid4().hex}"
+    for turn in range(turns):
+        rows.where(F.col("turn") == turn).drop("turn").write.parquet(f"{base}/in/turn{turn}")
+        stream = spark.readStream.schema(rows.drop("turn").schema).parquet(f"{base}/in/*")
+        begin(stream, base).awaitTermination()
+    store.delete(spark, f"{base}/in")
+    store.delete(spark, f"{base}/checkpoint")
+    return base
+
+
 @query("stream_diff", _ORACLES["baseline_emit"])
 def _(spark, d):
-    """The incremental form, one micro-batch a run; the same rows as the fold over all runs."""
-    base = f"{_shared(spark)}/linkflow/stream-{uuid.uuid4().hex}"
-    o = observed(spark, d).select("source_id", "url", "title", F.lit("").alias("published_at"), "run")
-    for run in range(5):
-        incremental.process(o.where(F.col("run") == run).drop("run"), run, f"{base}/state", f"{base}/out", Settings(seen_cap=1_000_000))
+    """Change detection as a stream, one start for each run's pages; the same rows as the fold over all runs."""
+    o = observed(spark, d).select("source_id", "url", "title", F.lit("").alias("published_at"), F.col("run").alias("turn"))
+    go = lambda stream, base: incremental.start(stream, f"{base}/state", f"{base}/out", f"{base}/checkpoint", Settings(seen_cap=1_000_000))
+    base = _in_turns(spark, o, 5, go)
     return incremental.all_output(spark, f"{base}/out").select("source_id", "url", F.col("batch").alias("run"))
 
 
+@query("stream_candidates", _ORACLES["candidate_state_fold"])
+def _(spark, d):
+    """The life of candidates as a stream with state; the same rows as the fold over all runs."""
+    o = observed(spark, d).withColumn("turn", F.col("run"))
+    go = lambda stream, base: lifecycle.start(stream, f"{base}/table", f"{base}/checkpoint", limit=1_000_000)
+    base = _in_turns(spark, o, 5, go)
+    return lifecycle.table(spark, f"{base}/table").read().select("source_id", "url", "first_seen", "last_seen", "selected", "last_selected", "baseline")
+
+
+@query("stream_day_counts", _ORACLES["beijing_day_counts"])
+def _(spark, d):
+    """Events counted by day as they come in three turns; each turn has late rows of every day."""
+    e = events(spark, d).select("ts", (F.col("pos") % 3).alias("turn"))
+    base = _in_turns(spark, e, 3, lambda stream, base: windows.start(stream, f"{base}/table", f"{base}/checkpoint"))
+    return windows.table(spark, f"{base}/table").read().select("day", "n")
+
+
+@query(
+    "stream_bundle",
+    f"WITH {_EV}, a AS (SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS day, 'k' || pos % 500 AS external_id, via, pos, pos % 2 AS turn FROM ev) SELECT day, external_id, "
+    f"arg_max(via, struct_pack(turn := turn, pos := pos)) AS via, row_number() OVER (PARTITION BY day ORDER BY min(struct_pack(turn := turn, pos := pos)))::BIGINT AS place FROM a GROUP BY day, external_id",
+)
+def _(spark, d):
+    """Events as articles that are upserted into their day's bundle in two turns: new ones win, at the place of the first."""
+    e = events(spark, d).select(
+        F.concat(F.lit("k"), (F.col("pos") % 500).cast("string")).alias("external_id"), "via", "pos",
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("collected_at"), (F.col("pos") % 2).alias("turn")
+    )
+    base = _in_turns(spark, e, 2, lambda stream, base: bundles.start(stream, f"{base}/table", f"{base}/checkpoint"))
+    rows = bundles.table(spark, f"{base}/table", bundles.ddl(e.drop("turn"))).read()
+    place = F.row_number().over(Window.partitionBy("day").orderBy("pos")).cast("long")
+    return rows.select("day", "external_id", "via", place.alias("place"))
+
+
+@query(
+    "stream_access",
+    f"WITH {_EV}, {_STREAK} SELECT source_id, pos, streak::BIGINT AS streak, streak >= 3 AS forget, CASE WHEN streak < 3 THEN last_value(CASE WHEN ok THEN 'f' || pos END IGNORE "
+    f"NULLS) OVER (PARTITION BY source_id ORDER BY pos) END AS resolved FROM s",
+)
+def _(spark, d):
+    """Failures in a row and the remembered feed of each source, as state of a stream in three turns of time."""
+    e = events(spark, d).select("source_id", "pos", "ok", F.concat(F.lit("f"), F.col("pos").cast("string")).alias("feed_url"), F.col("via").alias("method"))
+    last = e.agg(F.max("pos")).first()[0] or 0
+    e = e.withColumn("turn", F.least(F.lit(2), F.floor(F.col("pos") * 3 / F.lit(last + 1))).cast("int"))
+    base = _in_turns(spark, e, 3, lambda stream, base: cascade.start(stream, f"{base}/table", f"{base}/checkpoint"))
+    return cascade.table(spark, f"{base}/table").read().where("kind = 'attempt'").select("source_id", "pos", "streak", "forget", "resolved")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of pages, cleaned and filtered; what is new against earlier runs; counted by source."""
     p = read(spark, sf_dir, "pages", "page_id", "url", "html")

@@ -1,8 +1,9 @@
 """One run's look at all sources at once: the access cascade, level by level, as tables.
 
 Every level takes the sources that no level before has served: the configured feed (1), the
-remembered feed (2), feed discovery (3), the home page with a scorer (4), and the home page in a
-browser (5). What comes from outside (loads, a model's answers) is saved by ``keep(df, name)`` before
+remembered feed (2), feed discovery (3), and the home page with a scorer (4). A page that cannot be
+scored fails closed: only where the settings allow the heuristic, a forced browser is tried last (5).
+What comes from outside (loads, a model's answers) is saved by ``keep(df, name)`` before
 it is used, so nothing is asked twice and a retry sees what the first try saw.
 """
 
@@ -51,6 +52,7 @@ class Collected:
     observed: DataFrame
     feeds: DataFrame
     answers: list[DataFrame]
+    validators: DataFrame
 
 
 def _attempt(df: DataFrame, level: int, method: Column, transport: Column, feed_url: Column, error: Column) -> DataFrame:
@@ -85,27 +87,28 @@ def _feed_items(entries: DataFrame, chosen: DataFrame) -> DataFrame:
     )
 
 
-def feed_levels(src: DataFrame, keep: Keep, world: World) -> tuple[DataFrame, DataFrame]:
-    """Levels 1 to 3, for sources that may have a feed: attempts and items."""
+def feed_levels(src: DataFrame, known: DataFrame, keep: Keep, world: World, limit: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Levels 1 to 3, for sources that may have a feed: attempts, items and loads. ``known`` are the validators of earlier loads."""
     able = src.where(F.col("collect_mode").isin("auto", "rss"))
     none = F.lit(None)
-    one, entries1 = feeds.scan(
+    one, entries1, loads1 = feeds.scan(
         able.where("rss_url != ''").select("source_id", F.col("rss_url").alias("feed_url"), "verify"), keep, "configured", world.options,
-        world.served
+        world.served, known, limit
     )
     attempts = _attempt(one, 1, F.lit("rss"), F.lit("http"), F.col("feed_url"), F.col("error"))
     left = able.join(served_by(attempts), "source_id", "left_anti")
-    two, entries2 = feeds.scan(
+    two, entries2, loads2 = feeds.scan(
         left.where("resolved_feed_url != ''").select("source_id", F.col("resolved_feed_url").alias("feed_url"), "verify"), keep,
-        "remembered", world.options, world.served
+        "remembered", world.options, world.served, known, limit
     )
     attempts = attempts.unionByName(_attempt(two, 2, F.lit("rss"), F.lit("http"), F.col("feed_url"), F.col("error")))
     left = able.join(served_by(attempts), "source_id", "left_anti")
-    found, entries3 = feeds.discover(left.select("source_id", "home_url", "verify"), keep, world.options, world.served)
+    found, entries3, loads3 = feeds.discover(left.select("source_id", "home_url", "verify"), keep, world.options, world.served, limit)
     found = keep(left.select("source_id").join(found, "source_id", "left"), "discovered")
     attempts = attempts.unionByName(_attempt(found, 3, F.lit("rss"), F.lit("http"), F.col("feed_url"), F.when(F.col("feed_url").isNull(), "no_feed").otherwise(none)))
     items = _feed_items(entries1, one.where("error IS NULL")).unionByName(_feed_items(entries2, two.where("error IS NULL")))
-    return keep(attempts, "feed-attempts"), items.unionByName(_feed_items(entries3, found.where("feed_url IS NOT NULL")))
+    items = items.unionByName(_feed_items(entries3, found.where("feed_url IS NOT NULL")))
+    return keep(attempts, "feed-attempts"), items, reduce(DataFrame.unionByName, (loads1, loads2, loads3))
 
 
 def feed_memory(src: DataFrame, attempts: DataFrame, limit: int) -> DataFrame:
@@ -133,7 +136,7 @@ def page_level(src: DataFrame, level: int, known: DataFrame, keep: Keep, world:
     new, are successes without a pick.
     """
     save = lambda df, name: keep(df, f"level{level}-{name}")
-    wanted = src.select(F.col("home_url").alias("url"), "first", "fallback", "verify")
+    wanted = src.select(F.col("home_url").alias("url"), "first", "fallback", "always", "verify")
     loads = save(fetch.pages(wanted, save, world.options, world.served), "pages").select(
         F.col("url").alias("home_url"), "transport", "final_url", "body", F.col("error").alias("load_error")
     )
@@ -180,18 +183,20 @@ def page_level(src: DataFrame, level: int, known: DataFrame, keep: Keep, world:
 def collect(sources: DataFrame, state: dict[str, DataFrame], keep: Keep, world: World, settings: Settings) -> Collected:
     """Runs the cascade over all (enabled) sources."""
     src = keep(with_state(sources, state, settings), "sources")
-    attempts, items = feed_levels(src, keep, world)
+    attempts, items, loads = feed_levels(src, state["validators"], keep, world, settings.feed_max_items)
     memory = feed_memory(src, attempts, settings.feed_fail_streak)
     known = keep(diff.known_urls(state["seen"], state["candidates"]), "known")
     able = F.col("browser_fallback") | F.lit(settings.browser_auto)
     left = src.join(served_by(attempts), "source_id", "left_anti")
     by_browser = F.col("collect_mode") == "browser_llm"
     four = left.withColumn("first", F.when(by_browser, "browser").otherwise("http")).withColumn("fallback", able & ~by_browser)
+    # A source that is known to need a browser gets one after any failure, others after a sign of a wall.
+    four = four.withColumn("always", F.col("browser_fallback"))
     tries, observed, answers = page_level(four, 4, known, keep, world, settings)
     # The last level forces a browser where one is allowed and was not what failed.
     used = tries.where("transport = 'browser'").select("source_id")
-    five = left.join(served_by(tries), "source_id", "left_anti").where(able).join(used, "source_id", "left_anti")
-    five = five.withColumn("first", F.lit("browser")).withColumn("fallback", F.lit(False))
+    five = left.join(served_by(tries), "source_id", "left_anti").where("browser_fallback").join(used, "source_id", "left_anti")
+    five = five.where(F.lit(settings.allow_heuristic)).withColumn("first", F.lit("browser")).withColumns({"fallback": F.lit(False), "always": F.lit(False)})
     more, seen, said = page_level(five, 5, known, keep, world, settings)
     attempts = keep(reduce(DataFrame.unionByName, (attempts, tries, more)), "attempts")
     # What a level has seen counts only where that level served the source.
@@ -205,7 +210,7 @@ def collect(sources: DataFrame, state: dict[str, DataFrame], keep: Keep, world:
         F.lit("").alias("author"), F.col("selector").alias("via"), F.col("pos").cast("long").alias("pos")
     )
     items = keep(items.unionByName(picked).select(*[c.split()[0] for c in schemas.ITEM.split(", ")]), "items")
-    return Collected(items, attempts, observed, memory, [*answers, *said])
+    return Collected(items, attempts, observed, memory, [*answers, *said], fetch.validators(state["validators"], loads))
 
 
 def outcomes(src: DataFrame, attempts: DataFrame) -> DataFrame:

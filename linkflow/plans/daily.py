@@ -12,7 +12,7 @@ import json
 import sys
 from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkflow.operators import articles, diff, pages, publish, remote
@@ -48,17 +48,16 @@ def probed(new: DataFrame, src: DataFrame, keep: Keep, world: World, settings: S
     return articles.apply_probe(new, answers.select("url", F.col("status").alias("code"), "final_url"))
 
 
-def with_content(new: DataFrame, src: DataFrame, now: str, keep: Keep, world: World, settings: Settings) -> DataFrame:
-    """Articles with their content: the feed's own text, else the page by each transport in order."""
+def with_content(new: DataFrame, src: DataFrame, now: str, keep: Keep, world: World, settings: Settings, answers: list[DataFrame]) -> DataFrame:
+    """Articles with their content: the feed's own text, else the page by each transport in order. What a model said is added to ``answers``."""
     text = lambda df, column, to: pages.texts(df, column, settings.content_max_chars).withColumnRenamed("content", to).drop("method")
     rows = new.withColumn("source_html", F.col("content_html")).withColumn("source_summary", F.col("summary"))
     rows = keep(text(text(rows, "source_html", "rss_text"), "source_summary", "summary_text"), "texts")
     enough = max(settings.content_min_chars, settings.content_rss_min_chars)
-    able = F.col("browser_fallback") | F.lit(settings.browser_auto)
-    site = src.select("source_id", able.alias("able"), "verify", "allowed_hosts")
+    site = src.select("source_id", F.col("browser_fallback").alias("able"), "verify", "allowed_hosts")
     todo = rows.where(F.char_length("rss_text") < enough).join(site, "source_id")
     todo = todo.select(
-        "external_id", "url", "home_url", "allowed_hosts", "title", "verify",
+        *articles.ARTICLE, "url", "home_url", "allowed_hosts", "title", "verify",
         F.posexplode(articles.transports(F.col("collect_mode"), F.col("able"))).alias("attempt", "transport")
     )
     attempts = None
@@ -67,45 +66,51 @@ def with_content(new: DataFrame, src: DataFrame, now: str, keep: Keep, world: Wo
         asked = todo.where(F.col("attempt") == turn)
         if attempts is not None:
             good = attempts.where((F.coalesce("error", F.lit("")) == "") & (F.char_length("text") >= settings.content_min_chars))
-            asked = asked.join(good.select("external_id"), "external_id", "left_anti")
-        got = _read_pages(asked, f"content{turn}", keep, world, settings)
+            asked = asked.join(good.select(*articles.ARTICLE), list(articles.ARTICLE), "left_anti")
+        got = _read_pages(asked, f"content{turn}", keep, world, settings, answers)
         attempts = got if attempts is None else attempts.unionByName(got)
     return articles.enrich(rows, attempts, now, settings)
 
 
-def _read_pages(asked: DataFrame, name: str, keep: Keep, world: World, settings: Settings) -> DataFrame:
+def _read_pages(asked: DataFrame, name: str, keep: Keep, world: World, settings: Settings, answers: list[DataFrame]) -> DataFrame:
     """One transport's loads of ``asked``, their text, and the blocks that a model picks where the text is weak."""
     loads = keep(fetch.load(asked, world.options, world.served), name)
     error = fetch.load_error(F.col("status"), F.col("body"), F.col("transport"), F.col("error"))
+    # The key of one article of one source, for operators that take one column.
+    asked = asked.withColumn("article", F.concat_ws(" ", "external_id", "source_id"))
     rows = asked.join(loads.select("url", "transport", "final_url", F.col("body").alias("html"), error.alias("load_error")), ["url", "transport"])
     moved = articles.redirect_error(F.col("final_url"), F.col("home_url"), F.col("allowed_hosts"))
     rows = rows.withColumn("error", F.coalesce("load_error", moved)).drop("load_error")
     rows = rows.withColumn("page", F.col("html")).withColumn("html", F.when(F.col("error").isNull(), F.col("html")).otherwise(""))
     read = keep(pages.texts(rows.drop("page"), "html", settings.content_max_chars).withColumnRenamed("content", "text"), f"{name}-texts")
     weak = (F.col("method") == "body") | (F.char_length("text") < settings.content_min_chars)
-    picked = read.limit(0).select("external_id", F.lit("").alias("block_text"))
+    picked = read.limit(0).select("article", F.lit("").alias("block_text"))
     if world.ask is not None:
-        poor = read.where("error IS NULL").where(weak).select("external_id")
+        poor = read.where("error IS NULL").where(weak).select("article")
         blocks = keep(
-            pages.blocks(rows.join(poor, "external_id", "left_semi").select("external_id", F.col("page").alias("html")), "external_id", settings),
+            pages.blocks(rows.join(poor, "article", "left_semi").select("article", F.col("page").alias("html")), "article", settings),
             f"{name}-blocks"
         )
-        chosen, _ = remote.block_picks(
-            blocks, read.select("external_id", "title"), world.ask, "external_id", settings.block_limit, keep=lambda df,
+        chosen, said = remote.block_picks(
+            blocks, read.select("article", "title"), world.ask, "article", settings.block_limit, keep=lambda df,
             n: keep(df, f"{name}-{n}")
         )
-        picked = articles.join_blocks(blocks, "external_id", chosen)
-    return read.join(picked, "external_id", "left").select("external_id", "attempt", "transport", "final_url", "text", "method", "block_text", "error")
+        answers.append(said)
+        picked = articles.join_blocks(blocks, "article", chosen)
+    both = read.join(picked, "article", "left").withColumn("asked_model", F.lit(world.ask is not None))
+    return both.select(*articles.ARTICLE, "attempt", "transport", "final_url", "text", "method", "asked_model", "block_text", "error")
 
 
 def next_state(
-    state: dict[str, DataFrame], src: DataFrame, rows: DataFrame, emitted: DataFrame, got: collect.Collected, results: DataFrame, now: str,
+    state: dict[str, DataFrame], src: DataFrame, rows: DataFrame, emitted: DataFrame, got: collect.Collected, results: DataFrame, moved: DataFrame, now: str,
     settings: Settings
 ) -> dict[str, DataFrame]:
     """The state after a run; a failed source keeps its own but for the memory of its feed."""
     none = {c: F.lit(None).cast("string") for c in _CONTENT}
     keys = ["source_id", "url", "title", "published_at", *_CONTENT]
     seen = rows.withColumns(none).select(*keys, F.col("url").alias("observed_url")).unionByName(emitted.select(*keys, "observed_url"))
+    # URLs that led to an article of which another observation was kept.
+    seen = seen.unionByName(moved.withColumns({c: F.lit(None).cast("string") for c in keys if c not in moved.columns}).select(*keys, "observed_url"))
     ready = src.where("candidates_initialized AND NOT baseline").select("source_id")
     ok = results.where("ok").select("source_id", F.col("via").alias("new_method"), F.lit(True).alias("ok"))
     by_page = got.observed.select("source_id").distinct().withColumn("looked", F.lit(True))
@@ -122,11 +127,12 @@ def next_state(
         "seen": diff.update_seen(state["seen"], seen, now, settings),
         "candidates": diff.update_candidates(state["candidates"], got.observed.drop("pos"), now, ready, state["seen"], settings),
         "source_state": others.select(*own.columns).unionByName(own),
+        "validators": got.validators,
     }
 
 
 def publish_day(
-    spark: SparkSession, day: DataFrame, date: str, now: str, out: str, source_id: str, producer: dict, failed: list[str] | None = None,
+    spark: SparkSession, day: DataFrame, date: str, now: str, out: str, source_id: str, producer: dict, facts: dict | None = None,
     merge: bool = True
 ) -> dict:
     """Writes a day's feed and bundle documents and returns the bundle's row of the index.
@@ -160,7 +166,8 @@ def publish_day(
         rows = plain(publish.sort_items(contract, "at").collect())
     hours = spark.range(1).select(publish.window_hours(F.lit(start), F.lit(end)).alias("hours")).first().hours
     # Sources and ways are counted of this feed, kinds and the total of the merged day.
-    stats = {"total": len(rows), "by_kind": {"publish": len(rows)}, **{k: summary[k] for k in ("by_via", "by_source", "by_content_status")}, "failed_lists": failed or []}
+    stats = {"total": len(rows), "by_kind": {"publish": len(rows)}, **{k: summary[k] for k in ("by_via", "by_source", "by_content_status")}}
+    stats |= {"failed_lists": [f["id"] for f in (facts or {}).get("sources_failed", [])], **(facts or {})}
     text = publish.bundle_document(rows, date, source_id, start, end, hours, producer, stats)
     return {"date": date, "count": len(rows), "sha256": publish.write_text(spark, f"{out}/bundles/{date}.json", text), "window_end": end}
 
@@ -190,12 +197,15 @@ def run(
     src = collect.with_state(enabled, state, s)
     rows, new = detect(got.items, src, state, s)
     rows = keep(rows, "normalized")
-    new = keep(probed(new.select(*rows.columns), src, keep, world, s), "new")
-    new = with_content(new.withColumn("collected_at", F.lit(now)), src, now, keep, world, s)
+    new, moved = articles.once_per_id(keep(probed(new.select(*rows.columns), src, keep, world, s), "probed"))
+    new = keep(new, "new")
+    asked: list[DataFrame] = []
+    new = with_content(new.withColumn("collected_at", F.lit(now)), src, now, keep, world, s, asked)
     new = keep(new.withColumn("url_corrected", F.coalesce("url_corrected", F.lit(False))), "emitted")
-    results = keep(run_results(src, got, rows, new, state), "results")
+    results, counted = observed_results(run_results(src, got, rows, new, state))
+    results = keep(results, "results")
     store.append_archive(new.drop("observed_url"), f"{out}/archive", f"r{version:06d}")
-    store.save_state(next_state(state, src, rows, new, got, results, now, s), state_path, version)
+    store.save_state(next_state(state, src, rows, new, got, results, moved, now, s), state_path, version)
     schema = new.drop("observed_url").schema
     archive = store.read_archive(spark, f"{out}/archive", now[:7], schema)
     # Runs of a day in order, each one's articles in theirs.
@@ -203,13 +213,15 @@ def run(
     old = articles.first_of_day(archive.withColumn("pos", place).select(*schema.names), now[:10])
     day = articles.merge(old, new.drop("observed_url").withColumn("pos", F.lpad(F.col("pos").cast("string"), 12, "0")).select(*old.columns), "external_id", "pos")
     when = date or (datetime.fromisoformat(now) + timedelta(hours=8)).strftime("%Y-%m-%d")
-    failed = [r.source_id for r in results.where("NOT ok").orderBy("source_id").collect()]
-    publish_day(spark, day, when, now, out, source_id, {"name": source_id, "version": VERSION, "run_id": f"r{version}", "commit": s.commit[:7]}, failed)
+    answers = spark.createDataFrame([], "error string, " + ", ".join(f"{u} long" for u in remote.USAGE))
+    for more in [*got.answers, *asked]:
+        answers = answers.unionByName(more.select(*answers.columns))
+    usage = keep(remote.usage(answers), "usage")
+    failed = results.where("NOT ok").orderBy("source_id").collect()
+    facts = run_facts(counted.get, failed, usage.first().asDict(), s.llm_model)
+    publish_day(spark, day, when, now, out, source_id, {"name": source_id, "version": VERSION, "run_id": f"r{version}", "commit": s.commit[:7]}, facts)
     rebuild_index(spark, out, source_id, now)
-    answers = got.answers[0] if got.answers else spark.createDataFrame([], "error string, " + ", ".join(f"{u} long" for u in remote.USAGE))
-    for more in got.answers[1:]:
-        answers = answers.unionByName(more)
-    return {"results": results, "emitted": new, "usage": remote.usage(answers)}
+    return {"results": results, "emitted": new, "usage": usage}
 
 
 def run_results(src: DataFrame, got: collect.Collected, rows: DataFrame, emitted: DataFrame, state: dict[str, DataFrame]) -> DataFrame:
@@ -232,26 +244,53 @@ def run_counters(results: DataFrame, emitted: DataFrame) -> DataFrame:
     return out.unionByName(part(emitted, "content_status", F.coalesce("content_status", F.lit("missing"))))
 
 
-def check(spark: SparkSession, sources: DataFrame, world: World | None = None, **options: str) -> DataFrame:
-    """A dry run: (id, url, error, found) of each source, where found counts entries or candidate links."""
-    url = F.when(F.col("rss_url") != "", F.col("rss_url")).otherwise(F.col("home_url"))
-    asked = sources.select("id", url.alias("url"), (F.col("rss_url") != "").alias("is_feed"))
+#: Ways by which a source can be served.
+WAYS = ("rss", "llm", "browser_llm", "heuristic", "browser_heuristic")
+
+
+def observed_results(results: DataFrame) -> tuple[DataFrame, Observation]:
+    """``results`` with its counters as metrics, which are collected while the table is written: no second scan."""
+    seen = Observation("run")
+    ways = [F.count_if(F.col("ok") & (F.col("via") == w)).alias(f"via_{w}") for w in WAYS]
+    return results.observe(seen, F.count_if("ok").alias("sources_ok"), F.count_if(F.col("ok") & F.col("baseline")).alias("baselines"), *ways), seen
+
+
+def run_facts(counts: dict, failed: list, usage: dict, model: str) -> dict:
+    """What a bundle says of its run: sources, baselines, ways, and what the model was asked and used."""
+    via = {w: counts.get(f"via_{w}", 0) for w in WAYS}
+    return {
+        "sources_ok": counts.get("sources_ok", 0), "sources_failed": [{"id": r.source_id, "error": r.error} for r in failed], "baselines": counts.get("baselines", 0),
+        "via_sources": {k: n for k, n in via.items() if n}, "llm_usage": {"model": model, **usage},
+    }
+
+
+def check(spark: SparkSession, sources: DataFrame, world: World | None = None, settings: Settings | None = None, **options: str) -> DataFrame:
+    """A dry run: (id, url, transport, error, found, selected) of each source by its own mode.
+
+    ``found`` counts a feed's entries, or a page's candidate links, of which the heuristic would
+    select so many. Sources of the mode browser_llm are loaded by a browser, others by plain http with
+    a browser where the page loader would try one.
+    """
+    s = settings or Settings()
     if world is None:
         world = World(fetch.Options(), served=_served(options.get("fixtures")))
-    loads = fetch.load(asked.withColumn("kind", F.when(F.col("is_feed"), "feed").otherwise("page")), world.options, world.served)
-    loads = asked.join(loads, "url").select(
-        "id", "url", "is_feed", "status", "transport", "body",
-        fetch.load_error(F.col("status"), F.col("body"), F.col("transport"), F.col("error")).alias("load_error")
-    )
-    entries = feeds.parse(loads.where("is_feed AND load_error IS NULL").select("id", "body")).groupBy("id").agg(F.count("*").alias("found"))
-    p = loads.where("NOT is_feed AND load_error IS NULL").select("id", "url", F.col("body").alias("html"))
-    links = pages.candidates(pages.links(p), page_key="id").groupBy("id").agg(F.count("*").alias("found"))
-    out = loads.join(entries.union(links), "id", "left").withColumn("found", F.coalesce("found", F.lit(0)))
-    error = F.coalesce(
-        "load_error",
-        F.when(F.col("is_feed"), feeds.outcome(F.col("status"), F.col("body"), F.col("found"))).when(F.col("found") == 0, F.lit("no_candidates"))
-    )
-    return out.select("id", "url", error.alias("error"), "found")
+    keep = lambda df, name: df.cache()
+    asked = sources.withColumn("is_feed", F.col("collect_mode") == "rss").withColumn("url", F.when(F.col("is_feed"), F.col("rss_url")).otherwise(F.col("home_url")))
+    asked = asked.withColumn("verify", fetch.verified(F.col("url"), s.ssl_insecure_hosts, F.col("ssl_verify")))
+    outcomes, _, _ = feeds.scan(asked.where("is_feed").select(F.col("id").alias("source_id"), F.col("url").alias("feed_url"), "verify"), keep, "check", world.options, world.served, limit=s.feed_max_items)
+    out = outcomes.select(F.col("source_id").alias("id"), F.col("feed_url").alias("url"), F.lit("http").alias("transport"), "error", F.col("entries").alias("found"), F.lit(0).cast("long").alias("selected"))
+    browser = F.col("collect_mode") == "browser_llm"
+    homes = asked.where("NOT is_feed")
+    wanted = homes.select("url", F.when(browser, "browser").otherwise("http").alias("first"), (~browser & (F.col("browser_fallback") | F.lit(s.browser_auto))).alias("fallback"), F.col("browser_fallback").alias("always"), "verify")
+    loads = keep(fetch.pages(wanted, keep, world.options, world.served), "pages")
+    looked = homes.select("id", "url", "home_url", "allowed_hosts", "strip_query_keys").join(loads.select("url", "transport", "final_url", "body", F.col("error").alias("load_error")), "url")
+    shown = looked.where("load_error IS NULL").select("id", F.col("final_url").alias("page"), "home_url", "allowed_hosts", "strip_query_keys", F.col("body").alias("html"))
+    found = keep(pages.candidates(pages.links(shown), page_key="id", page_url="page", limit=s.page_candidates, hosts="allowed_hosts", extra="strip_query_keys").drop("html"), "candidates")
+    n = found.groupBy("id").agg(F.count("*").alias("found"))
+    picks = pages.heuristic_picks(found, page_key="id", limit=s.heuristic_picks).groupBy("id").agg(F.count("*").alias("selected"))
+    both = looked.join(n, "id", "left").join(picks, "id", "left").na.fill(0, ["found", "selected"])
+    error = F.coalesce("load_error", F.when(F.col("found") == 0, F.lit("no_candidates")))
+    return out.unionByName(both.select("id", "url", "transport", error.alias("error"), "found", "selected"))
 
 
 def _served(path: str | None) -> dict | None:
@@ -281,7 +320,7 @@ def main(argv: list[str]) -> int:
         return 0
     if argv[1] == "check":
         chosen, missing = config.select_ids(sources, argv[3:]) if argv[3:] else (config.enabled(sources), sources.select("id").limit(0))
-        result = check(spark, chosen, World(fetch.Options.of(settings))).cache()
+        result = check(spark, chosen, World(fetch.Options.of(settings)), settings).cache()
         result.show(1000, False)
         missing.show(1000, False)
         return int(not missing.isEmpty() or not result.where("error IS NOT NULL").isEmpty())

@@ -30,10 +30,14 @@ class Settings:
     http_timeout_s: float = 45.0
     probe_timeout_s: float = 8.0
     ssl_insecure_hosts: str = ""
-    browser_auto: bool = False
+    http_max_mb: int = 32
+    browser_enabled: bool = True
+    browser_auto: bool = True
+    browser_timeout_s: float = 60.0
     browser_wait_until: str = "domcontentloaded"
     browser_wait_ms: int = 2000
-    browser_challenge_ms: int = 15_000
+    browser_challenge_ms: int = 8_000
+    browser_scroll_ms: int = 500
     browser_proxy: str = ""
     llm_base_url: str = ""
     llm_key: str = ""

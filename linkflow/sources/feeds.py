@@ -99,34 +99,66 @@ def discovered(probed: DataFrame) -> DataFrame:
     return good.withColumn("nth", F.row_number().over(w)).where("nth = 1").select("home_url", F.col("url").alias("feed_url"))
 
 
-def scan(wanted: DataFrame, keep, name: str, options: fetch.Options | None = None, served: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """Loads ``wanted(source_id, feed_url[, verify, etag, last_modified])``.
+def scan(
+    wanted: DataFrame, keep, name: str, options: fetch.Options | None = None, served: dict | None = None, known: DataFrame | None = None,
+    limit: int = Settings.feed_max_items
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Loads ``wanted(source_id, feed_url[, verify])``, conditionally where ``known(url, etag, last_modified)`` has validators.
 
     Gives the outcome ``source_id, feed_url, error, entries`` of each (error null if it worked; not
-    changed since the last load is an empty feed), and the entries. ``keep(df, name)`` saves a table.
+    changed since the last load is an empty feed), the entries, at most ``limit`` of a feed, and the
+    loads. ``keep(df, name)`` saves a table.
     """
     asked = wanted.withColumn("url", F.col("feed_url")).withColumn("kind", F.lit("feed"))
-    loads = keep(fetch.load(asked, options, served).withColumnRenamed("error", "load_error"), name)
-    rows = wanted.select("source_id", "feed_url").join(loads.withColumnRenamed("url", "feed_url"), "feed_url")
-    entries = keep(parse(rows.where("load_error IS NULL AND status < 400").select("source_id", "feed_url", "body")), f"{name}-entries")
+    if known is not None:
+        asked = asked.join(known, "url", "left")
+    loads = keep(fetch.scan(asked, options, served).drop("host", "kind"), name)
+    answers = loads.withColumnRenamed("error", "load_error").withColumnRenamed("url", "feed_url")
+    rows = wanted.select("source_id", "feed_url").join(answers, "feed_url")
+    entries = keep(parse(rows.where("load_error IS NULL AND status < 400").select("source_id", "feed_url", "body"), limit=limit), f"{name}-entries")
     n = entries.groupBy("source_id", "feed_url").agg(F.count("*").alias("entries"))
     rows = rows.join(n, ["source_id", "feed_url"], "left").withColumn("entries", F.coalesce("entries", F.lit(0)))
     error = F.coalesce("load_error", outcome(F.col("status"), F.col("body"), F.col("entries")))
-    return rows.select("source_id", "feed_url", error.alias("error"), "entries"), entries
+    return rows.select("source_id", "feed_url", error.alias("error"), "entries"), entries, loads
 
 
-def discover(homes: DataFrame, keep, options: fetch.Options | None = None, served: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """Feed discovery for ``homes(source_id, home_url[, verify])``: (source_id, feed_url) and all entries seen.
+def waves(tries: DataFrame, home: str = "source_id") -> DataFrame:
+    """``tries(home, pos, ...)`` with ``wave``: each home's first guess is of wave 1, its second of wave 2."""
+    return tries.withColumn("wave", F.row_number().over(Window.partitionBy(home).orderBy("pos")))
 
-    The home pages' alternate links and the usual places are loaded, each URL once.
+
+def discover(
+    homes: DataFrame, keep, options: fetch.Options | None = None, served: dict | None = None, limit: int = Settings.feed_max_items
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Feed discovery for ``homes(source_id, home_url[, verify])``: (source_id, feed_url), all entries seen, and the loads.
+
+    The home pages' alternate links and the usual places are tried in order, wave by wave for all
+    sources at once: an anti-join takes a source out as soon as one of its guesses is a feed with
+    entries, so what stands behind that guess is never loaded. The number of waves is that of the
+    guesses of one source, not of sources.
     """
-    loads = keep(fetch.load(homes.withColumn("url", F.col("home_url")), options, served), "homes")
+    loads = keep(fetch.scan(homes.withColumn("url", F.col("home_url")), options, served).drop("host", "kind"), "homes")
     p = homes.select("source_id", "home_url").join(loads.select(F.col("url").alias("home_url"), F.col("body").alias("html")), "home_url")
     linked = pages.feed_links(p.select("source_id", "home_url", "html"))
     tries = feed_candidates(homes.select("home_url").distinct(), linked.select("home_url", F.col("pos"), "href"))
-    tries = keep(homes.select("source_id", "home_url", *[c for c in homes.columns if c == "verify"]).join(tries, "home_url"), "feed-tries")
-    outcomes, entries = scan(tries.withColumnRenamed("url", "feed_url"), keep, "feed-probes", options, served)
-    probed = tries.withColumnRenamed("url", "feed_url").join(outcomes, ["source_id", "feed_url"]).select(
-        "home_url", "pos", F.col("feed_url").alias("url"), "error", "entries"
-    )
-    return homes.select("source_id", "home_url").join(discovered(probed.distinct()), "home_url").select("source_id", "feed_url"), entries
+    tries = waves(homes.select("source_id", "home_url", *[c for c in homes.columns if c == "verify"]).join(tries, "home_url"))
+    tries = keep(tries.withColumnRenamed("url", "feed_url"), "feed-tries")
+    last = tries.agg(F.max("wave")).first()[0] or 0
+    probed = entries = None
+    for wave in range(1, last + 1):
+        now = tries.where(F.col("wave") == wave)
+        if probed is not None:
+            now = now.join(probed.where("error IS NULL AND entries > 0").select("source_id"), "source_id", "left_anti")
+        now = keep(now, f"feed-wave{wave}")
+        if now.isEmpty():
+            continue
+        outcomes, found, got = scan(now, keep, f"feed-probes{wave}", options, served, limit=limit)
+        outcomes = keep(now.select("source_id", "feed_url", "home_url", "pos").join(outcomes, ["source_id", "feed_url"]), f"feed-outcomes{wave}")
+        probed = outcomes if probed is None else probed.unionByName(outcomes)
+        entries = found if entries is None else entries.unionByName(found)
+        loads = loads.unionByName(got)
+    if probed is None:
+        schema = homes.limit(0).select("source_id", F.lit("").alias("feed_url"), F.lit("").alias("body"))
+        return schema.select("source_id", "feed_url"), parse(schema), loads
+    best = discovered(probed.select("home_url", "pos", F.col("feed_url").alias("url"), "error", "entries").distinct())
+    return homes.select("source_id", "home_url").join(best, "home_url").select("source_id", "feed_url"), entries, loads

@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from linkflow import schemas
 
-TABLES = {"source_state": schemas.SOURCE_STATE, "seen": schemas.SEEN, "candidates": schemas.CANDIDATE_STATE}
+TABLES = {"source_state": schemas.SOURCE_STATE, "seen": schemas.SEEN, "candidates": schemas.CANDIDATE_STATE, "validators": schemas.VALIDATORS}
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
@@ -26,13 +26,24 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(out)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def load_state(spark: SparkSession, path: str, version: int | None = None) -> dict[str, DataFrame]:
     """The newest (or given) snapshot's tables, empty ones if there is none."""
     have = _versions(spark, path)
     v = version if version is not None else (have[-1] if have else None)
     if v is None or v not in have:
         return {t: spark.createDataFrame([], s) for t, s in TABLES.items()}
-    return {t: spark.read.schema(s).parquet(f"{path}/v={v}/{t}") for t, s in TABLES.items()}
+    # A snapshot of an earlier version has no validators.
+    return {t: spark.read.schema(s).parquet(f"{path}/v={v}/{t}") if _exists(spark, f"{path}/v={v}/{t}") else spark.createDataFrame([], s) for t, s in TABLES.items()}
 
 
 def save_state(tables: dict[str, DataFrame], path: str, version: int) -> None:
@@ -40,8 +51,9 @@ def save_state(tables: dict[str, DataFrame], path: str, version: int) -> None:
 
     Writing a version again replaces it, so a rerun after a crash does no harm.
     """
-    for t in ("seen", "candidates", "source_state"):
-        tables[t].write.mode("overwrite").parquet(f"{path}/v={version}/{t}")
+    for t in ("seen", "candidates", "validators", "source_state"):
+        if t in tables:
+            tables[t].write.mode("overwrite").parquet(f"{path}/v={version}/{t}")
 
 
 def next_version(spark: SparkSession, path: str) -> int:
