@@ -37,7 +37,9 @@ def _plain(x: Column) -> Column:
     bare = F.regexp_replace(bare, r"^(\d{1,2}\s+[A-Za-z]{3,9}\s+)(\d{2})(\s)", "$120$2$3")
     name = F.upper(F.regexp_extract(bare, r"\s([A-Za-z]{1,5})$", 1))
     offset = F.coalesce(*[F.when(name == n, z) for n, z in ZONES.items()], F.lit("+0000"))
-    return F.when(name != "", F.concat(F.regexp_replace(bare, r"\s+[A-Za-z]{1,5}$", " "), offset)).otherwise(bare)
+    named = F.when(name != "", F.concat(F.regexp_replace(bare, r"\s+[A-Za-z]{1,5}$", " "), offset))
+    # A date without a zone counts as UTC.
+    return named.when(bare.rlike(r"\s\d{1,2}:\d{2}(:\d{2})?$"), F.concat(bare, F.lit(" +0000"))).otherwise(bare)
 
 
 def parse_rfc822(x: Column) -> Column:

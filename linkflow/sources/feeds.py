@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,11 +94,11 @@ def feed_candidates(homes: DataFrame, linked: DataFrame) -> DataFrame:
     return named.select("home_url", "pos", "url").union(guesses.select("home_url", "pos", "url")).groupBy("home_url", "url").agg(F.min("pos").alias("pos"))
 
 
-def discovered(probed: DataFrame) -> DataFrame:
-    """The feed of each home page of ``probed(home_url, pos, url, error, entries)``: the first with entries, else the first valid."""
+def discovered(probed: DataFrame, key: str = "home_url") -> DataFrame:
+    """The feed of each key of ``probed(key, pos, url, error, entries)``: the first with entries, else the first valid."""
     good = probed.where("error IS NULL")
-    w = Window.partitionBy("home_url").orderBy((F.col("entries") == 0).cast("int"), "pos")
-    return good.withColumn("nth", F.row_number().over(w)).where("nth = 1").select("home_url", F.col("url").alias("feed_url"))
+    w = Window.partitionBy(key).orderBy((F.col("entries") == 0).cast("int"), "pos")
+    return good.withColumn("nth", F.row_number().over(w)).where("nth = 1").select(key, F.col("url").alias("feed_url"))
 
 
 def scan(
@@ -122,43 +124,42 @@ def scan(
     return rows.select("source_id", "feed_url", error.alias("error"), "entries"), entries, loads
 
 
-def waves(tries: DataFrame, home: str = "source_id") -> DataFrame:
-    """``tries(home, pos, ...)`` with ``wave``: each home's first guess is of wave 1, its second of wave 2."""
-    return tries.withColumn("wave", F.row_number().over(Window.partitionBy(home).orderBy("pos")))
+def _has_entries(body: str) -> bool:
+    """Whether a document looks like a feed with entries; whether they count is for ``parse`` to say."""
+    return re.search(r"<(item|entry)\b.*?</\1>", body, re.DOTALL) is not None
 
 
 def discover(
     homes: DataFrame, keep, options: fetch.Options | None = None, served: dict | None = None, limit: int = Settings.feed_max_items
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Feed discovery for ``homes(source_id, home_url[, verify])``: (source_id, feed_url), all entries seen, and the loads.
+    """Feed discovery for ``homes(source_id, home_url[, verify])``: (source_id, feed_url), the entries of its feed, and the loads.
 
-    The home pages' alternate links and the usual places are tried in order, wave by wave for all
-    sources at once: an anti-join takes a source out as soon as one of its guesses is a feed with
-    entries, so what stands behind that guess is never loaded. The number of waves is that of the
-    guesses of one source, not of sources.
+    The home pages' alternate links and the usual places are tried in order, all sources at once. A
+    source's walk stops at the first document with entries, so what stands behind it is never loaded.
+    If none of those entries counts, the walk goes on behind it in another wave: an anti-join takes
+    out the sources that have a feed, and what was loaded. Nearly always one wave is all.
     """
     loads = keep(fetch.scan(homes.withColumn("url", F.col("home_url")), options, served).drop("host", "kind"), "homes")
     p = homes.select("source_id", "home_url").join(loads.select(F.col("url").alias("home_url"), F.col("body").alias("html")), "home_url")
     linked = pages.feed_links(p.select("source_id", "home_url", "html"))
     tries = feed_candidates(homes.select("home_url").distinct(), linked.select("home_url", F.col("pos"), "href"))
-    tries = waves(homes.select("source_id", "home_url", *[c for c in homes.columns if c == "verify"]).join(tries, "home_url"))
-    tries = keep(tries.withColumnRenamed("url", "feed_url"), "feed-tries")
-    last = tries.agg(F.max("wave")).first()[0] or 0
-    probed = entries = None
-    for wave in range(1, last + 1):
-        now = tries.where(F.col("wave") == wave)
-        if probed is not None:
-            now = now.join(probed.where("error IS NULL AND entries > 0").select("source_id"), "source_id", "left_anti")
-        now = keep(now, f"feed-wave{wave}")
-        if now.isEmpty():
-            continue
-        outcomes, found, got = scan(now, keep, f"feed-probes{wave}", options, served, limit=limit)
-        outcomes = keep(now.select("source_id", "feed_url", "home_url", "pos").join(outcomes, ["source_id", "feed_url"]), f"feed-outcomes{wave}")
-        probed = outcomes if probed is None else probed.unionByName(outcomes)
-        entries = found if entries is None else entries.unionByName(found)
-        loads = loads.unionByName(got)
+    tries = keep(homes.select("source_id", "home_url", *[c for c in homes.columns if c == "verify"]).join(tries, "home_url"), "feed-tries")
+    left, wave, walked, probed = tries, 0, None, None
+    while not left.isEmpty():
+        got = keep(fetch.walk(left.withColumn("kind", F.lit("feed")), "source_id", _has_entries, options, served), f"feed-walk{wave}")
+        rows = got.withColumnRenamed("error", "load_error").withColumnRenamed("url", "feed_url")
+        n = parse(rows.where("load_error IS NULL AND status < 400").select("source_id", "feed_url", "body"), limit=limit).groupBy("source_id", "feed_url").agg(F.count("*").alias("entries"))
+        rows = rows.join(n, ["source_id", "feed_url"], "left").withColumn("entries", F.coalesce("entries", F.lit(0)))
+        error = F.coalesce("load_error", outcome(F.col("status"), F.col("body"), F.col("entries")))
+        outcomes = keep(rows.select("source_id", F.col("feed_url").alias("url"), error.alias("error"), "entries"), f"feed-outcomes{wave}")
+        walked, probed = (got, outcomes) if walked is None else (walked.unionByName(got), probed.unionByName(outcomes))
+        left = left.join(outcomes.select("source_id", "url"), ["source_id", "url"], "left_anti")
+        left = left.join(outcomes.where("error IS NULL AND entries > 0").select("source_id"), "source_id", "left_anti")
+        wave += 1
     if probed is None:
-        schema = homes.limit(0).select("source_id", F.lit("").alias("feed_url"), F.lit("").alias("body"))
-        return schema.select("source_id", "feed_url"), parse(schema), loads
-    best = discovered(probed.select("home_url", "pos", F.col("feed_url").alias("url"), "error", "entries").distinct())
-    return homes.select("source_id", "home_url").join(best, "home_url").select("source_id", "feed_url"), entries, loads
+        none = homes.limit(0).select("source_id", F.lit("").alias("feed_url"), F.lit("").alias("body"))
+        return none.select("source_id", "feed_url"), parse(none), loads
+    best = keep(discovered(tries.select("source_id", "url", "pos").join(probed, ["source_id", "url"]), "source_id"), "feed-found")
+    bodies = walked.withColumnRenamed("url", "feed_url").join(best, ["source_id", "feed_url"], "left_semi")
+    entries = keep(parse(bodies.select("source_id", "feed_url", "body"), limit=limit), "feed-found-entries")
+    return best, entries, loads.unionByName(walked.select(*loads.columns))

@@ -218,7 +218,9 @@ class _PageReader(DataSourceReader):
             by.setdefault(host_key(r["url"]), []).append(r)
         return [_Host(rs) for rs in by.values()]
 
-    def read(self, partition: _Host) -> Iterator[tuple]:
+    def read(self, partition: _Host | None) -> Iterator[tuple]:
+        if partition is None:  # no requests are left
+            return
         loader = _Loader(self.o, self.served)
         try:
             for r in partition.requests:
@@ -257,6 +259,8 @@ def scan(requests: DataFrame, options: Options | None = None, served: dict | Non
     spark.dataSource.register(PageSource)
     spark.conf.set(PUSHDOWN, "true")
     rows = [r.asDict() for r in _full(requests).collect()]
+    if not rows:
+        return spark.createDataFrame([], f"{schemas.FETCHED}, host string, kind string")
     own = served if served is None else {r["url"]: served[r["url"]] for r in rows if r["url"] in served}
     given = {"requests": json.dumps(rows), "loader": json.dumps(asdict(options or Options()))} | ({} if own is None else {"served": json.dumps(own)})
     return spark.read.format("linkflow_pages").options(**given).load()
@@ -282,6 +286,34 @@ def load(requests: DataFrame, options: Options | None = None, served: dict | Non
     return _full(requests).repartition(o.tasks, urls.context_key(F.col("url"))).mapInArrow(run, schemas.FETCHED)
 
 
+def walk(requests: DataFrame, key: str, stop, options: Options | None = None, served: dict | None = None) -> DataFrame:
+    """Loads the ``requests(key, pos, url[, ...])`` of each key in order, until ``stop(body)`` says that one was what was looked for.
+
+    Gives what ``load`` gives, with the key; what stands behind a stop is not loaded and has no row.
+    A key's requests are one task's work, as a host's are in ``load``.
+    """
+    o = options or Options()
+    default = {"transport": F.lit("http"), "kind": F.lit("page"), "verify": F.lit(True), "etag": F.lit(None).cast("string"), "last_modified": F.lit(None).cast("string")}
+    rows = requests.select(key, "pos", *[F.col(c) if c in requests.columns else default[c].alias(c) for c in _FIELDS])
+    schema = pa.schema([(key, pa.string()), *_OUT])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loader, found = _Loader(o, served), None
+        try:
+            for b in batches:
+                for r in b.to_pylist():
+                    if r[key] == found:
+                        continue
+                    row = _row(loader, r)
+                    if row["error"] is None and (row["status"] or 0) < 400 and stop(row["body"] or ""):
+                        found = r[key]
+                    yield pa.RecordBatch.from_pylist([{key: r[key], **row}], schema)
+        finally:
+            loader.close()
+
+    return rows.repartition(o.tasks, key).sortWithinPartitions(key, "pos").mapInArrow(run, f"{key} string, {schemas.FETCHED}")
+
+
 def validators(old: DataFrame, loads: DataFrame) -> DataFrame:
     """``url, etag, last_modified`` for the next conditional request.
 

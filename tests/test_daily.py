@@ -102,7 +102,7 @@ def test_the_second_run_emits_what_is_new(two_days):
         "https://w.com/n/2": ("wall", "browser_llm", "ok", "ok", "browser", None),
     }
     assert (two["results"]["page"].candidate_count, two["results"]["page"].candidate_new_count, two["results"]["page"].new_articles) == (4, 2, 1)
-    assert two["usage"].requests == 2 and two["usage"].failed == 0 and two["usage"].total_tokens == 4
+    assert two["usage"].requests == two["usage"].calls == 3 and two["usage"].failed == 0 and two["usage"].total_tokens == 5
 
 
 def test_state_after_two_runs(spark, two_days):
@@ -124,6 +124,10 @@ def test_published_documents(spark, two_days):
     doc, bundle, index = read("feed/2026-08-02.json"), read("bundles/2026-08-02.json"), read("bundles/index.json")
     assert doc["item_count"] == 5 and doc == read("feed/latest.json") and doc["items"][0]["created_at"] >= doc["items"][-1]["created_at"]
     assert bundle["stats"]["failed_lists"] == ["dead"] and bundle["stats"]["total"] == 5 and bundle["producer"]["commit"] == "abcdef1"
+    assert list(bundle["stats"]) == ["total", "by_kind", "by_via", "by_source", "by_content_status", "failed_lists", "sources_ok", "sources_failed", "baselines", "via_sources", "llm_usage"]
+    assert (bundle["stats"]["sources_ok"], bundle["stats"]["baselines"], bundle["stats"]["via_sources"]) == (4, 0, {"rss": 2, "llm": 1, "browser_llm": 1})
+    assert [f["id"] for f in bundle["stats"]["sources_failed"]] == ["dead"] and bundle["stats"]["llm_usage"]["requests"] == 3
+    assert read("bundles/2026-08-01.json")["stats"]["baselines"] == 4
     assert bundle["collect_window"]["start"] == "2026-08-01T08:00:00+00:00"
     assert index["latest"] == "2026-08-02" and [d["date"] for d in index["days"]] == ["2026-08-02", "2026-08-01"] and index["days"][0]["count"] == 5
     empty = read("bundles/2026-08-01.json")
@@ -148,7 +152,7 @@ def test_without_a_model_pages_fail_closed(spark, two_days, tmp_path):
 
     at, _ = two_days
     src = config.from_rows(spark, [SOURCES[2]])
-    for rule, want in ((False, ("no_llm_key; no_llm_key", "")), (True, (None, "heuristic"))):
+    for rule, want in ((False, ("no_llm_key", "")), (True, (None, "heuristic"))):
         shutil.copytree(f"{at}/state/v=1", f"{tmp_path}/{rule}/state/v=1")
         web = day(2) | {"https://p.com/": {**day(2)["https://p.com/"], "browser": links(1, 2, 3)}}
         done = daily.run(spark, src, f"{tmp_path}/{rule}/state", f"{tmp_path}/{rule}/out", "2026-08-02T01:00:00+00:00", World(OPTIONS, web), Settings(allow_heuristic=rule, probe_new_urls=False))

@@ -173,10 +173,21 @@ def test_bundle_merge_and_blocks(spark):
 
 
 def test_enrich_paths(spark):
-    a = spark.createDataFrame([("f", "u", "", "", None), ("p", "u", "", "sum", None), ("r", "u", "x" * 900, "", None), ("b", "u", "", "", None)], "external_id string, url string, rss_text string, summary_text string, content_html string")
-    t = spark.createDataFrame([("f", 0, "http", "u", "tiny", "article", "", None), ("p", 0, "http", "u", None, None, None, "http_500"), ("b", 0, "http", "u", "y" * 50, "body", "z" * 300, None), ("b", 1, "browser", "u", "w" * 300, "article", "", None)], "external_id string, attempt int, transport string, final_url string, text string, method string, block_text string, error string")
-    got = rows(articles.enrich(a, t, "now"), "external_id", "content_status", "content_via", "content_chars", "content_error")
-    assert got == [("b", "ok", "http_llm_blocks", 300, None), ("f", "failed", "", 0, "http:content_too_short:4"), ("p", "partial", "rss_summary", 3, "http:http_500"), ("r", "ok", "rss", 900, None)]
+    a = [("s", "f", "u", "", "", None), ("s", "p", "u", "", "sum", None), ("s", "r", "u", "x" * 900, "", None), ("s", "b", "u", "", "", None)]
+    # A model that picks nothing leaves the page's own text and name; another source's load of the same URL does not count.
+    a += [("s", "n", "u", "", "", None), ("s", "m", "u", "", "", None), ("other", "m", "u", "", "", None)]
+    a = spark.createDataFrame(a, "source_id string, external_id string, url string, rss_text string, summary_text string, content_html string")
+    t = [
+        ("s", "f", 0, "http", "u", "tiny", "article", False, "", None), ("s", "p", 0, "http", "u", None, None, False, None, "http_500"), ("s", "b", 0, "http", "u", "y" * 50, "body", True, "z" * 300, None),
+        ("s", "b", 1, "browser", "u", "w" * 300, "article", True, "", None), ("s", "n", 0, "http", "u", "n" * 300, "body", True, None, None), ("s", "m", 0, "http", "u", "m" * 300, "body", False, None, None),
+        ("other", "m", 0, "http", "u", "m" * 300, "body", False, None, "redirect_host:evil"),
+    ]
+    t = spark.createDataFrame(t, "source_id string, external_id string, attempt int, transport string, final_url string, text string, method string, asked_model boolean, block_text string, error string")
+    got = rows(articles.enrich(a, t, "now"), "external_id", "source_id", "content_status", "content_via", "content_chars", "content_error")
+    assert got == [
+        ("b", "s", "ok", "http_llm_blocks", 300, None), ("f", "s", "failed", "", 0, "http:content_too_short:4"), ("m", "other", "failed", "", 0, "http:redirect_host:evil"), ("m", "s", "ok", "http_body_fallback", 300, None),
+        ("n", "s", "ok", "http", 300, None), ("p", "s", "partial", "rss_summary", 3, "http:http_500"), ("r", "s", "ok", "rss", 900, None),
+    ]
 
 
 def test_settings():
@@ -203,10 +214,11 @@ def test_model_picks(spark):
 
 def test_sources_check(spark, tmp_path):
     page = "<a href='/news/1'>A headline</a><a href='/tag/x'>t</a>"
-    (tmp_path / "f.json").write_text(json.dumps({"https://h.com/f": {"body": RSS}, "https://p.com/": {"body": page}, "https://e.com/": {"body": "<p>no links</p>"}, "https://x.com/f": {"status": 500}}))
-    s = config.from_rows(spark, [{"id": "f", "home_url": "https://h.com/", "rss_url": "https://h.com/f"}, {"id": "p", "home_url": "https://p.com/"}, {"id": "e", "home_url": "https://e.com/"}, {"id": "x", "home_url": "https://x.com/", "rss_url": "https://x.com/f"}])
-    got = rows(daily.check(spark, s, fixtures=f"{tmp_path}/f.json"), "id", "error", "found")
-    assert got == [("e", "no_candidates", 0), ("f", None, 2), ("p", None, 1), ("x", "http_500", 0)]
+    (tmp_path / "f.json").write_text(json.dumps({"https://h.com/f": {"body": RSS}, "https://p.com/": {"body": page}, "https://e.com/": {"body": "<p>no links</p>"}, "https://x.com/f": {"status": 500}, "https://b.com/": {"status": 403, "browser": {"body": page + "<a href='/news/2'>About</a>"}}}))
+    s = config.from_rows(spark, [{"id": "f", "home_url": "https://h.com/", "rss_url": "https://h.com/f", "collect_mode": "rss"}, {"id": "p", "home_url": "https://p.com/"}, {"id": "e", "home_url": "https://e.com/"}, {"id": "x", "home_url": "https://x.com/", "rss_url": "https://x.com/f", "collect_mode": "rss"}, {"id": "b", "home_url": "https://b.com/", "collect_mode": "browser_llm"}])
+    got = rows(daily.check(spark, s, fixtures=f"{tmp_path}/f.json"), "id", "transport", "error", "found", "selected")
+    # Each source by its own mode: the browser's page has two links, of which the heuristic takes one.
+    assert got == [("b", "browser", None, 2, 1), ("e", "http", "no_candidates", 0, 0), ("f", "http", None, 2, 0), ("p", "http", None, 1, 1), ("x", "http", "http_500", 0, 0)]
 
 
 def test_texts_keep_every_row_and_column(spark):
