@@ -8,7 +8,9 @@ siblings that read like text are kept, without boilerplate elements inside. An e
 boilerplate by a name in its class or id (``STATES`` such as ``has-sidebar`` are no such names); but
 a wrapper that holds at least half of the text of the page's ``article`` and ``main`` elements (of
 the page, if these have none) stays, unless named as comments, and where no text would be left
-outside of named elements, names do not count.
+outside of named elements, names do not count. Articles beside the best one stay if they are text and
+not links, however short. Only elements whose content is no text of the page (``RAW``) go unread:
+formulas, drawings, and what stands in for scripts and players is text like any other.
 
 Defined results: null, empty or text-free html gives an empty text; a page without tags is one
 block; unclosed tags, comments and quotes end with the page; a tie of points goes to the element
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from linkflow.llm.common import batch
 
 # HTML element names by the role they play here.
-RAW = frozenset("script style noscript template textarea title iframe object svg math canvas audio video xmp noembed noframes".split())
+RAW = frozenset("script style template textarea title iframe noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE = frozenset("nav header footer aside form menu button select option fieldset label dialog head datalist".split())
 BLOCK = frozenset(
@@ -226,7 +228,7 @@ class _Page:
         for i in range(1, n):
             if i != best and self.parent[i] == self.parent[best] and self.tag[best] not in ("html", "body") and chars[i]:
                 density = links[i] / chars[i]
-                if score[i] >= max(10, score[best] / 5) or (self.tag[i] in PARAGRAPH and (chars[i] > 80 and density < 0.25)):
+                if score[i] >= max(10, score[best] / 5) or (self.tag[i] == self.tag[best] == "article" and density < 0.25) or (self.tag[i] in PARAGRAPH and (chars[i] > 80 and density < 0.25)):
                     keep.add(i)
         inside = [False] * n
         for i in range(n):

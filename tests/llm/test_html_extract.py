@@ -24,6 +24,18 @@ def test_divs_without_semantics():
     assert got == [BODY.strip(), BODY.strip(), "point"]
 
 
+def test_text_of_formulas_and_stand_ins_stays():
+    got = html_extract.main_text(f"<article><p>{BODY}</p><p>Math <math><mi>x</mi><mo>=</mo><mn>2</mn></math> done</p><object>Seen <b>instead</b></object><noscript><p>Without scripts</p></noscript><svg><title>tip</title><text>Label</text></svg><template>not shown</template></article>")
+    assert got == f"{BODY.strip()}\nMath x=2 done\nSeen instead\nWithout scripts\nLabel"
+
+
+def test_short_articles_side_by_side_stay_and_link_lists_do_not():
+    short = "A few words of news, and more."
+    cards = "".join(f"<article><a href={i}>{'Card ' * 20}</a></article>" for i in range(3))
+    got = html_extract.main_text(page(f"<div><article><p>{short}</p></article><article><p>{short} Two.</p></article>{cards}</div>"))
+    assert got == f"{short}\n{short} Two."
+
+
 def test_sections_of_an_article_stay_together():
     inner = "<main>" + "".join(f"<section><h2>Part {i}</h2><p>{BODY}</p></section>" for i in range(3)) + "</main>"
     assert html_extract.main_text(page(inner)).count("Part") == 3
