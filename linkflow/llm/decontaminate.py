@@ -3,7 +3,9 @@
 The documents' words are hashed, all windows of each needed length are hashed with array
 arithmetic, looked up in the sorted hashes of the benchmark's windows, and each candidate is verified
 by comparing words. No shuffle of documents takes place. A benchmark of more than ``PART_BYTES`` is
-scanned part by part, each in a pass of its own over the documents, which carry the hits so far.
+scanned part by part, each in a pass of its own over the documents, which carry the hits so far; an
+item that is larger than a quarter of that is cut into pieces that share ``WINDOW`` - 1 words, so that
+no window is lost.
 
 Defined results: a null or empty text has no words, so it has no hits and is clean; rows are
 judged one by one, so repeated rows give repeated results; an empty benchmark hits nothing; a
@@ -112,6 +114,35 @@ _STATE = pa.struct([("spans", pa.list_(pa.struct([("first", pa.int32()), ("last"
 _STATE_DDL = "state struct<spans:array<struct<first:int,last:int>>,names:array<string>>"
 
 
+def pieces(text: str | None, window: int, most: int) -> list[str]:
+    """A text's words in pieces of about ``most`` bytes; each window of ``window`` words is whole in one of them."""
+    w = words(text)
+    out, first = [], 0
+    while first + window <= len(w) or (not first and w):
+        size, end = 0, first
+        while end < len(w) and (size < most or end - first < window):
+            size += len(w[end]) + 1
+            end += 1
+        out.append(b" ".join(w[first:end]).decode("utf-8", "replace"))
+        if end == len(w):
+            break
+        first = end - window + 1
+    return out
+
+
+def _cut(items: DataFrame, window: int, most: int) -> DataFrame:
+    """``items`` with those of more than ``most`` bytes in pieces."""
+
+    def run(batches):
+        for b in batches:
+            for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                for p in pieces(t.as_py(), window, most):
+                    yield pa.RecordBatch.from_pylist([{"item_id": i, "text": p}], pa.schema([("item_id", pa.string()), ("text", pa.string())]))
+
+    large = F.octet_length("text") > most
+    return items.where(~F.coalesce(large, F.lit(False))).union(items.where(large).mapInArrow(run, "item_id string, text string"))
+
+
 def _scanned(docs: DataFrame, benchmark: DataFrame, window: int, part_bytes: int):
     """The documents after all parts of the benchmark but the last, and a function that scans for that.
 
@@ -119,10 +150,14 @@ def _scanned(docs: DataFrame, benchmark: DataFrame, window: int, part_bytes: int
     Before the last part, rows carry their hits so far in a last column.
     """
     spark = docs.sparkSession
-    items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.octet_length(F.col("text")))).first()[0] or 0
+    items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string").alias("text"))
+    size, largest = items.agg(F.sum(F.octet_length("text")), F.max(F.octet_length("text"))).first()
+    if (largest or 0) > part_bytes // 4:
+        items = save(_cut(items, window, part_bytes // 4), "decontaminate-pieces")
+        size = items.agg(F.sum(F.octet_length("text"))).first()[0]
+    size = size or 0
     n = max(1, -(-size // part_bytes))
-    part = F.pmod(F.xxhash64(F.col("item_id").cast("string"), "text"), F.lit(n))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     at, carried = docs.columns.index("text"), None
 
     def scanner(i: int):

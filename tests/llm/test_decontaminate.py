@@ -79,3 +79,15 @@ def test_items_of_one_repeated_window(spark):
     docs = [(1, "la " * 40), (2, "x la la y"), (3, "la")]
     got = decontaminate.flag(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert sorted((tuple(r) for r in got.drop("spans").collect()), key=str) == brute(docs, items)
+
+
+def test_an_item_beyond_a_part_is_cut_without_losing_a_window(spark):
+    long = [f"w{i}" for i in range(400)]
+    got = decontaminate.pieces(" ".join(long), 13, 100)
+    assert len(got) > 10 and all(len(p.split()) >= 13 for p in got)
+    assert {tuple(p.split()[i : i + 13]) for p in got for i in range(len(p.split()) - 12)} == {tuple(long[i : i + 13]) for i in range(388)}
+    assert decontaminate.pieces("", 13, 9) == [] and decontaminate.pieces("only four words here", 13, 2) == ["only four words here"]
+    docs = spark.createDataFrame([(i, " ".join(["x", *long[i : i + 13], "y"])) for i in range(0, 388, 7)] + [(1000, " ".join(long[5:17])), (1001, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("big", " ".join(long)), ("small", "x w7 w8")], "item_id string, text string")
+    rows = lambda n: sorted(tuple(r) for r in decontaminate.flag(docs, items, part_bytes=n).drop("spans").collect())
+    assert rows(400) == rows(1 << 20) and sum(r[5] for r in rows(400)) == len(range(0, 388, 7))
