@@ -4,9 +4,9 @@ A document's passages are its windows and its chunks. From each line with words
 the first line where it has ``PASSAGE_WORDS`` words, and to each such line one reaches back; so any
 run of whole lines of that many words is made up of windows of its own, whatever stands around it.
 Shorter repeats are found by chunks: the local maxima of a rolling hash over two line hashes cut the
-lines into chunks of two lines or more (three on average), which count if they hold at least two lines
-with words, with their first line and (as lines before may move it) without; a line of ``LONG_LINE``
-words or more is a chunk of its own. A line goes if it is part of a passage that
+lines into chunks of two lines or more (three on average, never at a fixed length), which count if they
+hold at least two lines with words, with their first line and (as lines before may move it) without. A
+single line counts as a window only, from ``PASSAGE_WORDS`` words on. A line goes if it is part of a passage that
 occurred before: the first occurrence (smallest doc_id, then text hash, then place) stays. A passage
 that overlaps its own first occurrence in the document is no occurrence, so a line repeated without
 end keeps one window.
@@ -29,9 +29,7 @@ from pyspark.sql import functions as F
 
 from linkflow.llm.common import batch, mix64, release, save, trimmed
 
-#: Most lines of a chunk.
-MOST_LINES = 64
-LONG_LINE, PASSAGE_WORDS = 40, 50
+PASSAGE_WORDS = 50
 #: Marks (28 bytes each) up to which they are broadcast to the texts.
 BROADCAST_MARKS = 1_000_000
 
@@ -47,18 +45,9 @@ def _cuts(lines: list[bytes]) -> list[tuple[int, int]]:
     roll = mix64(h ^ (prev << np.uint64(1)))
     cut = np.zeros(len(lines), bool)
     cut[1:-1] = (roll[1:-1] > roll[:-2]) & (roll[1:-1] > roll[2:])
-    long_ = np.fromiter((len(x) >= 2 * LONG_LINE - 1 and len(x.split()) >= LONG_LINE for x in lines), bool, len(lines))
-    cut |= long_
-    cut[:-1] |= long_[1:]
     cut[-1] = True
-    out, first = [], 0
-    for end in (np.flatnonzero(cut) + 1).tolist():
-        while end - first > MOST_LINES:
-            out.append((first, first + MOST_LINES))
-            first += MOST_LINES
-        out.append((first, end))
-        first = end
-    return out
+    ends = (np.flatnonzero(cut) + 1).tolist()
+    return list(zip([0, *ends], ends, strict=False))
 
 
 def passages(lines: list[bytes]) -> list[tuple[int, int, bytes]]:
@@ -73,7 +62,7 @@ def passages(lines: list[bytes]) -> list[tuple[int, int, bytes]]:
     told = np.concatenate(([0], np.cumsum(size > 0)))
     for first, b in _cuts(lines):
         for a in (first, first + 1):
-            if sums[b] - sums[a] >= LONG_LINE or told[b] - told[a] > 1:
+            if told[b] - told[a] > 1:
                 at.add((a, b))
     raw, edge = b"\n".join(lines), np.concatenate(([0], np.cumsum([len(x) + 1 for x in lines]))).tolist()
     out, first = [], {}

@@ -20,17 +20,13 @@ def mixed(x):
 
 
 def plain_chunks(lines):
-    """(first, end) by the rule: a chunk ends at a local maximum of the rolling hash, around long lines, and after 64 lines."""
+    """(first, end) by the rule: a chunk ends at a local maximum of the rolling hash."""
     h = [xxhash.xxh3_64_intdigest(x) for x in lines]
     roll = [mixed(h[i] ^ ((h[i - 1] if i else 0) << 1 & FULL)) for i in range(len(h))]
-    long_ = [len(x.split()) >= 40 for x in lines]
     out, first = [], 0
     for i in range(len(lines)):
         peak = 0 < i < len(lines) - 1 and roll[i - 1] < roll[i] > roll[i + 1]
-        if peak or long_[i] or i + 1 == len(lines) or long_[i + 1]:
-            while i + 1 - first > 64:
-                out.append((first, first + 64))
-                first += 64
+        if peak or i + 1 == len(lines):
             out.append((first, i + 1))
             first = i + 1
     return out
@@ -55,7 +51,7 @@ def plain_passages(lines):
             out.add((a, i + 1))
     for first, e in plain_chunks(lines):
         for a in (first, first + 1):
-            if sum(n[a:e]) >= 40 or sum(x > 0 for x in n[a:e]) > 1:
+            if sum(x > 0 for x in n[a:e]) > 1:
                 out.add((a, e))
     kept, start = [], {}
     for a, e in sorted(out):
@@ -157,3 +153,9 @@ def test_a_line_without_end_keeps_one_passage(spark):
     got = {r.doc_id: r for r in line_dedup.dedup(df).collect()}
     assert got[2].text == "" and got[2].n_removed == 40
     assert got[1].text.split("\n") == [line] * 5
+
+
+def test_one_shared_line_of_under_fifty_words_stays(spark):
+    shared = " ".join(f"w{i}" for i in range(41))
+    df = spark.createDataFrame([(i, f"own {i} first\n{shared}\nown {i} last") for i in range(3)], "doc_id long, text string")
+    assert {r.n_removed for r in line_dedup.dedup(df).collect()} == {0}
