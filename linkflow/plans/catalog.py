@@ -7,6 +7,8 @@ for decisions. The pages' URLs rarely meet the rules, so each query derives URLs
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Callable
 
@@ -15,7 +17,8 @@ from pyspark.sql import functions as F
 
 from linkflow import schemas
 from linkflow.functions import dates, text, urls
-from linkflow.operators import articles, classify, diff, pages, publish
+from linkflow.functions.dom import BODY_PARENTS
+from linkflow.operators import articles, classify, diff, jsonld, pages, publish, remote
 from linkflow.settings import Settings
 from linkflow.sources import config, feeds, store
 from linkflow.streaming import bundles, cascade, incremental, lifecycle, windows
@@ -914,6 +917,137 @@ def _shared(spark: SparkSession) -> str:
     return (base or "/tmp/linkflow-scratch").rstrip("/")
 
 
+@query(
+    "jsonld_body",
+    "SELECT doc_id, CASE doc_id % 5 WHEN 3 THEN 'late ' || doc_id ELSE text END AS body FROM documents WHERE doc_id % 5 <> 4 AND (doc_id % 5 = 3 OR trim(regexp_replace(text, '\\s+', ' ', 'g')) <> '')",
+)
+def _(spark, d):
+    """The whole text of each document as the body of a JSON-LD object that is nested in one of four ways, or holds none."""
+    docs = read(spark, d, "documents", "doc_id", "text")
+    own = F.to_json(F.struct(F.col("text").alias("articleBody")))
+    first, last = BODY_PARENTS[0], BODY_PARENTS[-1]
+    late = F.concat(F.lit('[{"articleBody": " "}, {"%s": [{"x": 1}, {"articleBody": 7}]}, {"%s": {"articleBody": "late ' % (first, last)), F.col("doc_id").cast("string"), F.lit('"}}]'))
+    doc = F.expr("doc_id % 5")
+    text = F.when(doc == 0, own).when(doc == 1, F.concat(F.lit("[[], 3, "), own, F.lit("]"))).when(doc == 2, F.concat(F.lit('{"%s": [{"a": 1}, ' % last), own, F.lit("]}"))).when(doc == 3, late).otherwise(F.lit('{"body": "no"'))
+    return jsonld.bodies(docs.select("doc_id", text.alias("doc")), "doc_id", "doc", _keeper(spark))
+
+
+@query(
+    "seen_update",
+    "SELECT 's' || page_id % 7 AS source_id, url, CASE WHEN page_id % 2 = 0 THEN 'r1' ELSE 'r2' END AS first_seen, CASE WHEN page_id % 3 = 0 THEN 'ok' WHEN page_id % 2 = 0 THEN 'old' END AS content_status, "
+    "CASE WHEN page_id % 2 = 0 THEN 'T1' ELSE 'T2' END AS title FROM pages WHERE page_id % 2 = 0 OR page_id % 3 = 0 UNION ALL SELECT 's' || page_id % 7, url || '#from', 'r2', 'ok', 'T2' FROM pages WHERE page_id % 6 = 3",
+)
+def _(spark, d):
+    """Pages of even ids were seen; those of every third come again with content, half of them after a redirect."""
+    p = read(spark, d, "pages", "page_id", "url").withColumn("source_id", F.concat(F.lit("s"), (F.col("page_id") % 7).cast("string")))
+    none = F.lit(None).cast("string")
+    old = p.where("page_id % 2 = 0").select("source_id", "url", F.lit("T1").alias("title"), F.lit("r1").alias("first_seen"), F.lit("").alias("published_at"), F.lit("old").alias("content_status"), none.alias("content_sha256"), none.alias("content_fetched_at"))
+    came = p.where("page_id % 3 = 0").select(
+        "source_id", "url", F.lit("T2").alias("title"), F.lit("").alias("published_at"), F.lit("ok").alias("content_status"), F.lit("h").alias("content_sha256"), F.lit("now").alias("content_fetched_at"),
+        F.when(F.col("page_id") % 6 == 3, F.concat("url", F.lit("#from"))).otherwise(F.col("url")).alias("observed_url"),
+    )
+    return diff.update_seen(old, came, "r2", Settings(seen_cap=1_000_000_000)).select("source_id", "url", "first_seen", "content_status", "title")
+
+
+@query(
+    "candidate_cap",
+    f"WITH {_EV}, h AS (SELECT (max(pos) + 1) // 2 AS half FROM ev), c AS (SELECT source_id, 'u' || pos % 1000 AS url, max(CASE WHEN pos < half THEN 'r1' ELSE 'r2' END) AS last_seen, min(CASE WHEN pos < half THEN 'r1' ELSE 'r2' END) AS first_seen FROM ev, h GROUP BY ALL), "
+    f"r AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY last_seen DESC, url) AS nth FROM c) SELECT source_id, url, first_seen, last_seen FROM r WHERE nth <= 15",
+)
+def _(spark, d):
+    """Two looks of each source; the newest fifteen candidates stay."""
+    e = events(spark, d)
+    half = ((e.agg(F.max("pos")).first()[0] or 0) + 1) // 2
+    rows = e.select("source_id", "pos", F.concat(F.lit("u"), (F.col("pos") % 1000).cast("string")).alias("url"), F.lit("t").alias("title"), F.lit(False).alias("selected"), F.lit("").alias("selector"))
+    look = lambda cond: rows.where(cond).drop("pos").distinct()
+    none = spark.createDataFrame([], "source_id string, url string")
+    empty, wide, cap = spark.createDataFrame([], schemas.CANDIDATE_STATE), Settings(candidate_cap=1_000_000_000), Settings(candidate_cap=15)
+    one = diff.update_candidates(empty, look(F.col("pos") < half), "r1", none.select("source_id"), none, wide)
+    return diff.update_candidates(one, look(F.col("pos") >= half), "r2", none.select("source_id"), none, cap).select("source_id", "url", "first_seen", "last_seen")
+
+
+@query("feed_entry_cap", "SELECT doc_id, unnest([0, 1])::INT AS pos, 'https://h.example/' || doc_id || '/' || unnest([0, 1]) AS url FROM documents")
+def _(spark, d):
+    """Feeds of three entries, of which two count."""
+    item = lambda i: F.concat(F.lit("<item><link>https://h.example/"), F.col("doc_id").cast("string"), F.lit(f"/{i}</link></item>"))
+    docs = read(spark, d, "documents", "doc_id").select("doc_id", F.concat(F.lit("<rss><channel>"), *[item(i) for i in range(3)], F.lit("</channel></rss>")).alias("body"))
+    return feeds.parse(docs, limit=2).select("doc_id", "pos", "url")
+
+
+@query(
+    "feed_window",
+    f"WITH {_FEED} SELECT min(created_at) AS start, max(created_at) AS end, coalesce(nullif((epoch_us(max(created_at)::TIMESTAMP) - epoch_us(min(created_at)::TIMESTAMP)) // 3600000000, 0), 24)::BIGINT AS hours FROM fi",
+)
+def _(spark, d):
+    return publish.window(_feed(spark, d), "created_at", "", "")
+
+
+@query(
+    "bundle_sorted",
+    "WITH p AS (SELECT page_id, page_id // 2 AS k, concat('2026-01-0', 1 + page_id % 9) AS t FROM pages), m AS (SELECT k, arg_max(t, page_id) AS t, min(page_id) AS place FROM p GROUP BY k) "
+    "SELECT 'k' || k AS external_id, t AS \"at\", row_number() OVER (ORDER BY t DESC, place % 2, place)::BIGINT AS place FROM m",
+)
+def _(spark, d):
+    """A day's bundle after a rerun (even pages, then odd ones under the same ids), newest first."""
+    p = read(spark, d, "pages", "page_id").select(
+        F.concat(F.lit("k"), F.floor(F.col("page_id") / 2).cast("string")).alias("external_id"), F.concat(F.lit("2026-01-0"), (F.col("page_id") % 9 + 1).cast("string")).alias("at"), F.col("page_id").alias("pos"),
+    )
+    day = articles.merge(p.where("pos % 2 = 0"), p.where("pos % 2 = 1"), "external_id", "pos")
+    placed = publish.places(day.select("external_id", "at", "pos.side", F.col("pos.pos").alias("pos")), [F.desc("at"), F.asc("side"), F.asc("pos")], _keeper(spark))
+    return placed.select("external_id", "at", "place")
+
+
+@query("mode_counts", f"WITH {_SRC} SELECT m AS collect_mode, count(*) AS n FROM sr GROUP BY m")
+def _(spark, d):
+    return config.mode_counts(read(spark, d, "pages", "page_id").select(F.expr(_SRC_MODE).alias("collect_mode")))
+
+
+@query("requested_ids", "SELECT 'p' || page_id AS id, false AS missing FROM pages WHERE page_id IN (1, 5, 8) UNION ALL SELECT 'nope', true")
+def _(spark, d):
+    """The sources that were asked for by id, and the ids that no source has."""
+    sources = read(spark, d, "pages", "page_id").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"))
+    have, missing = config.select_ids(sources, ["p1", "p5", "p8", "nope"])
+    return have.select("id", F.lit(False).alias("missing")).union(missing.select("id", F.lit(True).alias("missing")))
+
+
+def _every_other(prompt: str, temperature: float) -> tuple[str, dict]:
+    """A model that picks the rows of even ids, backwards, and some that were not shown."""
+    ids = [int(x) for x in re.findall(r'^\{"id":(\d+)', prompt, re.M)]
+    key = "content_block_ids" if "content_block_ids" in prompt else "article_ids"
+    return json.dumps({key: [9999, *[i for i in reversed(ids) if i % 2 == 0], "x"]}), {"total_tokens": len(ids)}
+
+
+@query("model_picks", f"WITH {_LINKED} SELECT page_id, link_url FROM cand WHERE rank <= 80 AND rank % 2 = 1")
+def _(spark, d):
+    """The candidate classifier with a fixed model, which picks every other link that it is shown."""
+    c = pages.candidates(_linked(spark, d)).select("page_id", "pos", "link_url", "title", "context")
+    return remote.article_picks(c, _every_other)[0].select("page_id", "link_url")
+
+
+@query(
+    "model_usage",
+    f"WITH {_LINKED}, c AS (SELECT page_id, least(count(*), 80) AS n FROM cand GROUP BY page_id) SELECT count(*) AS requests, count(*) AS calls, 0::BIGINT AS failed, sum(n)::BIGINT AS total_tokens FROM c",
+)
+def _(spark, d):
+    c = pages.candidates(_linked(spark, d)).select("page_id", "pos", "link_url", "title", "context")
+    return remote.usage(remote.article_picks(c, _every_other)[1]).select("requests", "calls", "failed", "total_tokens")
+
+
+@query(
+    "model_blocks",
+    f"WITH {_PARA}, f AS (SELECT *, length(text)::INT AS chars, row_number() OVER (PARTITION BY page_id, text ORDER BY pos) AS nth FROM pb WHERE length(text) >= 120), r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY least(chars, 60000) DESC, chars DESC, pos) AS rank FROM f WHERE nth = 1) "
+    f"SELECT page_id, rank::INT AS rank, (row_number() OVER (PARTITION BY page_id ORDER BY rank DESC))::INT AS place FROM r WHERE rank <= 12 AND rank % 2 = 1",
+)
+def _(spark, d):
+    """The block selector with the fixed model over the lines of documents: which blocks it picks, and in which order."""
+    lines = read(spark, d, "documents", "doc_id", "text").select(F.col("doc_id").alias("page_id"), F.posexplode(F.split("text", "\n")).alias("pos", "text"))
+    blocks = pages.rank_blocks(lines.withColumn("kind", F.lit("line")).withColumn("link_chars", F.lit(0)), "page_id")
+    titles = read(spark, d, "documents", "doc_id").select(F.col("doc_id").alias("page_id"), F.lit("t").alias("title"))
+    chosen, _said = remote.block_picks(blocks, titles, _every_other)
+    place = F.row_number().over(Window.partitionBy("page_id").orderBy("nth"))
+    return chosen.select("page_id", "rank", place.alias("place"))
+
+
 def _keeper(spark: SparkSession):
     """Saves tables in the shared folder."""
     base = f"{_shared(spark)}/linkflow/keep-{uuid.uuid4().hex}"
