@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linkflow.llm import decontaminate, jaccard, mixing, token_planes
 from linkflow.llm import quality as quality_model
-from linkflow.llm.common import id_crc, save, table
+from linkflow.llm.common import id_crc, release, save, table
 
 CACHE_WORDS = 150_000
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -48,6 +48,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = save(stage(spark, docs, sf_dir), f"stage-{name}")
+        # What a stage has read is of no more use once its result is saved.
+        if before is not None:
+            release(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
