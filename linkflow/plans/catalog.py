@@ -1059,6 +1059,19 @@ def _keeper(spark: SparkSession):
     return keep
 
 
+@query(
+    "bucketed_new_urls",
+    f"WITH {_OBS} SELECT DISTINCT source_id, url FROM obs WHERE run = 4 AND (source_id, url) NOT IN (SELECT source_id, url FROM obs WHERE run < 4)",
+)
+def _(spark, d):
+    """What the last run shows that a state in buckets does not hold; the state is not shuffled."""
+    o = observed(spark, d)
+    path = f"{_shared(spark)}/linkflow/buckets-{uuid.uuid4().hex}"
+    store.write_buckets(o.where("run < 4").select("source_id", "url", "title"), path)
+    seen = store.read_buckets(spark, path, "source_id string, url string, title string")
+    return diff.new_urls(o.where("run = 4").select("source_id", "url").distinct(), seen)
+
+
 def _in_turns(spark: SparkSession, rows: DataFrame, turns: int, begin) -> str:
     """Lets rows arrive in ``turns`` by their column ``turn``: a stream starts anew on its checkpoint for each, ``begin(stream, base)``."""
     base = f"{_shared(spark)}/linkflow/stream-{uuid.uuid4().hex}"

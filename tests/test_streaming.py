@@ -91,3 +91,35 @@ def test_access_remembers_and_forgets(spark, tmp_path):
         cascade.start(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), f"{tmp_path}/table", f"{tmp_path}/check").awaitTermination()
     got = sorted((r.pos, r.streak, r.forget, r.resolved) for r in cascade.table(spark, f"{tmp_path}/table").read().collect())
     assert got == [(0, 0, False, "f0"), (1, 1, False, "f0"), (2, 2, False, "f0"), (3, 3, True, None), (4, 4, True, None), (5, 0, False, "f5")]
+
+
+def test_state_in_buckets_is_not_shuffled(spark, tmp_path):
+    from linkflow.sources import store
+    from pyspark.sql import functions as F
+
+    seen = spark.range(400).select(F.concat(F.lit("s"), F.col("id") % 7).alias("source_id"), F.concat(F.lit("u"), "id").alias("url"), *[F.lit(x).alias(c) for c, x in (("title", "t"), ("first_seen", "r1"), ("published_at", ""))], *[F.lit(None).cast("string").alias(c) for c in ("content_status", "content_sha256", "content_fetched_at")])
+    store.write_buckets(seen, f"{tmp_path}/b")
+    assert len(list((tmp_path / "b").glob("*.parquet"))) <= store.BUCKETS
+    held = store.read_buckets(spark, f"{tmp_path}/b", schemas.SEEN)
+    new = spark.range(390, 410).select(F.concat(F.lit("s"), F.col("id") % 7).alias("source_id"), F.concat(F.lit("u"), "id").alias("url"), F.lit("t2").alias("title"), F.lit("").alias("published_at"), F.lit("ok").alias("content_status"), F.lit("h").alias("content_sha256"), F.lit("n").alias("content_fetched_at"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh, after = diff.new_urls(new, held), diff.update_seen(held, new, "r2", Settings(seen_cap=50))
+        for df in (fresh, after):
+            lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+            at = next(i for i, x in enumerate(lines) if "FileScan" in x)
+            # Above the scan of the state, up to the join, nothing is shuffled.
+            depth = lambda x: len(x) - len(x.lstrip(" :+-*()0123456789"))
+            above, d = [], depth(lines[at])
+            for x in reversed(lines[:at]):
+                if depth(x) < d:
+                    above.append(x)
+                    d = depth(x)
+            above = above[: next(i for i, x in enumerate(above) if "Join" in x) + 1]
+            assert not any("Exchange" in x for x in above), above
+        assert fresh.count() == 10 and after.count() == 7 * 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = diff.update_seen(seen, new, "r2", Settings(seen_cap=50))
+    assert rows(after, *after.columns) == rows(want, *after.columns)
