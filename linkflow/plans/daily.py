@@ -191,6 +191,8 @@ def run(
     s = settings or Settings()
     version = store.next_version(spark, state_path)
     keep = collect.keeper(f"{state_path}/work/v={version}")
+    # What the run before has kept for itself; its results may have been read until now.
+    store.delete(spark, f"{state_path}/work/v={version - 1}")
     state = store.load_state(spark, state_path)
     enabled = config.enabled(sources)
     got = collect.collect(enabled, state, keep, world, s)

@@ -195,3 +195,27 @@ def test_the_command_runs_and_strict_settings_fail_it(spark, tmp_path, monkeypat
     argv = ["run", f"{tmp_path}/s.yaml", f"{tmp_path}/state", f"{tmp_path}/out", "--served", f"{tmp_path}/w.json"]
     assert daily.main(argv) == 1
     assert daily.main([]) == 2
+
+
+def test_two_sources_of_one_url_keep_their_own_rules_and_content(spark):
+    page = {**article(), "final_url": "https://cdn.example/1"}
+    new = spark.createDataFrame(
+        [(s, "a:1", "https://p.com/1", f"https://{h}/", "html_llm", "T", None, "", i) for i, (s, h) in enumerate([("strict", "p.com"), ("open", "p.com")])],
+        "source_id string, external_id string, url string, home_url string, collect_mode string, title string, content_html string, summary string, pos int",
+    )
+    src = spark.createDataFrame([("strict", False, True, []), ("open", False, True, ["cdn.example"])], "source_id string, browser_fallback boolean, verify boolean, allowed_hosts array<string>")
+    keep = lambda df, name: df.cache()
+    got = daily.with_content(new, src, "now", keep, World(OPTIONS, {"https://p.com/1": page}), Settings(), [])
+    assert {r.source_id: (r.content_status, r.content_via, r.content_error) for r in got.collect()} == {
+        "strict": ("failed", "", "http:redirect_host:cdn.example"), "open": ("ok", "http", None),
+    }
+
+
+def test_articles_that_redirects_lead_to_one_url_become_one(spark):
+    from linkflow.operators import articles
+
+    rows = [("s", "a:1", "u", "u/old", "first", 3), ("s", "a:1", "u", "u/new", "second", 5), ("t", "a:1", "u", "u", "other", 4)]
+    df = spark.createDataFrame(rows, "source_id string, external_id string, url string, observed_url string, title string, pos int")
+    one, observed = articles.once_per_id(df)
+    assert sorted((r.source_id, r.title, r.pos) for r in one.collect()) == [("s", "second", 3), ("t", "other", 4)]
+    assert {r.observed_url for r in observed.collect()} == {"u/old", "u/new", "u"}

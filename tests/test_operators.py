@@ -228,3 +228,31 @@ def test_texts_keep_every_row_and_column(spark):
     assert got == sorted([(None, 1, "a", "article"), (None, 2, "bb", "article"), ("k", 3, "", "empty"), ("k", 3, "", "empty"), ("k", 4, "", "empty"), ("p", 5, "plain < x", "plain")], key=str)
     assert "Exchange" not in pages.texts(df)._jdf.queryExecution().executedPlan().toString()
     assert [r.html for r in pages.cleaned(df.where("pos = 5"), "html").collect()] == ["plain < x"]
+
+
+def test_json_ld_bodies_by_variants_equal_the_walk(spark):
+    import random
+
+    from linkflow.functions import dom
+    from linkflow.operators import jsonld
+
+    rng = random.Random(3)
+
+    def value(depth):
+        kind = rng.randrange(6 if depth else 3)
+        if kind == 0:
+            return rng.choice(["", "text", None, 7, True])
+        if kind in (1, 2):
+            return {"articleBody": rng.choice(["", "  \n ", "body %d" % rng.randrange(9), 5, None, ["x"]]), "name": "n"} if rng.random() < 0.5 else {"name": "n"}
+        if kind == 3:
+            return [value(depth - 1) for _ in range(rng.randrange(4))]
+        keys = rng.sample([*dom.BODY_PARENTS, "other"], rng.randrange(1, 4))
+        return {k: value(depth - 1) for k in keys}
+
+    docs = [json.dumps(value(5)) for _ in range(900)] + ["", "{", "[]", "null", '"articleBody"']
+    want = {i: dom.article_body(dom.Page(f'<script type="application/ld+json">{t}</script>')) for i, t in enumerate(docs)}
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, doc string")
+    got = jsonld.bodies(df, "id", "doc", lambda x, _: x.cache())
+    assert {r.id: r.body for r in got.collect()} == {i: t for i, t in want.items() if t} and len([t for t in want.values() if t]) > 50
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
