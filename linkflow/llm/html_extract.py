@@ -2,7 +2,8 @@
 
 A page is cut into tags and text by one regular expression, and a tree of elements is built with
 HTML's implied end tags. Text gathers in blocks. Each paragraph passes points for its length and
-its commas to its ancestors (half of them per level); an element's points are discounted by its
+its commas to its ancestors (half of them per level; items of lists and cells of tables to what holds
+the list or table, which is never the best element itself); an element's points are discounted by its
 link density. The best element, or the ``article``/``main`` that holds it, and those of its
 siblings that read like text are kept, without boilerplate elements inside. An element is also
 boilerplate by a name in its class or id (``STATES`` such as ``has-sidebar`` are no such names); but
@@ -36,6 +37,8 @@ BOILERPLATE = frozenset("nav header footer aside form menu button select option
 BLOCK = frozenset(
     "html body article section main div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre hr figure figcaption address details summary center nav header footer aside form menu fieldset dialog head".split()
 )
+#: Parts of lists and tables: their items' points go to what holds the list or table.
+FRAME = frozenset("ul ol dl menu table thead tbody tfoot tr".split())
 PARAGRAPH = frozenset("p pre blockquote td li dd h1 h2 h3 h4 h5 h6 figcaption".split())
 # A start tag of the key's kind closes an open element of the values, up to the nearest limit.
 CLOSES = {
@@ -206,7 +209,10 @@ class _Page:
             paragraph = self.tag[at] in PARAGRAPH
             if paragraph or len(text) >= 25:
                 got = 1 + text.count(",") + text.count("，") + text.count("、") + min(len(text) / 100, 3)
-                points[self.parent[at] if paragraph else at] += got
+                to = self.parent[at] if paragraph else at
+                while self.tag[to] in FRAME:
+                    to = self.parent[to]
+                points[to] += got
         # Children have larger numbers than their parents: sums, and half of the points, pass upwards.
         for i in range(n - 1, 0, -1):
             up = self.parent[i]

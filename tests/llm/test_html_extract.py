@@ -91,3 +91,52 @@ def test_deep_pages_take_linear_time():
     assert html_extract.main_text(deep).startswith("A paragraph")
     assert html_extract.main_text("<p>x</b>" * 30_000).count("x") == 30_000
     assert time.perf_counter() - t < 30
+
+
+def test_generated_pages_against_their_construction(spark):
+    """Pages are built at random from an article whose text is known, and parts around and inside it that are none."""
+    import random
+
+    rng = random.Random(11)
+    word = lambda: rng.choice("lorem ipsum dolor sit amet consetetur é ü &amp; &lt;x&gt; 日本 100&nbsp;km &#8211;".split())
+    prose = lambda n: " ".join(word() for _ in range(n)) + ", and so on."
+    plain = lambda t: " ".join(html.unescape(t).split())
+    noise = [
+        lambda: f"<nav><ul>{''.join(f'<li><a href=/{i}>{word()}</a></li>' for i in range(5))}</ul></nav>", lambda: f"<aside><p>{prose(20)}</p></aside>", lambda: f"<div class='ad-box'>{prose(10)}</div>",
+        lambda: f"<form><p>{prose(5)}</p><input name=q><button>Go</button></form>", lambda: f"<script>var a = '{word()}</p>';</script>", lambda: f"<style>p {{ color: {rng.randrange(9)} }}</style>",
+        lambda: f"<section id=comments><div class=comment><p>{prose(40)}</p></div></section>", lambda: f"<!-- {prose(9)} -->", lambda: f"<div class='cookie-notice'><p>{prose(12)}</p></div>",
+    ]
+
+    def block(out):
+        kind = rng.randrange(6)
+        t = prose(rng.randrange(12, 60))
+        if kind == 0:
+            out.append(plain(t))
+            return f"<h2>{t}</h2>"
+        if kind == 1:
+            items = [prose(6) for _ in range(rng.randrange(1, 5))]
+            out += map(plain, items)
+            return "<ul>" + "".join(f"<li>{i}" + rng.choice(["", "</li>"]) for i in items) + "</ul>"
+        if kind == 2:
+            return f"<section>{block(out)}{block(out)}</section>"
+        if kind == 3:
+            a, b = prose(15), prose(15)
+            out.append(plain(f"{a} {b}"))
+            return f"<p>{a}<br>\n {b}" + rng.choice(["", "</p>"])
+        if kind == 4:
+            cells = [prose(5) for _ in range(3)]
+            out += map(plain, cells)
+            return "<table><tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr></table>"
+        out.append(plain(t))
+        return rng.choice([f"<p>{t}</p>", f"<blockquote>{t}</blockquote>", f"<p><b>{t}</b></p>", f"<P CLASS=x>{t}</P>"])
+
+    rows, want = [], {}
+    for i in range(300):
+        out: list[str] = []
+        inner = "".join(block(out) + (rng.choice(noise)() if rng.random() < 0.3 else "") for _ in range(rng.randrange(3, 9)))
+        tag = rng.choice(["article", "main", "div class='story'"])
+        around = lambda: "".join(rng.choice(noise)() for _ in range(rng.randrange(3)))
+        rows.append((i, "u", f"<html><head><title>{word()}</title></head><body><header>{prose(4)}</header>{around()}<{tag}>{inner}</{tag.split()[0]}>{around()}<footer>{prose(4)}</footer></body></html>"))
+        want[i] = "\n".join(out)
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
