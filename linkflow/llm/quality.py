@@ -5,8 +5,7 @@ word pairs, hashed into ``HASHED`` signed counts, and from shares of character c
 repetition; one learned layer turns that into an embedding, gated attention (tanh times sigmoid)
 weights the passages, and a linear layer scores the weighted sum. Only document labels are used. The
 network is small, so it is trained on the driver from a bounded sample of labelled documents
-(``TRAIN_DOCS``, of which long ones give ``TRAIN_PASSAGES`` evenly spaced passages) and broadcast;
-scores are of all passages of whole texts.
+(``TRAIN_DOCS``) and broadcast; training and scores are of all passages of whole texts.
 
 Defined results: null or empty text is one passage without words and gets that passage's score;
 without usable labels every score is 0.5; a document with several labels counts by their mean;
@@ -25,8 +24,8 @@ from pyspark.sql import functions as F
 from linkflow.llm.common import batch, mix64, trimmed, word_hashes
 
 PASSAGE = 64
-#: Labelled documents that the network is trained on, at most (expected; chosen by hash), and passages of each.
-TRAIN_DOCS, TRAIN_PASSAGES = 4000, 64
+#: Labelled documents that the network is trained on, at most (expected; chosen by hash).
+TRAIN_DOCS = 4000
 HIDDEN, GATE, RATE, DECAY = 24, 12, 0.005, 1e-4
 #: Documents a step, and passes over the sample (small samples get ``STEPS`` steps at least).
 BATCH, EPOCHS, STEPS = 256, 30, 400
@@ -171,7 +170,6 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", usable: Col
     def run(batches):
         for b in batches:
             bags = [encode(t.as_py()) for t in b.column(1)]
-            bags = [x if len(x) <= TRAIN_PASSAGES else x[np.linspace(0, len(x) - 1, TRAIN_PASSAGES).astype(int)] for x in bags]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x.tobytes() for x in bags], pa.binary())], names=["doc_id", "label", "x"])
 
     both = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "label")
