@@ -68,7 +68,8 @@ def update_candidates(state: DataFrame, observed: DataFrame, now: str, initializ
     now_seen = F.col("selected").isNotNull()
     chosen = F.coalesce("selected", F.lit(False))
     out = rows.select(
-        "source_id", "url", F.coalesce(F.nullif("title", F.lit("")), "old_title").alias("title"), F.coalesce("old_first_seen", F.lit(now)).alias("first_seen"), F.when(now_seen, F.lit(now)).otherwise(F.col("old_last_seen")).alias("last_seen"),
+        "source_id", "url", F.coalesce(F.nullif("title", F.lit("")), "old_title").alias("title"),
+        F.coalesce("old_first_seen", F.lit(now)).alias("first_seen"), F.when(now_seen, F.lit(now)).otherwise(F.col("old_last_seen")).alias("last_seen"),
         F.when(fresh, F.col("ready").isNull() | F.col("was_seen").isNotNull()).otherwise(F.col("old_baseline")).alias("baseline"), (chosen | F.coalesce("old_selected", F.lit(False))).alias("selected"),
         F.when(chosen, F.lit(now)).otherwise(F.col("old_last_selected")).alias("last_selected"), F.when(chosen, F.col("selector")).otherwise(F.col("old_selector")).alias("selector"),
     )

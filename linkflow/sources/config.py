@@ -24,8 +24,10 @@ def from_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
             continue
         ssl = r.get("ssl_verify")
         out.append((
-            text(r, "id"), text(r, "name") or text(r, "id"), text(r, "home_url"), text(r, "rss_url"), text(r, "collect_mode").lower() or "auto", words(r, "tags"), bool(r.get("enabled", True)), bool(r.get("browser_fallback", False)),
-            None if ssl is None else bool(ssl), text(r, "notes"), words(r, "allowed_hosts"), words(r, "strip_query_keys"), text(r, "access_status").lower() or "direct", text(r, "access_issue"), text(r, "access_tested_at"), text(r, "access_tested_via"),
+            text(r, "id"), text(r, "name") or text(r, "id"), text(r, "home_url"), text(r, "rss_url"), text(r, "collect_mode").lower() or "auto",
+            words(r, "tags"), bool(r.get("enabled", True)), bool(r.get("browser_fallback", False)), None if ssl is None else bool(ssl), text(r, "notes"),
+            words(r, "allowed_hosts"), words(r, "strip_query_keys"), text(r, "access_status").lower() or "direct", text(r, "access_issue"),
+            text(r, "access_tested_at"), text(r, "access_tested_via"),
         ))
     return spark.createDataFrame(out, schemas.SOURCE)
 
@@ -54,8 +56,13 @@ def strict(sources: DataFrame) -> DataFrame:
 def _rules() -> list[tuple[str, Column]]:
     c = F.col
     return [
-        ("auto mode", c("collect_mode") == "auto"), ("unknown mode", ~c("collect_mode").isin(*COLLECT_MODES)), ("unknown access status", ~c("access_status").isin(*ACCESS_STATUSES)), ("rss needs rss_url", (c("collect_mode") == "rss") & (c("rss_url") == "")),
-        ("browser mode needs browser_fallback", (c("collect_mode") == "browser_llm") & ~c("browser_fallback")), ("browser_required needs browser_fallback", (c("access_status") == "browser_required") & ~c("browser_fallback")), ("blocked but enabled", (c("access_status") == "blocked") & c("enabled")),
+        ("auto mode", c("collect_mode") == "auto"),
+        ("unknown mode", ~c("collect_mode").isin(*COLLECT_MODES)),
+        ("unknown access status", ~c("access_status").isin(*ACCESS_STATUSES)),
+        ("rss needs rss_url", (c("collect_mode") == "rss") & (c("rss_url") == "")),
+        ("browser mode needs browser_fallback", (c("collect_mode") == "browser_llm") & ~c("browser_fallback")),
+        ("browser_required needs browser_fallback", (c("access_status") == "browser_required") & ~c("browser_fallback")),
+        ("blocked but enabled", (c("access_status") == "blocked") & c("enabled")),
     ]
 
 

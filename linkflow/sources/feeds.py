@@ -15,7 +15,11 @@ from linkflow.settings import Settings
 from linkflow.sources import fetch
 
 _LINK = "struct<_VALUE:string,_href:string,_rel:string,_type:string>"
-ENTRY = f"title string, link array<{_LINK}>, guid string, id string, description string, summary string, `content:encoded` string, content array<struct<_VALUE:string,_type:string>>, pubDate string, published string, updated string, created string, author struct<_VALUE:string,name:string>, `dc:creator` string, `dc:date` string"
+ENTRY = (
+    f"title string, link array<{_LINK}>, guid string, id string, description string, summary string, `content:encoded` string, "
+    "content array<struct<_VALUE:string,_type:string>>, pubDate string, published string, updated string, created string, "
+    "author struct<_VALUE:string,name:string>, `dc:creator` string, `dc:date` string"
+)
 _ITEM = r"(?s)(<(?:item|entry)\b.*?</(?:item|entry)>)"
 
 
