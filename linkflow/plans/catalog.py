@@ -966,6 +966,48 @@ def _(spark, d):
     return diff.update_candidates(one, look(F.col("pos") >= half), "r2", none.select("source_id"), none, cap).select("source_id", "url", "first_seen", "last_seen")
 
 
+_PATHS = "[" + ", ".join(f"'{x}'" for x in feeds.COMMON_PATHS) + "]"
+
+
+@query(
+    "feed_guesses",
+    f"WITH h AS (SELECT DISTINCT url AS home FROM pages), b AS (SELECT home, regexp_extract(home, '^[^:]+', 0) || '://' || {_host('home')} || '/' AS origin, regexp_replace(regexp_extract(home, '^[^?#]*', 0), '/+$', '') || '/' AS below FROM h), "
+    f"g AS (SELECT home, unnest(list_concat(list_transform({_PATHS}, lambda p: origin || p), list_transform({_PATHS}, lambda p: below || p))) AS url, unnest(range(0, {2 * len(feeds.COMMON_PATHS)})) AS pos FROM b) "
+    f"SELECT home AS home_url, (min(pos) + 10000)::INT AS pos, url FROM g GROUP BY home, url",
+)
+def _(spark, d):
+    """Where discovery looks for feeds of each page taken as a home page, in which order."""
+    homes = read(spark, d, "pages", "url").select(F.col("url").alias("home_url")).distinct()
+    none = spark.createDataFrame([], "home_url string, pos int, href string")
+    return feeds.feed_candidates(homes, none).select("home_url", "pos", "url")
+
+
+@query(
+    "feed_links",
+    "SELECT page_id, i::INT AS pos, CASE i WHEN 0 THEN '/rss/' || page_id ELSE 'atom' || page_id END AS href FROM pages, (SELECT unnest([0, 1]) AS i) WHERE i = 0 OR page_id % 2 = 0",
+)
+def _(spark, d):
+    """The alternate links of pages whose heads name a feed or two, and a style sheet."""
+    tag = lambda kind, href: F.concat(F.lit(f"<link rel='Alternate' type='application/{kind}+xml' href='"), href, F.lit("'>"))
+    pid = F.col("page_id").cast("string")
+    head = F.concat(F.lit("<link rel=stylesheet type=text/css href=s.css>"), tag("rss", F.concat(F.lit("/rss/"), pid)), F.when(F.col("page_id") % 2 == 0, tag("atom", F.concat(F.lit("atom"), pid))).otherwise(""))
+    p = read(spark, d, "pages", "page_id", "html").select("page_id", F.concat(head, "html").alias("html"))
+    return pages.feed_links(p).select("page_id", "pos", "href")
+
+
+@query(
+    "archived_and_emitted",
+    f"WITH {_EV}, h AS (SELECT max(pos) // 2 AS half FROM ev), a AS (SELECT 'k' || pos % 37 AS external_id, pos, via, pos >= half AS fresh FROM ev, h WHERE pos >= half OR strftime(ts, '%Y-%m-%d') = '2024-01-05'), "
+    f"f AS (SELECT external_id, arg_min(via, pos) FILTER (NOT fresh) AS first, arg_max(via, pos) FILTER (fresh) AS last FROM a GROUP BY external_id) SELECT external_id, coalesce(last, first) AS via FROM f",
+)
+def _(spark, d):
+    """A day's archived articles (the first record of each) and what a later run has emitted, which wins."""
+    e = events(spark, d).select(F.concat(F.lit("k"), (F.col("pos") % 37).cast("string")).alias("external_id"), F.lit("").alias("url"), "via", "pos", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("collected_at"))
+    half = (e.agg(F.max("pos")).first()[0] or 0) // 2
+    old = articles.first_of_day(e.where(F.col("pos") < half), "2024-01-05")
+    return articles.merge(old, e.where(F.col("pos") >= half).select(*old.columns), "external_id", "pos").select("external_id", "via")
+
+
 @query("feed_entry_cap", "SELECT doc_id, unnest([0, 1])::INT AS pos, 'https://h.example/' || doc_id || '/' || unnest([0, 1]) AS url FROM documents")
 def _(spark, d):
     """Feeds of three entries, of which two count."""
