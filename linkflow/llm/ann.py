@@ -7,10 +7,18 @@ have the largest inner products with it; in each list, asymmetric distance table
 quantised vectors) rank the entries, the best ``RERANK`` are reranked by the inner product of the
 original vectors in double precision, and the lists' best are merged.
 
+An exact check follows, so that no row is missed, whatever the vectors' lengths and spread. Within a
+list, an entry's inner product is at most that of its quantised vector plus the length of the query
+times the length of what the codes leave out: entries that by this bound may beat the k-th best are
+weighed too. Then the k-th best of all probed lists is a threshold: every other list is asked whose
+centroid's inner product, plus the query's length times the list's radius, reaches it. Lists and
+entries within clusters are ruled out so; vectors without structure are in the end all compared.
+
 How many lists a query probes is measured, not set: for some sample vectors as queries, the true
 neighbours within the sample are found by brute force, and the least number of probes is taken that
 reaches the lists of a share ``TARGET`` of them. Vectors in clusters need few lists; vectors without
-structure (such as independent directions on a sphere) need most of them.
+structure (such as independent directions on a sphere) need most of them. The index is fitted and asked
+in a scale (a power of two) in which no component is above 1, so large numbers do not overflow.
 
 A list longer than ``PART`` is split, and so are the queries of a list; each pair of parts is one
 task's work, so a list that holds a third of all vectors is shared out. A query's best of its lists
@@ -19,7 +27,7 @@ codes, and ties are ordered by vec_id at every step.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or
 non-finite components take no part, and neither do rows with a null vec_id; rows that share a
-query's vec_id are its own; with fewer candidates than asked for, all that were probed are returned;
+query's vec_id are its own; with fewer candidates than asked for, all are returned;
 an empty table gives no rows; extra columns are not carried.
 """
 
@@ -31,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from linkflow.llm.common import batch, save
 
@@ -42,6 +51,10 @@ TARGET, TRIALS, PROBE_LEAST = 0.965, 400, 16
 SUBSPACES, CODES = 16, 256
 RERANK = 60
 PART, QUERY_PART = 8192, 2048
+#: Room for rounding, as a share of the greatest inner product there can be: of sums in single and in double precision.
+ROOM, FINE_ROOM = 1e-5, 1e-12
+#: Vectors that one batch of routed queries holds.
+ROUTED = 1 << 15
 NEIGHBOURS = 20
 
 
@@ -102,23 +115,38 @@ class Index:
         depth = np.sort(np.concatenate(depth)) if depth else np.zeros(0, int)
         return min(lists, max(PROBE_LEAST, int(depth[min(len(depth) - 1, math.ceil(target * len(depth)))]) + 1 if len(depth) else lists))
 
+    def ruled_in(self, q: np.ndarray, radius: np.ndarray, least: np.ndarray, done: int) -> np.ndarray:
+        """Which lists beyond a query's first ``done`` may hold an inner product of ``least`` or more."""
+        near, size = q @ self.centroids.T, np.sqrt((q * q).sum(1))[:, None]
+        room = FINE_ROOM * size * (np.sqrt((self.centroids**2).sum(1)) + radius)
+        out = near + size * radius + room >= least[:, None]
+        np.put_along_axis(out, self.probes(q, done), False, 1)
+        return out & (radius >= 0)
+
     def search(
-        self, cell: int, code: np.ndarray, ids: np.ndarray, x: np.ndarray, qid: np.ndarray, q: np.ndarray, k: int, rerank: int = RERANK
+        self, cell: int, code: np.ndarray, ids: np.ndarray, x: np.ndarray, qid: np.ndarray, q: np.ndarray, k: int, rerank: int = RERANK,
+        least: np.ndarray | None = None, unit: float = 1.0
     ) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per query the ids and exact scores of the best k of one part of a list."""
+        """Per query the ids and exact scores of the best k of one part of a list, of those that reach ``least``.
+
+        ``x`` and ``q`` are the original vectors, ``unit`` leads to the scale of the index.
+        """
         order = np.argsort(ids, kind="stable")
         ids, code, x = ids[order], code[order], x[order]
+        xs, qs = x * unit, q * unit
         # One row of all queries' table entries per code, so that a look-up copies a row.
-        tables = [(book @ q[:, a:b].T).astype(np.float32) for a, b, book in zip(self.cuts, self.cuts[1:], self.books, strict=False)]
-        near = np.broadcast_to((q @ self.centroids[cell]).astype(np.float32), (len(ids), len(q))).copy()
+        tables = [(book @ qs[:, a:b].T).astype(np.float32) for a, b, book in zip(self.cuts, self.cuts[1:], self.books, strict=False)]
+        near = np.broadcast_to((qs @ self.centroids[cell]).astype(np.float32), (len(ids), len(q))).copy()
         for m, t in enumerate(tables):
             near += t[code[:, m]]
         near = np.ascontiguousarray(near.T)
+        own = np.zeros(near.shape, bool)
         where = np.searchsorted(ids, qid)
         for i in np.flatnonzero(where < len(ids)):
-            near[i, where[i] : np.searchsorted(ids, qid[i], "right")] = -np.inf
-        out = []
-        take = min(rerank + 1, len(ids))
+            own[i, where[i] : np.searchsorted(ids, qid[i], "right")] = True
+        near[own] = -np.inf
+        tops, take = [], min(rerank + 1, len(ids))
+        kth = np.full(len(q), -np.inf)
         for i in range(len(q)):
             row = near[i]
             if take < len(ids):
@@ -128,16 +156,38 @@ class Index:
                 top = np.concatenate((top, np.flatnonzero(row == cut)[: take - len(top)]))
             else:
                 top = np.arange(len(ids))
-            top = top[ids[top] != qid[i]]
+            top = top[~own[i, top]]
             exact = (x[top] * q[i]).sum(1)
+            if len(top) >= k:
+                kth[i] = np.partition(exact, len(top) - k)[len(top) - k] * unit * unit
+            tops.append((top, exact))
+        if least is not None:
+            kth = np.maximum(kth, least)
+        if take < len(ids):
+            # What the codes leave out bounds what the quantised vectors may hide.
+            kept = self.centroids[cell] + np.concatenate([book[code[:, m]] for m, book in enumerate(self.books)], 1)
+            lost, size = np.sqrt(((xs - kept) ** 2).sum(1)), np.sqrt((qs * qs).sum(1))[:, None]
+            reach = size * (np.sqrt((kept * kept).sum(1)) + np.sqrt((self.centroids[cell] ** 2).sum()) + lost)
+            may = (near + size * lost + ROOM * reach >= kth[:, None]) & ~own
+            for i, (top, _) in enumerate(tops):
+                may[i, top] = False
+            at = np.flatnonzero(may.any(0))
+            if len(at):
+                may[:, at] &= qs @ xs[at].T >= kth[:, None] - FINE_ROOM * reach[:, at]
+            for i in np.flatnonzero(may.any(1)):
+                more = np.flatnonzero(may[i])
+                tops[i] = np.concatenate((tops[i][0], more)), np.concatenate((tops[i][1], (x[more] * q[i]).sum(1)))
+        out = []
+        for top, exact in tops:
             best = np.lexsort((ids[top], -exact))[:k]
             out.append((ids[top][best], exact[best]))
         return out
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v array<double>) of the vectors that take part."""
-    v = F.col("embedding").cast("array<double>")
+    """(vec_id, v) of the vectors that take part; v keeps single precision, other numbers are made double."""
+    kind = vectors.schema["embedding"].dataType.elementType
+    v = F.col("embedding").cast("array<float>" if isinstance(kind, FloatType) else "array<double>")
     fine = F.col("vec_id").isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
     out = vectors.where(F.col("embedding").isNotNull()).where(fine).select(F.col("vec_id").cast("long"), v.alias("v"))
     size = out.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
@@ -147,75 +197,102 @@ def usable(vectors: DataFrame) -> DataFrame:
 def _matrix(column) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, target: float = TARGET) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the nearest by inner product, for the rows that ``is_query``."""
     spark = vectors.sparkSession
     rows = usable(vectors)
-    n = rows.count()
+    n, top = rows.agg(F.count("*"), F.max(F.array_max(F.transform("v", F.abs)))).first()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    unit = 2.0 ** -max(-500, math.frexp(top)[1])
     u = F.pmod(F.xxhash64("vec_id", F.lit("ann")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     lists = min(MAX_LISTS, max(1, round(math.sqrt(n))))
     sample = rows.where(u * n < max(SAMPLE, LIST_SAMPLE * lists)).orderBy("vec_id").toArrow()
-    sample = _matrix(sample.column("v")) if sample.num_rows else _matrix(rows.limit(1).toArrow().column("v"))
+    sample = unit * (_matrix(sample.column("v")) if sample.num_rows else _matrix(rows.limit(1).toArrow().column("v")))
     index = Index(sample, lists)
     shared = spark.sparkContext.broadcast(index)
     # The table's k best, counted within the thinner sample.
     probes = index.enough(sample, max(1, math.ceil(k * len(sample) / n)), target) if target < 1 else len(index.centroids)
-    entry = pa.schema([("cell", pa.int32()), ("vec_id", pa.int64()), ("v", pa.list_(pa.float64())), ("code", pa.binary())])
+    vector = rows.schema["v"].dataType.simpleString()
+    own = pa.list_(pa.float32() if "float" in vector else pa.float64())
+    entry = pa.schema([("cell", pa.int32()), ("vec_id", pa.int64()), ("v", own), ("code", pa.binary()), ("away", pa.float64())])
 
     def encode(batches):
         for b in batches:
-            cell, code = shared.value.encode(_matrix(b.column(1)))
-            yield batch(entry, cell.astype(np.int32), b.column(0), b.column(1).cast(pa.list_(pa.float64())), [c.tobytes() for c in code])
-
-    entries = save(rows.mapInArrow(encode, "cell int, vec_id long, v array<double>, code binary"), "ann-index")
-    asked = pa.schema([("cell", pa.int32()), ("qid", pa.int64()), ("q", pa.list_(pa.float64()))])
+            x = unit * _matrix(b.column(1))
+            cell, code = shared.value.encode(x)
+            away = np.sqrt(((x - shared.value.centroids[cell]) ** 2).sum(1))
+            yield batch(entry, cell.astype(np.int32), b.column(0), b.column(1).cast(own), [c.tobytes() for c in code], away)
 
-    def route(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            to = shared.value.probes(_matrix(b.column(1)), probes)
-            at = np.repeat(np.arange(b.num_rows), to.shape[1])
-            t = b.take(pa.array(at))
-            yield batch(asked, to.reshape(-1).astype(np.int32), t.column(0), t.column(1).cast(pa.list_(pa.float64())))
-
-    queries = rows.where(is_query).mapInArrow(route, "cell int, qid long, q array<double>")
-    # Parts per list: two numbers for each of at most MAX_LISTS lists.
-    parts = entries.groupBy("cell").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
-    asks = queries.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_PART).cast("int").alias("qparts"))
-    sizes = F.broadcast(parts.join(asks, "cell"))
-    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    left = entries.join(sizes, "cell").select(
-        "cell", F.pmod(F.xxhash64("vec_id"), "parts").cast("int").alias("part"), every("qparts").alias("qpart"), "vec_id", "v", "code"
-    )
-    right = queries.join(sizes, "cell").select(
-        F.col("cell").alias("qcell"), every("parts").alias("rpart"),
-        F.pmod(F.xxhash64("qid", F.lit(1)), "qparts").cast("int").alias("rqpart"), "qid", "q"
-    )
+    entries = save(rows.mapInArrow(encode, f"cell int, vec_id long, v {vector}, code binary, away double"), "ann-index")
+    asked = pa.schema([("cell", pa.int32()), ("qid", pa.int64()), ("q", own), ("least", pa.float64())])
     hits = pa.schema([("query_id", pa.int64()), ("hits", pa.list_(pa.struct([("score", pa.float64()), ("vec_id", pa.int64())])))])
 
     def scan(t, asked):
         if not t.num_rows or not asked.num_rows:
             return hits.empty_table()
         code = np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint8).reshape(t.num_rows, -1)
-        qid, q = asked.column("qid").to_numpy(), _matrix(asked.column("q"))
+        qid, q, least = asked.column("qid").to_numpy(), _matrix(asked.column("q")), asked.column("least").to_numpy()
         x, ids, cell = _matrix(t.column("v")), t.column("vec_id").to_numpy(), t.column("cell")[0].as_py()
         out = []
         for i in range(0, len(q), 256):
-            out += shared.value.search(cell, code, ids, x, qid[i : i + 256], q[i : i + 256], k)
+            out += shared.value.search(cell, code, ids, x, qid[i : i + 256], q[i : i + 256], k, least=least[i : i + 256], unit=unit)
         size = np.cumsum([0, *[len(a) for a, _ in out]]).astype(np.int32)
         flat = pa.StructArray.from_arrays([pa.array(np.concatenate([s for _, s in out])), pa.array(np.concatenate([a for a, _ in out]))], names=["score", "vec_id"])
         return pa.table([pa.array(qid), pa.ListArray.from_arrays(pa.array(size), flat)], schema=hits)
 
-    found = left.groupBy("cell", "part", "qpart").cogroup(right.groupBy("qcell", "rpart", "rqpart")).applyInArrow(
-        scan, "query_id long, hits array<struct<score:double,vec_id:long>>"
-    )
-    # Each task first keeps its own best; the best of the lists' parts are at most k rows each.
-    hit = found.select("query_id", F.explode("hits").alias("hit")).select("query_id", F.col("hit.score").alias("score"), F.col("hit.vec_id").alias("vec_id"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return hit.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    def look(asks: DataFrame, choose) -> DataFrame:
+        """(query_id, score, vec_id) of what the lists hold that ``choose(index, vectors, least)`` takes for queries (qid, q, least)."""
+
+        def route(batches):
+            for b in batches:
+                step = max(1, ROUTED // len(shared.value.centroids))
+                for i in range(0, b.num_rows, step):
+                    part = b.slice(i, step)
+                    at, to = choose(shared.value, unit * _matrix(part.column(1)), part.column(2).to_numpy(zero_copy_only=False) * unit * unit)
+                    t = part.take(pa.array(at))
+                    yield batch(asked, to.astype(np.int32), t.column(0), t.column(1).cast(own), t.column(2).to_numpy(zero_copy_only=False) * unit * unit)
+
+        queries = asks.mapInArrow(route, f"cell int, qid long, q {vector}, least double")
+        # Parts per list: two numbers for each of at most MAX_LISTS lists.
+        parts = entries.groupBy("cell").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
+        sizes = F.broadcast(parts.join(queries.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_PART).cast("int").alias("qparts")), "cell"))
+        every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+        left = entries.join(sizes, "cell").select(
+            "cell", F.pmod(F.xxhash64("vec_id"), "parts").cast("int").alias("part"), every("qparts").alias("qpart"), "vec_id", "v", "code"
+        )
+        right = queries.join(sizes, "cell").select(
+            F.col("cell").alias("qcell"), every("parts").alias("rpart"),
+            F.pmod(F.xxhash64("qid", F.lit(1)), "qparts").cast("int").alias("rqpart"), "qid", "q", "least"
+        )
+        found = left.groupBy("cell", "part", "qpart").cogroup(right.groupBy("qcell", "rpart", "rqpart")).applyInArrow(
+            scan, "query_id long, hits array<struct<score:double,vec_id:long>>"
+        )
+        hit = F.col("hit")
+        return found.select("query_id", F.explode("hits").alias("hit")).select("query_id", hit["score"].alias("score"), hit["vec_id"].alias("vec_id"))
+
+    def best(found: DataFrame) -> DataFrame:
+        # Each task first keeps its own best; the best of the lists' parts are at most k rows each.
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def probed(index, q, least):
+        to = index.probes(q, probes)
+        return np.repeat(np.arange(len(q)), to.shape[1]), to.reshape(-1)
+
+    asks = rows.where(is_query).select(F.col("vec_id").alias("qid"), F.col("v").alias("q"))
+    first = best(look(asks.withColumn("least", F.lit(float("-inf"))), probed))
+    if probes >= len(index.centroids):
+        return first
+    first = save(first, "ann-first")
+    # One number for each of at most MAX_LISTS lists; -1: no rows.
+    radius = np.full(len(index.centroids), -1.0)
+    for r in entries.groupBy("cell").agg(F.max("away").alias("away")).collect():
+        radius[r.cell] = r.away
+    kth = first.where(F.col("rank") == k).select(F.col("query_id").alias("qid"), F.col("score").alias("least"))
+    rest = asks.join(kth, "qid", "left").select("qid", "q", F.coalesce("least", F.lit(float("-inf"))).alias("least"))
+    checked = look(rest, lambda index, q, least: np.nonzero(index.ruled_in(q, radius, least, probes)))
+    return best(first.select("query_id", "score", "vec_id").unionByName(checked.select("query_id", "score", "vec_id")))

@@ -55,3 +55,21 @@ def test_edges(spark):
     assert ann.search(df.limit(0), F.lit(True)).count() == 0
     few = ann.search(df.where("vec_id in (20, 40, 41)"), F.col("vec_id") % 20 == 0)
     assert {q: [i for i, _ in h] for q, h in found(few).items()} == {q: [i for i, _ in h] for q, h in brute([r for r in rows if r[0] in (20, 40, 41)]).items()}
+
+
+def test_no_neighbour_is_missed_whatever_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "RERANK", 10)
+    monkeypatch.setattr(ann, "PROBE_LEAST", 2)
+    rng = np.random.default_rng(3)
+    g = rng.normal(size=(3000, 16))
+    sets = {
+        "sphere": g / np.linalg.norm(g, axis=1)[:, None], "lengths": g * np.exp(rng.normal(size=(3000, 1))), "large": g * 1e25,
+        "clusters": rng.normal(size=(40, 16))[rng.integers(0, 40, 3000)] + 0.01 * g,
+        "near copies": np.where(rng.random((3000, 1)) < 0.5, g[0] + 1e-4 * g, g),
+        "queries elsewhere": np.where(np.arange(3000)[:, None] % 20 == 0, g * (np.arange(16) < 2), g * (np.arange(16) >= 1)),
+    }
+    for name, x in sets.items():
+        rows = [(i, v) for i, v in enumerate(x.astype(np.float32).tolist())]
+        got = found(ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0, target=0.5))
+        want = brute(rows)
+        assert {q: [i for i, _ in h] for q, h in got.items()} == {q: [i for i, _ in h] for q, h in want.items()}, name
