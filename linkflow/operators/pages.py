@@ -104,14 +104,15 @@ def _replace(df: DataFrame, column: str, parse: Callable[[str], tuple], fields:
     return df.mapInArrow(run, schema)
 
 
-def texts(documents: DataFrame, column: str = "html", max_chars: int = Settings.content_max_chars) -> DataFrame:
+def texts(documents: DataFrame, column: str = "html", max_chars: int | None = Settings.content_max_chars, closed: bool = False) -> DataFrame:
     """``documents`` with ``content`` and ``method`` in place of ``column``.
 
     The longest choice is picked where the page is parsed, so nothing is grouped, joined or shuffled;
-    null keys and repeated rows are rows like others.
+    null keys and repeated rows are rows like others. With ``closed``, only references with a semicolon
+    are decoded (see ``dom.clean``); without ``max_chars``, texts are whole.
     """
-    best = _replace(documents, column, lambda h: dom.longest(h)[::-1], "content string, method string")
-    return best.withColumn("content", F.substring("content", 1, max_chars))
+    best = _replace(documents, column, lambda h: dom.longest(h, closed)[::-1], "content string, method string")
+    return best if max_chars is None else best.withColumn("content", F.substring("content", 1, max_chars))
 
 
 def texts_native(documents: DataFrame, column: str = "html") -> DataFrame:
