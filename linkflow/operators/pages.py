@@ -127,10 +127,11 @@ def digest(df: DataFrame, column: str = "content") -> DataFrame:
     return df.withColumn("content_chars", n_chars(F.col(column))).withColumn("content_sha256", sha256(F.col(column)))
 
 
-def rank_blocks(blocks: DataFrame, key: str, settings: Settings | None = None) -> DataFrame:
+def rank_blocks(blocks: DataFrame, key: str, settings: Settings | None = None, whole: bool = False) -> DataFrame:
     """The best blocks of each page of ``blocks(key, pos, kind, text, link_chars)``.
 
-    A text counts once (its first element); blocks that are short or mostly links go.
+    A text counts once (its first element); blocks that are short or mostly links go. Texts are cut to
+    ``content_max_chars``, unless ``whole``; scores count no more than that in any case.
     """
     s = settings or Settings()
     n = F.char_length("text")
@@ -140,12 +141,13 @@ def rank_blocks(blocks: DataFrame, key: str, settings: Settings | None = None) -
     out = out.withColumn("chars", n).withColumn("link_ratio", ratio).where(F.col("link_ratio") <= s.block_max_link_ratio)
     out = out.withColumn("score", F.floor(F.least(n, F.lit(s.content_max_chars)) * (F.lit(1.0) - F.col("link_ratio"))).cast("int"))
     order = Window.partitionBy(key).orderBy(F.desc("score"), F.desc("chars"), "pos")
-    return out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.block_limit).withColumn("text", F.substring("text", 1, s.content_max_chars))
+    out = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= s.block_limit)
+    return out if whole else out.withColumn("text", F.substring("text", 1, s.content_max_chars))
 
 
-def blocks(pages: DataFrame, key: str = "page_id", settings: Settings | None = None) -> DataFrame:
-    found = _explode(pages.select(key, "html"), "html", dom.blocks, "kind string, text string, link_chars int").drop("html")
-    return rank_blocks(found, key, settings)
+def blocks(pages: DataFrame, key: str = "page_id", settings: Settings | None = None, closed: bool = False, whole: bool = False) -> DataFrame:
+    found = _explode(pages.select(key, "html"), "html", lambda h: dom.blocks(h, closed), "kind string, text string, link_chars int").drop("html")
+    return rank_blocks(found, key, settings, whole)
 
 
 def excerpts(pages: DataFrame, max_chars: int = 12_000) -> DataFrame:
