@@ -150,8 +150,8 @@ def blocks(pages: DataFrame, key: str = "page_id", settings: Settings | None = N
     return rank_blocks(found, key, settings, whole)
 
 
-def excerpts(pages: DataFrame, max_chars: int = 12_000) -> DataFrame:
-    return _explode(pages, "html", lambda h: [(dom.excerpt(h, max_chars),)], "excerpt string").drop("html", "pos")
+def excerpts(pages: DataFrame, max_chars: int = 12_000, closed: bool = False) -> DataFrame:
+    return _explode(pages, "html", lambda h: [(dom.excerpt(h, max_chars, closed),)], "excerpt string").drop("html", "pos")
 
 
 def feed_links(pages: DataFrame) -> DataFrame:
