@@ -76,10 +76,13 @@ def update_candidates(state: DataFrame, observed: DataFrame, now: str, initializ
     return cap(out, "last_seen", s.candidate_cap)
 
 
-def update_seen(seen: DataFrame, articles: DataFrame, now: str, settings: Settings | None = None) -> DataFrame:
+def update_seen(
+    seen: DataFrame, articles: DataFrame, now: str, settings: Settings | None = None, keys: tuple[str, ...] = ("source_id", "url")
+) -> DataFrame:
     """Inserts new URLs and refreshes content columns of known ones.
 
-    Both the observed and the final URL of a redirected article count as seen.
+    Both the observed and the final URL of a redirected article count as seen. Rows of equal ``keys``
+    (the source, the URL and what else tells articles apart) are one article.
     """
     s = settings or Settings()
     rows = articles
@@ -88,10 +91,10 @@ def update_seen(seen: DataFrame, articles: DataFrame, now: str, settings: Settin
     cols = ["title", "published_at", "content_status", "content_sha256", "content_fetched_at"]
     # The values of one row: one with content if there is any, the last read of those.
     best = F.max_by(F.struct(*cols), F.struct(F.col("content_status").isNotNull(), F.coalesce("content_fetched_at", F.lit("")), F.coalesce("title", F.lit(""))))
-    rows = rows.groupBy("source_id", "url").agg(best.alias("new")).select("source_id", "url", *[F.col(f"new.{c}").alias(f"new_{c}") for c in cols])
-    both = seen.join(rows, ["source_id", "url"], "full_outer")
+    rows = rows.groupBy(*keys).agg(best.alias("new")).select(*keys, *[F.col(f"new.{c}").alias(f"new_{c}") for c in cols])
+    both = seen.join(rows, list(keys), "full_outer")
     out = both.select(
-        "source_id", "url", F.coalesce("title", "new_title").alias("title"), F.coalesce("first_seen", F.lit(now)).alias("first_seen"),
+        *keys, F.coalesce("title", "new_title").alias("title"), F.coalesce("first_seen", F.lit(now)).alias("first_seen"),
         F.coalesce("published_at", "new_published_at").alias("published_at"), *[F.coalesce(f"new_{c}", c).alias(c) for c in cols[2:]]
     )
     return cap(out, "first_seen", s.seen_cap)
